@@ -1,0 +1,135 @@
+"""Declared schemas, domains and the fixed reference values of the data model.
+
+One source of truth: the raw JSON event, the landed event table, the rollup table and the
+anomaly table. Jobs select the columns they need and Catalyst prunes the rest (also inside
+``from_json``), so there is no per-job narrower copy of the schema.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import types as T
+
+# --------------------------------------------------------------------------------------
+# Fixed values (must equal the upstream event producer and table definitions).
+# --------------------------------------------------------------------------------------
+
+# Event status domain and the status counted as success.
+STATUSES = ("success", "error", "timeout")
+SUCCESS = "success"
+
+# Error codes of failed calls; a timeout always carries TIMEOUT_CODE.
+ERROR_CODES = (
+    "rate_limit_exceeded",
+    "invalid_request_error",
+    "context_length_exceeded",
+    "server_error",
+)
+TIMEOUT_CODE = "request_timeout"
+
+# Token bounds of a call and the latency floor in milliseconds.
+PROMPT_TOKENS_MIN, PROMPT_TOKENS_MAX = 10, 32000
+COMPLETION_TOKENS_MIN, COMPLETION_TOKENS_MAX = 5, 4096
+LATENCY_MS_MIN = 50
+
+# Maximum column lengths of the stored event table.
+MAX_LENGTHS = {
+    "model": 100,
+    "provider": 50,
+    "user_id": 100,
+    "session_id": 100,
+    "status": 20,
+    "error_code": 100,
+}
+
+# Anomaly type and severity domains.
+ANOMALY_TYPES = ("latency_spike", "error_surge", "cost_spike")
+SEVERITIES = ("warning", "critical")
+
+# Wire format of the event timestamp; only the first 26 characters are parsed, the UTC
+# offset suffix is ignored (the producer always writes +00:00).
+EVENT_TIME_PREFIX_LEN = 26
+EVENT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+EVENT_TIME_WIRE_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
+
+# Watermark delay of every streaming job.
+WATERMARK_DELAY = "10 seconds"
+
+# --------------------------------------------------------------------------------------
+# Schemas
+# --------------------------------------------------------------------------------------
+
+# Raw event as it arrives on the wire. Numeric fields are decoded as STRING and then
+# try-cast, so "12" is accepted as 12 while 12.7 or "x" become a quality failure instead of
+# silently nulling the whole record.
+RAW_EVENT_WIRE = T.StructType([
+    T.StructField("event_id", T.StringType()),
+    T.StructField("timestamp", T.StringType()),
+    T.StructField("model", T.StringType()),
+    T.StructField("provider", T.StringType()),
+    T.StructField("user_id", T.StringType()),
+    T.StructField("session_id", T.StringType()),
+    T.StructField("prompt_tokens", T.StringType()),
+    T.StructField("completion_tokens", T.StringType()),
+    T.StructField("total_tokens", T.StringType()),
+    T.StructField("cost_usd", T.StringType()),
+    T.StructField("latency_ms", T.StringType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("error_code", T.StringType()),
+    T.StructField("request_id", T.StringType()),
+])
+
+INT_FIELDS = ("prompt_tokens", "completion_tokens", "total_tokens", "latency_ms")
+
+# Landed event table (one row per event_id).
+LLM_EVENTS = T.StructType([
+    T.StructField("event_id", T.StringType(), False),
+    T.StructField("ts", T.TimestampNTZType(), False),
+    T.StructField("model", T.StringType(), False),
+    T.StructField("provider", T.StringType(), False),
+    T.StructField("user_id", T.StringType(), False),
+    T.StructField("session_id", T.StringType(), False),
+    T.StructField("prompt_tokens", T.IntegerType(), False),
+    T.StructField("completion_tokens", T.IntegerType(), False),
+    T.StructField("total_tokens", T.IntegerType(), False),
+    T.StructField("cost_usd", T.DecimalType(12, 6), False),
+    T.StructField("latency_ms", T.IntegerType(), False),
+    T.StructField("status", T.StringType(), False),
+    T.StructField("error_code", T.StringType(), True),
+    T.StructField("request_id", T.StringType(), False),
+])
+
+# Rollup table, key (window_start, model, user_id).
+COST_ROLLUPS = T.StructType([
+    T.StructField("window_start", T.TimestampNTZType(), False),
+    T.StructField("window_end", T.TimestampNTZType(), False),
+    T.StructField("model", T.StringType(), False),
+    T.StructField("provider", T.StringType(), False),
+    T.StructField("user_id", T.StringType(), False),
+    T.StructField("total_requests", T.LongType(), False),
+    T.StructField("success_count", T.LongType(), False),
+    T.StructField("error_count", T.LongType(), False),
+    T.StructField("total_tokens", T.LongType(), False),
+    T.StructField("total_cost_usd", T.DecimalType(12, 4), False),
+    T.StructField("avg_latency_ms", T.DecimalType(10, 2), True),
+    T.StructField("p95_latency_ms", T.DecimalType(10, 2), True),
+])
+ROLLUP_KEY = ("window_start", "model", "user_id")
+
+# Anomaly table, append only (no key).
+ANOMALY_EVENTS = T.StructType([
+    T.StructField("detected_at", T.TimestampNTZType(), False),
+    T.StructField("anomaly_type", T.StringType(), False),
+    T.StructField("model", T.StringType(), True),
+    T.StructField("user_id", T.StringType(), True),
+    T.StructField("metric_value", T.DecimalType(12, 4), False),
+    T.StructField("threshold_value", T.DecimalType(12, 4), False),
+    T.StructField("severity", T.StringType(), False),
+    T.StructField("window_start", T.TimestampNTZType(), False),
+    T.StructField("window_end", T.TimestampNTZType(), False),
+])
+
+# Decimal types of the stored measures.
+COST_TYPE = T.DecimalType(12, 6)
+ROLLUP_COST_TYPE = T.DecimalType(12, 4)
+LATENCY_TYPE = T.DecimalType(10, 2)
+METRIC_TYPE = T.DecimalType(12, 4)
