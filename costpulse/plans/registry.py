@@ -7,13 +7,15 @@ tables (reports apply their own time range, which is the report's definition).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from costpulse.functions import timefn
 from costpulse.operators import anomalies as an
-from costpulse.operators import rollups
+from costpulse.operators import reports, rollups
 from costpulse.plans import oracle
 from costpulse.sources import fixtures
 
@@ -98,6 +100,141 @@ for _m, _suffix in ((5, "5m"), (60, "60m"), (1440, "1d")):
              "A2 U1 P6-P9 F7 T3")(_anomalies(_m))
 
 
+# ---------------------------------------------------------------------------- reports
+# One "now" per report: the newest event time (a literal, so the range bound is pushed into
+# the scan). Range: the widest offered by the dashboard.
+
+REPORT_RANGE = "24 hours"
+ANOMALY_WINDOW_MIN = 5
+_RANGE_SQL = f"(SELECT as_of FROM as_of) - INTERVAL '{REPORT_RANGE}'"
+
+
+def _as_of(spark, sf_dir) -> tuple[dt.datetime, dt.datetime]:
+    as_of = fixtures.max_event_time(spark, sf_dir)
+    return as_of, timefn.range_start(as_of, REPORT_RANGE)
+
+
+def _ranged_events(spark, sf_dir):
+    as_of, start = _as_of(spark, sf_dir)
+    return fixtures.llm_events(spark, sf_dir, since=start), as_of
+
+
+def _ranged_anomalies(spark, sf_dir):
+    """Anomalies detected in range. A window detected at or after ``start`` begins at or after
+    ``start - window - delay``, so only events from there on are read (whole windows)."""
+    as_of, start = _as_of(spark, sf_dir)
+    lead = dt.timedelta(minutes=ANOMALY_WINDOW_MIN, seconds=10)
+    events = fixtures.llm_events(spark, sf_dir, since=start - lead)
+    return an.anomalies(events, ANOMALY_WINDOW_MIN), as_of
+
+
+def _ev(sql, *ctes):
+    return oracle.with_events(sql, oracle.AS_OF, *ctes)
+
+
+_IN_RANGE = f"WHERE ts >= {_RANGE_SQL}"
+
+
+@register("kpi_requests", _ev(f"SELECT count(*) AS cnt FROM llm_events {_IN_RANGE}"),
+          "R1 F1 A3 A7")
+def kpi_requests(spark, sf_dir):
+    events, as_of = _ranged_events(spark, sf_dir)
+    return reports.total_requests(events, as_of, REPORT_RANGE)
+
+
+@register("kpi_cost", _ev(f"""SELECT CAST(COALESCE(round(sum(cost_usd), 4), 0) AS DECIMAL(18,4))
+  AS cost FROM llm_events {_IN_RANGE}"""), "R2 F1 A5 A7 P10")
+def kpi_cost(spark, sf_dir):
+    events, as_of = _ranged_events(spark, sf_dir)
+    return reports.total_cost(events, as_of, REPORT_RANGE)
+
+
+@register("kpi_latency", _ev(f"""SELECT CAST(COALESCE(round(avg(latency_ms)), 0) AS BIGINT) AS lat
+  FROM llm_events {_IN_RANGE} AND status = 'success'"""), "R3 F1 F5 A6 A7 P10")
+def kpi_latency(spark, sf_dir):
+    events, as_of = _ranged_events(spark, sf_dir)
+    return reports.avg_success_latency(events, as_of, REPORT_RANGE)
+
+
+@register("kpis", _ev(f"""SELECT count(*) AS total_requests,
+  CAST(COALESCE(round(sum(cost_usd), 4), 0) AS DECIMAL(18,4)) AS total_cost_usd,
+  CAST(COALESCE(round(avg(CASE WHEN status = 'success' THEN latency_ms END)), 0) AS BIGINT)
+    AS avg_latency_ms
+  FROM llm_events {_IN_RANGE}"""), "R1-R3 in one scan")
+def kpis(spark, sf_dir):
+    events, as_of = _ranged_events(spark, sf_dir)
+    return reports.kpis(events, as_of, REPORT_RANGE)
+
+
+@register("kpi_anomalies", _ev(f"""SELECT count(*) AS active_anomalies FROM anomalies
+  WHERE detected_at >= {_RANGE_SQL}""", oracle.anomalies_cte(ANOMALY_WINDOW_MIN)),
+          "R4 F3 A3")
+def kpi_anomalies(spark, sf_dir):
+    anomalies, as_of = _ranged_anomalies(spark, sf_dir)
+    return reports.active_anomalies(anomalies, as_of, REPORT_RANGE)
+
+
+_MINUTE = f"""SELECT date_trunc('minute', ts) AS time, model, {{measure}}
+FROM llm_events {_IN_RANGE}{{extra}} GROUP BY 1, 2 ORDER BY 1, 2"""
+
+_MINUTE_REPORTS = {
+    "event_rate": ("count(*) AS events", "", reports.event_rate, "R5 A8 L1"),
+    "error_rate": ("""CAST(((20000 * sum(CASE WHEN status <> 'success' THEN 1 ELSE 0 END) + count(*))
+     // (2 * count(*))) * 0.01 AS DECIMAL(7,2)) AS error_rate""", "", reports.error_rate,
+                   "R6 A8 A4 F6 L1"),
+    "latency_by_minute": ("CAST(round(avg(latency_ms)) AS BIGINT) AS avg_latency_ms",
+                          " AND status = 'success'", reports.latency_by_minute, "R7 A8 F5 L1"),
+    "tokens_by_minute": ("CAST(sum(total_tokens) AS BIGINT) AS total_tokens", "",
+                         reports.tokens_by_minute, "R8 A8 A5 L1"),
+    "cost_by_minute": ("CAST(round(sum(cost_usd), 6) AS DECIMAL(18,6)) AS cost_usd", "",
+                       reports.cost_by_minute, "R9 A8 A5 L1"),
+}
+
+
+def _minute_plan(report):
+    def plan(spark, sf_dir):
+        events, as_of = _ranged_events(spark, sf_dir)
+        return report(reports.minute_model_stats(events, as_of, REPORT_RANGE))
+    return plan
+
+
+for _name, (_measure, _extra, _report, _ops) in _MINUTE_REPORTS.items():
+    register(_name, _ev(_MINUTE.format(measure=_measure, extra=_extra)), _ops)(
+        _minute_plan(_report))
+
+
+@register("cost_by_model", _ev(f"""SELECT model,
+  CAST(round(sum(total_cost_usd), 4) AS DECIMAL(18,4)) AS total_cost
+FROM rollups WHERE window_start >= {_RANGE_SQL}
+GROUP BY model ORDER BY total_cost DESC, model""", oracle.rollup_cte(60)), "R10 A9 F2 L2")
+def cost_by_model(spark, sf_dir):
+    as_of, start = _as_of(spark, sf_dir)
+    # Windows starting in range hold only events from ``start`` on: read just those.
+    events = fixtures.llm_events(spark, sf_dir, since=start)
+    return reports.cost_by_model(rollups.cost_rollups(events, 60), as_of, REPORT_RANGE)
+
+
+@register("recent_anomalies", _ev(f"""SELECT detected_at, anomaly_type, severity, model, user_id,
+  CAST(round(metric_value, 4) AS DECIMAL(12,4)) AS metric_value,
+  CAST(round(threshold_value, 4) AS DECIMAL(12,4)) AS threshold_value,
+  window_start, window_end
+FROM anomalies WHERE detected_at >= {_RANGE_SQL}
+ORDER BY detected_at DESC, anomaly_type, model LIMIT 100""",
+                                   oracle.anomalies_cte(ANOMALY_WINDOW_MIN)), "R11 F3 L3")
+def recent_anomalies(spark, sf_dir):
+    anomalies, as_of = _ranged_anomalies(spark, sf_dir)
+    return reports.recent_anomalies(anomalies, as_of, REPORT_RANGE)
+
+
+@register("live_feed", _ev(f"""SELECT ts AS time, model, user_id, prompt_tokens, completion_tokens,
+  CAST(round(cost_usd, 6) AS DECIMAL(12,6)) AS cost_usd, latency_ms, status,
+  COALESCE(error_code, '') AS error_code
+FROM llm_events {_IN_RANGE} ORDER BY ts DESC, event_id LIMIT 100"""), "R12 F1 L4 P10")
+def live_feed(spark, sf_dir):
+    events, as_of = _ranged_events(spark, sf_dir)
+    return reports.live_feed(events, as_of, REPORT_RANGE)
+
+
 def queries() -> dict[str, Plan]:
     return {name: q.plan for name, q in REGISTRY.items()}
 
