@@ -101,3 +101,50 @@ def anomalies_cte(minutes: int, name: str = "anomalies", warn=(3000.0, 0.15, 1.0
 FROM anomaly_stats_{minutes} WHERE {metric} >= {w}""")
     union = "\nUNION ALL\n".join(arms)
     return f"{stats_cte(minutes, f'anomaly_stats_{minutes}')},\n{name} AS (\n{union})"
+
+
+def _frame(lookback: int, keys: str = "model") -> str:
+    return (f"(PARTITION BY {keys} ORDER BY window_start "
+            f"ROWS BETWEEN {int(lookback)} PRECEDING AND 1 PRECEDING)")
+
+
+def _half_up_div_1e4(sum_col: str, scale: int, factor: int, n_col: str) -> str:
+    """factor * sum / n rounded half up to 4 decimals, in exact integer arithmetic."""
+    units = f"CAST({sum_col} * {10 ** scale} AS HUGEINT)"
+    num = f"{factor} * {units}" + (f" * {10 ** (4 - scale)}" if scale <= 4 else "")
+    den = n_col if scale <= 4 else f"{n_col} * {10 ** (scale - 4)}"
+    return (f"CAST(CAST((2 * {num} + {den}) // (2 * {den}) AS DECIMAL(38,0)) * 0.0001 "
+            f"AS DECIMAL(12,4))")
+
+
+def ratio_baseline_sql(metric_sql: str, scale: int, anomaly_type: str, warning: int,
+                       critical: int | None, lookback: int = 12) -> str:
+    crit = (f"metric * base_n > {critical} * base_sum" if critical is not None else "FALSE")
+    return f"""src AS (SELECT window_start, window_end, model, {metric_sql} AS metric FROM stats),
+based AS (SELECT *, sum(metric) OVER w AS base_sum, count(metric) OVER w AS base_n
+  FROM src WINDOW w AS {_frame(lookback)}),
+flagged AS (SELECT *, {crit} AS is_critical FROM based
+  WHERE base_n > 0 AND metric * base_n > {warning} * base_sum)
+SELECT window_end + INTERVAL 10 SECONDS AS detected_at, '{anomaly_type}' AS anomaly_type, model,
+  CAST(NULL AS VARCHAR) AS user_id,
+  CAST(metric AS DECIMAL(12,4)) AS metric_value,
+  CASE WHEN is_critical THEN {_half_up_div_1e4("base_sum", scale, critical or warning, "base_n")}
+       ELSE {_half_up_div_1e4("base_sum", scale, warning, "base_n")} END AS threshold_value,
+  CASE WHEN is_critical THEN 'critical' ELSE 'warning' END AS severity,
+  window_start, window_end
+FROM flagged"""
+
+
+def zscore_sql(lookback: int = 12, z: float = 3.0) -> str:
+    return f"""long AS (
+  SELECT window_start, window_end, model, 'avg_latency_ms' AS metric, avg_latency_ms AS value
+  FROM stats
+  UNION ALL
+  SELECT window_start, window_end, model, 'error_rate' AS metric, error_rate AS value FROM stats),
+scored AS (SELECT *, avg(value) OVER w AS mean, stddev_samp(value) OVER w AS stddev
+  FROM long WINDOW w AS {_frame(lookback, "model, metric")}),
+z AS (SELECT *, (value - mean) / nullif(stddev, 0) AS z FROM scored)
+SELECT window_start, window_end, model, metric,
+  CAST(value AS DECIMAL(12,4)) AS value, CAST(mean AS DECIMAL(12,4)) AS mean,
+  CAST(stddev AS DECIMAL(12,4)) AS stddev, CAST(z AS DECIMAL(12,4)) AS z
+FROM z WHERE abs(z) > {z}"""

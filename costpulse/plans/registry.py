@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from costpulse.functions import timefn
 from costpulse.operators import anomalies as an
-from costpulse.operators import reports, rollups
+from costpulse.operators import baselines, reports, rollups
 from costpulse.plans import oracle
 from costpulse.sources import fixtures
 
@@ -235,6 +235,47 @@ def live_feed(spark, sf_dir):
     return reports.live_feed(events, as_of, REPORT_RANGE)
 
 
+# ---------------------------------------------------------------------------- baselines
+# Hourly windows: a p95 over 5-minute windows of a few calls says little.
+
+BASELINE_WINDOW_MIN = 60
+
+
+def _baseline_stats(spark, sf_dir):
+    return an.window_stats(fixtures.llm_events(spark, sf_dir), BASELINE_WINDOW_MIN,
+                           with_p95=True)
+
+
+_N2 = oracle.ratio_baseline_sql("CAST(p95_latency_ms AS DECIMAL(10,2))", 2, "latency_spike", 3, 6)
+_N3 = oracle.ratio_baseline_sql("CAST(total_cost_usd AS DECIMAL(18,6))", 6, "cost_spike", 2, None)
+
+
+def _split_ctes(sql: str) -> tuple[list[str], str]:
+    """Split 'a AS (..),\nb AS (..)\nSELECT ..' into CTE texts and the final SELECT."""
+    head, _, body = sql.rpartition("\nSELECT ")
+    return [head], "SELECT " + body
+
+
+def _with_stats(sql: str) -> str:
+    ctes, body = _split_ctes(sql)
+    return oracle.with_events(body, oracle.stats_cte(BASELINE_WINDOW_MIN, with_p95=True), *ctes)
+
+
+@register("latency_baseline", _with_stats(_N2), "N2 N1 A2")
+def latency_baseline(spark, sf_dir):
+    return baselines.latency_baseline(_baseline_stats(spark, sf_dir))
+
+
+@register("cost_baseline", _with_stats(_N3), "N3 A2")
+def cost_baseline(spark, sf_dir):
+    return baselines.cost_baseline(_baseline_stats(spark, sf_dir))
+
+
+@register("zscore", _with_stats(oracle.zscore_sql()), "N4 A2")
+def zscore(spark, sf_dir):
+    return baselines.zscores(_baseline_stats(spark, sf_dir))
+
+
 def queries() -> dict[str, Plan]:
     return {name: q.plan for name, q in REGISTRY.items()}
 
