@@ -15,9 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from costpulse.functions import timefn
 from costpulse.operators import anomalies as an
-from costpulse.operators import baselines, reports, rollups
+from pyspark.sql import functions as F
+
+from costpulse.operators import baselines, quality, reports, rollups
 from costpulse.plans import oracle
-from costpulse.sources import fixtures
+from costpulse.session import scratch_path
+from costpulse.sinks import tables
+from costpulse.sources import fixtures, raw_json, replay
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -276,6 +280,71 @@ def zscore(spark, sf_dir):
     return baselines.zscores(_baseline_stats(spark, sf_dir))
 
 
+# ---------------------------------------------------------------------------- ingest
+
+def _rule_case() -> str:
+    arms = " ".join(f"WHEN n % {r.modulus} = 0 THEN '{r.name}'" for r in replay.RULES)
+    return f"CASE {arms} END"
+
+
+_RULED = ("ruled AS (SELECT *, " + _rule_case() + " AS rule FROM "
+          "(SELECT *, CAST(right(event_id, 12) AS BIGINT) AS n FROM llm_events))")
+_QUARANTINE_RULES = ", ".join(f"'{r.name}'" for r in replay.RULES if r.kind == "quarantine")
+_RULE_VALUES = ", ".join(f"('{r.name}', '{r.kind}', '{r.reason}')"
+                         for r in replay.RULES if r.kind)
+
+
+def _assessed(spark, sf_dir):
+    msgs = replay.damaged_messages(fixtures.llm_events(spark, sf_dir))
+    return quality.assess(raw_json.decode(msgs), spark)
+
+
+@register("json_roundtrip", oracle.with_events(f"""SELECT event_id, ts,
+  CASE WHEN rule = 'unlisted_model' THEN 'unlisted-model' ELSE model END AS model,
+  provider, user_id, session_id, prompt_tokens, completion_tokens,
+  CASE WHEN rule = 'total_off_by_one' THEN total_tokens + 1 ELSE total_tokens END AS total_tokens,
+  cost_usd, latency_ms, status, error_code, request_id
+FROM ruled WHERE rule IS NULL OR rule NOT IN ({_QUARANTINE_RULES})""", _RULED),
+          "S4 P1 P2 K4 K7 Q1-Q12 J1")
+def json_roundtrip(spark, sf_dir):
+    return quality.good(_assessed(spark, sf_dir))
+
+
+@register("quarantine_reasons", oracle.with_events(f"""SELECT kind, reason, count(*) AS events
+FROM ruled JOIN (VALUES {_RULE_VALUES}) AS rules(rule, kind, reason) USING (rule)
+GROUP BY kind, reason""", _RULED), "S4 K7 Q1-Q12")
+def quarantine_reasons(spark, sf_dir):
+    return quality.reason_counts(_assessed(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------- upsert
+
+_UPSERT_SQL = oracle.with_events("""SELECT * EXCLUDE (batch, rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY batch DESC) AS rn FROM batches)
+WHERE rn = 1""", """d0 AS (SELECT date_trunc('day', min(ts)) AS d0 FROM llm_events)""",
+    """batches AS (
+  SELECT *, 1 AS batch FROM llm_events WHERE ts < (SELECT d0 FROM d0) + INTERVAL 20 DAYS
+  UNION ALL
+  SELECT * REPLACE (latency_ms + 1 AS latency_ms), 2 AS batch FROM llm_events
+  WHERE ts >= (SELECT d0 FROM d0) + INTERVAL 10 DAYS)""")
+
+
+@register("upsert_latest", _UPSERT_SQL, "K1 K8 K9 T8")
+def upsert_latest(spark, sf_dir):
+    """Two overlapping deliveries (days 1-20 as sent, days 11-30 re-sent with a corrected
+    latency) upserted on event_id into a date-partitioned table; the later delivery wins."""
+    events = fixtures.llm_events(spark, sf_dir)
+    d0 = events.agg(F.date_trunc("day", F.min("ts")).cast("timestamp_ntz")).first()[0]
+    first = events.where(F.col("ts") < F.lit(d0 + dt.timedelta(days=20)).cast("timestamp_ntz"))
+    second = (events.where(F.col("ts") >= F.lit(d0 + dt.timedelta(days=10)).cast("timestamp_ntz"))
+                    .withColumn("latency_ms", F.col("latency_ms") + 1))
+    path = scratch_path(spark, "upsert_latest")
+    for batch in (first, second):
+        tables.upsert(spark, tables.with_date(batch, "ts"), path, key=["event_id"], order=[],
+                      partition_cols=["dt"], sort_cols=["model", "ts"])
+    return spark.read.parquet(path).select(*events.columns)
+
+
 def queries() -> dict[str, Plan]:
     return {name: q.plan for name, q in REGISTRY.items()}
 
