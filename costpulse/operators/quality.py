@@ -26,8 +26,8 @@ def assess(decoded: DataFrame, spark: SparkSession) -> DataFrame:
 def good(assessed: DataFrame) -> DataFrame:
     """Rows the store accepts, in the landed 14-column shape plus arrival metadata."""
     ok = assessed.where(F.size("reasons") == 0)
-    return raw_json.landed(ok).select("*", *[c for c in ("source", "arrival_key", "arrival_time")
-                                             if c in assessed.columns])
+    meta = [c for c in ("source", "arrival_key", "arrival_time") if c in assessed.columns]
+    return raw_json.landed(ok, *meta)
 
 
 def quarantined(assessed: DataFrame) -> DataFrame:

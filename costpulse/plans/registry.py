@@ -22,6 +22,7 @@ from costpulse.plans import oracle
 from costpulse.session import scratch_path
 from costpulse.sinks import tables
 from costpulse.sources import fixtures, raw_json, replay
+from costpulse.streaming import jobs
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -345,6 +346,69 @@ def upsert_latest(spark, sf_dir):
     return spark.read.parquet(path).select(*events.columns)
 
 
+# ---------------------------------------------------------------------------- streaming
+# The fixture events as a JSON-lines message stream, processed by the streaming jobs with
+# an availableNow trigger. A window is emitted once the watermark (newest event time minus
+# 10 s) passes its end, so the batch oracle keeps the windows closed by that watermark.
+
+_WATERMARK_SQL = "wm AS (SELECT max(ts) - INTERVAL 10 SECONDS AS wm FROM llm_events)"
+
+
+def _stream_source(spark, sf_dir) -> tuple[str, jobs.Paths]:
+    base = scratch_path(spark, "streams")
+    source = f"{base}/source"
+    replay.messages(fixtures.llm_events(spark, sf_dir)).write.text(source)
+    return source, jobs.Paths.under(base)
+
+
+def _await(query):
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+@register("stream_rollup_closed", oracle.with_events(
+    "SELECT * FROM rollups WHERE window_end <= (SELECT wm FROM wm)",
+    _WATERMARK_SQL, oracle.rollup_cte(60)), "S1-S6 T1 T2 T4 T6 K2 A1")
+def stream_rollup_closed(spark, sf_dir):
+    source, paths = _stream_source(spark, sf_dir)
+    _await(jobs.rollup_job(spark, raw_json.json_lines_stream(spark, source), paths,
+                           jobs.StreamConfig(), available_now=True))
+    return spark.read.parquet(paths.rollups).drop("dt")
+
+
+_ANOMALY_COLS = ("anomaly_type", "model", "user_id", "metric_value", "threshold_value",
+                 "severity", "window_start", "window_end")
+
+
+@register("stream_anomalies_closed", oracle.with_events(
+    f"SELECT {', '.join(_ANOMALY_COLS)} FROM anomalies WHERE window_end <= (SELECT wm FROM wm)",
+    _WATERMARK_SQL, oracle.anomalies_cte(60)), "T1 T3 T4 T6 U1 K3 K4 K5")
+def stream_anomalies_closed(spark, sf_dir):
+    source, paths = _stream_source(spark, sf_dir)
+    config = jobs.StreamConfig(anomaly_minutes=60)
+    _await(jobs.anomaly_job(spark, raw_json.json_lines_stream(spark, source), paths, config,
+                            available_now=True))
+    return spark.read.parquet(paths.anomalies).select(*_ANOMALY_COLS)
+
+
+@register("stream_dedup", oracle.with_events("SELECT * FROM llm_events"), "T8 S4")
+def stream_dedup(spark, sf_dir):
+    """Every message delivered twice (the second delivery in a later file); the stream keeps
+    one row per event_id."""
+    source, paths = _stream_source(spark, sf_dir)
+    replay.messages(fixtures.llm_events(spark, sf_dir)).write.mode("append").text(source)
+    out = f"{paths.events}_dedup"
+    q = (jobs.dedup_stream(spark, raw_json.json_lines_stream(spark, source), jobs.StreamConfig())
+         .drop("source", "arrival_key", "arrival_time")
+         .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+         .writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", f"{paths.checkpoints}/dedup")
+         .trigger(availableNow=True).start())
+    _await(q)
+    return spark.read.parquet(out)
+
+
 def queries() -> dict[str, Plan]:
     return {name: q.plan for name, q in REGISTRY.items()}
 

@@ -128,12 +128,12 @@ def encode_anomalies(anomalies: DataFrame) -> DataFrame:
     return anomalies.select(F.col("model").alias("key"), F.to_json(body).alias("value"))
 
 
-def landed(decoded_good: DataFrame) -> DataFrame:
-    """The 14-column landed shape (``event_time AS ts``)."""
+def landed(decoded_good: DataFrame, *extra: str) -> DataFrame:
+    """The 14-column landed shape (``event_time AS ts``), plus ``extra`` columns."""
     return decoded_good.select(
         "event_id", F.col("event_time").alias("ts"), "model", "provider", "user_id",
         "session_id", "prompt_tokens", "completion_tokens", "total_tokens", "cost_usd",
-        "latency_ms", "status", "error_code", "request_id",
+        "latency_ms", "status", "error_code", "request_id", *extra,
     )
 
 
