@@ -77,28 +77,25 @@ def decode(raw: DataFrame, value_col: str = "value") -> DataFrame:
     ``_corrupt_record``. Adds ``event_time`` (ms, NTZ). The raw text and arrival columns are
     kept for the quarantine.
     """
-    j = F.from_json(F.col(value_col), _WIRE_WITH_CORRUPT, _DECODE_OPTIONS)
-    passthrough = [c for c in raw.columns if c != "j"]
-    # The parsed struct comes out of a generator: Catalyst neither inlines it into later
-    # projections nor pushes filters on decoded fields below it, so the JSON text is parsed
-    # exactly once per message whatever the downstream checks reference.
-    decoded = raw.select(*passthrough, F.inline(F.array(F.struct(j.alias("j")))))
-    fields = []
+    passthrough = [c for c in raw.columns if c != "_parsed"]
+    parsed = raw.select(*passthrough, F.from_json(F.col(value_col), _WIRE_WITH_CORRUPT,
+                                                  _DECODE_OPTIONS).alias("_parsed"))
+    j = F.col("_parsed")
+    fields = [j.isNull().alias("_null_message"), j[CORRUPT].alias(CORRUPT)]
     for f in schemas.RAW_EVENT_WIRE.fields:
-        c = F.col(f"j.{f.name}")
+        c = j[f.name]
         if f.name in schemas.INT_FIELDS:
             fields += [c.try_cast("int").alias(f.name), c.alias(f"{f.name}_text")]
         elif f.name == "cost_usd":
             fields += [c.try_cast(schemas.COST_TYPE).alias(f.name), c.alias("cost_usd_text")]
         else:
             fields.append(c.alias(f.name))
-    return decoded.select(
-        *passthrough,
-        F.col("j").isNull().alias("_null_message"),
-        F.col(f"j.{CORRUPT}").alias(CORRUPT),
-        *fields,
-        timefn.parse_event_time(F.col("j.timestamp")).alias("event_time"),
-    )
+    fields.append(timefn.parse_event_time(j["timestamp"]).alias("event_time"))
+    # The decoded fields come out of a generator, as plain attributes: Catalyst neither
+    # inlines the parse into later projections nor pushes filters on decoded fields below
+    # it (the JSON text is parsed once per message), and constraint propagation does not
+    # see one alias per field (whose combinations grow exponentially with the checks).
+    return parsed.select(*passthrough, F.inline(F.array(F.struct(*fields))))
 
 
 def encode_column() -> Column:
