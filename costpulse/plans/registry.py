@@ -327,17 +327,19 @@ WHERE rn = 1""", """d0 AS (SELECT date_trunc('day', min(ts)) AS d0 FROM llm_even
   SELECT *, 1 AS batch FROM llm_events WHERE ts < (SELECT d0 FROM d0) + INTERVAL 20 DAYS
   UNION ALL
   SELECT * REPLACE (latency_ms + 1 AS latency_ms), 2 AS batch FROM llm_events
-  WHERE ts >= (SELECT d0 FROM d0) + INTERVAL 10 DAYS)""")
+  WHERE ts >= (SELECT d0 FROM d0) + INTERVAL 10 DAYS + INTERVAL 12 HOURS)""")
 
 
 @register("upsert_latest", _UPSERT_SQL, "K1 K8 K9 T8")
 def upsert_latest(spark, sf_dir):
-    """Two overlapping deliveries (days 1-20 as sent, days 11-30 re-sent with a corrected
-    latency) upserted on event_id into a date-partitioned table; the later delivery wins."""
+    """Two overlapping deliveries (days 1-20 as sent; from the middle of day 11 on, re-sent
+    with a corrected latency) upserted on event_id into a date-partitioned table; the later
+    delivery wins, and the first half of day 11 survives the rewrite of its partition."""
     events = fixtures.llm_events(spark, sf_dir)
     d0 = events.agg(F.date_trunc("day", F.min("ts")).cast("timestamp_ntz")).first()[0]
     first = events.where(F.col("ts") < F.lit(d0 + dt.timedelta(days=20)).cast("timestamp_ntz"))
-    second = (events.where(F.col("ts") >= F.lit(d0 + dt.timedelta(days=10)).cast("timestamp_ntz"))
+    second = (events.where(F.col("ts") >= F.lit(d0 + dt.timedelta(days=10, hours=12))
+                           .cast("timestamp_ntz"))
                     .withColumn("latency_ms", F.col("latency_ms") + 1))
     path = scratch_path(spark, "upsert_latest")
     for batch in (first, second):

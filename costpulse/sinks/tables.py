@@ -30,10 +30,15 @@ SOURCE_RANK = "_source_rank"
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds data: a visible file or partition directory. (Dynamic
+    partition overwrite leaves no ``_SUCCESS`` marker at the table root.)"""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath) and fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
+    if not fs.exists(hpath):
+        return False
+    return any(not s.getPath().getName().startswith(("_", "."))
+               for s in fs.listStatus(hpath))
 
 
 def latest_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
