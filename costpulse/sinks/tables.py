@@ -66,9 +66,10 @@ def _partition_filter(parts: list[tuple], partition_cols: Sequence[str]) -> Colu
 
 def upsert(spark: SparkSession, batch: DataFrame, path: str, key: Sequence[str],
            order: Sequence[str], partition_cols: Sequence[str] = ("dt",),
-           sort_cols: Sequence[str] = ()) -> None:
+           sort_cols: Sequence[str] = (), drop: Sequence[str] = ()) -> None:
     """Keyed upsert: for each key the batch row wins over the stored row, and among batch
-    rows the greatest by ``order`` wins."""
+    rows the greatest by ``order`` wins. ``drop`` names batch-only columns (e.g. arrival
+    metadata used in ``order``) that are not stored."""
     parts = [tuple(r) for r in batch.select(*partition_cols).distinct().limit(
         MAX_TOUCHED_PARTITIONS + 1).collect()]
     if len(parts) > MAX_TOUCHED_PARTITIONS:
@@ -80,10 +81,10 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, key: Sequence[str],
         stored = (spark.read.parquet(path)
                   .where(_partition_filter(parts, partition_cols))
                   .withColumn(SOURCE_RANK, F.lit(0)))
-        combined = stored.unionByName(incoming.select(*stored.columns))
+        combined = stored.unionByName(incoming, allowMissingColumns=True)
     else:
         combined = incoming
-    merged = latest_by_key(combined, key, [SOURCE_RANK, *order]).drop(SOURCE_RANK)
+    merged = latest_by_key(combined, key, [SOURCE_RANK, *order]).drop(SOURCE_RANK, *drop)
     write_partitioned(merged, path, partition_cols, sort_cols)
 
 

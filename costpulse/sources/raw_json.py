@@ -115,14 +115,21 @@ def encode(events: DataFrame) -> DataFrame:
     return events.select(F.col("user_id").alias("key"), encode_column().alias("value"))
 
 
-def encode_anomalies(anomalies: DataFrame) -> DataFrame:
-    """K4: anomaly rows as JSON with ISO-8601 timestamps (metric values as numbers)."""
+def encode_anomalies(anomalies: DataFrame, *extra: str) -> DataFrame:
+    """K4: anomaly rows as JSON with ISO-8601 timestamps (metric values as numbers), keyed
+    by model; ``extra`` columns are passed through unencoded (e.g. a partition column)."""
     body = F.struct(*[
         F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS").alias(c)
         if c in ("detected_at", "window_start", "window_end") else
         (F.col(c).cast("double").alias(c) if c in ("metric_value", "threshold_value") else F.col(c))
-        for c in anomalies.columns])
-    return anomalies.select(F.col("model").alias("key"), F.to_json(body).alias("value"))
+        for c in anomalies.columns if c not in extra])
+    return anomalies.select(F.col("model").alias("key"), F.to_json(body).alias("value"), *extra)
+
+
+def kafka_write(messages: DataFrame, bootstrap: str, topic: str) -> None:
+    """K4 sink for Kafka (key/value columns); needs the Kafka connector on the classpath."""
+    (messages.select("key", "value").write.format("kafka")
+     .option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
 
 
 def landed(decoded_good: DataFrame, *extra: str) -> DataFrame:

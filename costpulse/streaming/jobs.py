@@ -90,33 +90,67 @@ def _to_ntz(df: DataFrame, *cols: str) -> DataFrame:
     return df
 
 
-# ---------------------------------------------------------------------------- landing
+ARRIVAL_COLUMNS = ("source", "arrival_key", "arrival_time")
+
+
+# ---------------------------------------------------------------------------- batch writers
+# What one micro-batch does; also used as-is by the batch backfill (plans.backfill).
+
+def land_batch(spark: SparkSession, raw: DataFrame, batch_id: int, paths: Paths) -> None:
+    """Decode + assess once; upsert accepted rows, append the quarantine (K1, K5, K7)."""
+    land_assessed(spark, quality.assess(raw_json.decode(raw), spark), batch_id, paths)
+
+
+def land_assessed(spark: SparkSession, assessed: DataFrame, batch_id: int, paths: Paths) -> None:
+    def land(df: DataFrame) -> None:
+        good = tables.with_date(quality.good(df), "ts")
+        tables.upsert(spark, good, paths.events, key=["event_id"], order=["arrival_key"],
+                      partition_cols=["dt"], sort_cols=["model", "ts"],
+                      drop=[c for c in ARRIVAL_COLUMNS if c in good.columns])
+
+    def quarantine(df: DataFrame) -> None:
+        bad = quality.quarantined(df).withColumn(
+            "dt", F.coalesce(F.to_date("arrival_time"), F.current_date()))
+        tables.append_batch(bad, batch_id, paths.quarantine, ["dt"])
+
+    tables.write_all(assessed, [land, quarantine])
 
-def landing(spark: SparkSession, raw: DataFrame, paths: Paths, config: StreamConfig,
-            available_now: bool = False) -> StreamingQuery:
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        assessed = quality.assess(raw_json.decode(batch), spark)
 
-        def land(df: DataFrame) -> None:
-            good = tables.with_date(quality.good(df), "ts")
-            tables.upsert(spark, good, paths.events, key=["event_id"], order=["arrival_key"],
-                          partition_cols=["dt"], sort_cols=["model", "ts"])
+def store_rollups(spark: SparkSession, rows: DataFrame, paths: Paths) -> None:
+    """K2: upsert rollup rows on (window_start, model, user_id)."""
+    rows = tables.with_date(_to_ntz(rows, "window_start", "window_end"), "window_start")
+    tables.upsert(spark, rows, paths.rollups, key=list(schemas.ROLLUP_KEY), order=[],
+                  partition_cols=["dt"], sort_cols=["model", "window_start"])
 
-        def quarantine(df: DataFrame) -> None:
-            bad = quality.quarantined(df).withColumn(
-                "dt", F.coalesce(F.to_date("arrival_time"), F.current_date()))
-            tables.append_batch(bad, batch_id, paths.quarantine, ["dt"])
 
-        tables.write_all(assessed, [land, quarantine])
+def store_anomalies(spark: SparkSession, stats: DataFrame, batch_id: int, paths: Paths,
+                    config: StreamConfig, detected_at=None) -> None:
+    """K3-K5: detectors over closed-window statistics; the anomaly table (by detection
+    date and batch) and the JSON copy are written from one persisted result."""
+    stats = _to_ntz(stats, "window_start", "window_end")
+    detected = detected_at if detected_at is not None else an.processing_time_detection()
+    found = an.detect(stats, config.thresholds, detected)
+    if config.baselines is not None:
+        window = dt.timedelta(minutes=config.anomaly_minutes)
+        found = found.unionByName(_baseline_rows(spark, stats, paths, config, window, detected))
+    found = found.withColumn("dt", F.to_date("detected_at"))
+    tables.write_all(found, [
+        lambda df: tables.append_batch(df, batch_id, paths.anomalies, ["dt"]),
+        lambda df: tables.append_batch(raw_json.encode_anomalies(df, "dt"), batch_id,
+                                       paths.anomalies_json, ["dt"]),
+    ])
 
+
+# ---------------------------------------------------------------------------- jobs
+
+def landing(spark: SparkSession, raw: DataFrame, paths: Paths, config: StreamConfig,
+            available_now: bool = False) -> StreamingQuery:
     writer = (raw.writeStream.queryName("landing")
               .option("checkpointLocation", f"{paths.checkpoints}/landing")
-              .foreachBatch(write_batch))
+              .foreachBatch(lambda batch, batch_id: land_batch(spark, batch, batch_id, paths)))
     return _trigger(writer, config.triggers.landing, available_now).start()
 
 
-# ---------------------------------------------------------------------------- rollups
-
 def rollup_stream(spark: SparkSession, raw: DataFrame, config: StreamConfig) -> DataFrame:
     events = accepted(spark, raw).withWatermark("ts", config.watermark)
     return rollups.cost_rollups(events, config.rollup_minutes, config.percentile)
@@ -124,20 +158,13 @@ def rollup_stream(spark: SparkSession, raw: DataFrame, config: StreamConfig) ->
 
 def rollup_job(spark: SparkSession, raw: DataFrame, paths: Paths, config: StreamConfig,
                available_now: bool = False) -> StreamingQuery:
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = tables.with_date(_to_ntz(batch, "window_start", "window_end"), "window_start")
-        tables.upsert(spark, rows, paths.rollups, key=list(schemas.ROLLUP_KEY), order=[],
-                      partition_cols=["dt"], sort_cols=["model", "window_start"])
-
     writer = (rollup_stream(spark, raw, config).writeStream.queryName("rollups")
               .outputMode("append")
               .option("checkpointLocation", f"{paths.checkpoints}/rollups")
-              .foreachBatch(write_batch))
+              .foreachBatch(lambda batch, batch_id: store_rollups(spark, batch, paths)))
     return _trigger(writer, config.triggers.rollups, available_now).start()
 
 
-# ---------------------------------------------------------------------------- anomalies
-
 def stats_stream(spark: SparkSession, raw: DataFrame, config: StreamConfig) -> DataFrame:
     events = accepted(spark, raw).withWatermark("ts", config.watermark)
     return an.window_stats(events, config.anomaly_minutes,
@@ -147,29 +174,16 @@ def stats_stream(spark: SparkSession, raw: DataFrame, config: StreamConfig) -> D
 def anomaly_job(spark: SparkSession, raw: DataFrame, paths: Paths, config: StreamConfig,
                 available_now: bool = False) -> StreamingQuery:
     """One aggregate (one state store) feeding the detectors; both sinks in one batch."""
-    window = dt.timedelta(minutes=config.anomaly_minutes)
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        stats = _to_ntz(batch, "window_start", "window_end")
-        found = an.detect(stats, config.thresholds, an.processing_time_detection())
-        if config.baselines is not None:
-            found = found.unionByName(_baseline_rows(spark, stats, batch_id, paths, config,
-                                                     window))
-        tables.write_all(found, [
-            lambda df: tables.append_batch(df, batch_id, paths.anomalies),
-            lambda df: tables.append_batch(raw_json.encode_anomalies(df), batch_id,
-                                           paths.anomalies_json),
-        ])
-
     writer = (stats_stream(spark, raw, config).writeStream.queryName("anomalies")
               .outputMode("append")
               .option("checkpointLocation", f"{paths.checkpoints}/anomalies")
-              .foreachBatch(write_batch))
+              .foreachBatch(lambda batch, batch_id: store_anomalies(spark, batch, batch_id,
+                                                                    paths, config)))
     return _trigger(writer, config.triggers.anomalies, available_now).start()
 
 
-def _baseline_rows(spark: SparkSession, stats: DataFrame, batch_id: int, paths: Paths,
-                   config: StreamConfig, window: dt.timedelta) -> DataFrame:
+def _baseline_rows(spark: SparkSession, stats: DataFrame, paths: Paths, config: StreamConfig,
+                   window: dt.timedelta, detected) -> DataFrame:
     """N2-N4 for the windows closed in this batch, against the stored statistics history.
 
     Only ``lookback`` windows of history before the batch's earliest window are read; the
@@ -190,7 +204,6 @@ def _baseline_rows(spark: SparkSession, stats: DataFrame, batch_id: int, paths:
         hist = stored.unionByName(stats)
         hist = tables.latest_by_key(hist, ["window_start", "model"], [])
     new_keys = stats.select("window_start", "model")
-    detected = an.processing_time_detection()
     rows = (baselines.latency_baseline(hist, cfg, detected)
             .unionByName(baselines.cost_baseline(hist, cfg, detected))
             .unionByName(baselines.zscore_anomalies(baselines.zscores(hist, cfg), cfg, detected))
