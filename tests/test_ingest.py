@@ -144,3 +144,13 @@ def test_decode_parses_json_once(spark):
     a = _assess(spark, [json.dumps(GOOD)])
     plan = quality.good(a)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_jdbc_upsert_statement():
+    from costpulse.sinks import jdbc
+
+    sql = jdbc.upsert_sql("llm_events", "llm_events_staging", ["event_id", "ts", "model"],
+                          ["event_id"])
+    assert sql == ("INSERT INTO llm_events (event_id, ts, model) SELECT event_id, ts, model "
+                   "FROM llm_events_staging ON CONFLICT (event_id) DO UPDATE SET "
+                   "ts = EXCLUDED.ts, model = EXCLUDED.model")
