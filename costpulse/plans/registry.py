@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from costpulse.operators import baselines, quality, reports, rollups
 from costpulse.plans import oracle
-from costpulse.session import scratch_path
+from costpulse.session import prepare, scratch_path
 from costpulse.sinks import tables
 from costpulse.sources import fixtures, raw_json, replay
 from costpulse.streaming import jobs
@@ -42,7 +42,13 @@ def register(name: str, sql: str | None, operators: str):
     def deco(fn: Plan) -> Plan:
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = Query(name, fn, sql, operators)
+
+        def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(prepare(spark), sf_dir)
+
+        plan.__name__ = plan.__qualname__ = name
+        plan.__doc__ = fn.__doc__
+        REGISTRY[name] = Query(name, plan, sql, operators)
         return fn
     return deco
 

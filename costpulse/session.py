@@ -61,3 +61,12 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, "costpulse", *parts, uuid.uuid4().hex])
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings a costpulse plan relies on in any session: event time is a UTC wall clock
+    (parsing, truncation and windows assume a UTC session), and a checkpoint folder."""
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_checkpoint_dir(spark)
+    return spark

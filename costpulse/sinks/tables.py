@@ -42,15 +42,15 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def latest_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """One row per key: the greatest by ``order`` (ties: greatest full row).
+    """One row per key: the greatest by ``order`` (ties: greatest 64-bit row hash, so the
+    choice does not depend on arrival order inside Spark).
 
     An aggregate, not a window: partial aggregation keeps one candidate per key per input
     partition, so a key with millions of duplicates never lands whole in one task.
     """
-    cols = [c for c in df.columns]
+    cols = [F.col(c) for c in df.columns]
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    best = F.max_by(F.struct(*[F.col(c) for c in cols]),
-                    F.struct(*order_cols, F.struct(*[F.col(c) for c in cols])))
+    best = F.max_by(F.struct(*cols), F.struct(*order_cols, F.xxhash64(*cols)))
     return df.groupBy(*key).agg(best.alias("_row")).select("_row.*")
 
 
