@@ -25,7 +25,7 @@ def run(spark: SparkSession, raw: DataFrame, paths: jobs.Paths,
     """
     config = config or jobs.StreamConfig()
     assessed = quality.assess(raw_json.decode(raw), spark).checkpoint(eager=True)
-    jobs.land_assessed(spark, assessed, batch_id, paths)
+    jobs.land_assessed(spark, assessed, batch_id, paths, config.landing_mode)
     accepted = quality.good(assessed)
     jobs.store_rollups(spark, rollups.cost_rollups(accepted, config.rollup_minutes,
                                                    config.percentile), paths)

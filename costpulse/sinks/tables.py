@@ -18,6 +18,7 @@ old row in the old date partition (``latest_by_key`` resolves that at read time)
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
@@ -104,10 +105,10 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
 
 
 def append_batch(df: DataFrame, batch_id: int, path: str,
-                 partition_cols: Sequence[str] = ()) -> None:
+                 partition_cols: Sequence[str] = (), sort_cols: Sequence[str] = ()) -> None:
     """K3: append-only table, idempotent per micro-batch (replay overwrites the batch)."""
     write_partitioned(df.withColumn("batch_id", F.lit(int(batch_id))), path,
-                      [*partition_cols, "batch_id"])
+                      [*partition_cols, "batch_id"], sort_cols)
 
 
 def write_all(df: DataFrame, writers: Sequence[Callable[[DataFrame], None]]) -> None:
@@ -120,5 +121,37 @@ def write_all(df: DataFrame, writers: Sequence[Callable[[DataFrame], None]]) ->
         df.unpersist()
 
 
+def compact(spark: SparkSession, path: str, dates: Sequence, key: Sequence[str],
+            order: Sequence[str], partition_col: str = "dt") -> None:
+    """Rewrite the given date partitions of an append-only (merge-on-read) table with one
+    row per key, keeping each surviving row in its original ``batch_id`` partition.
+
+    The deduplicated rows are materialised with a reliable ``checkpoint()`` first (the job
+    replaces the very files it reads), written to a hidden staging folder in one job, then
+    each date directory is swapped in by rename.
+    """
+    dates = list(dates)
+    if not dates or not table_exists(spark, path):
+        return
+    rows = spark.read.parquet(path).where(F.col(partition_col).isin(dates))
+    latest = latest_by_key(rows, key, order).checkpoint(eager=True)
+    staging = f"{path.rstrip('/')}/_compact_{uuid.uuid4().hex}"
+    write_partitioned(latest, staging, [partition_col, "batch_id"])
+    jvm = spark.sparkContext._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for d in dates:
+        name = f"{partition_col}={d}"
+        target, fresh = Path(f"{path.rstrip('/')}/{name}"), Path(f"{staging}/{name}")
+        if not fs.exists(fresh):
+            continue
+        old = Path(f"{staging}/_old_{name}")
+        if fs.exists(target):
+            fs.rename(target, old)
+        fs.rename(fresh, target)
+        fs.delete(old, True)
+    fs.delete(Path(staging), True)
+
+
 def with_date(df: DataFrame, time_col: str, name: str = "dt") -> DataFrame:
     return df.withColumn(name, F.to_date(F.col(time_col)))

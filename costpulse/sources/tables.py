@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costpulse.functions import timefn
+from costpulse.sinks.tables import latest_by_key
 
 TIME_COLUMN = {"events": "ts", "rollups": "window_start", "anomalies": "detected_at"}
 
@@ -27,9 +28,23 @@ def read_ranged(spark: SparkSession, path: str, time_col: str,
     return df
 
 
-def events(spark: SparkSession, path: str, since: dt.datetime | None = None) -> DataFrame:
-    """Landed events (partition and batch columns dropped)."""
-    return read_ranged(spark, path, "ts", since).drop("dt")
+MERGE_COLUMNS = ("batch_id", "arrival_key")
+
+
+def events(spark: SparkSession, path: str, since: dt.datetime | None = None,
+           latest: bool = True) -> DataFrame:
+    """Landed events in the ``llm_events`` shape.
+
+    A merge-on-read table (it has ``batch_id``) holds every delivery; ``latest`` keeps the
+    newest per event_id (the last batch, then the last arrival) with one aggregate over the
+    range read. An upserted table is already one row per event_id.
+    """
+    df = read_ranged(spark, path, "ts", since).drop("dt")
+    if "batch_id" in df.columns:
+        if latest:
+            df = latest_by_key(df, ["event_id"], list(MERGE_COLUMNS))
+        df = df.drop(*MERGE_COLUMNS)
+    return df
 
 
 def rollups(spark: SparkSession, path: str, since: dt.datetime | None = None) -> DataFrame:

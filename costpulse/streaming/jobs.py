@@ -62,6 +62,11 @@ class Paths:
 
 @dataclass
 class StreamConfig:
+    # "append": merge-on-read landing (per-batch idempotent append; readers keep the latest
+    # row per event_id; ``compact_events`` rewrites closed dates). Cost per micro-batch is
+    # the batch itself, whatever the table size. "upsert": copy-on-write of the touched date
+    # partitions; exact table at rest, cost grows with the size of a date partition.
+    landing_mode: str = "append"
     rollup_minutes: int = 60
     anomaly_minutes: int = 5
     watermark: str = schemas.WATERMARK_DELAY
@@ -96,17 +101,28 @@ ARRIVAL_COLUMNS = ("source", "arrival_key", "arrival_time")
 # ---------------------------------------------------------------------------- batch writers
 # What one micro-batch does; also used as-is by the batch backfill (plans.backfill).
 
-def land_batch(spark: SparkSession, raw: DataFrame, batch_id: int, paths: Paths) -> None:
-    """Decode + assess once; upsert accepted rows, append the quarantine (K1, K5, K7)."""
-    land_assessed(spark, quality.assess(raw_json.decode(raw), spark), batch_id, paths)
+def land_batch(spark: SparkSession, raw: DataFrame, batch_id: int, paths: Paths,
+               mode: str = "append") -> None:
+    """Decode + assess once; land accepted rows, append the quarantine (K1, K5, K7)."""
+    land_assessed(spark, quality.assess(raw_json.decode(raw), spark), batch_id, paths, mode)
 
 
-def land_assessed(spark: SparkSession, assessed: DataFrame, batch_id: int, paths: Paths) -> None:
+def land_assessed(spark: SparkSession, assessed: DataFrame, batch_id: int, paths: Paths,
+                  mode: str = "append") -> None:
+    if mode not in ("append", "upsert"):
+        raise ValueError(f"landing mode {mode!r}")
+
     def land(df: DataFrame) -> None:
         good = tables.with_date(quality.good(df), "ts")
-        tables.upsert(spark, good, paths.events, key=["event_id"], order=["arrival_key"],
-                      partition_cols=["dt"], sort_cols=["model", "ts"],
-                      drop=[c for c in ARRIVAL_COLUMNS if c in good.columns])
+        if mode == "append":
+            keep = good.drop(*[c for c in ("source", "arrival_time") if c in good.columns])
+            if "arrival_key" not in keep.columns:
+                keep = keep.withColumn("arrival_key", F.lit(None).cast("string"))
+            tables.append_batch(keep, batch_id, paths.events, ["dt"], sort_cols=["model", "ts"])
+        else:
+            tables.upsert(spark, good, paths.events, key=["event_id"], order=["arrival_key"],
+                          partition_cols=["dt"], sort_cols=["model", "ts"],
+                          drop=[c for c in ARRIVAL_COLUMNS if c in good.columns])
 
     def quarantine(df: DataFrame) -> None:
         bad = quality.quarantined(df).withColumn(
@@ -147,7 +163,8 @@ def landing(spark: SparkSession, raw: DataFrame, paths: Paths, config: StreamCon
             available_now: bool = False) -> StreamingQuery:
     writer = (raw.writeStream.queryName("landing")
               .option("checkpointLocation", f"{paths.checkpoints}/landing")
-              .foreachBatch(lambda batch, batch_id: land_batch(spark, batch, batch_id, paths)))
+              .foreachBatch(lambda batch, batch_id: land_batch(spark, batch, batch_id, paths,
+                                                               config.landing_mode)))
     return _trigger(writer, config.triggers.landing, available_now).start()
 
 
@@ -217,6 +234,11 @@ def _baseline_rows(spark: SparkSession, stats: DataFrame, paths: Paths, config:
     return rows
 
 
+def compact_events(spark: SparkSession, paths: Paths, dates) -> None:
+    """Maintenance for merge-on-read landing: one row per event_id in closed dates."""
+    tables.compact(spark, paths.events, dates, ["event_id"], ["batch_id", "arrival_key"])
+
+
 # ---------------------------------------------------------------------------- dedup
 
 def dedup_stream(spark: SparkSession, raw: DataFrame, config: StreamConfig) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 
 from costpulse.plans import backfill, dashboard, registry
 from costpulse.plans.compare import multiset
-from costpulse.sources import fixtures, raw_json, replay
+from costpulse.sources import fixtures, raw_json, replay, tables
 from costpulse.streaming import jobs
 from tests.conftest import SF_SMALL
 
@@ -29,7 +29,7 @@ def _same(a, b):
 
 
 def test_backfill_lands_every_event(spark, stored):
-    landed = spark.read.parquet(stored.events).drop("dt")
+    landed = tables.events(spark, stored.events)
     assert _same(landed, fixtures.llm_events(spark, SF_SMALL))
 
 

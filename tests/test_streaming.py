@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
+from costpulse import schemas
+
 from costpulse.operators import baselines
-from costpulse.sources import raw_json
+from costpulse.sources import raw_json, tables
 from costpulse.streaming import jobs
 
 BASE = {
@@ -58,9 +62,10 @@ def test_late_row_is_dropped_and_counted(spark, tmp_dir):
     assert hours == [10, 12]
 
 
-def test_landing_upsert_restart_and_quarantine(spark, tmp_dir):
+@pytest.mark.parametrize("mode", ["append", "upsert"])
+def test_landing_upsert_restart_and_quarantine(spark, tmp_dir, mode):
     src, paths = f"{tmp_dir}/src", jobs.Paths.under(tmp_dir)
-    config = jobs.StreamConfig()
+    config = jobs.StreamConfig(landing_mode=mode)
     _write(src, "a.json", [_event(1, "2024-01-05T10:00:00.000000+00:00"),
                            _event(2, "2024-01-05T10:01:00.000000+00:00"),
                            "not json", _event(9, "yesterday")])
@@ -70,13 +75,21 @@ def test_landing_upsert_restart_and_quarantine(spark, tmp_dir):
     _write(src, "b.json", [_event(2, "2024-01-05T10:01:00.000000+00:00", latency_ms=950),
                            _event(3, "2024-01-06T09:00:00.000000+00:00", status=None)])
     _run(jobs.landing(spark, raw_json.json_lines_stream(spark, src), paths, config, True))
-    events = {r["event_id"][-1]: r for r in spark.read.parquet(paths.events).collect()}
+    events = {r["event_id"][-1]: r for r in tables.events(spark, paths.events).collect()}
     assert sorted(events) == ["1", "2"]          # status NULL is quarantined (NOT NULL)
     assert events["2"]["latency_ms"] == 950
     bad = spark.read.parquet(paths.quarantine)
     reasons = sorted(r for row in bad.collect() for r in row["reasons"])
     assert reasons == ["bad_timestamp", "missing:status", "unparsable"]
     assert sorted(r["batch_id"] for r in bad.select("batch_id").distinct().collect()) == [0, 1]
+    assert tables.events(spark, paths.events).columns == list(schemas.LLM_EVENTS.fieldNames())
+    if mode == "append":
+        assert spark.read.parquet(paths.events).count() == 3      # both deliveries of 2
+        jobs.compact_events(spark, paths, [dt.date(2024, 1, 5), dt.date(2024, 1, 6)])
+        stored = spark.read.parquet(paths.events)
+        assert stored.count() == 2
+        assert {(r["event_id"][-1], r["batch_id"]) for r in stored.collect()} == \
+            {("1", 0), ("2", 1)}
 
 
 def test_anomaly_job_writes_table_and_json(spark, tmp_dir):
@@ -115,7 +128,7 @@ def test_start_all_runs_three_independent_queries(spark, tmp_dir):
                              available_now=True)
     for q in queries:
         _run(q)
-    assert spark.read.parquet(paths.events).count() == 4
+    assert tables.events(spark, paths.events).count() == 4
     # Watermark 12:59:50: the 10:00 and 11:00 windows are closed, 12:00 and 13:00 are open.
     assert spark.read.parquet(paths.rollups).where(F.col("total_requests") == 1).count() == 2
     assert {q.name for q in queries} == {"landing", "rollups", "anomalies"}
