@@ -28,7 +28,8 @@ def run(spark: SparkSession, raw: DataFrame, paths: jobs.Paths,
     jobs.land_assessed(spark, assessed, batch_id, paths, config.landing_mode)
     accepted = quality.good(assessed)
     jobs.store_rollups(spark, rollups.cost_rollups(accepted, config.rollup_minutes,
-                                                   config.percentile), paths)
+                                                   config.percentile), paths, batch_id,
+                       config.rollup_mode)
     stats = an.window_stats(accepted, config.anomaly_minutes,
                             with_p95=config.baselines is not None, percentile=config.percentile)
     jobs.store_anomalies(spark, stats, batch_id, paths, config,

@@ -22,6 +22,7 @@ from costpulse.plans import oracle
 from costpulse.session import prepare, scratch_path
 from costpulse.sinks import tables
 from costpulse.sources import fixtures, raw_json, replay
+from costpulse.sources import tables as source_tables
 from costpulse.streaming import jobs
 
 Plan = Callable[[SparkSession, str], DataFrame]
@@ -382,7 +383,7 @@ def stream_rollup_closed(spark, sf_dir):
     source, paths = _stream_source(spark, sf_dir)
     _await(jobs.rollup_job(spark, raw_json.json_lines_stream(spark, source), paths,
                            jobs.StreamConfig(), available_now=True))
-    return spark.read.parquet(paths.rollups).drop("dt")
+    return source_tables.rollups(spark, paths.rollups)
 
 
 _ANOMALY_COLS = ("anomaly_type", "model", "user_id", "metric_value", "threshold_value",

@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from costpulse import schemas
 from costpulse.functions import timefn
 from costpulse.sinks.tables import latest_by_key
 
@@ -47,9 +48,15 @@ def events(spark: SparkSession, path: str, since: dt.datetime | None = None,
     return df
 
 
-def rollups(spark: SparkSession, path: str, since: dt.datetime | None = None) -> DataFrame:
-    """Stored rollups."""
-    return read_ranged(spark, path, "window_start", since).drop("dt")
+def rollups(spark: SparkSession, path: str, since: dt.datetime | None = None,
+            latest: bool = True) -> DataFrame:
+    """Stored rollups; for an appended table the last batch per key (see ``events``)."""
+    df = read_ranged(spark, path, "window_start", since).drop("dt")
+    if "batch_id" in df.columns:
+        if latest:
+            df = latest_by_key(df, list(schemas.ROLLUP_KEY), ["batch_id"])
+        df = df.drop("batch_id")
+    return df
 
 
 def anomalies(spark: SparkSession, path: str, since: dt.datetime | None = None) -> DataFrame:

@@ -67,6 +67,10 @@ class StreamConfig:
     # the batch itself, whatever the table size. "upsert": copy-on-write of the touched date
     # partitions; exact table at rest, cost grows with the size of a date partition.
     landing_mode: str = "append"
+    # Same choice for rollups (key window_start, model, user_id). Append mode never deletes
+    # stored files, so a crash at any point leaves the table readable and a replay of the
+    # micro-batch rewrites only that batch's own partition.
+    rollup_mode: str = "append"
     rollup_minutes: int = 60
     anomaly_minutes: int = 5
     watermark: str = schemas.WATERMARK_DELAY
@@ -132,11 +136,19 @@ def land_assessed(spark: SparkSession, assessed: DataFrame, batch_id: int, paths
     tables.write_all(assessed, [land, quarantine])
 
 
-def store_rollups(spark: SparkSession, rows: DataFrame, paths: Paths) -> None:
-    """K2: upsert rollup rows on (window_start, model, user_id)."""
+def store_rollups(spark: SparkSession, rows: DataFrame, paths: Paths, batch_id: int = 0,
+                  mode: str = "append") -> None:
+    """K2: rollup rows keyed on (window_start, model, user_id): appended per batch (readers
+    keep the last batch per key) or upserted in place."""
     rows = tables.with_date(_to_ntz(rows, "window_start", "window_end"), "window_start")
-    tables.upsert(spark, rows, paths.rollups, key=list(schemas.ROLLUP_KEY), order=[],
-                  partition_cols=["dt"], sort_cols=["model", "window_start"])
+    if mode == "append":
+        tables.append_batch(rows, batch_id, paths.rollups, ["dt"],
+                            sort_cols=["model", "window_start"])
+    elif mode == "upsert":
+        tables.upsert(spark, rows, paths.rollups, key=list(schemas.ROLLUP_KEY), order=[],
+                      partition_cols=["dt"], sort_cols=["model", "window_start"])
+    else:
+        raise ValueError(f"rollup mode {mode!r}")
 
 
 def store_anomalies(spark: SparkSession, stats: DataFrame, batch_id: int, paths: Paths,
@@ -178,7 +190,8 @@ def rollup_job(spark: SparkSession, raw: DataFrame, paths: Paths, config: Stream
     writer = (rollup_stream(spark, raw, config).writeStream.queryName("rollups")
               .outputMode("append")
               .option("checkpointLocation", f"{paths.checkpoints}/rollups")
-              .foreachBatch(lambda batch, batch_id: store_rollups(spark, batch, paths)))
+              .foreachBatch(lambda batch, batch_id: store_rollups(spark, batch, paths, batch_id,
+                                                                  config.rollup_mode)))
     return _trigger(writer, config.triggers.rollups, available_now).start()
 
 
@@ -239,6 +252,11 @@ def compact_events(spark: SparkSession, paths: Paths, dates) -> None:
     tables.compact(spark, paths.events, dates, ["event_id"], ["batch_id", "arrival_key"])
 
 
+def compact_rollups(spark: SparkSession, paths: Paths, dates) -> None:
+    """Maintenance for appended rollups: one row per rollup key in closed dates."""
+    tables.compact(spark, paths.rollups, dates, list(schemas.ROLLUP_KEY), ["batch_id"])
+
+
 # ---------------------------------------------------------------------------- dedup
 
 def dedup_stream(spark: SparkSession, raw: DataFrame, config: StreamConfig) -> DataFrame:

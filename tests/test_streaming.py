@@ -56,7 +56,7 @@ def test_late_row_is_dropped_and_counted(spark, tmp_dir):
     q = _run(jobs.rollup_job(spark, raw_json.json_lines_stream(spark, src, 1), paths, config,
                              available_now=True))
     assert jobs.dropped_late_rows(q) == 1
-    hours = sorted(r["window_start"].hour for r in spark.read.parquet(paths.rollups).collect())
+    hours = sorted(r["window_start"].hour for r in tables.rollups(spark, paths.rollups).collect())
     # 10:00 and 12:00 are closed by the watermark of 14:00 - 10 s; 14:00 is still open;
     # the 00:30 row is late and never aggregated.
     assert hours == [10, 12]
@@ -130,5 +130,7 @@ def test_start_all_runs_three_independent_queries(spark, tmp_dir):
         _run(q)
     assert tables.events(spark, paths.events).count() == 4
     # Watermark 12:59:50: the 10:00 and 11:00 windows are closed, 12:00 and 13:00 are open.
-    assert spark.read.parquet(paths.rollups).where(F.col("total_requests") == 1).count() == 2
+    assert tables.rollups(spark, paths.rollups).where(F.col("total_requests") == 1).count() == 2
+    jobs.compact_rollups(spark, paths, [dt.date(2024, 1, 5)])
+    assert spark.read.parquet(paths.rollups).count() == 2
     assert {q.name for q in queries} == {"landing", "rollups", "anomalies"}
