@@ -76,6 +76,14 @@ for _m, _suffix in ((60, "60m"), (1440, "1d")):
              "A1 A3-A6 T2 N1 P3 P4")(_rollup(_m))
 
 
+@register("provider_conflicts", oracle.with_events(
+    """SELECT model, count(DISTINCT provider) AS providers FROM llm_events
+GROUP BY model HAVING count(DISTINCT provider) > 1"""), "Q8")
+def provider_conflicts(spark, sf_dir):
+    """Models seen with more than one provider (none in a consistent catalogue)."""
+    return rollups.provider_conflicts(fixtures.llm_events(spark, sf_dir))
+
+
 # ---------------------------------------------------------------------------- window stats
 
 def _stats(minutes):
