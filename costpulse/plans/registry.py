@@ -378,6 +378,12 @@ def _stream_source(spark, sf_dir) -> tuple[str, jobs.Paths]:
     return source, jobs.Paths.under(base)
 
 
+def _replay_config(spark, **kw) -> jobs.StreamConfig:
+    """State partitions sized to the replayed input (one fixture file set), not to the
+    session default meant for large shuffles."""
+    return jobs.StreamConfig(state_partitions=spark.sparkContext.defaultParallelism, **kw)
+
+
 def _await(query):
     query.awaitTermination()
     if query.exception() is not None:
@@ -390,7 +396,7 @@ def _await(query):
 def stream_rollup_closed(spark, sf_dir):
     source, paths = _stream_source(spark, sf_dir)
     _await(jobs.rollup_job(spark, raw_json.json_lines_stream(spark, source), paths,
-                           jobs.StreamConfig(), available_now=True))
+                           _replay_config(spark), available_now=True))
     return source_tables.rollups(spark, paths.rollups)
 
 
@@ -403,7 +409,7 @@ _ANOMALY_COLS = ("anomaly_type", "model", "user_id", "metric_value", "threshold_
     _WATERMARK_SQL, oracle.anomalies_cte(60)), "T1 T3 T4 T6 U1 K3 K4 K5")
 def stream_anomalies_closed(spark, sf_dir):
     source, paths = _stream_source(spark, sf_dir)
-    config = jobs.StreamConfig(anomaly_minutes=60)
+    config = _replay_config(spark, anomaly_minutes=60)
     _await(jobs.anomaly_job(spark, raw_json.json_lines_stream(spark, source), paths, config,
                             available_now=True))
     return spark.read.parquet(paths.anomalies).select(*_ANOMALY_COLS)
@@ -416,12 +422,8 @@ def stream_dedup(spark, sf_dir):
     source, paths = _stream_source(spark, sf_dir)
     replay.messages(fixtures.llm_events(spark, sf_dir)).write.mode("append").text(source)
     out = f"{paths.events}_dedup"
-    q = (jobs.dedup_stream(spark, raw_json.json_lines_stream(spark, source), jobs.StreamConfig())
-         .drop("source", "arrival_key", "arrival_time")
-         .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-         .writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", f"{paths.checkpoints}/dedup")
-         .trigger(availableNow=True).start())
+    q = jobs.dedup_job(spark, raw_json.json_lines_stream(spark, source), out, paths,
+                       _replay_config(spark), available_now=True)
     _await(q)
     return spark.read.parquet(out)
 

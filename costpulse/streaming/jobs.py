@@ -78,12 +78,27 @@ class StreamConfig:
     baselines: baselines.BaselineConfig | None = None
     percentile: str = "exact"
     triggers: Triggers = field(default_factory=Triggers)
+    # Shuffle partitions of the stateful aggregates (= state store partitions). Fixed by
+    # the checkpoint for the life of a query, so it is chosen here, at first start, from the
+    # expected state size (None: the session's spark.sql.shuffle.partitions).
+    state_partitions: int | None = None
 
 
-def _trigger(writer, every: str | None, available_now: bool):
+def _start(spark: SparkSession, writer, every: str | None, available_now: bool,
+           config: StreamConfig) -> StreamingQuery:
     if available_now:
-        return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=every) if every else writer
+        writer = writer.trigger(availableNow=True)
+    elif every:
+        writer = writer.trigger(processingTime=every)
+    if config.state_partitions is None:
+        return writer.start()
+    # The query clones the session configuration when it starts; restore ours afterwards.
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(int(config.state_partitions)))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
 
 
 def accepted(spark: SparkSession, raw: DataFrame) -> DataFrame:
@@ -177,7 +192,7 @@ def landing(spark: SparkSession, raw: DataFrame, paths: Paths, config: StreamCon
               .option("checkpointLocation", f"{paths.checkpoints}/landing")
               .foreachBatch(lambda batch, batch_id: land_batch(spark, batch, batch_id, paths,
                                                                config.landing_mode)))
-    return _trigger(writer, config.triggers.landing, available_now).start()
+    return _start(spark, writer, config.triggers.landing, available_now, config)
 
 
 def rollup_stream(spark: SparkSession, raw: DataFrame, config: StreamConfig) -> DataFrame:
@@ -192,7 +207,7 @@ def rollup_job(spark: SparkSession, raw: DataFrame, paths: Paths, config: Stream
               .option("checkpointLocation", f"{paths.checkpoints}/rollups")
               .foreachBatch(lambda batch, batch_id: store_rollups(spark, batch, paths, batch_id,
                                                                   config.rollup_mode)))
-    return _trigger(writer, config.triggers.rollups, available_now).start()
+    return _start(spark, writer, config.triggers.rollups, available_now, config)
 
 
 def stats_stream(spark: SparkSession, raw: DataFrame, config: StreamConfig) -> DataFrame:
@@ -209,7 +224,7 @@ def anomaly_job(spark: SparkSession, raw: DataFrame, paths: Paths, config: Strea
               .option("checkpointLocation", f"{paths.checkpoints}/anomalies")
               .foreachBatch(lambda batch, batch_id: store_anomalies(spark, batch, batch_id,
                                                                     paths, config)))
-    return _trigger(writer, config.triggers.anomalies, available_now).start()
+    return _start(spark, writer, config.triggers.anomalies, available_now, config)
 
 
 def _baseline_rows(spark: SparkSession, stats: DataFrame, paths: Paths, config: StreamConfig,
@@ -266,6 +281,17 @@ def dedup_stream(spark: SparkSession, raw: DataFrame, config: StreamConfig) -> D
             .dropDuplicatesWithinWatermark(["event_id"]))
 
 
+def dedup_job(spark: SparkSession, raw: DataFrame, out: str, paths: Paths,
+              config: StreamConfig, available_now: bool = False) -> StreamingQuery:
+    """T8 as a job: first delivery of each event_id, appended to a Parquet folder."""
+    rows = (dedup_stream(spark, raw, config)
+            .drop(*ARRIVAL_COLUMNS)
+            .withColumn("ts", F.col("ts").cast("timestamp_ntz")))
+    writer = (rows.writeStream.queryName("dedup").format("parquet").option("path", out)
+              .option("checkpointLocation", f"{paths.checkpoints}/dedup"))
+    return _start(spark, writer, config.triggers.landing, available_now, config)
+
+
 # ---------------------------------------------------------------------------- wiring
 
 def start_all(spark: SparkSession, source: Callable[[], DataFrame], paths: Paths,
