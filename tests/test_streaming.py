@@ -134,3 +134,29 @@ def test_start_all_runs_three_independent_queries(spark, tmp_dir):
     jobs.compact_rollups(spark, paths, [dt.date(2024, 1, 5)])
     assert spark.read.parquet(paths.rollups).count() == 2
     assert {q.name for q in queries} == {"landing", "rollups", "anomalies"}
+
+
+def test_replay_after_failure_leaves_no_duplicates(spark, tmp_dir):
+    """Batch 0 writes, then fails before the stream commits it; the restarted query replays
+    batch 0 from the checkpoint and overwrites exactly its own partition."""
+    src, paths = f"{tmp_dir}/src", jobs.Paths.under(tmp_dir)
+    _write(src, "a.json", [_event(i, f"2024-01-05T10:0{i}:00.000000+00:00") for i in range(5)])
+
+    def write_then_fail(batch, batch_id):
+        jobs.land_batch(spark, batch, batch_id, paths)
+        raise RuntimeError("driver lost after the write")
+
+    q = (raw_json.json_lines_stream(spark, src).writeStream
+         .option("checkpointLocation", f"{paths.checkpoints}/landing")
+         .foreachBatch(write_then_fail).trigger(availableNow=True).start())
+    try:
+        q.awaitTermination()
+    except Exception:
+        pass
+    assert q.exception() is not None
+    assert spark.read.parquet(paths.events).count() == 5
+    _run(jobs.landing(spark, raw_json.json_lines_stream(spark, src), paths,
+                      jobs.StreamConfig(), available_now=True))
+    stored = spark.read.parquet(paths.events)
+    assert stored.count() == 5                       # raw storage, before any dedup
+    assert {r["batch_id"] for r in stored.select("batch_id").collect()} == {0}
