@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from costpulse.functions import timefn
@@ -42,3 +43,36 @@ def panels(spark: SparkSession, paths: Paths, range_: str = timefn.DEFAULT_RANGE
         "recent_anomalies": reports.recent_anomalies(anomalies, as_of, range_),
         "live_feed": reports.live_feed(events, as_of, range_),
     }
+
+
+def refresh(spark: SparkSession, paths: Paths, range_: str = timefn.DEFAULT_RANGE,
+            as_of: dt.datetime | None = None) -> dict:
+    """One dashboard refresh: every panel as a pandas frame (Arrow transfer).
+
+    The ranged, de-duplicated events are read once and kept for the refresh, and the
+    per-minute aggregate is computed once for its five panels. Panel sizes are bounded by
+    the range (minutes x models) or by the top-k, never by the table size.
+    """
+    as_of = as_of or utc_now()
+    start = timefn.range_start(as_of, range_)
+    events = tables.events(spark, paths.events, since=start).persist(StorageLevel.MEMORY_AND_DISK)
+    minute = reports.minute_model_stats(events, as_of, range_).persist()
+    try:
+        rollups = tables.rollups(spark, paths.rollups, since=start)
+        anomalies = tables.anomalies(spark, paths.anomalies, since=start)
+        frames = {
+            "kpis": reports.kpis(events, as_of, range_),
+            "active_anomalies": reports.active_anomalies(anomalies, as_of, range_),
+            "event_rate": reports.event_rate(minute),
+            "error_rate": reports.error_rate(minute),
+            "latency_by_minute": reports.latency_by_minute(minute),
+            "tokens_by_minute": reports.tokens_by_minute(minute),
+            "cost_by_minute": reports.cost_by_minute(minute),
+            "cost_by_model": reports.cost_by_model(rollups, as_of, range_),
+            "recent_anomalies": reports.recent_anomalies(anomalies, as_of, range_),
+            "live_feed": reports.live_feed(events, as_of, range_),
+        }
+        return {name: df.toPandas() for name, df in frames.items()}
+    finally:
+        minute.unpersist()
+        events.unpersist()

@@ -58,3 +58,12 @@ def test_range_prunes_partitions_and_pushes_time(spark, stored):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in plan and "(dt#" in plan
     assert "GreaterThanOrEqual(ts," in plan
+
+
+def test_refresh_returns_every_panel(spark, stored):
+    as_of = fixtures.max_event_time(spark, SF_SMALL)
+    frames = dashboard.refresh(spark, stored, "24 hours", as_of)
+    assert set(frames) >= {"kpis", "event_rate", "live_feed", "cost_by_model"}
+    assert len(frames["live_feed"]) == registry.REGISTRY["live_feed"].plan(spark, SF_SMALL).count()
+    assert int(frames["kpis"]["total_requests"][0]) == \
+        registry.REGISTRY["kpi_requests"].plan(spark, SF_SMALL).first()["cnt"]
