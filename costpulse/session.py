@@ -45,11 +45,16 @@ def get_spark(app_name: str = "costpulse", master: str | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return ``spark.checkpoint.dir``; set a local one only when the session has none."""
+    """Return ``spark.checkpoint.dir``. Only a local-mode session without one (tests, a
+    laptop) gets a temporary folder; on a cluster a driver-local folder would be invisible
+    to executors and lost with the driver, so the setting is required there."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or "
+                               "an object store) before running costpulse jobs on a cluster")
         current = tempfile.mkdtemp(prefix="costpulse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():
