@@ -25,9 +25,6 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Parquet files are read at most 128 MB per task; the default, stated for clarity.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
-    # Streaming state: RocksDB keeps large keyed window state off the JVM heap.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

@@ -33,6 +33,10 @@ from costpulse.sinks import tables
 from costpulse.sources import raw_json
 
 
+STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 @dataclass(frozen=True)
 class Triggers:
     """Micro-batch cadence per job (the upstream sink flush intervals)."""
@@ -82,6 +86,9 @@ class StreamConfig:
     # the checkpoint for the life of a query, so it is chosen here, at first start, from the
     # expected state size (None: the session's spark.sql.shuffle.partitions).
     state_partitions: int | None = None
+    # State store of the stateful aggregates, also fixed at first start. RocksDB keeps
+    # large keyed window state off the JVM heap and checkpoints it incrementally.
+    state_store: str | None = ROCKSDB_PROVIDER
 
 
 def _start(spark: SparkSession, writer, every: str | None, available_now: bool,
@@ -90,15 +97,23 @@ def _start(spark: SparkSession, writer, every: str | None, available_now: bool,
         writer = writer.trigger(availableNow=True)
     elif every:
         writer = writer.trigger(processingTime=every)
-    if config.state_partitions is None:
-        return writer.start()
+    settings = {}
+    if config.state_partitions is not None:
+        settings["spark.sql.shuffle.partitions"] = str(int(config.state_partitions))
+    if config.state_store is not None:
+        settings[STATE_STORE_CONF] = config.state_store
     # The query clones the session configuration when it starts; restore ours afterwards.
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(int(config.state_partitions)))
+    previous = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         return writer.start()
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
+        for k, v in previous.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def accepted(spark: SparkSession, raw: DataFrame) -> DataFrame:

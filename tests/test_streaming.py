@@ -56,6 +56,11 @@ def test_late_row_is_dropped_and_counted(spark, tmp_dir):
     q = _run(jobs.rollup_job(spark, raw_json.json_lines_stream(spark, src, 1), paths, config,
                              available_now=True))
     assert jobs.dropped_late_rows(q) == 1
+    progress = q.lastProgress
+    ops = progress["stateOperators"] if isinstance(progress, dict) else progress.stateOperators
+    op = ops[0]
+    metrics = op["customMetrics"] if isinstance(op, dict) else op.customMetrics
+    assert any(k.startswith("rocksdb") for k in metrics)     # RocksDB state store in use
     hours = sorted(r["window_start"].hour for r in tables.rollups(spark, paths.rollups).collect())
     # 10:00 and 12:00 are closed by the watermark of 14:00 - 10 s; 14:00 is still open;
     # the 00:30 row is late and never aggregated.
