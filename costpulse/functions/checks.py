@@ -92,6 +92,15 @@ def soft_checks() -> list[tuple[str, Column]]:
     ]
 
 
+def passes(checks: list[tuple[str, Column]]) -> Column:
+    """TRUE when no condition is TRUE: a plain boolean expression, code-generated and
+    short-circuiting (the reasons array is built only for the rows that need it)."""
+    ok = F.lit(True)
+    for _, cond in checks:
+        ok = ok & ~F.coalesce(cond, F.lit(False))
+    return ok
+
+
 def reasons(checks: list[tuple[str, Column]]) -> Column:
     """Array of the reasons whose condition is TRUE (NULL conditions do not fire)."""
     flagged = F.array(*[F.when(cond, F.lit(name)) for name, cond in checks])

@@ -1,7 +1,9 @@
 """K7 + Q1-Q12: assess decoded events, split landed rows from the quarantine.
 
-One projection adds ``reasons`` (hard failures: the row is quarantined) and ``warnings``
-(soft business-rule failures: the row lands, the count is reported). No shuffle; the
+One projection adds ``accepted`` (no hard failure; a plain code-generated boolean used by
+the filters), ``reasons`` (the hard failures: the row is quarantined) and ``warnings``
+(soft business-rule failures: the row lands, the count is reported). Columns a caller does
+not select are pruned, so the landing path never builds the arrays. No shuffle; the
 catalogue lookup is a broadcast of the size-checked model table.
 """
 
@@ -16,16 +18,18 @@ from costpulse.sources import raw_json
 
 def assess(decoded: DataFrame, spark: SparkSession) -> DataFrame:
     priced = raw_json.with_price(decoded, spark)
+    hard = checks.hard_checks()
     return priced.select(
         "*",
-        checks.reasons(checks.hard_checks()).alias("reasons"),
+        checks.passes(hard).alias("accepted"),
+        checks.reasons(hard).alias("reasons"),
         checks.reasons(checks.soft_checks()).alias("warnings"),
     )
 
 
 def good(assessed: DataFrame) -> DataFrame:
     """Rows the store accepts, in the landed 14-column shape plus arrival metadata."""
-    ok = assessed.where(F.size("reasons") == 0)
+    ok = assessed.where(F.col("accepted"))
     meta = [c for c in ("source", "arrival_key", "arrival_time") if c in assessed.columns]
     return raw_json.landed(ok, *meta)
 
@@ -33,7 +37,7 @@ def good(assessed: DataFrame) -> DataFrame:
 def quarantined(assessed: DataFrame) -> DataFrame:
     """K7: dead-letter rows: original text, reasons, arrival metadata."""
     meta = [c for c in ("source", "arrival_key", "arrival_time") if c in assessed.columns]
-    return (assessed.where(F.size("reasons") > 0)
+    return (assessed.where(~F.col("accepted"))
                     .select("value", "reasons", *meta))
 
 

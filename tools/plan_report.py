@@ -58,8 +58,36 @@ def main():
         plan = df._jdf.queryExecution().executedPlan().toString()
         f = facts(plan)
         print(f"| `{name}` | " + " | ".join(f[c].replace("|", "/") for c in cols) + " |")
+    print("\n## Streaming jobs (last micro-batch, operators only)\n")
+    for title, plan in stream_plans(spark, sf_dir):
+        print(f"### {title}\n\n```")
+        print(plan)
+        print("```\n")
     spark.stop()
 
 
+def _operators(plan: str) -> str:
+    keep = []
+    for line in plan.split("\n"):
+        m = re.match(r"^([\s:+\-*()0-9]*)([A-Za-z][A-Za-z]+)", line)
+        if m:
+            keep.append(m.group(1) + m.group(2))
+    return "\n".join(keep)
+
+
+def stream_plans(spark, sf_dir):
+    from costpulse.plans.registry import _replay_config, _stream_source
+    from costpulse.sources import raw_json
+    from costpulse.streaming import jobs
+
+    source, paths = _stream_source(spark, sf_dir)
+    for title, start in (("rollups (60 min)", jobs.rollup_job),
+                         ("anomalies (5 min)", jobs.anomaly_job)):
+        q = start(spark, raw_json.json_lines_stream(spark, source), paths,
+                  _replay_config(spark), available_now=True)
+        q.awaitTermination()
+        yield title, _operators(q._jsq.explainInternal(False))
+
+
 if __name__ == "__main__":
     main()
