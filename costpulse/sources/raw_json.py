@@ -24,13 +24,23 @@ _DECODE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 # ---------------------------------------------------------------------------- readers
 
 def kafka_stream(spark: SparkSession, bootstrap: str, topic: str,
-                 starting_offsets: str = "latest", **options) -> DataFrame:
+                 starting_offsets: str = "latest", min_partitions: int | None = None,
+                 max_offsets_per_trigger: int | None = None, **options) -> DataFrame:
     """Kafka topic as a stream; the consumer position lives in the query's
-    checkpoint, so each query (landing, rollups, anomalies) reads independently."""
+    checkpoint, so each query (landing, rollups, anomalies) reads independently.
+
+    ``min_partitions`` splits the offset ranges of a topic with few partitions over more
+    tasks (decode and checks are per-row CPU work); ``max_offsets_per_trigger`` bounds a
+    micro-batch after downtime so a catch-up does not produce one huge batch.
+    """
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap)
               .option("subscribe", topic)
               .option("startingOffsets", starting_offsets))
+    if min_partitions:
+        reader = reader.option("minPartitions", int(min_partitions))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
     for k, v in options.items():
         reader = reader.option(k, v)
     return reader.load().select(

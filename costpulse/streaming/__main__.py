@@ -25,6 +25,9 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--bootstrap", default=os.environ.get("KAFKA_BOOTSTRAP_SERVERS"))
     p.add_argument("--topic", default="llm.events.raw")
     p.add_argument("--starting-offsets", default="latest")
+    p.add_argument("--min-partitions", type=int, default=None,
+                   help="Spark partitions per micro-batch at least (default: Kafka's)")
+    p.add_argument("--max-offsets-per-trigger", type=int, default=None)
     p.add_argument("--path", help="folder of JSON-lines files (--source files)")
     p.add_argument("--rollup-minutes", type=int,
                    default=int(os.environ.get("ROLLUP_WINDOW_MINUTES", "60")))
@@ -48,7 +51,8 @@ def main(argv=None) -> None:
             raise SystemExit("--bootstrap or KAFKA_BOOTSTRAP_SERVERS is required for kafka")
 
         def source():
-            return raw_json.kafka_stream(spark, args.bootstrap, args.topic, args.starting_offsets)
+            return raw_json.kafka_stream(spark, args.bootstrap, args.topic, args.starting_offsets,
+                                         args.min_partitions, args.max_offsets_per_trigger)
     else:
         if not args.path:
             raise SystemExit("--path is required for --source files")
