@@ -106,9 +106,28 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
 
 def append_batch(df: DataFrame, batch_id: int, path: str,
                  partition_cols: Sequence[str] = (), sort_cols: Sequence[str] = ()) -> None:
-    """K3: append-only table, idempotent per micro-batch (replay overwrites the batch)."""
-    write_partitioned(df.withColumn("batch_id", F.lit(int(batch_id))), path,
-                      [*partition_cols, "batch_id"], sort_cols)
+    """K3: append-only table, idempotent per micro-batch (replay overwrites the batch).
+
+    A date that receives rows after it was compacted loses its compaction marker, so
+    readers deduplicate it again (late events are rare, the check reads metadata only).
+    """
+    rows = df.withColumn("batch_id", F.lit(int(batch_id)))
+    write_partitioned(rows, path, [*partition_cols, "batch_id"], sort_cols)
+    if tuple(partition_cols) == ("dt",):
+        spark = df.sparkSession
+        Path, fs = _fs(spark, path)
+        # Dates this batch wrote, from the directory layout (no recomputation of the batch).
+        written = fs.globStatus(Path(f"{path.rstrip('/')}/dt=*/batch_id={int(batch_id)}"))
+        for st in written or []:
+            marker = Path(st.getPath().getParent(), COMPACTED_MARKER)
+            if fs.exists(marker):
+                fs.delete(marker, False)
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    return Path, Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def write_all(df: DataFrame, writers: Sequence[Callable[[DataFrame], None]]) -> None:
@@ -150,8 +169,31 @@ def compact(spark: SparkSession, path: str, dates: Sequence, key: Sequence[str],
             fs.rename(target, old)
         fs.rename(fresh, target)
         fs.delete(old, True)
+        fs.create(Path(f"{path.rstrip('/')}/{name}/{COMPACTED_MARKER}"), True).close()
     fs.delete(Path(staging), True)
 
 
+COMPACTED_MARKER = "_COMPACTED"
+
+
+def partition_dates(spark: SparkSession, path: str, partition_col: str = "dt") -> list[str]:
+    """Values of the date partitions present (directory metadata only)."""
+    Path, fs = _fs(spark, path)
+    found = fs.globStatus(Path(f"{path.rstrip('/')}/{partition_col}=*"))
+    return sorted(str(st.getPath().getName()).split("=", 1)[1] for st in (found or []))
+
+
+def compacted_dates(spark: SparkSession, path: str, partition_col: str = "dt") -> list[str]:
+    """Dates whose partition holds one row per key (marker written by ``compact``). Reads
+    directory metadata only. A later append to such a date removes nothing: the marker is
+    ignored for dates that received batches after compaction (see ``append_batch``)."""
+    jvm = spark.sparkContext._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(Path(f"{path.rstrip('/')}/{partition_col}=*/{COMPACTED_MARKER}"))
+    return sorted(str(st.getPath().getParent().getName()).split("=", 1)[1]
+                  for st in (found or []))
+
+
 def with_date(df: DataFrame, time_col: str, name: str = "dt") -> DataFrame:
     return df.withColumn(name, F.to_date(F.col(time_col)))

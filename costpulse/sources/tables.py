@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from costpulse import schemas
 from costpulse.functions import timefn
-from costpulse.sinks.tables import latest_by_key
+from costpulse.sinks.tables import compacted_dates, latest_by_key, partition_dates
 
 TIME_COLUMN = {"events": "ts", "rollups": "window_start", "anomalies": "detected_at"}
 
@@ -40,23 +40,35 @@ def events(spark: SparkSession, path: str, since: dt.datetime | None = None,
     newest per event_id (the last batch, then the last arrival) with one aggregate over the
     range read. An upserted table is already one row per event_id.
     """
-    df = read_ranged(spark, path, "ts", since).drop("dt")
-    if "batch_id" in df.columns:
-        if latest:
-            df = latest_by_key(df, ["event_id"], list(MERGE_COLUMNS))
-        df = df.drop(*MERGE_COLUMNS)
-    return df
+    return _latest(spark, read_ranged(spark, path, "ts", since), path, ["event_id"],
+                   list(MERGE_COLUMNS), latest)
+
+
+def _latest(spark: SparkSession, df: DataFrame, path: str, key: list[str], order: list[str],
+            latest: bool) -> DataFrame:
+    """Merge-on-read: deduplicate only the dates not yet compacted (a compacted date holds
+    one row per key already), then drop the bookkeeping columns."""
+    if "batch_id" not in df.columns:
+        return df.drop("dt")
+    if latest:
+        done = compacted_dates(spark, path)
+        pending = set(partition_dates(spark, path)) - set(done)
+        in_done = F.col("dt").cast("string").isin(done)
+        if not done:
+            df = latest_by_key(df, key, order)
+        elif pending:
+            fresh = latest_by_key(df.where(~in_done), key, order)
+            df = df.where(in_done).unionByName(fresh)
+        # else: every date is compacted, rows are already one per key
+
+    return df.drop("dt", *[c for c in order if c in df.columns])
 
 
 def rollups(spark: SparkSession, path: str, since: dt.datetime | None = None,
             latest: bool = True) -> DataFrame:
     """Stored rollups; for an appended table the last batch per key (see ``events``)."""
-    df = read_ranged(spark, path, "window_start", since).drop("dt")
-    if "batch_id" in df.columns:
-        if latest:
-            df = latest_by_key(df, list(schemas.ROLLUP_KEY), ["batch_id"])
-        df = df.drop("batch_id")
-    return df
+    return _latest(spark, read_ranged(spark, path, "window_start", since), path,
+                   list(schemas.ROLLUP_KEY), ["batch_id"], latest)
 
 
 def anomalies(spark: SparkSession, path: str, since: dt.datetime | None = None) -> DataFrame:

@@ -95,6 +95,14 @@ def test_landing_upsert_restart_and_quarantine(spark, tmp_dir, mode):
         assert stored.count() == 2
         assert {(r["event_id"][-1], r["batch_id"]) for r in stored.collect()} == \
             {("1", 0), ("2", 1)}
+        assert tables.events(spark, paths.events).count() == 2   # compacted: no dedup
+        plan = tables.events(spark, paths.events)._jdf.queryExecution().executedPlan()
+        assert "max_by" not in plan.toString()
+        # A late delivery into a compacted date removes its marker: dedup again.
+        _write(src, "c.json", [_event(1, "2024-01-05T10:00:00.000000+00:00", latency_ms=1)])
+        _run(jobs.landing(spark, raw_json.json_lines_stream(spark, src), paths, config, True))
+        events = {r["event_id"][-1]: r for r in tables.events(spark, paths.events).collect()}
+        assert sorted(events) == ["1", "2"] and events["1"]["latency_ms"] == 1
 
 
 def test_anomaly_job_writes_table_and_json(spark, tmp_dir):
