@@ -71,6 +71,19 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, key: Sequence[str],
     """Keyed upsert: for each key the batch row wins over the stored row, and among batch
     rows the greatest by ``order`` wins. ``drop`` names batch-only columns (e.g. arrival
     metadata used in ``order``) that are not stored."""
+    # Two actions read the batch (touched partitions, then the merge): compute it once, which
+    # also keeps a streaming micro-batch from being executed twice.
+    owned = not batch.is_cached
+    if owned:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        _upsert(spark, batch, path, key, order, partition_cols, sort_cols, drop)
+    finally:
+        if owned:
+            batch.unpersist()
+
+
+def _upsert(spark, batch, path, key, order, partition_cols, sort_cols, drop) -> None:
     parts = [tuple(r) for r in batch.select(*partition_cols).distinct().limit(
         MAX_TOUCHED_PARTITIONS + 1).collect()]
     if len(parts) > MAX_TOUCHED_PARTITIONS:

@@ -35,7 +35,7 @@ def spread(df: DataFrame) -> DataFrame:
     splits and is left alone, so no extra shuffle is added at scale.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df._jdf.rdd().getNumPartitions() * 2 <= cores:
+    if df.rdd.getNumPartitions() * 2 <= cores:
         return df.repartition(cores)
     return df
 

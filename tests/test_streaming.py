@@ -43,9 +43,10 @@ def _run(query):
     return query
 
 
-def test_late_row_is_dropped_and_counted(spark, tmp_dir):
+@pytest.mark.parametrize("mode", ["append", "upsert"])
+def test_late_row_is_dropped_and_counted(spark, tmp_dir, mode):
     src, paths = f"{tmp_dir}/src", jobs.Paths.under(tmp_dir)
-    config = jobs.StreamConfig(rollup_minutes=60)
+    config = jobs.StreamConfig(rollup_minutes=60, rollup_mode=mode)
     _write(src, "a.json", [_event(1, "2024-01-23T10:00:00.000000+00:00"),
                            _event(2, "2024-01-23T12:00:00.000000+00:00")])
     q = _run(jobs.rollup_job(spark, raw_json.json_lines_stream(spark, src, 1), paths, config,
