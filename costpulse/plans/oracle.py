@@ -49,6 +49,13 @@ FROM t JOIN cat ON (event_id * 37) % 100 >= lo AND (event_id * 37) % 100 < hi)""
 AS_OF = "as_of AS (SELECT max(ts) AS as_of FROM llm_events)"
 
 
+def dec(expr: str, precision: int, scale: int) -> str:
+    """A DOUBLE stored at DECIMAL(p,s) the way the store does it: its shortest decimal
+    form, rounded half away from zero (so 2263.325 -> 2263.33, not the binary 2263.32)."""
+    return (f"CAST(CAST(CAST(CAST({expr} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)) "
+            f"AS DECIMAL({precision},{scale}))")
+
+
 def with_events(body: str, *ctes: str) -> str:
     extra = "".join(f",\n{c}" for c in ctes)
     return f"WITH {LLM_EVENTS.strip()}{extra}\n{body.strip()}\n"
@@ -68,8 +75,8 @@ SELECT {bucket(minutes)} AS window_start,
   CAST(sum(CASE WHEN status <> 'success' THEN 1 ELSE 0 END) AS BIGINT) AS error_count,
   CAST(sum(CAST(total_tokens AS BIGINT)) AS BIGINT) AS total_tokens,
   CAST(sum(cost_usd) AS DECIMAL(12,4)) AS total_cost_usd,
-  CAST(avg(CAST(latency_ms AS DOUBLE)) AS DECIMAL(10,2)) AS avg_latency_ms,
-  CAST(quantile_cont(latency_ms, 0.95) AS DECIMAL(10,2)) AS p95_latency_ms
+  {dec("avg(CAST(latency_ms AS DOUBLE))", 10, 2)} AS avg_latency_ms,
+  {dec("quantile_cont(latency_ms, 0.95)", 10, 2)} AS p95_latency_ms
 FROM llm_events GROUP BY ALL)"""
 
 
@@ -94,7 +101,7 @@ def anomalies_cte(minutes: int, name: str = "anomalies", warn=(3000.0, 0.15, 1.0
                               ("cost_spike", "CAST(total_cost_usd AS DOUBLE)", warn[2], crit[2])):
         arms.append(f"""SELECT window_end + INTERVAL 10 SECONDS AS detected_at,
   '{typ}' AS anomaly_type, model, CAST(NULL AS VARCHAR) AS user_id,
-  CAST({metric} AS DECIMAL(12,4)) AS metric_value,
+  {dec(metric, 12, 4)} AS metric_value,
   CAST(CASE WHEN {metric} >= {c} THEN {c} ELSE {w} END AS DECIMAL(12,4)) AS threshold_value,
   CASE WHEN {metric} >= {c} THEN 'critical' ELSE 'warning' END AS severity,
   window_start, window_end
@@ -145,6 +152,6 @@ scored AS (SELECT *, avg(value) OVER w AS mean, stddev_samp(value) OVER w AS std
   FROM long WINDOW w AS {_frame(lookback, "model, metric")}),
 z AS (SELECT *, (value - mean) / nullif(stddev, 0) AS z FROM scored)
 SELECT window_start, window_end, model, metric,
-  CAST(value AS DECIMAL(12,4)) AS value, CAST(mean AS DECIMAL(12,4)) AS mean,
-  CAST(stddev AS DECIMAL(12,4)) AS stddev, CAST(z AS DECIMAL(12,4)) AS z
+  {dec("value", 12, 4)} AS value, {dec("mean", 12, 4)} AS mean,
+  {dec("stddev", 12, 4)} AS stddev, {dec("z", 12, 4)} AS z
 FROM z WHERE abs(z) > {z}"""

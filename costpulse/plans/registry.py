@@ -93,11 +93,11 @@ def _stats(minutes):
     return plan
 
 
-_STATS_SELECT = """SELECT window_start, window_end, model, total_requests,
-  CAST(avg_latency_ms AS DECIMAL(10,2)) AS avg_latency_ms,
-  CAST(error_rate AS DECIMAL(12,6)) AS error_rate,
+_STATS_SELECT = f"""SELECT window_start, window_end, model, total_requests,
+  {oracle.dec("avg_latency_ms", 10, 2)} AS avg_latency_ms,
+  {oracle.dec("error_rate", 12, 6)} AS error_rate,
   CAST(total_cost_usd AS DECIMAL(18,6)) AS total_cost_usd,
-  CAST(p95_latency_ms AS DECIMAL(10,2)) AS p95_latency_ms
+  {oracle.dec("p95_latency_ms", 10, 2)} AS p95_latency_ms
 FROM stats"""
 
 for _m, _suffix in ((5, "5m"), (60, "60m")):
@@ -266,7 +266,7 @@ def _baseline_stats(spark, sf_dir):
                            with_p95=True)
 
 
-_N2 = oracle.ratio_baseline_sql("CAST(p95_latency_ms AS DECIMAL(10,2))", 2, "latency_spike", 3, 6)
+_N2 = oracle.ratio_baseline_sql(oracle.dec("p95_latency_ms", 10, 2), 2, "latency_spike", 3, 6)
 _N3 = oracle.ratio_baseline_sql("CAST(total_cost_usd AS DECIMAL(18,6))", 6, "cost_spike", 2, None)
 
 
