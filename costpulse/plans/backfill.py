@@ -17,7 +17,7 @@ from costpulse.streaming import jobs
 
 def run(spark: SparkSession, raw: DataFrame, paths: jobs.Paths,
         config: jobs.StreamConfig | None = None, batch_id: int = 0) -> None:
-    """Land ``raw`` messages, then rebuild rollups and anomalies from the accepted rows.
+    """Land ``raw`` messages, then rebuild rollups and anomalies from the same messages.
 
     The decoded, assessed rows are checkpointed once (reliable checkpoint in
     ``spark.checkpoint.dir``) so the three outputs do not re-parse the messages, and a lost
@@ -26,11 +26,11 @@ def run(spark: SparkSession, raw: DataFrame, paths: jobs.Paths,
     config = config or jobs.StreamConfig()
     assessed = quality.assess(raw_json.decode(raw), spark).checkpoint(eager=True)
     jobs.land_assessed(spark, assessed, batch_id, paths, config.landing_mode)
-    accepted = quality.good(assessed)
-    jobs.store_rollups(spark, rollups.cost_rollups(accepted, config.rollup_minutes,
-                                                   config.percentile), paths, batch_id,
-                       config.rollup_mode)
-    stats = an.window_stats(accepted, config.anomaly_minutes,
+    # The aggregates count the same rows as the streaming jobs (see jobs.aggregatable).
+    jobs.store_rollups(spark, rollups.cost_rollups(jobs.countable(assessed, jobs.ROLLUP_KEYS),
+                                                   config.rollup_minutes, config.percentile),
+                       paths, batch_id, config.rollup_mode)
+    stats = an.window_stats(jobs.countable(assessed, jobs.STATS_KEYS), config.anomaly_minutes,
                             with_p95=config.baselines is not None, percentile=config.percentile)
     jobs.store_anomalies(spark, stats, batch_id, paths, config,
                          detected_at=an.event_time_detection())

@@ -123,6 +123,28 @@ def accepted(spark: SparkSession, raw: DataFrame) -> DataFrame:
     return good.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def aggregatable(raw: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Rows the aggregation jobs count: a decodable message with an event time and its
+    group keys present. Other fields may be NULL and aggregate as NULL (a NULL status is
+    counted in total_requests only, a NULL latency is left out of the average), as the
+    aggregation jobs read the raw stream, not the landed table. Rows without event time
+    never reach the watermark; the landing job quarantines them."""
+    return countable(raw_json.decode(raw), keys).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def countable(decoded: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``aggregatable`` over already decoded rows, in the landed shape (``ts`` NTZ)."""
+    ok = ~F.col("_null_message") & F.col(raw_json.CORRUPT).isNull() \
+        & F.col("event_time").isNotNull()
+    for k in keys:
+        ok = ok & F.col(k).isNotNull()
+    return raw_json.landed(decoded.where(ok))
+
+
+ROLLUP_KEYS = ("model", "provider", "user_id")
+STATS_KEYS = ("model",)
+
+
 def _to_ntz(df: DataFrame, *cols: str) -> DataFrame:
     for c in cols:
         df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
@@ -211,7 +233,7 @@ def landing(spark: SparkSession, raw: DataFrame, paths: Paths, config: StreamCon
 
 
 def rollup_stream(spark: SparkSession, raw: DataFrame, config: StreamConfig) -> DataFrame:
-    events = accepted(spark, raw).withWatermark("ts", config.watermark)
+    events = aggregatable(raw, ROLLUP_KEYS).withWatermark("ts", config.watermark)
     return rollups.cost_rollups(events, config.rollup_minutes, config.percentile)
 
 
@@ -226,7 +248,7 @@ def rollup_job(spark: SparkSession, raw: DataFrame, paths: Paths, config: Stream
 
 
 def stats_stream(spark: SparkSession, raw: DataFrame, config: StreamConfig) -> DataFrame:
-    events = accepted(spark, raw).withWatermark("ts", config.watermark)
+    events = aggregatable(raw, STATS_KEYS).withWatermark("ts", config.watermark)
     return an.window_stats(events, config.anomaly_minutes,
                            with_p95=config.baselines is not None, percentile=config.percentile)
 

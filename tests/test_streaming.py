@@ -174,3 +174,20 @@ def test_replay_after_failure_leaves_no_duplicates(spark, tmp_dir):
     stored = spark.read.parquet(paths.events)
     assert stored.count() == 5                       # raw storage, before any dedup
     assert {r["batch_id"] for r in stored.select("batch_id").collect()} == {0}
+
+
+def test_stream_rollup_counts_null_status_in_total_only(spark, tmp_dir):
+    src, paths = f"{tmp_dir}/src", jobs.Paths.under(tmp_dir)
+    _write(src, "a.json", [
+        _event(1, "2024-01-05T10:00:00.000000+00:00"),
+        _event(2, "2024-01-05T10:10:00.000000+00:00", status=None, cost_usd=0),
+        _event(3, "2024-01-05T10:20:00.000000+00:00", status="error", cost_usd=0,
+               error_code="server_error", latency_ms="x"),
+        _event(4, "2024-01-05T10:30:00.000000+00:00", model=None),        # no group key
+        _event(5, "2024-01-05T12:00:00.000000+00:00"),                    # closes 10:00
+    ])
+    _run(jobs.rollup_job(spark, raw_json.json_lines_stream(spark, src), paths,
+                         jobs.StreamConfig(), available_now=True))
+    row = tables.rollups(spark, paths.rollups).where(F.hour("window_start") == 10).first()
+    assert (row["total_requests"], row["success_count"], row["error_count"]) == (3, 1, 1)
+    assert row["avg_latency_ms"] == 900           # the unparsable latency is left out
