@@ -191,3 +191,30 @@ def test_stream_rollup_counts_null_status_in_total_only(spark, tmp_dir):
     row = tables.rollups(spark, paths.rollups).where(F.hour("window_start") == 10).first()
     assert (row["total_requests"], row["success_count"], row["error_count"]) == (3, 1, 1)
     assert row["avg_latency_ms"] == 900           # the unparsable latency is left out
+
+
+def test_stream_baselines_equal_batch_on_closed_windows(spark, tmp_dir):
+    from costpulse.operators import anomalies as an
+    from costpulse.plans.compare import multiset
+    from costpulse.sources import fixtures, replay
+    from tests.conftest import SF_SMALL
+
+    events = fixtures.llm_events(spark, SF_SMALL)
+    src, paths = f"{tmp_dir}/src", jobs.Paths.under(tmp_dir)
+    replay.messages(events).write.text(src)
+    cfg = baselines.BaselineConfig()
+    config = jobs.StreamConfig(anomaly_minutes=60, baselines=cfg, state_partitions=4)
+    _run(jobs.anomaly_job(spark, raw_json.json_lines_stream(spark, src), paths, config, True))
+    got = tables.anomalies(spark, paths.anomalies).drop("detected_at", "batch_id")
+
+    stats = an.window_stats(events, 60, with_p95=True)
+    batch = (an.detect(stats)
+             .unionByName(baselines.latency_baseline(stats, cfg))
+             .unionByName(baselines.cost_baseline(stats, cfg))
+             .unionByName(baselines.zscore_anomalies(baselines.zscores(stats, cfg), cfg)))
+    watermark = events.agg(F.max("ts")).first()[0] - dt.timedelta(seconds=10)
+    want = batch.where(F.col("window_end") <= F.lit(watermark.isoformat(sep=" "))
+                       .cast("timestamp_ntz")).drop("detected_at")
+    assert got.count() > 300
+    assert multiset(got.columns, [tuple(r) for r in got.collect()]) == \
+        multiset(want.columns, [tuple(r) for r in want.collect()])
