@@ -16,18 +16,8 @@ from pyspark.sql import types as T
 
 from costpulse import schemas
 
-# --------------------------------------------------------------------------------------
-# Model, provider, USD per 1k input tokens, USD per 1k output tokens,
-# base latency in ms, traffic weight.
-# --------------------------------------------------------------------------------------
-MODELS = (
-    ("gpt-4o", "openai", "0.0025", "0.01000", 800, "0.28"),
-    ("gpt-4o-mini", "openai", "0.000150", "0.000600", 350, "0.25"),
-    ("gpt-3.5-turbo", "openai", "0.000500", "0.001500", 280, "0.15"),
-    ("claude-3-5-sonnet-20241022", "anthropic", "0.003", "0.015", 950, "0.17"),
-    ("claude-3-haiku-20240307", "anthropic", "0.000250", "0.001250", 320, "0.10"),
-    ("gemini-1.5-pro", "google", "0.00125", "0.005", 600, "0.05"),
-)
+# See ``schemas.MODELS``.
+MODELS = schemas.MODELS
 
 # Largest catalogue we accept to broadcast. The catalogue is reference data that grows
 # with the number of models offered, not with traffic; the bound makes that an invariant.

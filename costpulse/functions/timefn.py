@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from costpulse import schemas
 
-# The report ranges offered to users, default "1 hour".
-ALLOWED_RANGES = ("15 minutes", "30 minutes", "1 hour", "3 hours", "6 hours", "24 hours")
-DEFAULT_RANGE = "1 hour"
+# See ``schemas.REPORT_RANGES``.
+ALLOWED_RANGES = schemas.REPORT_RANGES
+DEFAULT_RANGE = schemas.DEFAULT_REPORT_RANGE
 
 
 def parse_event_time(raw: Column) -> Column:

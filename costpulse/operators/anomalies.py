@@ -24,13 +24,14 @@ from costpulse.operators.rollups import failure_flag, p95
 
 @dataclass(frozen=True)
 class Thresholds:
-    """Warning and critical lines of the three detectors (``>=``)."""
-    latency_warning_ms: float = 3000.0
-    latency_critical_ms: float = 6000.0
-    error_rate_warning: float = 0.15
-    error_rate_critical: float = 0.40
-    cost_warning_usd: float = 1.0
-    cost_critical_usd: float = 5.0
+    """Warning and critical lines of the three detectors (``>=``); defaults are the fixed
+    values in ``schemas``."""
+    latency_warning_ms: float = schemas.LATENCY_LINES_MS[0]
+    latency_critical_ms: float = schemas.LATENCY_LINES_MS[1]
+    error_rate_warning: float = schemas.ERROR_RATE_LINES[0]
+    error_rate_critical: float = schemas.ERROR_RATE_LINES[1]
+    cost_warning_usd: float = schemas.COST_LINES_USD[0]
+    cost_critical_usd: float = schemas.COST_LINES_USD[1]
 
 
 DEFAULT_THRESHOLDS = Thresholds()

@@ -26,12 +26,12 @@ from costpulse.operators.anomalies import event_time_detection
 
 @dataclass(frozen=True)
 class BaselineConfig:
-    """Fixed values of the documented baseline rules."""
-    lookback: int = 12                # previous windows in the baseline
-    latency_warning_ratio: int = 3    # p95 > 3 x baseline p95 -> warning
-    latency_critical_ratio: int = 6   # p95 > 6 x baseline p95 -> critical
-    cost_warning_ratio: int = 2       # window cost > 2 x rolling average -> warning
-    z_warning: float = 3.0            # |z| > 3 on latency or error rate -> warning
+    """The documented baseline rules; defaults are the fixed values in ``schemas``."""
+    lookback: int = schemas.BASELINE_WINDOWS                       # previous windows
+    latency_warning_ratio: int = schemas.LATENCY_BASELINE_RATIOS[0]   # p95 > r x baseline
+    latency_critical_ratio: int = schemas.LATENCY_BASELINE_RATIOS[1]
+    cost_warning_ratio: int = schemas.COST_BASELINE_RATIO          # cost > r x average
+    z_warning: float = schemas.Z_SCORE_LINE                        # |z| > line
 
 
 DEFAULT_BASELINE = BaselineConfig()

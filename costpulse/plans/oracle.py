@@ -6,6 +6,7 @@ are composed here so each query text is complete and standalone.
 
 from __future__ import annotations
 
+from costpulse import schemas
 from costpulse.functions import pricing
 
 _CAT_VALUES = ",\n  ".join(
@@ -93,8 +94,11 @@ SELECT {bucket(minutes)} AS window_start,
 FROM llm_events GROUP BY ALL)"""
 
 
-def anomalies_cte(minutes: int, name: str = "anomalies", warn=(3000.0, 0.15, 1.0),
-                  crit=(6000.0, 0.40, 5.0)) -> str:
+_WARN = (schemas.LATENCY_LINES_MS[0], schemas.ERROR_RATE_LINES[0], schemas.COST_LINES_USD[0])
+_CRIT = (schemas.LATENCY_LINES_MS[1], schemas.ERROR_RATE_LINES[1], schemas.COST_LINES_USD[1])
+
+
+def anomalies_cte(minutes: int, name: str = "anomalies", warn=_WARN, crit=_CRIT) -> str:
     arms = []
     for typ, metric, w, c in (("latency_spike", "avg_latency_ms", warn[0], crit[0]),
                               ("error_surge", "error_rate", warn[1], crit[1]),
@@ -125,7 +129,7 @@ def _half_up_div_1e4(sum_col: str, scale: int, factor: int, n_col: str) -> str:
 
 
 def ratio_baseline_sql(metric_sql: str, scale: int, anomaly_type: str, warning: int,
-                       critical: int | None, lookback: int = 12) -> str:
+                       critical: int | None, lookback: int = schemas.BASELINE_WINDOWS) -> str:
     crit = (f"metric * base_n > {critical} * base_sum" if critical is not None else "FALSE")
     return f"""src AS (SELECT window_start, window_end, model, {metric_sql} AS metric FROM stats),
 based AS (SELECT *, sum(metric) OVER w AS base_sum, count(metric) OVER w AS base_n
@@ -142,7 +146,7 @@ SELECT window_end + INTERVAL 10 SECONDS AS detected_at, '{anomaly_type}' AS anom
 FROM flagged"""
 
 
-def zscore_sql(lookback: int = 12, z: float = 3.0) -> str:
+def zscore_sql(lookback: int = schemas.BASELINE_WINDOWS, z: float = schemas.Z_SCORE_LINE) -> str:
     return f"""long AS (
   SELECT window_start, window_end, model, 'avg_latency_ms' AS metric, avg_latency_ms AS value
   FROM stats

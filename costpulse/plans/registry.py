@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from costpulse import schemas
 from costpulse.functions import timefn
 from costpulse.operators import anomalies as an
 from costpulse.operators import baselines, quality, reports, rollups
@@ -265,8 +266,10 @@ def _baseline_stats(spark, sf_dir):
                            with_p95=True)
 
 
-_N2 = oracle.ratio_baseline_sql(oracle.dec("p95_latency_ms", 10, 2), 2, "latency_spike", 3, 6)
-_N3 = oracle.ratio_baseline_sql("CAST(total_cost_usd AS DECIMAL(18,6))", 6, "cost_spike", 2, None)
+_N2 = oracle.ratio_baseline_sql(oracle.dec("p95_latency_ms", 10, 2), 2, "latency_spike",
+                                *schemas.LATENCY_BASELINE_RATIOS)
+_N3 = oracle.ratio_baseline_sql("CAST(total_cost_usd AS DECIMAL(18,6))", 6, "cost_spike",
+                                schemas.COST_BASELINE_RATIO, None)
 
 
 def _split_ctes(sql: str) -> tuple[list[str], str]:

@@ -54,6 +54,38 @@ EVENT_TIME_WIRE_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 # Watermark delay of every streaming job.
 WATERMARK_DELAY = "10 seconds"
 
+# Default tumbling window lengths (minutes) of the rollup and anomaly jobs, and the topic.
+ROLLUP_WINDOW_MINUTES = 60
+ANOMALY_WINDOW_MINUTES = 5
+RAW_TOPIC = "llm.events.raw"
+
+# Model catalogue: model, provider, USD per 1k input tokens, USD per 1k output tokens,
+# base latency in ms, traffic weight.
+MODELS = (
+    ("gpt-4o", "openai", "0.0025", "0.01000", 800, "0.28"),
+    ("gpt-4o-mini", "openai", "0.000150", "0.000600", 350, "0.25"),
+    ("gpt-3.5-turbo", "openai", "0.000500", "0.001500", 280, "0.15"),
+    ("claude-3-5-sonnet-20241022", "anthropic", "0.003", "0.015", 950, "0.17"),
+    ("claude-3-haiku-20240307", "anthropic", "0.000250", "0.001250", 320, "0.10"),
+    ("gemini-1.5-pro", "google", "0.00125", "0.005", 600, "0.05"),
+)
+
+# Detector lines (a window is flagged when its metric is >= the line): warning, critical.
+LATENCY_LINES_MS = (3000.0, 6000.0)
+ERROR_RATE_LINES = (0.15, 0.40)
+COST_LINES_USD = (1.0, 5.0)
+
+# Rolling-baseline rules: previous windows in the baseline; p95 above 3x / 6x the baseline
+# p95 is a warning / critical; cost above 2x the rolling average is a warning; |z| > 3.
+BASELINE_WINDOWS = 12
+LATENCY_BASELINE_RATIOS = (3, 6)
+COST_BASELINE_RATIO = 2
+Z_SCORE_LINE = 3.0
+
+# Report ranges offered to users, and the default.
+REPORT_RANGES = ("15 minutes", "30 minutes", "1 hour", "3 hours", "6 hours", "24 hours")
+DEFAULT_REPORT_RANGE = "1 hour"
+
 # --------------------------------------------------------------------------------------
 # Schemas
 # --------------------------------------------------------------------------------------

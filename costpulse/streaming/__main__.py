@@ -11,6 +11,7 @@ from __future__ import annotations
 import argparse
 import os
 
+from costpulse import schemas
 from costpulse.operators.baselines import BaselineConfig
 from costpulse.session import get_spark
 from costpulse.sources import raw_json
@@ -23,16 +24,18 @@ def parse_args(argv=None) -> argparse.Namespace:
                    help="folder of the stored tables and checkpoints (shared storage)")
     p.add_argument("--source", choices=("kafka", "files"), default="kafka")
     p.add_argument("--bootstrap", default=os.environ.get("KAFKA_BOOTSTRAP_SERVERS"))
-    p.add_argument("--topic", default="llm.events.raw")
+    p.add_argument("--topic", default=schemas.RAW_TOPIC)
     p.add_argument("--starting-offsets", default="latest")
     p.add_argument("--min-partitions", type=int, default=None,
                    help="Spark partitions per micro-batch at least (default: Kafka's)")
     p.add_argument("--max-offsets-per-trigger", type=int, default=None)
     p.add_argument("--path", help="folder of JSON-lines files (--source files)")
     p.add_argument("--rollup-minutes", type=int,
-                   default=int(os.environ.get("ROLLUP_WINDOW_MINUTES", "60")))
+                   default=int(os.environ.get("ROLLUP_WINDOW_MINUTES",
+                                              schemas.ROLLUP_WINDOW_MINUTES)))
     p.add_argument("--anomaly-minutes", type=int,
-                   default=int(os.environ.get("ANOMALY_WINDOW_MINUTES", "5")))
+                   default=int(os.environ.get("ANOMALY_WINDOW_MINUTES",
+                                              schemas.ANOMALY_WINDOW_MINUTES)))
     p.add_argument("--landing-mode", choices=("append", "upsert"), default="append")
     p.add_argument("--rollup-mode", choices=("append", "upsert"), default="append")
     p.add_argument("--baselines", action="store_true",

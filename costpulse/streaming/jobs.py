@@ -75,8 +75,8 @@ class StreamConfig:
     # stored files, so a crash at any point leaves the table readable and a replay of the
     # micro-batch rewrites only that batch's own partition.
     rollup_mode: str = "append"
-    rollup_minutes: int = 60
-    anomaly_minutes: int = 5
+    rollup_minutes: int = schemas.ROLLUP_WINDOW_MINUTES
+    anomaly_minutes: int = schemas.ANOMALY_WINDOW_MINUTES
     watermark: str = schemas.WATERMARK_DELAY
     thresholds: an.Thresholds = an.DEFAULT_THRESHOLDS
     baselines: baselines.BaselineConfig | None = None
