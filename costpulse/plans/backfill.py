@@ -34,3 +34,30 @@ def run(spark: SparkSession, raw: DataFrame, paths: jobs.Paths,
                             with_p95=config.baselines is not None, percentile=config.percentile)
     jobs.store_anomalies(spark, stats, batch_id, paths, config,
                          detected_at=an.event_time_detection())
+
+
+def main(argv=None) -> None:
+    """``python -m costpulse.plans.backfill --base <tables> --path <json lines>``"""
+    import argparse
+
+    from costpulse.session import get_spark
+
+    p = argparse.ArgumentParser(prog="python -m costpulse.plans.backfill")
+    p.add_argument("--base", required=True, help="folder of the stored tables (shared)")
+    p.add_argument("--path", required=True, help="JSON-lines messages to replay")
+    p.add_argument("--batch-id", type=int, default=0,
+                   help="partition of this run in the append tables (a re-run overwrites it)")
+    p.add_argument("--compact", action="store_true",
+                   help="afterwards, compact the dates present in the event table")
+    args = p.parse_args(argv)
+    spark = get_spark("costpulse-backfill")
+    paths = jobs.Paths.under(args.base)
+    run(spark, raw_json.json_lines(spark, args.path), paths, batch_id=args.batch_id)
+    if args.compact:
+        from costpulse.sinks.tables import partition_dates
+        jobs.compact_events(spark, paths, partition_dates(spark, paths.events))
+        jobs.compact_rollups(spark, paths, partition_dates(spark, paths.rollups))
+
+
+if __name__ == "__main__":
+    main()
