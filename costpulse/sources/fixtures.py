@@ -35,7 +35,8 @@ def spread(df: DataFrame) -> DataFrame:
     splits and is left alone, so no extra shuffle is added at scale.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 <= cores:
+    # Split count from the JVM plan (``df.rdd`` would build a Python RDD wrapper first).
+    if df._jdf.rdd().getNumPartitions() * 2 <= cores:
         return df.repartition(cores)
     return df
 
