@@ -1,7 +1,8 @@
 """The three streaming jobs, built from the same operators as the batch path.
 
 Each job reads the raw message stream itself (its own checkpoint = its own consumer
-position), decodes once, keeps the rows the store accepts, and writes through
+position) and decodes it once. Landing keeps the rows the store accepts; the aggregation
+jobs count every decodable message with an event time and its group keys. All write through
 ``foreachBatch`` with a replay-safe sink:
 
 * ``landing``   - keyed upsert of events on ``event_id`` + quarantine append (K1, K7, T7)
