@@ -317,13 +317,17 @@ def _assessed(spark, sf_dir):
     return quality.assess(raw_json.decode(msgs), spark)
 
 
-@register("json_roundtrip", oracle.with_events(f"""SELECT event_id, ts,
+# Expected landed rows of the damaged replay: damaged-by-field rows land changed, rows the
+# store rejects are left out.
+_LANDED_SQL = oracle.with_events(f"""SELECT event_id, ts,
   CASE WHEN rule = 'unlisted_model' THEN 'unlisted-model' ELSE model END AS model,
   provider, user_id, session_id, prompt_tokens, completion_tokens,
   CASE WHEN rule = 'total_off_by_one' THEN total_tokens + 1 ELSE total_tokens END AS total_tokens,
   cost_usd, latency_ms, status, error_code, request_id
-FROM ruled WHERE rule IS NULL OR rule NOT IN ({_QUARANTINE_RULES})""", _RULED),
-          "S4 P1 P2 K4 K7 Q1-Q12 J1")
+FROM ruled WHERE rule IS NULL OR rule NOT IN ({_QUARANTINE_RULES})""", _RULED)
+
+
+@register("json_roundtrip", _LANDED_SQL, "S4 P1 P2 K4 K7 Q1-Q12 J1")
 def json_roundtrip(spark, sf_dir):
     return quality.good(_assessed(spark, sf_dir))
 
@@ -430,6 +434,31 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+def _landed_stream(spark, sf_dir) -> jobs.Paths:
+    """The damaged message replay, landed by the streaming landing job (merge-on-read)."""
+    base = scratch_path(spark, "streams")
+    source = f"{base}/source"
+    replay.damaged_messages(fixtures.llm_events(spark, sf_dir)).write.text(source)
+    paths = jobs.Paths.under(base)
+    _await(jobs.landing(spark, raw_json.json_lines_stream(spark, source), paths,
+                        _replay_config(spark), available_now=True))
+    return paths
+
+
+@register("stream_landing", _LANDED_SQL, "T7 K1 S4 P1 P2 Q1-Q12")
+def stream_landing(spark, sf_dir):
+    return source_tables.events(spark, _landed_stream(spark, sf_dir).events)
+
+
+@register("stream_quarantine", oracle.with_events(f"""SELECT reason, count(*) AS events
+FROM ruled JOIN (VALUES {_RULE_VALUES}) AS rules(rule, kind, reason) USING (rule)
+WHERE kind = 'quarantine' GROUP BY reason""", _RULED), "K7 K3 Q1-Q3 Q10 Q12")
+def stream_quarantine(spark, sf_dir):
+    bad = spark.read.parquet(_landed_stream(spark, sf_dir).quarantine)
+    return (bad.select(F.explode("reasons").alias("reason"))
+               .groupBy("reason").agg(F.count(F.lit(1)).alias("events")))
+
+
 def queries() -> dict[str, Plan]:
     return {name: q.plan for name, q in REGISTRY.items()}
 
