@@ -32,6 +32,7 @@ from costpulse.operators import anomalies as an
 from costpulse.operators import baselines, quality, rollups
 from costpulse.sinks import tables
 from costpulse.sources import raw_json
+from costpulse.sources import tables as source_tables
 
 
 STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
@@ -281,8 +282,8 @@ def _baseline_rows(spark: SparkSession, stats: DataFrame, paths: Paths, config:
     since = first - window * (cfg.lookback + 1)
     hist = stats
     if tables.table_exists(spark, paths.window_stats):
-        stored = (spark.read.parquet(paths.window_stats)
-                  .where(F.col("window_start") >= F.lit(since).cast("timestamp_ntz"))
+        # dt partitions before the look-back are pruned; window_start is pushed down.
+        stored = (source_tables.read_ranged(spark, paths.window_stats, "window_start", since)
                   .select(*stats.columns))
         hist = stored.unionByName(stats)
         hist = tables.latest_by_key(hist, ["window_start", "model"], [])
