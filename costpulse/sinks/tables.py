@@ -128,7 +128,7 @@ def append_batch(df: DataFrame, batch_id: int, path: str,
     write_partitioned(rows, path, [*partition_cols, "batch_id"], sort_cols)
     if tuple(partition_cols) == ("dt",):
         spark = df.sparkSession
-        Path, fs = _fs(spark, path)
+        Path, fs = filesystem(spark, path)
         # Dates this batch wrote, from the directory layout (no recomputation of the batch).
         written = fs.globStatus(Path(f"{path.rstrip('/')}/dt=*/batch_id={int(batch_id)}"))
         for st in written or []:
@@ -137,7 +137,8 @@ def append_batch(df: DataFrame, batch_id: int, path: str,
                 fs.delete(marker, False)
 
 
-def _fs(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
+    """(Path class, Hadoop FileSystem) for ``path``: metadata operations on the driver."""
     jvm = spark.sparkContext._jvm
     Path = jvm.org.apache.hadoop.fs.Path
     return Path, Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -191,7 +192,7 @@ COMPACTED_MARKER = "_COMPACTED"
 
 def partition_dates(spark: SparkSession, path: str, partition_col: str = "dt") -> list[str]:
     """Values of the date partitions present (directory metadata only)."""
-    Path, fs = _fs(spark, path)
+    Path, fs = filesystem(spark, path)
     found = fs.globStatus(Path(f"{path.rstrip('/')}/{partition_col}=*"))
     return sorted(str(st.getPath().getName()).split("=", 1)[1] for st in (found or []))
 

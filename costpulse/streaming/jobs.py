@@ -19,11 +19,10 @@ never reach the watermark: they go to the quarantine.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -55,6 +54,7 @@ class Paths:
     anomalies: str
     anomalies_json: str
     window_stats: str
+    baseline_tail: str
     checkpoints: str
 
     @classmethod
@@ -63,7 +63,7 @@ class Paths:
         return cls(events=f"{base}/llm_events", quarantine=f"{base}/quarantine",
                    rollups=f"{base}/cost_rollups", anomalies=f"{base}/anomaly_events",
                    anomalies_json=f"{base}/anomalies_json", window_stats=f"{base}/window_stats",
-                   checkpoints=f"{base}/_checkpoints")
+                   baseline_tail=f"{base}/baseline_tail", checkpoints=f"{base}/_checkpoints")
 
 
 @dataclass
@@ -213,8 +213,8 @@ def store_anomalies(spark: SparkSession, stats: DataFrame, batch_id: int, paths:
     detected = detected_at if detected_at is not None else an.processing_time_detection()
     found = an.detect(stats, config.thresholds, detected)
     if config.baselines is not None:
-        window = dt.timedelta(minutes=config.anomaly_minutes)
-        found = found.unionByName(_baseline_rows(spark, stats, paths, config, window, detected))
+        found = found.unionByName(_baseline_rows(spark, stats, batch_id, paths, config,
+                                                 detected))
     found = found.withColumn("dt", F.to_date("detected_at"))
     tables.write_all(found, [
         lambda df: tables.append_batch(df, batch_id, paths.anomalies, ["dt"]),
@@ -266,39 +266,61 @@ def anomaly_job(spark: SparkSession, raw: DataFrame, paths: Paths, config: Strea
     return _start(spark, writer, config.triggers.anomalies, available_now, config)
 
 
-def _baseline_rows(spark: SparkSession, stats: DataFrame, paths: Paths, config: StreamConfig,
-                   window: dt.timedelta, detected) -> DataFrame:
-    """N2-N4 for the windows closed in this batch, against the stored statistics history.
+def _previous_tail(spark: SparkSession, path: str, batch_id: int) -> int | None:
+    """Newest tail version written by an earlier batch (directory metadata only)."""
+    Path, fs = tables.filesystem(spark, path)
+    found = fs.globStatus(Path(f"{path.rstrip('/')}/batch_id=*")) or []
+    ids = [int(str(st.getPath().getName()).split("=", 1)[1]) for st in found]
+    earlier = [i for i in ids if i < batch_id]
+    return max(earlier) if earlier else None
 
-    Only ``lookback`` windows of history before the batch's earliest window are read; the
-    new windows are then added to the history table (keyed upsert, replay-safe).
+
+def _baseline_rows(spark: SparkSession, stats: DataFrame, batch_id: int, paths: Paths,
+                   config: StreamConfig, detected) -> DataFrame:
+    """N2-N4 for the windows closed in this batch.
+
+    The baselines look at each model's previous ``lookback`` windows with data, however far
+    back in time they lie, so the state kept between batches is exactly that: a "tail" of
+    the last ``lookback`` windows per model (models x lookback rows). Batch N reads the tail
+    written by the latest earlier batch and writes its own version, so a replay of batch N
+    reads the same input and overwrites only its own version.
     """
     cfg = config.baselines
     stats = stats.persist()
-    first = stats.agg(F.min("window_start")).first()[0]
-    if first is None:
+    try:
+        if stats.isEmpty():
+            return spark.createDataFrame([], schemas.ANOMALY_EVENTS)
+        hist = stats
+        prev = _previous_tail(spark, paths.baseline_tail, batch_id)
+        if prev is not None:
+            tail = (spark.read.parquet(f"{paths.baseline_tail}/batch_id={prev}")
+                    .select(*stats.columns))
+            hist = tables.latest_by_key(tail.unionByName(stats), ["window_start", "model"], [])
+        new_keys = stats.select("window_start", "model")
+        rows = (baselines.latency_baseline(hist, cfg, detected)
+                .unionByName(baselines.cost_baseline(hist, cfg, detected))
+                .unionByName(baselines.zscore_anomalies(baselines.zscores(hist, cfg), cfg,
+                                                        detected))
+                .join(new_keys, ["window_start", "model"], "left_semi"))
+        # Materialise (reliable checkpoint in spark.checkpoint.dir): the rows must not be
+        # recomputed from the micro-batch once it is released below.
+        rows = rows.checkpoint(eager=True)
+        recent = Window.partitionBy("model").orderBy(F.desc("window_start"))
+        (hist.withColumn("_rn", F.row_number().over(recent))
+             .where(F.col("_rn") <= cfg.lookback).drop("_rn")
+             .coalesce(1).write.mode("overwrite")
+             .parquet(f"{paths.baseline_tail}/batch_id={int(batch_id)}"))
+        if prev is not None:
+            Path, fs = tables.filesystem(spark, paths.baseline_tail)
+            for st in fs.globStatus(Path(f"{paths.baseline_tail}/batch_id=*")) or []:
+                if int(str(st.getPath().getName()).split("=", 1)[1]) < prev:
+                    fs.delete(st.getPath(), True)
+        # The full statistics history, for reports over stored window statistics.
+        tables.upsert(spark, tables.with_date(stats, "window_start"), paths.window_stats,
+                      key=["window_start", "model"], order=[], partition_cols=["dt"])
+        return rows
+    finally:
         stats.unpersist()
-        return stats.sparkSession.createDataFrame([], schemas.ANOMALY_EVENTS)
-    since = first - window * (cfg.lookback + 1)
-    hist = stats
-    if tables.table_exists(spark, paths.window_stats):
-        # dt partitions before the look-back are pruned; window_start is pushed down.
-        stored = (source_tables.read_ranged(spark, paths.window_stats, "window_start", since)
-                  .select(*stats.columns))
-        hist = stored.unionByName(stats)
-        hist = tables.latest_by_key(hist, ["window_start", "model"], [])
-    new_keys = stats.select("window_start", "model")
-    rows = (baselines.latency_baseline(hist, cfg, detected)
-            .unionByName(baselines.cost_baseline(hist, cfg, detected))
-            .unionByName(baselines.zscore_anomalies(baselines.zscores(hist, cfg), cfg, detected))
-            .join(new_keys, ["window_start", "model"], "left_semi"))
-    # Materialise (reliable checkpoint in spark.checkpoint.dir) before the history table
-    # the rows were computed from is rewritten below.
-    rows = rows.checkpoint(eager=True)
-    tables.upsert(spark, tables.with_date(stats, "window_start"), paths.window_stats,
-                  key=["window_start", "model"], order=[], partition_cols=["dt"])
-    stats.unpersist()
-    return rows
 
 
 def compact_events(spark: SparkSession, paths: Paths, dates) -> None:

@@ -218,3 +218,39 @@ def test_stream_baselines_equal_batch_on_closed_windows(spark, tmp_dir):
     assert got.count() > 300
     assert multiset(got.columns, [tuple(r) for r in got.collect()]) == \
         multiset(want.columns, [tuple(r) for r in want.collect()])
+
+
+def test_stream_baselines_across_micro_batches(spark, tmp_dir):
+    """Five time-ordered files, one per micro-batch: each batch's baselines read the stored
+    statistics history written by the earlier batches; the end result equals the batch."""
+    from costpulse.operators import anomalies as an
+    from costpulse.plans.compare import multiset
+    from costpulse.sources import fixtures, replay
+    from tests.conftest import SF_SMALL
+
+    events = fixtures.llm_events(spark, SF_SMALL)
+    src, paths = f"{tmp_dir}/src", jobs.Paths.under(tmp_dir)
+    start = events.agg(F.min("ts")).first()[0].replace(hour=0, minute=0, second=0,
+                                                        microsecond=0)
+    for i in range(5):
+        lo, hi = start + dt.timedelta(days=6 * i), start + dt.timedelta(days=6 * (i + 1))
+        part = events.where((F.col("ts") >= F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz"))
+                            & (F.col("ts") < F.lit(hi.isoformat(sep=" ")).cast("timestamp_ntz")))
+        replay.messages(part).coalesce(1).write.text(f"{src}/part{i}")
+    cfg = baselines.BaselineConfig()
+    config = jobs.StreamConfig(anomaly_minutes=60, baselines=cfg, state_partitions=4)
+    q = _run(jobs.anomaly_job(spark, raw_json.json_lines_stream(spark, f"{src}/*", 1), paths,
+                              config, True))
+    assert len(q.recentProgress) >= 5
+    got = tables.anomalies(spark, paths.anomalies).drop("detected_at", "batch_id")
+
+    stats = an.window_stats(events, 60, with_p95=True)
+    batch = (an.detect(stats)
+             .unionByName(baselines.latency_baseline(stats, cfg))
+             .unionByName(baselines.cost_baseline(stats, cfg))
+             .unionByName(baselines.zscore_anomalies(baselines.zscores(stats, cfg), cfg)))
+    watermark = events.agg(F.max("ts")).first()[0] - dt.timedelta(seconds=10)
+    want = batch.where(F.col("window_end") <= F.lit(watermark.isoformat(sep=" "))
+                       .cast("timestamp_ntz")).drop("detected_at")
+    assert multiset(got.columns, [tuple(r) for r in got.collect()]) == \
+        multiset(want.columns, [tuple(r) for r in want.collect()])
