@@ -230,13 +230,7 @@ def test_stream_baselines_across_micro_batches(spark, tmp_dir):
 
     events = fixtures.llm_events(spark, SF_SMALL)
     src, paths = f"{tmp_dir}/src", jobs.Paths.under(tmp_dir)
-    start = events.agg(F.min("ts")).first()[0].replace(hour=0, minute=0, second=0,
-                                                        microsecond=0)
-    for i in range(5):
-        lo, hi = start + dt.timedelta(days=6 * i), start + dt.timedelta(days=6 * (i + 1))
-        part = events.where((F.col("ts") >= F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz"))
-                            & (F.col("ts") < F.lit(hi.isoformat(sep=" ")).cast("timestamp_ntz")))
-        replay.messages(part).coalesce(1).write.text(f"{src}/part{i}")
+    _time_ordered_files(events, src, replay)
     cfg = baselines.BaselineConfig()
     config = jobs.StreamConfig(anomaly_minutes=60, baselines=cfg, state_partitions=4)
     q = _run(jobs.anomaly_job(spark, raw_json.json_lines_stream(spark, f"{src}/*", 1), paths,
@@ -254,3 +248,34 @@ def test_stream_baselines_across_micro_batches(spark, tmp_dir):
                        .cast("timestamp_ntz")).drop("detected_at")
     assert multiset(got.columns, [tuple(r) for r in got.collect()]) == \
         multiset(want.columns, [tuple(r) for r in want.collect()])
+
+
+def _time_ordered_files(events, src, replay, parts=5, days=6):
+    """Messages in ``parts`` files of consecutive time ranges, written in time order."""
+    start = events.agg(F.min("ts")).first()[0].replace(hour=0, minute=0, second=0,
+                                                        microsecond=0)
+    for i in range(parts):
+        lo, hi = start + dt.timedelta(days=days * i), start + dt.timedelta(days=days * (i + 1))
+        part = events.where((F.col("ts") >= F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz"))
+                            & (F.col("ts") < F.lit(hi.isoformat(sep=" ")).cast("timestamp_ntz")))
+        replay.messages(part).coalesce(1).write.text(f"{src}/part{i}")
+
+
+def test_stream_rollups_across_micro_batches(spark, tmp_dir):
+    from costpulse.operators import rollups
+    from costpulse.plans.compare import multiset
+    from costpulse.sources import fixtures, replay
+    from tests.conftest import SF_SMALL
+
+    events = fixtures.llm_events(spark, SF_SMALL)
+    src, paths = f"{tmp_dir}/src", jobs.Paths.under(tmp_dir)
+    _time_ordered_files(events, src, replay)
+    q = _run(jobs.rollup_job(spark, raw_json.json_lines_stream(spark, f"{src}/*", 1), paths,
+                             jobs.StreamConfig(state_partitions=4), True))
+    assert len(q.recentProgress) >= 5 and jobs.dropped_late_rows(q) == 0
+    got = tables.rollups(spark, paths.rollups)
+    watermark = events.agg(F.max("ts")).first()[0] - dt.timedelta(seconds=10)
+    want = rollups.cost_rollups(events, 60).where(
+        F.col("window_end") <= F.lit(watermark.isoformat(sep=" ")).cast("timestamp_ntz"))
+    assert multiset(got.columns, [tuple(r) for r in got.collect()]) == \
+        multiset(want.columns, [tuple(r) for r in want.collect()])
