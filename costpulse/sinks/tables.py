@@ -33,9 +33,8 @@ SOURCE_RANK = "_source_rank"
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds data: a visible file or partition directory. (Dynamic
     partition overwrite leaves no ``_SUCCESS`` marker at the table root.)"""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    Path, fs = filesystem(spark, path)
+    hpath = Path(path)
     if not fs.exists(hpath):
         return False
     return any(not s.getPath().getName().startswith(("_", "."))
@@ -161,7 +160,9 @@ def compact(spark: SparkSession, path: str, dates: Sequence, key: Sequence[str],
 
     The deduplicated rows are materialised with a reliable ``checkpoint()`` first (the job
     replaces the very files it reads), written to a hidden staging folder in one job, then
-    each date directory is swapped in by rename.
+    each date directory is swapped in by rename. Run it on dates the landing no longer
+    writes to (older than the watermark plus a margin): a batch appended to a date between
+    the read and the swap would be replaced with the rest of that date.
     """
     dates = list(dates)
     if not dates or not table_exists(spark, path):
@@ -170,9 +171,7 @@ def compact(spark: SparkSession, path: str, dates: Sequence, key: Sequence[str],
     latest = latest_by_key(rows, key, order).checkpoint(eager=True)
     staging = f"{path.rstrip('/')}/_compact_{uuid.uuid4().hex}"
     write_partitioned(latest, staging, [partition_col, "batch_id"])
-    jvm = spark.sparkContext._jvm
-    Path = jvm.org.apache.hadoop.fs.Path
-    fs = Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    Path, fs = filesystem(spark, path)
     for d in dates:
         name = f"{partition_col}={d}"
         target, fresh = Path(f"{path.rstrip('/')}/{name}"), Path(f"{staging}/{name}")
@@ -198,12 +197,9 @@ def partition_dates(spark: SparkSession, path: str, partition_col: str = "dt") -
 
 
 def compacted_dates(spark: SparkSession, path: str, partition_col: str = "dt") -> list[str]:
-    """Dates whose partition holds one row per key (marker written by ``compact``). Reads
-    directory metadata only. A later append to such a date removes nothing: the marker is
-    ignored for dates that received batches after compaction (see ``append_batch``)."""
-    jvm = spark.sparkContext._jvm
-    Path = jvm.org.apache.hadoop.fs.Path
-    fs = Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    """Dates whose partition holds one row per key (marker written by ``compact``, removed
+    by ``append_batch`` when a later batch lands in the date). Directory metadata only."""
+    Path, fs = filesystem(spark, path)
     found = fs.globStatus(Path(f"{path.rstrip('/')}/{partition_col}=*/{COMPACTED_MARKER}"))
     return sorted(str(st.getPath().getParent().getName()).split("=", 1)[1]
                   for st in (found or []))
