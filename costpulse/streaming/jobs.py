@@ -22,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -208,19 +209,23 @@ def store_rollups(spark: SparkSession, rows: DataFrame, paths: Paths, batch_id:
 def store_anomalies(spark: SparkSession, stats: DataFrame, batch_id: int, paths: Paths,
                     config: StreamConfig, detected_at=None) -> None:
     """K3-K5: detectors over closed-window statistics; the anomaly table (by detection
-    date and batch) and the JSON copy are written from one persisted result."""
-    stats = _to_ntz(stats, "window_start", "window_end")
-    detected = detected_at if detected_at is not None else an.processing_time_detection()
-    found = an.detect(stats, config.thresholds, detected)
-    if config.baselines is not None:
-        found = found.unionByName(_baseline_rows(spark, stats, batch_id, paths, config,
-                                                 detected))
-    found = found.withColumn("dt", F.to_date("detected_at"))
-    tables.write_all(found, [
-        lambda df: tables.append_batch(df, batch_id, paths.anomalies, ["dt"]),
-        lambda df: tables.append_batch(raw_json.encode_anomalies(df, "dt"), batch_id,
-                                       paths.anomalies_json, ["dt"]),
-    ])
+    date and batch) and the JSON copy are written from one persisted result. The batch's
+    statistics are computed once for all detectors (a micro-batch is never re-executed)."""
+    stats = _to_ntz(stats, "window_start", "window_end").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        detected = detected_at if detected_at is not None else an.processing_time_detection()
+        found = an.detect(stats, config.thresholds, detected)
+        if config.baselines is not None:
+            found = found.unionByName(_baseline_rows(spark, stats, batch_id, paths, config,
+                                                     detected))
+        found = found.withColumn("dt", F.to_date("detected_at"))
+        tables.write_all(found, [
+            lambda df: tables.append_batch(df, batch_id, paths.anomalies, ["dt"]),
+            lambda df: tables.append_batch(raw_json.encode_anomalies(df, "dt"), batch_id,
+                                           paths.anomalies_json, ["dt"]),
+        ])
+    finally:
+        stats.unpersist()
 
 
 # ---------------------------------------------------------------------------- jobs
@@ -286,41 +291,37 @@ def _baseline_rows(spark: SparkSession, stats: DataFrame, batch_id: int, paths:
     reads the same input and overwrites only its own version.
     """
     cfg = config.baselines
-    stats = stats.persist()
-    try:
-        if stats.isEmpty():
-            return spark.createDataFrame([], schemas.ANOMALY_EVENTS)
-        hist = stats
-        prev = _previous_tail(spark, paths.baseline_tail, batch_id)
-        if prev is not None:
-            tail = (spark.read.parquet(f"{paths.baseline_tail}/batch_id={prev}")
-                    .select(*stats.columns))
-            hist = tables.latest_by_key(tail.unionByName(stats), ["window_start", "model"], [])
-        new_keys = stats.select("window_start", "model")
-        rows = (baselines.latency_baseline(hist, cfg, detected)
-                .unionByName(baselines.cost_baseline(hist, cfg, detected))
-                .unionByName(baselines.zscore_anomalies(baselines.zscores(hist, cfg), cfg,
-                                                        detected))
-                .join(new_keys, ["window_start", "model"], "left_semi"))
-        # Materialise (reliable checkpoint in spark.checkpoint.dir): the rows must not be
-        # recomputed from the micro-batch once it is released below.
-        rows = rows.checkpoint(eager=True)
-        recent = Window.partitionBy("model").orderBy(F.desc("window_start"))
-        (hist.withColumn("_rn", F.row_number().over(recent))
-             .where(F.col("_rn") <= cfg.lookback).drop("_rn")
-             .coalesce(1).write.mode("overwrite")
-             .parquet(f"{paths.baseline_tail}/batch_id={int(batch_id)}"))
-        if prev is not None:
-            Path, fs = tables.filesystem(spark, paths.baseline_tail)
-            for st in fs.globStatus(Path(f"{paths.baseline_tail}/batch_id=*")) or []:
-                if int(str(st.getPath().getName()).split("=", 1)[1]) < prev:
-                    fs.delete(st.getPath(), True)
-        # The full statistics history, for reports over stored window statistics.
-        tables.upsert(spark, tables.with_date(stats, "window_start"), paths.window_stats,
-                      key=["window_start", "model"], order=[], partition_cols=["dt"])
-        return rows
-    finally:
-        stats.unpersist()
+    if stats.isEmpty():
+        return spark.createDataFrame([], schemas.ANOMALY_EVENTS)
+    hist = stats
+    prev = _previous_tail(spark, paths.baseline_tail, batch_id)
+    if prev is not None:
+        tail = (spark.read.parquet(f"{paths.baseline_tail}/batch_id={prev}")
+                .select(*stats.columns))
+        hist = tables.latest_by_key(tail.unionByName(stats), ["window_start", "model"], [])
+    new_keys = stats.select("window_start", "model")
+    rows = (baselines.latency_baseline(hist, cfg, detected)
+            .unionByName(baselines.cost_baseline(hist, cfg, detected))
+            .unionByName(baselines.zscore_anomalies(baselines.zscores(hist, cfg), cfg,
+                                                    detected))
+            .join(new_keys, ["window_start", "model"], "left_semi"))
+    # Materialise (reliable checkpoint in spark.checkpoint.dir): the rows must not be
+    # recomputed from the micro-batch after the caller releases it.
+    rows = rows.checkpoint(eager=True)
+    recent = Window.partitionBy("model").orderBy(F.desc("window_start"))
+    (hist.withColumn("_rn", F.row_number().over(recent))
+         .where(F.col("_rn") <= cfg.lookback).drop("_rn")
+         .coalesce(1).write.mode("overwrite")
+         .parquet(f"{paths.baseline_tail}/batch_id={int(batch_id)}"))
+    if prev is not None:
+        Path, fs = tables.filesystem(spark, paths.baseline_tail)
+        for st in fs.globStatus(Path(f"{paths.baseline_tail}/batch_id=*")) or []:
+            if int(str(st.getPath().getName()).split("=", 1)[1]) < prev:
+                fs.delete(st.getPath(), True)
+    # The full statistics history, for reports over stored window statistics.
+    tables.upsert(spark, tables.with_date(stats, "window_start"), paths.window_stats,
+                  key=["window_start", "model"], order=[], partition_cols=["dt"])
+    return rows
 
 
 def compact_events(spark: SparkSession, paths: Paths, dates) -> None:
