@@ -140,7 +140,7 @@ def recent_anomalies(anomalies: DataFrame, as_of: dt.datetime,
                      range_: str = timefn.DEFAULT_RANGE, k: int = TOP_K) -> DataFrame:
     """The newest ``k`` anomalies (top-k per partition, then one merge of k rows each)."""
     return (_in_range(anomalies, "detected_at", as_of, range_)
-            .orderBy(F.desc("detected_at"), "anomaly_type", "model")
+            .orderBy(F.desc("detected_at"), "anomaly_type", "model", F.desc("window_start"))
             .limit(k)
             .select("detected_at", "anomaly_type", "severity", "model", "user_id",
                     F.round("metric_value", 4).cast(schemas.METRIC_TYPE).alias("metric_value"),

@@ -239,7 +239,7 @@ def cost_by_model(spark, sf_dir):
   CAST(round(threshold_value, 4) AS DECIMAL(12,4)) AS threshold_value,
   window_start, window_end
 FROM anomalies WHERE detected_at >= {_RANGE_SQL}
-ORDER BY detected_at DESC, anomaly_type, model LIMIT 100""",
+ORDER BY detected_at DESC, anomaly_type, model, window_start DESC LIMIT 100""",
                                    oracle.anomalies_cte(ANOMALY_WINDOW_MIN)), "R11 F3 L3")
 def recent_anomalies(spark, sf_dir):
     anomalies, as_of = _ranged_anomalies(spark, sf_dir)
