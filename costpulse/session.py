@@ -21,9 +21,6 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Coalesce shuffle partitions to the advisory size (64 MB) instead of keeping the
-    # default parallelism: fewer, fuller tasks on a cluster.
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Parquet files are read at most 128 MB per task; the default, stated for clarity.
