@@ -102,3 +102,33 @@ def test_spread_only_for_few_splits(spark):
     spread = fixtures.spread(one)
     assert spread.rdd.getNumPartitions() == cores
     assert sorted(r[0] for r in spread.collect()) == list(range(1000))   # rows kept whole
+
+
+_BATCH_KEYS = [k for k in registry.REGISTRY if not k.startswith("stream_")
+               and k != "upsert_latest"]
+
+
+def _broadcast_subtrees(plan: str) -> list[str]:
+    lines = plan.split("\n")
+    trees = []
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            depth = len(line) - len(line.lstrip(" :+-"))
+            sub = []
+            for nxt in lines[i + 1:]:
+                if len(nxt) - len(nxt.lstrip(" :+-")) <= depth:
+                    break
+                sub.append(nxt)
+            trees.append("\n".join(sub))
+    return trees
+
+
+@pytest.mark.parametrize("name", _BATCH_KEYS)
+def test_plan_guards(spark, name):
+    plan = _plan(registry.REGISTRY[name].plan(spark, SF_SMALL))
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "SortMergeJoin"):
+        assert bad not in plan, bad
+    if "HashAggregate" in plan or "SortAggregate" in plan:
+        assert "partial_" in plan                        # map-side combine before a shuffle
+    for tree in _broadcast_subtrees(plan):
+        assert "FileScan" not in tree                    # only the fixed-size catalogue
