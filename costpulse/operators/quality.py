@@ -3,7 +3,8 @@
 One projection adds ``accepted`` (no hard failure; a plain code-generated boolean used by
 the filters), ``reasons`` (the hard failures: the row is quarantined) and ``warnings``
 (soft business-rule failures: the row lands, the count is reported). Columns a caller does
-not select are pruned, so the landing path never builds the arrays. No shuffle; the
+not select are pruned: a plan that keeps only accepted rows never builds the arrays, and
+the landing job builds them once per micro-batch for both of its outputs. No shuffle; the
 catalogue lookup is a broadcast of the size-checked model table.
 """
 
