@@ -30,6 +30,8 @@ def parse_args(argv=None) -> argparse.Namespace:
                    help="Spark partitions per micro-batch at least (default: Kafka's)")
     p.add_argument("--max-offsets-per-trigger", type=int, default=None)
     p.add_argument("--path", help="folder of JSON-lines files (--source files)")
+    p.add_argument("--max-files-per-trigger", type=int, default=None,
+                   help="bound a micro-batch of the file source")
     p.add_argument("--rollup-minutes", type=int,
                    default=int(os.environ.get("ROLLUP_WINDOW_MINUTES",
                                               schemas.ROLLUP_WINDOW_MINUTES)))
@@ -61,7 +63,7 @@ def main(argv=None) -> None:
             raise SystemExit("--path is required for --source files")
 
         def source():
-            return raw_json.json_lines_stream(spark, args.path)
+            return raw_json.json_lines_stream(spark, args.path, args.max_files_per_trigger)
 
     config = jobs.StreamConfig(
         landing_mode=args.landing_mode, rollup_mode=args.rollup_mode,

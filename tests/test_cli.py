@@ -14,6 +14,7 @@ def test_streaming_cli_available_now(spark, tmp_dir):
     replay.messages(fixtures.llm_events(spark, SF_SMALL)).write.text(src)
     streaming_main.main(["--base", f"{tmp_dir}/t", "--source", "files", "--path", src,
                          "--available-now", "--state-partitions", "4",
+                         "--max-files-per-trigger", "2",
                          "--rollup-minutes", "1440", "--anomaly-minutes", "60"])
     paths = jobs.Paths.under(f"{tmp_dir}/t")
     assert tables.events(spark, paths.events).count() == 1000
