@@ -45,14 +45,26 @@ def multiset(columns, rows) -> Counter:
     return Counter(tuple(norm(r[i]) for i in order) for r in rows)
 
 
+# Spark simple type name -> DuckDB type name (decimals print alike in both).
+TYPE_NAMES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER",
+              "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE", "date": "DATE",
+              "boolean": "BOOLEAN"}
+
+
 def compare(df, con, sql: str) -> tuple[bool, str]:
-    """(equal, message) for a Spark DataFrame against a DuckDB query."""
+    """(equal, message) for a Spark DataFrame against a DuckDB query: column names, column
+    types and the multiset of rows."""
     srows = [tuple(r) for r in df.collect()]
-    cur = con.execute(sql)
-    ocols = [d[0] for d in cur.description]
-    orows = cur.fetchall()
+    rel = con.sql(sql)
+    ocols = list(rel.columns)
+    otypes = dict(zip(ocols, [str(t) for t in rel.types]))
+    orows = rel.fetchall()
     if sorted(df.columns) != sorted(ocols):
         return False, f"columns differ: {sorted(df.columns)} vs {sorted(ocols)}"
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        if otypes[f.name] != TYPE_NAMES.get(t, t.upper()):
+            return False, f"type of {f.name}: spark {t}, oracle {otypes[f.name]}"
     a, b = multiset(df.columns, srows), multiset(ocols, orows)
     if a != b:
         return False, (f"rows differ ({len(srows)} vs {len(orows)}): "
