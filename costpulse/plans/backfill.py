@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from costpulse.operators import anomalies as an
 from costpulse.operators import quality, rollups
 from costpulse.sources import raw_json
+from costpulse.session import ensure_checkpoint_dir
 from costpulse.streaming import jobs
 
 
@@ -24,6 +25,7 @@ def run(spark: SparkSession, raw: DataFrame, paths: jobs.Paths,
     executor recomputes from the checkpoint instead of from the source.
     """
     config = config or jobs.StreamConfig()
+    ensure_checkpoint_dir(spark)
     assessed = quality.assess(raw_json.decode(raw), spark).checkpoint(eager=True)
     jobs.land_assessed(spark, assessed, batch_id, paths, config.landing_mode)
     # The aggregates count the same rows as the streaming jobs (see jobs.aggregatable).

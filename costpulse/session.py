@@ -46,16 +46,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     laptop) gets a temporary folder; on a cluster a driver-local folder would be invisible
     to executors and lost with the driver, so the setting is required there."""
     current = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:          # a Spark Connect session has no SparkContext on the client
+        sc = None
+    if not current and sc is not None:
+        current = sc.getCheckpointDir()
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        if not spark.sparkContext.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or "
                                "an object store) before running costpulse jobs on a cluster")
         current = tempfile.mkdtemp(prefix="costpulse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current
 
 
@@ -67,8 +71,13 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings a costpulse plan relies on in any session: event time is a UTC wall clock
-    (parsing, truncation and windows assume a UTC session), and a checkpoint folder."""
+    (parsing, truncation and windows assume a UTC session), and a checkpoint folder where
+    one can be set. Plans that need scratch space or ``checkpoint()`` ask for the folder
+    themselves (``scratch_path``) and fail there when a cluster names none."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    ensure_checkpoint_dir(spark)
+    try:
+        ensure_checkpoint_dir(spark)
+    except RuntimeError:
+        pass
     return spark

@@ -25,6 +25,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from costpulse.session import ensure_checkpoint_dir
+
 # A micro-batch normally touches one or two dates; refuse to rewrite an unbounded set.
 MAX_TOUCHED_PARTITIONS = 1000
 SOURCE_RANK = "_source_rank"
@@ -168,6 +170,7 @@ def compact(spark: SparkSession, path: str, dates: Sequence, key: Sequence[str],
     if not dates or not table_exists(spark, path):
         return
     rows = spark.read.parquet(path).where(F.col(partition_col).isin(dates))
+    ensure_checkpoint_dir(spark)
     latest = latest_by_key(rows, key, order).checkpoint(eager=True)
     staging = f"{path.rstrip('/')}/_compact_{uuid.uuid4().hex}"
     write_partitioned(latest, staging, [partition_col, "batch_id"])

@@ -34,9 +34,13 @@ def spread(df: DataFrame) -> DataFrame:
     (one cheap shuffle that buys parallel per-row work). A large input already has many
     splits and is left alone, so no extra shuffle is added at scale.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    # Split count from the JVM plan (``df.rdd`` would build a Python RDD wrapper first).
-    if df._jdf.rdd().getNumPartitions() * 2 <= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        # Split count from the JVM plan (``df.rdd`` would build a Python RDD wrapper first).
+        splits = df._jdf.rdd().getNumPartitions()
+    except Exception:          # no JVM handle (Spark Connect): leave the plan as it is
+        return df
+    if splits * 2 <= cores:
         return df.repartition(cores)
     return df
 

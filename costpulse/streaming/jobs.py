@@ -30,6 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 from costpulse import schemas
 from costpulse.operators import anomalies as an
 from costpulse.operators import baselines, quality, rollups
+from costpulse.session import ensure_checkpoint_dir
 from costpulse.sinks import tables
 from costpulse.sources import raw_json
 from costpulse.sources import tables as source_tables
@@ -307,6 +308,7 @@ def _baseline_rows(spark: SparkSession, stats: DataFrame, batch_id: int, paths:
             .join(new_keys, ["window_start", "model"], "left_semi"))
     # Materialise (reliable checkpoint in spark.checkpoint.dir): the rows must not be
     # recomputed from the micro-batch after the caller releases it.
+    ensure_checkpoint_dir(spark)
     rows = rows.checkpoint(eager=True)
     recent = Window.partitionBy("model").orderBy(F.desc("window_start"))
     (hist.withColumn("_rn", F.row_number().over(recent))
