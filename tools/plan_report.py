@@ -49,7 +49,7 @@ def main():
     cols = ["shuffles", "broadcasts", "joins", "aggregates", "top-k", "window", "pushed", "read"]
     print(f"# Physical plans ({os.path.basename(sf_dir)}, AQE final plans)\n")
     print("Generated by `tools/plan_report.py`. Streaming and upsert keys show the plan of "
-          "reading back their output table; their job plans are in the README.\n")
+          "reading back their output table; the streaming job plans follow below.\n")
     print("| query | " + " | ".join(cols) + " |")
     print("|" + " --- |" * (len(cols) + 1))
     for name, q in registry.REGISTRY.items():
