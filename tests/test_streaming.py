@@ -279,3 +279,16 @@ def test_stream_rollups_across_micro_batches(spark, tmp_dir):
         F.col("window_end") <= F.lit(watermark.isoformat(sep=" ")).cast("timestamp_ntz"))
     assert multiset(got.columns, [tuple(r) for r in got.collect()]) == \
         multiset(want.columns, [tuple(r) for r in want.collect()])
+
+
+def test_quarantine_shape_and_all_deliveries_reader(spark, tmp_dir):
+    src, paths = f"{tmp_dir}/src", jobs.Paths.under(tmp_dir)
+    line = _event(1, "2024-01-05T10:00:00.000000+00:00")
+    _write(src, "a.json", [line, line, "not json"])
+    _run(jobs.landing(spark, raw_json.json_lines_stream(spark, src), paths,
+                      jobs.StreamConfig(), True))
+    bad = spark.read.parquet(paths.quarantine)
+    assert set(bad.columns) == {"value", "reasons", "source", "arrival_key", "arrival_time",
+                                "dt", "batch_id"}
+    assert tables.events(spark, paths.events, latest=False).count() == 2   # both deliveries
+    assert tables.events(spark, paths.events).count() == 1                 # latest per key
