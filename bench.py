@@ -57,6 +57,7 @@ def main() -> None:
             runs.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(runs), 3)
         rows[name] = len(result)
+    version = spark.version
     spark.stop()
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({
@@ -68,6 +69,7 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "repeat": repeat,
+        "spark": version,
     }))
 
 
