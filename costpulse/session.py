@@ -8,6 +8,7 @@ create one under the system temp directory.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -69,11 +70,26 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, "costpulse", *parts, uuid.uuid4().hex])
 
 
+def importable_by_workers(spark: SparkSession) -> None:
+    """Put the folder of this package on the Python workers' path, where it is visible to them
+    (local mode, a shared install). Elsewhere install the package or pass it by --py-files."""
+    try:
+        env = spark.sparkContext.environment
+    except Exception:          # a Spark Connect session ships code its own way
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings a costpulse plan relies on in any session: event time is a UTC wall clock
-    (parsing, truncation and windows assume a UTC session), and a checkpoint folder where
-    one can be set. Plans that need scratch space or ``checkpoint()`` ask for the folder
-    themselves (``scratch_path``) and fail there when a cluster names none."""
+    (parsing, truncation and windows assume a UTC session), workers that can import the
+    package, and a checkpoint folder where one can be set. Plans that need scratch space or
+    ``checkpoint()`` ask for the folder themselves (``scratch_path``) and fail there when a
+    cluster names none."""
+    importable_by_workers(spark)
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     try:
