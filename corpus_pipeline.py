@@ -15,8 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from costpulse.llm import decontam, linededup, mixing, quality, simhash  # noqa: E402
-from costpulse.llm.common import table  # noqa: E402
-from costpulse.session import prepare, scratch_path  # noqa: E402
+from costpulse.llm.common import small_batches, table  # noqa: E402
+from costpulse import session  # noqa: E402
+
+
+def prepare(spark: SparkSession) -> None:
+    session.prepare(spark)
+    small_batches(spark)
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,7 +72,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = scratch_path(spark, "pipeline", name)
+        path = session.scratch_path(spark, "pipeline", name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

@@ -55,3 +55,9 @@ def bounded_sample(rows: DataFrame, label: str, text: str, per_label: int,
              .groupBy(label, "_h").agg(F.min("_t").alias("text")))
     return sorted(((r[label], r["_h"], r["text"]) for r in found.collect()),
                   key=lambda r: (str(r[0]), r[1]))
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what a Python worker holds of texts at once: rows and bytes of an Arrow batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
