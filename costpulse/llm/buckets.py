@@ -15,14 +15,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costpulse.llm.common import cut
+from costpulse.llm.textarrays import mix
 
 TILE = 2048
 OUT = "bucket long, id long, big boolean"
 
 
-def _runs(tile: int):
+def _runs(tile: int, merge: bool):
     """Keeps the rows of buckets with two or more different ids; input sorted by (bucket, id).
-    A run is held until it ends or outgrows ``tile``; then its rows go on as ``big``."""
+    A run is held until it ends or outgrows ``tile``; then its rows go on as ``big``. With
+    ``merge`` a small run is renamed by a hash of its ids, so that equal runs become one."""
+
+    def renamed(k, i):
+        if not merge:
+            return k
+        first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+        name = mix(np.add.reduceat(mix(i.view(np.uint64)), first))
+        return np.repeat(name.view(np.int64), np.diff(np.append(first, len(k))))
 
     def batch(keys, ids, big):
         return pa.RecordBatch.from_arrays(
@@ -50,7 +59,7 @@ def _runs(tile: int):
             whole[-1] = False
             small = whole[of] & ~big[of] & (size[of] > 1)
             if small.any():
-                yield batch(k[small], i[small], False)
+                yield batch(renamed(k[small], i[small]), i[small], False)
             sent = big[of].copy()
             last = of == len(first) - 1
             if big[-1]:
@@ -68,15 +77,18 @@ def _runs(tile: int):
             if streaming is not None:
                 yield batch(tail_k, tail_i, True)
             elif len(tail_k) > 1:
-                yield batch(tail_k, tail_i, False)
+                yield batch(renamed(tail_k, tail_i), tail_i, False)
 
     return run
 
 
-def collide(rows: DataFrame, tile: int = TILE) -> DataFrame:
-    """See the module text. ``rows``: bucket long, id long, neither null; repeats count once."""
-    found = cut(rows.select("bucket", "id").repartition("bucket")
-                .sortWithinPartitions("bucket", "id").mapInArrow(_runs(tile), OUT))
+def collide(rows: DataFrame, tile: int = TILE, merge: bool = False) -> DataFrame:
+    """See the module text. ``rows``: bucket long, id long, neither null; repeats count once.
+    With ``merge``, buckets of the same ids (alike rows share many) are given out once, under
+    a name of their own."""
+    found = rows.select("bucket", "id").repartition("bucket").sortWithinPartitions(
+        "bucket", "id").mapInArrow(_runs(tile, merge), OUT)
+    found = cut(found.distinct() if merge else found)
     small = found.filter(~F.col("big")).select("bucket", F.lit(0).alias("a"), F.lit(0).alias("b"),
                                                "id", F.lit(0).alias("own"))
     big = found.filter("big").select("bucket", "id")

@@ -203,7 +203,7 @@ def _verified(threshold: float):
 def links(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(u, v) ids of different lines that are alike, enough to connect every component."""
     texts = docs.select(F.col(text).cast("string").alias("text"))
-    tiles = cut(buckets.collide(texts.mapInArrow(_bands, "bucket long, id long")))
+    tiles = cut(buckets.collide(texts.mapInArrow(_bands, "bucket long, id long"), merge=True))
     bits = _candidate_filter(tiles)
     lines = (texts.mapInArrow(_texts(bits), "id long, line string")
              .groupBy("id").agg(F.first("line").alias("line")))
