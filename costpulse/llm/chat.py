@@ -61,7 +61,7 @@ def unescape(text: Column) -> Column:
 
 
 def _machine(roles: Column, template: Template) -> Column:
-    """struct(state, n, error): state null once a role has no move."""
+    """struct(state, n, error): state empty once a role has no move."""
     moves = F.create_map(*[F.lit(x) for state, by_role in template.moves.items()
                            for role, to in by_role.items() for x in (state + "\n" + role, to)])
     begin = F.struct(F.lit(template.start).alias("state"), F.lit(0).alias("n"),
@@ -69,7 +69,7 @@ def _machine(roles: Column, template: Template) -> Column:
 
     def move(at: Column, role: Column) -> Column:
         to = F.try_element_at(moves, F.concat(at["state"], F.lit("\n"), role))
-        return F.struct(to.alias("state"), (at["n"] + 1).alias("n"),
+        return F.struct(F.coalesce(to, F.lit("")).alias("state"), (at["n"] + 1).alias("n"),
                         F.when(at["error"].isNull() & to.isNull(), at["n"])
                         .otherwise(at["error"]).alias("error"))
 

@@ -1,12 +1,13 @@
 """License scan with a positional index of rare words.
 
 A template is a licence's wording with mandatory key phrases. The index holds, for each
-template, its ``RARE`` words of highest IDF (counted over all scanned texts) and their positions in
-the wording. A file's words that the index knows are looked up; each hit at position i of a word
-that stands at position q of a template proposes the alignment i - q. The postings are then
-intersected by relative position: the share of the template's rare words that stand where
-the alignment puts them, weighted by IDF, is the alignment's score. Alignments that reach the
-template's ``agree`` share and have every key phrase word by word in its place are finds.
+template, the ``RARE`` words of its key phrases with the highest IDF (counted over all scanned
+texts) and their positions in the wording. A file's words that the index knows are looked up;
+each hit at position i of a word that stands at position q of a template proposes the
+alignment i - q. The postings are then intersected by relative position: an alignment is a
+candidate if all of the template's rare words stand where it puts them. It is a find if every
+key phrase stands word by word in its place and the words of the whole wording that are in
+place have at least the template's ``agree`` share of the wording's IDF; that share is its score.
 
 Base phrases are templates whose only key phrase is the whole wording, so they are found exactly
 where their words stand consecutively. All of it is DataFrame functions without a shuffle of
@@ -34,7 +35,7 @@ class Template:
     label: str
     wording: str
     keys: tuple[str, ...] = ()      # mandatory phrases, each standing in the wording; () = all of it
-    agree: float = 1.0              # IDF share of rare words that must be in place
+    agree: float = 1.0              # IDF share of the wording that must be in place
     base: bool = False
 
     @property
@@ -59,7 +60,7 @@ BASE = (
 NOTICES = (
     Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of "
              "this software and associated documentation files",
-             ("permission is hereby granted free of charge",), 0.7),
+             ("permission is hereby granted free of charge",), 0.4),
     Template("gpl-3", "gnu general public license version 3", ("gnu general public license",
                                                                "version 3")),
     Template("gpl-2", "gnu general public license version 2", ("gnu general public license",
@@ -68,13 +69,13 @@ NOTICES = (
     Template("agpl-3", "gnu affero general public license", ("gnu affero general public license",)),
     Template("bsd", "redistribution and use in source and binary forms with or without modification "
              "are permitted provided that the following conditions are met",
-             ("redistribution and use in source and binary forms",), 0.7),
+             ("redistribution and use in source and binary forms",), 0.4),
     Template("mpl-2", "subject to the terms of the mozilla public license v 2 0",
-             ("mozilla public license",), 0.7),
+             ("mozilla public license",), 0.4),
     Template("isc", "permission to use copy modify and or distribute this software for any purpose "
-             "with or without fee is hereby granted", ("distribute this software for any purpose",), 0.7),
+             "with or without fee is hereby granted", ("distribute this software for any purpose",), 0.4),
     Template("unlicense", "this is free and unencumbered software released into the public domain",
-             ("free and unencumbered software",), 0.7),
+             ("free and unencumbered software",), 0.4),
 )
 TEMPLATES = BASE + NOTICES
 
@@ -96,15 +97,15 @@ def idf(docs: DataFrame, text: str = "text", templates=TEMPLATES) -> dict[str, f
 
 
 def _index(templates, weights: dict[str, float], rare: int):
-    """Per template its rare (position, word, weight) by falling IDF."""
+    """Per template the (position, word) of its rare words, by falling IDF."""
     out = []
     for t in templates:
         best: dict[str, int] = {}
-        for q, w in enumerate(t.words):
-            best.setdefault(w, q)
+        for at, phrase in t.phrases():
+            for q, w in enumerate(phrase):
+                best.setdefault(w, at + q)
         top = sorted(best, key=lambda w: (-weights[w], w))[:rare]
-        total = sum(weights[w] for w in top)
-        out.append([(best[w], w, weights[w] / total) for w in top])
+        out.append([(best[w], w) for w in top])
     return out
 
 
@@ -115,24 +116,31 @@ def scan(docs: DataFrame, weights: dict[str, float], text: str = "text", templat
     index = _index(templates, weights, rare)
     postings: dict[str, list[int]] = {}
     for t, entries in enumerate(index):
-        for q, w, _ in entries:
+        for q, w in entries:
             postings.setdefault(w, []).append((t << SHIFT) + BIAS - q)
     known = F.array(*[F.lit(w) for w in sorted(postings)])
     table = F.create_map(*[x for w, codes in sorted(postings.items())
                            for x in (F.lit(w), F.array(*[F.lit(c).cast("long") for c in codes]))])
     words = F.col("_words")
 
+    def in_place(at: Column, q: int, word: str) -> Column:
+        return F.coalesce(F.get(words, (at + q).cast("int")) == word, F.lit(False))
+
     def agreement(t: int, at: Column) -> Column:
+        wording = templates[t].words
+        whole = sum(weights[w] for w in wording)
         total = F.lit(0.0)
-        for q, w, share in index[t]:
-            total = total + F.when(F.get(words, (at + q).cast("int")) == w, share).otherwise(0.0)
+        for q, w in enumerate(wording):
+            total = total + F.when(in_place(at, q, w), weights[w] / whole).otherwise(0.0)
         return F.round(total, 9)
 
     def verified(t: int, at: Column) -> Column:
         held = F.lit(True)
+        for q, w in index[t]:
+            held = held & in_place(at, q, w)
         for q, phrase in templates[t].phrases():
             for n, w in enumerate(phrase):
-                held = held & F.coalesce(F.get(words, (at + q + n).cast("int")) == w, F.lit(False))
+                held = held & in_place(at, q + n, w)
         return held
 
     def judged(code: Column) -> Column:

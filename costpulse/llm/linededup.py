@@ -263,7 +263,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """``docs`` without the repeated lines; every row and column stays, a text whose lines all
     go becomes empty, and ``count`` (if there is such a column) is set to the new length."""
     gone = (removals(docs, key, text, threshold).filter(F.size("removed") > 0)
-            .select(F.col(key).alias("_key"), F.col("removed").alias("_removed")))
-    joined = docs.join(gone, docs[key] == F.col("_key"), "left").select(*docs.columns, "_removed")
+            .select(F.col(key).alias("__key"), F.col("removed").alias("__removed")))
+    joined = docs.join(gone, docs[key] == F.col("__key"), "left").select(*docs.columns, "__removed")
     at = docs.columns.index(count) if count in docs.columns else None
     return joined.mapInArrow(_without(docs.columns.index(text), at), docs.schema)

@@ -159,15 +159,17 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, key: str = "do
     as '') get the smallest weight named; None weighs all sources alike. The counts by source
     are all that is gathered on the driver. The documents of a source are ordered by a hash of
     the key (of the whole row where the key is null), then the key, then a hash of the row, so
-    repeated rows stay side by side. An empty table gives no rows."""
+    repeated rows stay side by side. Columns of these three names are replaced. An empty table
+    gives no rows."""
     spark = docs.sparkSession
+    docs = docs.drop("mix_phase", "mix_slot", "mix_position")
     plain = [F.col(f"`{c}`") for c in docs.columns
              if docs.schema[c].dataType.typeName() not in ("map", "variant")]
     own = F.xxhash64(*plain)
-    named = (docs.withColumn("_source", F.coalesce(F.col(source).cast("string"), F.lit("")))
-             .withColumn("_hash", F.pmod(F.when(F.col(key).isNull(), own).otherwise(
+    named = (docs.withColumn("__mix_source", F.coalesce(F.col(source).cast("string"), F.lit("")))
+             .withColumn("__mix_hash", F.pmod(F.when(F.col(key).isNull(), own).otherwise(
                  F.xxhash64(F.lit(29), key)), F.lit(HASH_SPAN))))
-    counts = {r["_source"]: r["count"] for r in named.groupBy("_source").count().collect()}
+    counts = {r["__mix_source"]: r["count"] for r in named.groupBy("__mix_source").count().collect()}
     base = weights or {}
     least = min(base.values(), default=1.0)
     plan = phases({s: -(-n // block) for s, n in counts.items()},
@@ -175,24 +177,24 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, key: str = "do
     spans, offsets = _tables(plan, counts, block)
     small = F.broadcast if len(offsets) + len(spans) <= SMALL_ROWS else (lambda df: df)
     cells = small(spark.createDataFrame([(s, -(-n // CELL)) for s, n in counts.items()],
-                                        "_source string, _cells long"))
+                                        "__mix_source string, __mix_cells long"))
     span = small(spark.createDataFrame(
-        spans, "_source string, mix_phase int, _slot0 long, _from long, _to long, _base long, "
-               "_share long, _period long, _missing long"))
-    at = small(spark.createDataFrame(offsets, "mix_phase int, _source string, _k long, _offset long"))
-
-    celled = named.join(cells, "_source").withColumn(
-        "_cell", F.expr(f"cast(_hash / {float(HASH_SPAN)} * _cells as long)"))
-    sizes = celled.groupBy("_source", "_cell").agg(F.count("*").alias("_n"))
-    before = sizes.select("_source", "_cell", (F.sum("_n").over(
-        Window.partitionBy("_source").orderBy("_cell")) - F.col("_n")).alias("_before"))
-    rank = F.row_number().over(Window.partitionBy("_source", "_cell").orderBy("_hash", key, own)) - 1
-    placed = (celled.withColumn("_rank", rank).join(before, ["_source", "_cell"])
-              .withColumn("_at", F.col("_before") + F.col("_rank"))
-              .withColumn("_block", F.expr(f"_at div {block}")))
-    return (placed.join(span, "_source").filter("_block >= _from and _block < _to")
-            .withColumn("_k", F.expr("(_block - _base) % _share"))
-            .join(at, ["mix_phase", "_source", "_k"])
-            .withColumn("mix_slot", F.expr("_slot0 + (_block - _base) div _share * _period + _offset"))
-            .withColumn("mix_position", F.expr(f"mix_slot * {block} - _missing + _at % {block}"))
+        spans, "__mix_source string, mix_phase int, __mix_slot0 long, __mix_from long, __mix_to long, __mix_base long, "
+               "__mix_share long, __mix_period long, __mix_missing long"))
+    at = small(spark.createDataFrame(offsets, "mix_phase int, __mix_source string, __mix_k long, __mix_offset long"))
+
+    celled = named.join(cells, "__mix_source").withColumn(
+        "__mix_cell", F.expr(f"cast(__mix_hash / {float(HASH_SPAN)} * __mix_cells as long)"))
+    sizes = celled.groupBy("__mix_source", "__mix_cell").agg(F.count("*").alias("__mix_n"))
+    before = sizes.select("__mix_source", "__mix_cell", (F.sum("__mix_n").over(
+        Window.partitionBy("__mix_source").orderBy("__mix_cell")) - F.col("__mix_n")).alias("__mix_before"))
+    rank = F.row_number().over(Window.partitionBy("__mix_source", "__mix_cell").orderBy("__mix_hash", key, own)) - 1
+    placed = (celled.withColumn("__mix_rank", rank).join(before, ["__mix_source", "__mix_cell"])
+              .withColumn("__mix_at", F.col("__mix_before") + F.col("__mix_rank"))
+              .withColumn("__mix_block", F.expr(f"__mix_at div {block}")))
+    return (placed.join(span, "__mix_source").filter("__mix_block >= __mix_from and __mix_block < __mix_to")
+            .withColumn("__mix_k", F.expr("(__mix_block - __mix_base) % __mix_share"))
+            .join(at, ["mix_phase", "__mix_source", "__mix_k"])
+            .withColumn("mix_slot", F.expr("__mix_slot0 + (__mix_block - __mix_base) div __mix_share * __mix_period + __mix_offset"))
+            .withColumn("mix_position", F.expr(f"mix_slot * {block} - __mix_missing + __mix_at % {block}"))
             .select(*[F.col(f"`{c}`") for c in docs.columns], "mix_phase", "mix_slot", "mix_position"))

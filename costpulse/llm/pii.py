@@ -12,8 +12,8 @@ words before it). A labelling of a zone is a sequence of segments, each a typed
 single token outside; the score of a segment is the dot product of its type's weights and its
 features. Viterbi over entity lengths bounded by ``MAX_TOKENS`` chooses boundaries and types
 together. Weights maximise the conditional likelihood (forward-backward over segments) of the
-base spans of a bounded sample of texts, plus copies of them in which every span is rewritten into
-a rough form under the same label.
+base spans of a bounded sample of texts, plus two copies of them in which every span is rewritten
+into a rough form under the same label.
 
 Decoded spans that touch a base span are dropped, so base spans always stay as they are. Null
 texts count as empty. Rows are handled one by one, whatever their ids.
@@ -227,22 +227,23 @@ class Model:
     weights: np.ndarray        # types x features
 
 
-def _rewritten(text: str, spans) -> tuple[str, list[tuple[int, int, int]]]:
-    """The text with its base spans in rough forms, and where they are now."""
+def _rewritten(text: str, spans, form: int) -> tuple[str, list[tuple[int, int, int]]]:
+    """The text with its base spans in rough form 0 or 1, and where they are now."""
     out, found, at = "", [], 0
     for kind, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
         if a < at:
             continue
         s = text[a:b]
         if kind == 0:
-            s = s.replace("@", " at ").replace(".", " dot ") if a % 2 else s.replace("@", " [at] ")
+            user, host = s.split("@")
+            s = f"{user} at {host.replace('.', ' dot ')}" if form else f"{user} [at] {host}"
         elif kind == 1:
-            s = s.replace(".", "[.]")
+            s = s.replace(".", " dot " if form else "[.]")
         elif kind == 2:
             d = re.sub("[^0-9]", "", s)
-            s = ".".join(d[i:i + 4] for i in range(0, len(d), 4))
+            s = ("/" if form else ".").join(d[i:i + 4] for i in range(0, len(d), 4))
         else:
-            s = "-".join(_DIGITS.findall(s))
+            s = (" " if form else "-").join(_DIGITS.findall(s))
         out += text[at:a]
         found.append((kind, len(out), len(out) + len(s)))
         out += s
@@ -254,7 +255,7 @@ def _train(texts: list[str], epochs: int) -> Model:
     cases = []
     for text in texts:
         spans = base_spans(text)
-        for t, gold in ((text, spans), _rewritten(text, spans)):
+        for t, gold in ((text, spans), _rewritten(text, spans, 0), _rewritten(text, spans, 1)):
             want = {(a, b): k for k, a, b in gold}
             for lo, hi in zones(t):
                 n, candidates, f = lattice(t, lo, hi)

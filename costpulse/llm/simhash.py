@@ -285,9 +285,9 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text",
     stay. Rows with a null key cannot be named and stay; a key that repeats is one document,
     of which the row with the smallest text hash stays."""
     gone = classes(docs, key, text, shingle, radius).filter(
-        F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone"))
-    left = docs.join(gone, docs[key] == F.col("_gone"), "left_anti")
+        F.col(key) != F.col("component_id")).select(F.col(key).alias("__gone"))
+    left = docs.join(gone, docs[key] == F.col("__gone"), "left_anti")
     salt = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
-    rank = F.row_number().over(Window.partitionBy(key, "_salt").orderBy(F.xxhash64(text)))
-    return (left.withColumn("_salt", salt).withColumn("_rank", rank)
-            .filter(F.col("_rank") == 1).select(*docs.columns))
+    rank = F.row_number().over(Window.partitionBy(key, "__salt").orderBy(F.xxhash64(text)))
+    return (left.withColumn("__salt", salt).withColumn("__rank", rank)
+            .filter(F.col("__rank") == 1).select(*docs.columns))
