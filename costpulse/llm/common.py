@@ -26,16 +26,20 @@ def fold(key: str, n: int):
     return F.coalesce(F.crc32(F.col(key).cast("string")) % F.lit(n), F.lit(NULL_FOLD)).cast("int")
 
 
-def bounded_sample(rows: DataFrame, label: str, text: str, per_label: int,
-                   max_bytes: int, salt: int = 7) -> list:
-    """At most ``per_label`` rows of each label and ``max_bytes`` of text in all, picked by a
-    hash of the text (so copies of one text count once), collected to the driver.
-
-    The ranking shuffles hashes and lengths only, and Spark keeps ``per_label`` rows of each
-    map partition before it shuffles (window group limit). The byte bound is shared out
-    evenly over ranks: rows are taken rank by rank until the next would exceed it."""
+def bounded_sample(rows: DataFrame, label: str, text: str, per_label: int, max_bytes: int,
+                   marks: DataFrame | None = None, key: str | None = None, salt: int = 7) -> list:
+    """(label, hash, text) of at most ``per_label`` rows of each label and ``max_bytes`` of text
+    in all, picked by a hash of the text (so copies of one text count once), collected to
+    the driver. ``label`` is a column of ``rows``, or of ``marks``, then joined by ``key``.
+
+    Only hashes and lengths are joined and ranked, and Spark keeps ``per_label`` rows of each
+    partition before it shuffles them (window group limit); texts are fetched by a broadcast
+    of the chosen hashes. Rows are taken rank by rank until the next would exceed the bytes."""
     keyed = rows.withColumn("_h", F.xxhash64(F.lit(salt), F.col(text)))
-    slim = keyed.groupBy(label, "_h").agg(F.min(F.octet_length(text)).alias("_bytes"))
+    slim = keyed.select(*([label] if marks is None else [key]), "_h",
+                        F.octet_length(text).alias("_bytes"))
+    slim = slim if marks is None else slim.join(marks, key)
+    slim = slim.groupBy(label, "_h").agg(F.min("_bytes").alias("_bytes"))
     ranked = (slim.withColumn("_rank", F.row_number().over(
         Window.partitionBy(label).orderBy("_h"))).filter(F.col("_rank") <= per_label))
     picks = sorted(ranked.collect(), key=lambda r: (r["_rank"], str(r[label])))
@@ -47,14 +51,11 @@ def bounded_sample(rows: DataFrame, label: str, text: str, per_label: int,
         chosen.append((r[label], r["_h"]))
     if not chosen:
         return []
-    spark = rows.sparkSession
-    field = rows.schema[label].dataType.simpleString()
-    wanted = spark.createDataFrame(chosen, f"{label} {field}, _h long")
-    found = (keyed.select(label, "_h", F.col(text).alias("_t"))
-             .join(F.broadcast(wanted), [label, "_h"])      # at most labels x per_label rows
-             .groupBy(label, "_h").agg(F.min("_t").alias("text")))
-    return sorted(((r[label], r["_h"], r["text"]) for r in found.collect()),
-                  key=lambda r: (str(r[0]), r[1]))
+    wanted = rows.sparkSession.createDataFrame([(h,) for h in {h for _, h in chosen}], "_h long")
+    texts = {r["_h"]: r["_t"] for r in
+             keyed.select("_h", F.col(text).alias("_t")).join(F.broadcast(wanted), "_h")
+             .groupBy("_h").agg(F.min("_t").alias("_t")).collect()}   # at most labels x per_label
+    return sorted(((y, h, texts[h]) for y, h in chosen), key=lambda r: (str(r[0]), r[1]))
 
 
 def small_batches(spark: SparkSession) -> None:

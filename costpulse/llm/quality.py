@@ -111,10 +111,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     marks = (labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).filter(train)
              .groupBy(key).agg(F.min(label).alias("_lo"), F.max(label).alias("_y"))
              .filter("_lo = _y").select(key, "_y"))
-    rows = (docs.filter(train & F.col(text).isNotNull()).select(key, F.col(text).alias("_text"))
-            .join(marks, key).select("_y", "_text"))
+    rows = docs.filter(train & F.col(text).isNotNull()).select(key, F.col(text).alias("_text"))
     share = {r["_y"]: r["count"] for r in marks.groupBy("_y").count().collect()}
-    sample = bounded_sample(rows, "_y", "_text", per_label, max_bytes)
+    sample = bounded_sample(rows, "_y", "_text", per_label, max_bytes, marks, key)
     good = [t for y, _, t in sample if y == 1]
     bad = [t for y, _, t in sample if y == 0]
     ones, zeros = share.get(1, 0), share.get(0, 0)
