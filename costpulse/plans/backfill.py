@@ -13,18 +13,23 @@ from costpulse.operators import anomalies as an
 from costpulse.operators import quality, rollups
 from costpulse.sources import raw_json
 from costpulse.session import ensure_checkpoint_dir
+from costpulse.sinks import tables
 from costpulse.streaming import jobs
 
 
 def run(spark: SparkSession, raw: DataFrame, paths: jobs.Paths,
-        config: jobs.StreamConfig | None = None, batch_id: int = 0) -> None:
+        config: jobs.StreamConfig | None = None, batch_id: int | None = None) -> None:
     """Land ``raw`` messages, then rebuild rollups and anomalies from the same messages.
 
+    The run has batch numbers of its own (``tables.new_run``), so it adds to what live streams
+    have stored and never replaces it; ``batch_id`` repeats an earlier run in its place.
+
     The decoded, assessed rows are checkpointed once (reliable checkpoint in
     ``spark.checkpoint.dir``) so the three outputs do not re-parse the messages, and a lost
     executor recomputes from the checkpoint instead of from the source.
     """
     config = config or jobs.StreamConfig()
+    batch_id = tables.new_run() if batch_id is None else batch_id
     ensure_checkpoint_dir(spark)
     assessed = quality.assess(raw_json.decode(raw), spark).checkpoint(eager=True)
     jobs.land_assessed(spark, assessed, batch_id, paths, config.landing_mode)
@@ -47,8 +52,8 @@ def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="python -m costpulse.plans.backfill")
     p.add_argument("--base", required=True, help="folder of the stored tables (shared)")
     p.add_argument("--path", required=True, help="JSON-lines messages to replay")
-    p.add_argument("--batch-id", type=int, default=0,
-                   help="partition of this run in the append tables (a re-run overwrites it)")
+    p.add_argument("--batch-id", type=int, default=None,
+                   help="number of an earlier run to overwrite (default: a new run's)")
     p.add_argument("--compact", action="store_true",
                    help="afterwards, compact the dates present in the event table")
     args = p.parse_args(argv)

@@ -18,6 +18,7 @@ old row in the old date partition (``latest_by_key`` resolves that at read time)
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -27,8 +28,6 @@ from pyspark.sql import functions as F
 
 from costpulse.session import ensure_checkpoint_dir
 
-# A micro-batch normally touches one or two dates; refuse to rewrite an unbounded set.
-MAX_TOUCHED_PARTITIONS = 1000
 SOURCE_RANK = "_source_rank"
 
 
@@ -56,16 +55,6 @@ def latest_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Colum
     return df.groupBy(*key).agg(best.alias("_row")).select("_row.*")
 
 
-def _partition_filter(parts: list[tuple], partition_cols: Sequence[str]) -> Column:
-    cond = F.lit(False)
-    for values in parts:
-        one = F.lit(True)
-        for c, v in zip(partition_cols, values):
-            one = one & (F.col(c).isNull() if v is None else (F.col(c) == F.lit(v)))
-        cond = cond | one
-    return cond
-
-
 def upsert(spark: SparkSession, batch: DataFrame, path: str, key: Sequence[str],
            order: Sequence[str], partition_cols: Sequence[str] = ("dt",),
            sort_cols: Sequence[str] = (), drop: Sequence[str] = ()) -> None:
@@ -85,17 +74,16 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, key: Sequence[str],
 
 
 def _upsert(spark, batch, path, key, order, partition_cols, sort_cols, drop) -> None:
-    parts = [tuple(r) for r in batch.select(*partition_cols).distinct().limit(
-        MAX_TOUCHED_PARTITIONS + 1).collect()]
-    if len(parts) > MAX_TOUCHED_PARTITIONS:
-        raise ValueError(f"batch touches more than {MAX_TOUCHED_PARTITIONS} partitions")
-    if not parts:
+    if batch.isEmpty():
         return
     incoming = batch.withColumn(SOURCE_RANK, F.lit(1))
     if table_exists(spark, path):
-        stored = (spark.read.parquet(path)
-                  .where(_partition_filter(parts, partition_cols))
-                  .withColumn(SOURCE_RANK, F.lit(0)))
+        # Only the touched partitions: a semi-join on their values, which prunes the other
+        # directories at run time, however many there are.
+        touched = batch.select(*[F.col(c).alias(f"_t_{c}") for c in partition_cols]).distinct()
+        stored = spark.read.parquet(path)
+        same = [stored[c].eqNullSafe(touched[f"_t_{c}"]) for c in partition_cols]
+        stored = stored.join(touched, same, "left_semi").withColumn(SOURCE_RANK, F.lit(0))
         combined = stored.unionByName(incoming, allowMissingColumns=True)
     else:
         combined = incoming
@@ -118,6 +106,36 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
         .partitionBy(*partition_cols).parquet(path))
 
 
+RUN_FILE = "_costpulse_run"
+BATCHES_PER_RUN = 1_000_000
+
+
+def new_run() -> int:
+    """First batch number of a run that starts now. Numbers of different runs never meet, and
+    those of a later run are larger, so "the last batch wins" holds across runs."""
+    return time.time_ns() // 1_000_000 * BATCHES_PER_RUN
+
+
+def run_of(spark: SparkSession, checkpoint: str) -> int:
+    """First batch number of the stream with this checkpoint folder. It is kept in the folder:
+    a restarted stream goes on with its numbers, a new checkpoint is a new run."""
+    Path, fs = filesystem(spark, checkpoint)
+    name = Path(f"{checkpoint.rstrip('/')}/{RUN_FILE}")
+    if fs.exists(name):
+        stream = fs.open(name)
+        try:
+            return int(stream.readLong())
+        finally:
+            stream.close()
+    first = new_run()
+    out = fs.create(name, False)
+    try:
+        out.writeLong(first)
+    finally:
+        out.close()
+    return first
+
+
 def append_batch(df: DataFrame, batch_id: int, path: str,
                  partition_cols: Sequence[str] = (), sort_cols: Sequence[str] = ()) -> None:
     """K3: append-only table, idempotent per micro-batch (replay overwrites the batch).
@@ -125,7 +143,13 @@ def append_batch(df: DataFrame, batch_id: int, path: str,
     A date that receives rows after it was compacted loses its compaction marker, so
     readers deduplicate it again (late events are rare, the check reads metadata only).
     """
-    rows = df.withColumn("batch_id", F.lit(int(batch_id)))
+    rows = df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+    if tuple(partition_cols) == ("dt",):
+        # A replay may put rows under another date (processing time past midnight): what an
+        # earlier attempt of this batch wrote goes first.
+        Path, fs = filesystem(df.sparkSession, path)
+        for st in fs.globStatus(Path(f"{path.rstrip('/')}/dt=*/batch_id={int(batch_id)}")) or []:
+            fs.delete(st.getPath(), True)
     write_partitioned(rows, path, [*partition_cols, "batch_id"], sort_cols)
     if tuple(partition_cols) == ("dt",):
         spark = df.sparkSession
@@ -181,9 +205,11 @@ def compact(spark: SparkSession, path: str, dates: Sequence, key: Sequence[str],
         if not fs.exists(fresh):
             continue
         old = Path(f"{staging}/_old_{name}")
-        if fs.exists(target):
-            fs.rename(target, old)
-        fs.rename(fresh, target)
+        if fs.exists(target) and not fs.rename(target, old):
+            raise OSError(f"cannot move {target} aside")
+        if not fs.rename(fresh, target):
+            fs.rename(old, target)
+            raise OSError(f"cannot move {fresh} into place")
         fs.delete(old, True)
         fs.create(Path(f"{path.rstrip('/')}/{name}/{COMPACTED_MARKER}"), True).close()
     fs.delete(Path(staging), True)

@@ -20,29 +20,8 @@ from costpulse.functions import pricing, timefn
 EVENTS_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
-def read_events(spark: SparkSession, sf_dir: str, spread_rows: bool = True) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    return spread(df) if spread_rows else df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use the cluster's cores even when the input has few splits.
-
-    Scan parallelism is the number of file splits; a small table in one Parquet row group
-    is one task for everything up to the first shuffle. When the scan yields fewer than
-    half the default parallelism, rows are dealt round-robin over that many partitions
-    (one cheap shuffle that buys parallel per-row work). A large input already has many
-    splits and is left alone, so no extra shuffle is added at scale.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        # Split count from the JVM plan (``df.rdd`` would build a Python RDD wrapper first).
-        splits = df._jdf.rdd().getNumPartitions()
-    except Exception:          # no JVM handle (Spark Connect): leave the plan as it is
-        return df
-    if splits * 2 <= cores:
-        return df.repartition(cores)
-    return df
+def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def model_bands(spark: SparkSession) -> DataFrame:
@@ -62,8 +41,7 @@ def llm_events(spark: SparkSession, sf_dir: str, since: dt.datetime | None = Non
     if since is None:
         events = read_events(spark, sf_dir)
     else:
-        # A ranged read keeps a small slice; spreading it would cost more than it saves.
-        events = read_events(spark, sf_dir, spread_rows=False).where(
+        events = read_events(spark, sf_dir).where(
             F.col("ts") >= timefn.ntz_lit(since))
     return adapt(events, model_bands(spark))
 
@@ -122,7 +100,7 @@ def adapt(events: DataFrame, bands: DataFrame) -> DataFrame:
 
 def max_event_time(spark: SparkSession, sf_dir: str) -> dt.datetime:
     """``as_of`` for reproducible reports: the newest landed event time (one scalar)."""
-    row = read_events(spark, sf_dir, spread_rows=False).agg(
+    row = read_events(spark, sf_dir).agg(
         timefn.to_ms_ntz(F.max("ts")).alias("m")).first()
     return row["m"]
 

@@ -12,16 +12,22 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from costpulse import schemas
 from costpulse.functions import timefn
-from costpulse.sinks.tables import compacted_dates, latest_by_key, partition_dates
+from costpulse.sinks.tables import latest_by_key, table_exists
 
 TIME_COLUMN = {"events": "ts", "rollups": "window_start", "anomalies": "detected_at"}
 
 
 def read_ranged(spark: SparkSession, path: str, time_col: str,
-                since: dt.datetime | None = None, date_col: str = "dt") -> DataFrame:
+                since: dt.datetime | None = None, date_col: str = "dt",
+                schema: T.StructType | None = None) -> DataFrame:
+    """The stored rows of the range; a table nothing was written to yet has ``schema`` and no
+    rows."""
+    if schema is not None and not table_exists(spark, path):
+        return spark.createDataFrame([], schema)
     df = spark.read.parquet(path)
     if since is not None:
         df = df.where((F.col(date_col) >= F.lit(since.date()))
@@ -32,6 +38,13 @@ def read_ranged(spark: SparkSession, path: str, time_col: str,
 MERGE_COLUMNS = ("batch_id", "arrival_key")
 
 
+def _stored(schema: T.StructType, *numbers: str) -> T.StructType:
+    """``schema`` with nullable columns and the folder columns of a stored table."""
+    fields = [T.StructField(f.name, f.dataType) for f in schema.fields]
+    return T.StructType([*fields, *(T.StructField(n, T.LongType()) for n in numbers),
+                         T.StructField("dt", T.DateType())])
+
+
 def events(spark: SparkSession, path: str, since: dt.datetime | None = None,
            latest: bool = True) -> DataFrame:
     """Landed events in the ``llm_events`` shape.
@@ -40,40 +53,34 @@ def events(spark: SparkSession, path: str, since: dt.datetime | None = None,
     newest per event_id (the last batch, then the last arrival) with one aggregate over the
     range read. An upserted table is already one row per event_id.
     """
-    return _latest(spark, read_ranged(spark, path, "ts", since), path, ["event_id"],
+    return _latest(spark, read_ranged(spark, path, "ts", since,
+                                      schema=_stored(schemas.LLM_EVENTS)), path, ["event_id"],
                    list(MERGE_COLUMNS), latest)
 
 
 def _latest(spark: SparkSession, df: DataFrame, path: str, key: list[str], order: list[str],
             latest: bool) -> DataFrame:
-    """Merge-on-read: deduplicate only the dates not yet compacted (a compacted date holds
-    one row per key already), then drop the bookkeeping columns."""
+    """Merge-on-read: one row per key over all dates read, compacted or not (a key re-sent
+    under another date is resolved across them), without the bookkeeping columns."""
     if "batch_id" not in df.columns:
         return df.drop("dt")
     if latest:
-        done = compacted_dates(spark, path)
-        pending = set(partition_dates(spark, path)) - set(done)
-        in_done = F.col("dt").cast("string").isin(done)
-        if not done:
-            df = latest_by_key(df, key, order)
-        elif pending:
-            fresh = latest_by_key(df.where(~in_done), key, order)
-            df = df.where(in_done).unionByName(fresh)
-        # else: every date is compacted, rows are already one per key
-
+        df = latest_by_key(df, key, order)
     return df.drop("dt", *[c for c in order if c in df.columns])
 
 
 def rollups(spark: SparkSession, path: str, since: dt.datetime | None = None,
             latest: bool = True) -> DataFrame:
     """Stored rollups; for an appended table the last batch per key (see ``events``)."""
-    return _latest(spark, read_ranged(spark, path, "window_start", since), path,
+    return _latest(spark, read_ranged(spark, path, "window_start", since,
+                                      schema=_stored(schemas.COST_ROLLUPS)), path,
                    list(schemas.ROLLUP_KEY), ["batch_id"], latest)
 
 
 def anomalies(spark: SparkSession, path: str, since: dt.datetime | None = None) -> DataFrame:
     """Stored anomalies (append-only; ``batch_id`` kept for audit)."""
-    return read_ranged(spark, path, "detected_at", since).drop("dt")
+    return read_ranged(spark, path, "detected_at", since,
+                       schema=_stored(schemas.ANOMALY_EVENTS, "batch_id")).drop("dt")
 
 
 def jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str],

@@ -164,6 +164,8 @@ ARRIVAL_COLUMNS = ("source", "arrival_key", "arrival_time")
 def land_batch(spark: SparkSession, raw: DataFrame, batch_id: int, paths: Paths,
                mode: str = "append") -> None:
     """Decode + assess once; land accepted rows, append the quarantine (K1, K5, K7)."""
+    if "arrival_key" in raw.columns:
+        raw = raw_json.numbered(raw)
     land_assessed(spark, quality.assess(raw_json.decode(raw), spark), batch_id, paths, mode)
 
 
@@ -233,9 +235,10 @@ def store_anomalies(spark: SparkSession, stats: DataFrame, batch_id: int, paths:
 
 def landing(spark: SparkSession, raw: DataFrame, paths: Paths, config: StreamConfig,
             available_now: bool = False) -> StreamingQuery:
+    first = tables.run_of(spark, f"{paths.checkpoints}/landing")
     writer = (raw.writeStream.queryName("landing")
               .option("checkpointLocation", f"{paths.checkpoints}/landing")
-              .foreachBatch(lambda batch, batch_id: land_batch(spark, batch, batch_id, paths,
+              .foreachBatch(lambda batch, batch_id: land_batch(spark, batch, first + batch_id, paths,
                                                                config.landing_mode)))
     return _start(spark, writer, config.triggers.landing, available_now, config)
 
@@ -247,10 +250,11 @@ def rollup_stream(spark: SparkSession, raw: DataFrame, config: StreamConfig) ->
 
 def rollup_job(spark: SparkSession, raw: DataFrame, paths: Paths, config: StreamConfig,
                available_now: bool = False) -> StreamingQuery:
+    first = tables.run_of(spark, f"{paths.checkpoints}/rollups")
     writer = (rollup_stream(spark, raw, config).writeStream.queryName("rollups")
               .outputMode("append")
               .option("checkpointLocation", f"{paths.checkpoints}/rollups")
-              .foreachBatch(lambda batch, batch_id: store_rollups(spark, batch, paths, batch_id,
+              .foreachBatch(lambda batch, batch_id: store_rollups(spark, batch, paths, first + batch_id,
                                                                   config.rollup_mode)))
     return _start(spark, writer, config.triggers.rollups, available_now, config)
 
@@ -264,10 +268,11 @@ def stats_stream(spark: SparkSession, raw: DataFrame, config: StreamConfig) -> D
 def anomaly_job(spark: SparkSession, raw: DataFrame, paths: Paths, config: StreamConfig,
                 available_now: bool = False) -> StreamingQuery:
     """One aggregate (one state store) feeding the detectors; both sinks in one batch."""
+    first = tables.run_of(spark, f"{paths.checkpoints}/anomalies")
     writer = (stats_stream(spark, raw, config).writeStream.queryName("anomalies")
               .outputMode("append")
               .option("checkpointLocation", f"{paths.checkpoints}/anomalies")
-              .foreachBatch(lambda batch, batch_id: store_anomalies(spark, batch, batch_id,
+              .foreachBatch(lambda batch, batch_id: store_anomalies(spark, batch, first + batch_id,
                                                                     paths, config)))
     return _start(spark, writer, config.triggers.anomalies, available_now, config)
 

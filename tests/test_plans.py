@@ -94,16 +94,6 @@ def test_provider_conflicts_detects_two_providers(spark):
     assert rollups.provider_conflicts(bad).count() == 6
 
 
-def test_spread_only_for_few_splits(spark):
-    cores = spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=cores)
-    assert fixtures.spread(many) is many                 # enough splits: untouched
-    one = spark.range(0, 1000, numPartitions=1)
-    spread = fixtures.spread(one)
-    assert spread.rdd.getNumPartitions() == cores
-    assert sorted(r[0] for r in spread.collect()) == list(range(1000))   # rows kept whole
-
-
 _BATCH_KEYS = [k for k in registry.REGISTRY if not k.startswith("stream_")
                and k != "upsert_latest"]
 
