@@ -64,7 +64,7 @@ def rounded_stats(stats: DataFrame) -> DataFrame:
         "window_start", "window_end", "model", "total_requests",
         F.col("avg_latency_ms").cast(schemas.LATENCY_TYPE).alias("avg_latency_ms"),
         F.col("error_rate").cast("decimal(12,6)").alias("error_rate"),
-        F.col("total_cost_usd").cast("decimal(18,6)").alias("total_cost_usd"),
+        F.col("total_cost_usd").cast("decimal(28,6)").alias("total_cost_usd"),
         *[F.col(c).cast(schemas.LATENCY_TYPE).alias(c) for c in extra],
     )
     return out

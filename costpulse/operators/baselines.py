@@ -82,7 +82,8 @@ def latency_baseline(stats: DataFrame, config: BaselineConfig = DEFAULT_BASELINE
 def cost_baseline(stats: DataFrame, config: BaselineConfig = DEFAULT_BASELINE,
                   detected_at: Column | None = None) -> DataFrame:
     """Window cost against the rolling average cost of the previous windows."""
-    src = stats.withColumn("cost", F.col("total_cost_usd").cast("decimal(18,6)"))
+    # 16 integer digits: products with the factor and the window count stay exact.
+    src = stats.withColumn("cost", F.col("total_cost_usd").cast("decimal(22,6)"))
     return _ratio_rows(src, "cost", "cost_spike", config.lookback,
                        config.cost_warning_ratio, None, detected_at)
 

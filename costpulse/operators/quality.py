@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from costpulse import schemas
 from costpulse.functions import checks
 from costpulse.sources import raw_json
 
@@ -32,7 +33,8 @@ def good(assessed: DataFrame) -> DataFrame:
     """Rows the store accepts, in the landed 14-column shape plus arrival metadata."""
     ok = assessed.where(F.col("accepted"))
     meta = [c for c in ("source", "arrival_key", "arrival_time") if c in assessed.columns]
-    return raw_json.landed(ok, *meta)
+    return raw_json.landed(ok, *meta).withColumn(
+        "cost_usd", F.col("cost_usd").try_cast(schemas.COST_TYPE))
 
 
 def quarantined(assessed: DataFrame) -> DataFrame:

@@ -127,10 +127,10 @@ def cost_by_minute(stats: DataFrame) -> DataFrame:
 
 def cost_by_model(rollups: DataFrame, as_of: dt.datetime,
                   range_: str = timefn.DEFAULT_RANGE) -> DataFrame:
-    """ROUND(SUM(total_cost_usd), 4) per model over stored rollups, largest first."""
+    """SUM(total_cost_usd) per model over stored rollups (4 decimals), largest first."""
     return (_in_range(rollups, "window_start", as_of, range_)
             .groupBy("model")
-            .agg(F.round(F.sum("total_cost_usd"), 4).cast("decimal(18,4)").alias("total_cost"))
+            .agg(F.sum("total_cost_usd").cast("decimal(38,4)").alias("total_cost"))
             .orderBy(F.desc("total_cost"), "model"))
 
 

@@ -75,9 +75,9 @@ SELECT {bucket(minutes)} AS window_start,
   CAST(sum(CASE WHEN status = 'success' THEN 1 ELSE 0 END) AS BIGINT) AS success_count,
   CAST(sum(CASE WHEN status <> 'success' THEN 1 ELSE 0 END) AS BIGINT) AS error_count,
   CAST(sum(CAST(total_tokens AS BIGINT)) AS BIGINT) AS total_tokens,
-  CAST(sum(cost_usd) AS DECIMAL(12,4)) AS total_cost_usd,
-  {dec("avg(CAST(latency_ms AS DOUBLE))", 10, 2)} AS avg_latency_ms,
-  {dec("quantile_cont(latency_ms, 0.95)", 10, 2)} AS p95_latency_ms
+  CAST(sum(cost_usd) AS DECIMAL(28,4)) AS total_cost_usd,
+  {dec("avg(CAST(latency_ms AS DOUBLE))", 12, 2)} AS avg_latency_ms,
+  {dec("quantile_cont(latency_ms, 0.95)", 12, 2)} AS p95_latency_ms
 FROM llm_events GROUP BY ALL)"""
 
 
@@ -105,8 +105,8 @@ def anomalies_cte(minutes: int, name: str = "anomalies", warn=_WARN, crit=_CRIT)
                               ("cost_spike", "CAST(total_cost_usd AS DOUBLE)", warn[2], crit[2])):
         arms.append(f"""SELECT window_end + INTERVAL 10 SECONDS AS detected_at,
   '{typ}' AS anomaly_type, model, CAST(NULL AS VARCHAR) AS user_id,
-  {dec(metric, 12, 4)} AS metric_value,
-  CAST(CASE WHEN {metric} >= {c} THEN {c} ELSE {w} END AS DECIMAL(12,4)) AS threshold_value,
+  {dec(metric, 38, 4)} AS metric_value,
+  CAST(CASE WHEN {metric} >= {c} THEN {c} ELSE {w} END AS DECIMAL(38,4)) AS threshold_value,
   CASE WHEN {metric} >= {c} THEN 'critical' ELSE 'warning' END AS severity,
   window_start, window_end
 FROM anomaly_stats_{minutes} WHERE {metric} >= {w}""")
@@ -125,7 +125,7 @@ def _half_up_div_1e4(sum_col: str, scale: int, factor: int, n_col: str) -> str:
     num = f"{factor} * {units}" + (f" * {10 ** (4 - scale)}" if scale <= 4 else "")
     den = n_col if scale <= 4 else f"{n_col} * {10 ** (scale - 4)}"
     return (f"CAST(CAST((2 * {num} + {den}) // (2 * {den}) AS DECIMAL(38,0)) * 0.0001 "
-            f"AS DECIMAL(12,4))")
+            f"AS DECIMAL(38,4))")
 
 
 def ratio_baseline_sql(metric_sql: str, scale: int, anomaly_type: str, warning: int,
@@ -138,7 +138,7 @@ flagged AS (SELECT *, {crit} AS is_critical FROM based
   WHERE base_n > 0 AND metric * base_n > {warning} * base_sum)
 SELECT window_end + INTERVAL 10 SECONDS AS detected_at, '{anomaly_type}' AS anomaly_type, model,
   CAST(NULL AS VARCHAR) AS user_id,
-  CAST(metric AS DECIMAL(12,4)) AS metric_value,
+  CAST(metric AS DECIMAL(38,4)) AS metric_value,
   CASE WHEN is_critical THEN {_half_up_div_1e4("base_sum", scale, critical or warning, "base_n")}
        ELSE {_half_up_div_1e4("base_sum", scale, warning, "base_n")} END AS threshold_value,
   CASE WHEN is_critical THEN 'critical' ELSE 'warning' END AS severity,
@@ -156,6 +156,6 @@ scored AS (SELECT *, avg(value) OVER w AS mean, stddev_samp(value) OVER w AS std
   FROM long WINDOW w AS {_frame(lookback, "model, metric")}),
 z AS (SELECT *, (value - mean) / nullif(stddev, 0) AS z FROM scored)
 SELECT window_start, window_end, model, metric,
-  {dec("value", 12, 4)} AS value, {dec("mean", 12, 4)} AS mean,
-  {dec("stddev", 12, 4)} AS stddev, {dec("z", 12, 4)} AS z
+  {dec("value", 38, 4)} AS value, {dec("mean", 38, 4)} AS mean,
+  {dec("stddev", 38, 4)} AS stddev, {dec("z", 38, 4)} AS z
 FROM z WHERE abs(z) > {z}"""

@@ -76,14 +76,6 @@ for _m, _suffix in ((60, "60m"), (1440, "1d")):
              "A1 A3-A6 T2 N1 P3 P4")(_rollup(_m))
 
 
-@register("provider_conflicts", oracle.with_events(
-    """SELECT model, count(DISTINCT provider) AS providers FROM llm_events
-GROUP BY model HAVING count(DISTINCT provider) > 1"""), "Q8")
-def provider_conflicts(spark, sf_dir):
-    """Models seen with more than one provider (none in a consistent catalogue)."""
-    return rollups.provider_conflicts(fixtures.llm_events(spark, sf_dir))
-
-
 # ---------------------------------------------------------------------------- window stats
 
 def _stats(minutes):
@@ -94,10 +86,10 @@ def _stats(minutes):
 
 
 _STATS_SELECT = f"""SELECT window_start, window_end, model, total_requests,
-  {oracle.dec("avg_latency_ms", 10, 2)} AS avg_latency_ms,
+  {oracle.dec("avg_latency_ms", 12, 2)} AS avg_latency_ms,
   {oracle.dec("error_rate", 12, 6)} AS error_rate,
-  CAST(total_cost_usd AS DECIMAL(18,6)) AS total_cost_usd,
-  {oracle.dec("p95_latency_ms", 10, 2)} AS p95_latency_ms
+  CAST(total_cost_usd AS DECIMAL(28,6)) AS total_cost_usd,
+  {oracle.dec("p95_latency_ms", 12, 2)} AS p95_latency_ms
 FROM stats"""
 
 for _m, _suffix in ((5, "5m"), (60, "60m")):
@@ -186,6 +178,26 @@ def kpis(spark, sf_dir):
     return reports.kpis(events, as_of, REPORT_RANGE)
 
 
+_RANGE_KPIS = "\nUNION ALL\n".join(f"""SELECT '{r}' AS report_range, count(*) AS total_requests,
+  CAST(COALESCE(round(sum(cost_usd), 4), 0) AS DECIMAL(18,4)) AS total_cost_usd,
+  CAST(COALESCE(round(avg(CASE WHEN status = 'success' THEN latency_ms END)), 0) AS BIGINT)
+    AS avg_latency_ms
+FROM llm_events WHERE ts >= (SELECT as_of FROM as_of) - INTERVAL '{r}'"""
+                                 for r in schemas.REPORT_RANGES)
+
+
+@register("kpis_all_ranges", _ev(_RANGE_KPIS), "R1-R3 F1 F4")
+def kpis_all_ranges(spark, sf_dir):
+    """The KPI row of every range the dashboard offers."""
+    as_of = fixtures.max_event_time(spark, sf_dir)
+    found = None
+    for r in schemas.REPORT_RANGES:
+        events = fixtures.llm_events(spark, sf_dir, since=timefn.range_start(as_of, r))
+        row = reports.kpis(events, as_of, r).select(F.lit(r).alias("report_range"), "*")
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
 @register("kpi_anomalies", _ev(f"""SELECT count(*) AS active_anomalies FROM anomalies
   WHERE detected_at >= {_RANGE_SQL}""", oracle.anomalies_cte(ANOMALY_WINDOW_MIN)),
           "R4 F3 A3")
@@ -224,7 +236,7 @@ for _name, (_measure, _extra, _report, _ops) in _MINUTE_REPORTS.items():
 
 
 @register("cost_by_model", _ev(f"""SELECT model,
-  CAST(round(sum(total_cost_usd), 4) AS DECIMAL(18,4)) AS total_cost
+  CAST(sum(total_cost_usd) AS DECIMAL(38,4)) AS total_cost
 FROM rollups WHERE window_start >= {_RANGE_SQL}
 GROUP BY model ORDER BY total_cost DESC, model""", oracle.rollup_cte(60)), "R10 A9 F2 L2")
 def cost_by_model(spark, sf_dir):
@@ -235,9 +247,7 @@ def cost_by_model(spark, sf_dir):
 
 
 @register("recent_anomalies", _ev(f"""SELECT detected_at, anomaly_type, severity, model, user_id,
-  CAST(round(metric_value, 4) AS DECIMAL(12,4)) AS metric_value,
-  CAST(round(threshold_value, 4) AS DECIMAL(12,4)) AS threshold_value,
-  window_start, window_end
+  metric_value, threshold_value, window_start, window_end
 FROM anomalies WHERE detected_at >= {_RANGE_SQL}
 ORDER BY detected_at DESC, anomaly_type, model, window_start DESC LIMIT 100""",
                                    oracle.anomalies_cte(ANOMALY_WINDOW_MIN)), "R11 F3 L3")
@@ -266,7 +276,7 @@ def _baseline_stats(spark, sf_dir):
                            with_p95=True)
 
 
-_N2 = oracle.ratio_baseline_sql(oracle.dec("p95_latency_ms", 10, 2), 2, "latency_spike",
+_N2 = oracle.ratio_baseline_sql(oracle.dec("p95_latency_ms", 12, 2), 2, "latency_spike",
                                 *schemas.LATENCY_BASELINE_RATIOS)
 _N3 = oracle.ratio_baseline_sql("CAST(total_cost_usd AS DECIMAL(18,6))", 6, "cost_spike",
                                 schemas.COST_BASELINE_RATIO, None)
@@ -301,15 +311,17 @@ def zscore(spark, sf_dir):
 # ---------------------------------------------------------------------------- ingest
 
 def _rule_case() -> str:
-    arms = " ".join(f"WHEN n % {r.modulus} = 0 THEN '{r.name}'" for r in replay.RULES)
+    on = {None: "", "success": " AND status = 'success'", "failure": " AND status <> 'success'"}
+    arms = " ".join(f"WHEN n % {r.modulus} = 0{on[r.on]} THEN '{r.name}'" for r in replay.RULES)
     return f"CASE {arms} END"
 
 
 _RULED = ("ruled AS (SELECT *, " + _rule_case() + " AS rule FROM "
           "(SELECT *, CAST(right(event_id, 12) AS BIGINT) AS n FROM llm_events))")
-_QUARANTINE_RULES = ", ".join(f"'{r.name}'" for r in replay.RULES if r.kind == "quarantine")
-_RULE_VALUES = ", ".join(f"('{r.name}', '{r.kind}', '{r.reason}')"
-                         for r in replay.RULES if r.kind)
+_QUARANTINE_RULES = ", ".join(f"'{r.name}'" for r in replay.RULES
+                              if any(kind == "quarantine" for kind, _ in r.outcomes))
+_RULE_VALUES = ", ".join(f"('{r.name}', '{kind}', '{reason}')"
+                         for r in replay.RULES for kind, reason in r.outcomes)
 
 
 def _assessed(spark, sf_dir):
@@ -319,12 +331,23 @@ def _assessed(spark, sf_dir):
 
 # Expected landed rows of the damaged replay: damaged-by-field rows land changed, rows the
 # store rejects are left out.
-_LANDED_SQL = oracle.with_events(f"""SELECT event_id, ts,
+_LANDED_CTE = f"""landed AS (SELECT event_id, ts,
   CASE WHEN rule = 'unlisted_model' THEN 'unlisted-model' ELSE model END AS model,
-  provider, user_id, session_id, prompt_tokens, completion_tokens,
-  CASE WHEN rule = 'total_off_by_one' THEN total_tokens + 1 ELSE total_tokens END AS total_tokens,
-  cost_usd, latency_ms, status, error_code, request_id
-FROM ruled WHERE rule IS NULL OR rule NOT IN ({_QUARANTINE_RULES})""", _RULED)
+  CASE WHEN rule = 'other_provider' THEN 'other' ELSE provider END AS provider,
+  user_id, session_id,
+  CASE WHEN rule = 'prompt_over' THEN 32001 ELSE prompt_tokens END AS prompt_tokens,
+  CASE WHEN rule = 'completion_over' THEN 4097 ELSE completion_tokens END AS completion_tokens,
+  CASE rule WHEN 'total_off_by_one' THEN total_tokens + 1
+    WHEN 'prompt_over' THEN 32001 + completion_tokens
+    WHEN 'completion_over' THEN prompt_tokens + 4097 ELSE total_tokens END AS total_tokens,
+  CAST(CASE rule WHEN 'free_call' THEN 0 WHEN 'cost_off' THEN cost_usd + 0.01
+    WHEN 'cost_on_failure' THEN 0.5 ELSE cost_usd END AS DECIMAL(12,6)) AS cost_usd,
+  CASE WHEN rule = 'latency_low' THEN 49 ELSE latency_ms END AS latency_ms,
+  CASE WHEN rule = 'status_word' THEN 'unknown' ELSE status END AS status,
+  CASE WHEN rule = 'code_on_success' THEN 'server_error' ELSE error_code END AS error_code,
+  request_id
+FROM ruled WHERE rule IS NULL OR rule NOT IN ({_QUARANTINE_RULES}))"""
+_LANDED_SQL = oracle.with_events("SELECT * FROM landed", _RULED, _LANDED_CTE)
 
 
 @register("json_roundtrip", _LANDED_SQL, "S4 P1 P2 K4 K7 Q1-Q12 J1")
@@ -339,6 +362,14 @@ def quarantine_reasons(spark, sf_dir):
     return quality.reason_counts(_assessed(spark, sf_dir))
 
 
+@register("provider_conflicts", oracle.with_events(
+    """SELECT model, count(DISTINCT provider) AS providers FROM landed
+GROUP BY model HAVING count(DISTINCT provider) > 1""", _RULED, _LANDED_CTE), "Q8")
+def provider_conflicts(spark, sf_dir):
+    """Models that the damaged replay lands with more than one provider."""
+    return rollups.provider_conflicts(quality.good(_assessed(spark, sf_dir)))
+
+
 # ---------------------------------------------------------------------------- upsert
 
 _UPSERT_SQL = oracle.with_events("""SELECT * EXCLUDE (batch, rn) FROM (
@@ -384,6 +415,29 @@ def _stream_source(spark, sf_dir) -> tuple[str, jobs.Paths]:
     return source, jobs.Paths.under(base)
 
 
+DELIVERIES = 3
+
+
+def _delivered_in_order(spark, sf_dir, job) -> jobs.Paths:
+    """The messages arrive in time order in ``DELIVERIES`` parts of equal time; after each,
+    ``job(raw, paths)`` runs until it has read them and stops. Every run but the first goes
+    on from the checkpoint, with the windows that the last part left open."""
+    base = scratch_path(spark, "streams")
+    source, paths = f"{base}/source", jobs.Paths.under(base)
+    events = fixtures.llm_events(spark, sf_dir)
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    if first is None:                            # an empty table: one empty delivery
+        first = last = dt.datetime(1970, 1, 1)
+    step = (last - first) / DELIVERIES
+    for i in range(DELIVERIES):
+        part = events.where(F.col("ts") >= timefn.ntz_lit(first + i * step)) if i else events
+        if i < DELIVERIES - 1:
+            part = part.where(F.col("ts") < timefn.ntz_lit(first + (i + 1) * step))
+        replay.messages(part).write.mode("append").text(source)
+        _await(job(raw_json.json_lines_stream(spark, source), paths))
+    return paths
+
+
 def _replay_config(spark, **kw) -> jobs.StreamConfig:
     """State partitions sized to the replayed input (one fixture file set), not to the
     session default meant for large shuffles."""
@@ -400,9 +454,8 @@ def _await(query):
     "SELECT * FROM rollups WHERE window_end <= (SELECT wm FROM wm)",
     _WATERMARK_SQL, oracle.rollup_cte(60)), "S1-S6 T1 T2 T4 T6 K2 A1")
 def stream_rollup_closed(spark, sf_dir):
-    source, paths = _stream_source(spark, sf_dir)
-    _await(jobs.rollup_job(spark, raw_json.json_lines_stream(spark, source), paths,
-                           _replay_config(spark), available_now=True))
+    paths = _delivered_in_order(spark, sf_dir, lambda raw, p: jobs.rollup_job(
+        spark, raw, p, _replay_config(spark), available_now=True))
     return source_tables.rollups(spark, paths.rollups)
 
 
@@ -414,11 +467,10 @@ _ANOMALY_COLS = ("anomaly_type", "model", "user_id", "metric_value", "threshold_
     f"SELECT {', '.join(_ANOMALY_COLS)} FROM anomalies WHERE window_end <= (SELECT wm FROM wm)",
     _WATERMARK_SQL, oracle.anomalies_cte(60)), "T1 T3 T4 T6 U1 K3 K4 K5")
 def stream_anomalies_closed(spark, sf_dir):
-    source, paths = _stream_source(spark, sf_dir)
     config = _replay_config(spark, anomaly_minutes=60)
-    _await(jobs.anomaly_job(spark, raw_json.json_lines_stream(spark, source), paths, config,
-                            available_now=True))
-    return spark.read.parquet(paths.anomalies).select(*_ANOMALY_COLS)
+    paths = _delivered_in_order(spark, sf_dir, lambda raw, p: jobs.anomaly_job(
+        spark, raw, p, config, available_now=True))
+    return source_tables.anomalies(spark, paths.anomalies).select(*_ANOMALY_COLS)
 
 
 @register("stream_dedup", oracle.with_events("SELECT * FROM llm_events"), "T8 S4")

@@ -141,9 +141,9 @@ COST_ROLLUPS = T.StructType([
     T.StructField("success_count", T.LongType(), False),
     T.StructField("error_count", T.LongType(), False),
     T.StructField("total_tokens", T.LongType(), False),
-    T.StructField("total_cost_usd", T.DecimalType(12, 4), False),
-    T.StructField("avg_latency_ms", T.DecimalType(10, 2), True),
-    T.StructField("p95_latency_ms", T.DecimalType(10, 2), True),
+    T.StructField("total_cost_usd", T.DecimalType(28, 4), False),
+    T.StructField("avg_latency_ms", T.DecimalType(12, 2), True),
+    T.StructField("p95_latency_ms", T.DecimalType(12, 2), True),
 ])
 ROLLUP_KEY = ("window_start", "model", "user_id")
 
@@ -153,15 +153,18 @@ ANOMALY_EVENTS = T.StructType([
     T.StructField("anomaly_type", T.StringType(), False),
     T.StructField("model", T.StringType(), True),
     T.StructField("user_id", T.StringType(), True),
-    T.StructField("metric_value", T.DecimalType(12, 4), False),
-    T.StructField("threshold_value", T.DecimalType(12, 4), False),
+    T.StructField("metric_value", T.DecimalType(38, 4), False),
+    T.StructField("threshold_value", T.DecimalType(38, 4), False),
     T.StructField("severity", T.StringType(), False),
     T.StructField("window_start", T.TimestampNTZType(), False),
     T.StructField("window_end", T.TimestampNTZType(), False),
 ])
 
-# Decimal types of the stored measures.
+# Decimal types of the stored measures. The aggregation jobs read costs from the wire wider
+# than the event table stores them; sums and metrics have room for any number of such calls,
+# so no window, however large its cost or z-score, can fail a batch.
+WIRE_COST_TYPE = T.DecimalType(18, 6)
 COST_TYPE = T.DecimalType(12, 6)
-ROLLUP_COST_TYPE = T.DecimalType(12, 4)
-LATENCY_TYPE = T.DecimalType(10, 2)
-METRIC_TYPE = T.DecimalType(12, 4)
+ROLLUP_COST_TYPE = T.DecimalType(28, 4)
+LATENCY_TYPE = T.DecimalType(12, 2)
+METRIC_TYPE = T.DecimalType(38, 4)

@@ -91,8 +91,8 @@ def decode(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """S4 + P2: tolerant decode.
 
     Missing fields become NULL; numeric fields arrive as text and are try-cast (integer text
-    is accepted, fractions or words are not); an unparsable message keeps its text in
-    ``_corrupt_record``. Adds ``event_time`` (ms, NTZ). The raw text and arrival columns are
+    is accepted, fractions or words are not; a cost of 10^12 USD or more is no number); an
+    unparsable message keeps its text in ``_corrupt_record``. Adds ``event_time`` (ms, NTZ). The raw text and arrival columns are
     kept for the quarantine.
     """
     passthrough = [c for c in raw.columns if c != "_parsed"]
@@ -105,7 +105,7 @@ def decode(raw: DataFrame, value_col: str = "value") -> DataFrame:
         if f.name in schemas.INT_FIELDS:
             fields += [c.try_cast("int").alias(f.name), c.alias(f"{f.name}_text")]
         elif f.name == "cost_usd":
-            fields += [c.try_cast(schemas.COST_TYPE).alias(f.name), c.alias("cost_usd_text")]
+            fields += [c.try_cast(schemas.WIRE_COST_TYPE).alias(f.name), c.alias("cost_usd_text")]
         else:
             fields.append(c.alias(f.name))
     fields.append(timefn.parse_event_time(j["timestamp"]).alias("event_time"))
