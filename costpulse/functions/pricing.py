@@ -49,7 +49,18 @@ def catalogue(spark: SparkSession, models=MODELS) -> DataFrame:
     rows = catalogue_rows(models)
     if len(rows) > MAX_BROADCAST_CATALOGUE_ROWS:
         raise ValueError(f"catalogue has {len(rows)} rows; too large to broadcast")
-    return spark.createDataFrame(rows, CATALOGUE_SCHEMA)
+    # A literal relation: planning and broadcasting it needs no job over Python rows.
+    columns = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}"
+                        for f in CATALOGUE_SCHEMA.fields)
+    values = ", ".join("(" + ", ".join(_literal(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT {columns} FROM VALUES {values} "
+                     f"AS t({', '.join(CATALOGUE_SCHEMA.fieldNames())})")
+
+
+def _literal(value: str | int) -> str:
+    if isinstance(value, int):
+        return str(value)
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def with_catalogue(events: DataFrame, cat: DataFrame, how: str = "left") -> DataFrame:

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from costpulse.operators import anomalies as an
 from costpulse.operators import quality, rollups
 from costpulse.sources import raw_json
-from costpulse.session import ensure_checkpoint_dir
 from costpulse.sinks import tables
 from costpulse.streaming import jobs
 
@@ -24,20 +23,19 @@ def run(spark: SparkSession, raw: DataFrame, paths: jobs.Paths,
     The run has batch numbers of its own (``tables.new_run``), so it adds to what live streams
     have stored and never replaces it; ``batch_id`` repeats an earlier run in its place.
 
-    The decoded, assessed rows are checkpointed once (reliable checkpoint in
-    ``spark.checkpoint.dir``) so the three outputs do not re-parse the messages, and a lost
-    executor recomputes from the checkpoint instead of from the source.
+    Each output decodes the messages in its own pass, so nothing but the outputs is stored:
+    holding the decoded rows (with their raw text) would take several times the input.
     """
     config = config or jobs.StreamConfig()
     batch_id = tables.new_run() if batch_id is None else batch_id
-    ensure_checkpoint_dir(spark)
-    assessed = quality.assess(raw_json.decode(raw), spark).checkpoint(eager=True)
-    jobs.land_assessed(spark, assessed, batch_id, paths, config.landing_mode)
+    decoded = raw_json.decode(raw)
+    jobs.land_assessed(spark, quality.assess(decoded, spark), batch_id, paths, config.landing_mode,
+                       keep=False)
     # The aggregates count the same rows as the streaming jobs (see jobs.aggregatable).
-    jobs.store_rollups(spark, rollups.cost_rollups(jobs.countable(assessed, jobs.ROLLUP_KEYS),
+    jobs.store_rollups(spark, rollups.cost_rollups(jobs.countable(decoded, jobs.ROLLUP_KEYS),
                                                    config.rollup_minutes, config.percentile),
                        paths, batch_id, config.rollup_mode)
-    stats = an.window_stats(jobs.countable(assessed, jobs.STATS_KEYS), config.anomaly_minutes,
+    stats = an.window_stats(jobs.countable(decoded, jobs.STATS_KEYS), config.anomaly_minutes,
                             with_p95=config.baselines is not None, percentile=config.percentile)
     jobs.store_anomalies(spark, stats, batch_id, paths, config,
                          detected_at=an.event_time_detection())

@@ -18,7 +18,7 @@ from costpulse import schemas
 from costpulse.functions import timefn
 from costpulse.operators import anomalies as an
 from costpulse.operators import baselines, quality, reports, rollups
-from costpulse.plans import oracle
+from costpulse.plans import backfill, dashboard, oracle
 from costpulse.session import prepare, scratch_path
 from costpulse.sinks import tables
 from costpulse.sources import fixtures, raw_json, replay
@@ -506,11 +506,73 @@ def stream_landing(spark, sf_dir):
 FROM ruled JOIN (VALUES {_RULE_VALUES}) AS rules(rule, kind, reason) USING (rule)
 WHERE kind = 'quarantine' GROUP BY reason""", _RULED), "K7 K3 Q1-Q3 Q10 Q12")
 def stream_quarantine(spark, sf_dir):
-    bad = spark.read.parquet(_landed_stream(spark, sf_dir).quarantine)
+    bad = source_tables.quarantine(spark, _landed_stream(spark, sf_dir).quarantine)
     return (bad.select(F.explode("reasons").alias("reason"))
                .groupBy("reason").agg(F.count(F.lit(1)).alias("events")))
 
 
+# ---------------------------------------------------------------------------- stored tables
+# The reports as the dashboard runs them: over the tables that a backfill of the messages has
+# stored, pruned to the range, with the newest stored event time as "now".
+
+def _stored_panel(panel):
+    def plan(spark, sf_dir):
+        source, paths = _stream_source(spark, sf_dir)
+        backfill.run(spark, raw_json.json_lines(spark, source), paths)
+        as_of = source_tables.newest_time(spark, paths.events, "ts")
+        return dashboard.panels(spark, paths, REPORT_RANGE, as_of)[panel]
+    return plan
+
+
+for _panel, _key, _ops in (
+        ("error_rate", "error_rate", "S7 R6"),
+        ("cost_by_model", "cost_by_model", "S8 R10 K2"),
+        ("recent_anomalies", "recent_anomalies", "S9 R11 K3"),
+        ("live_feed", "live_feed", "S7 R12")):
+    register(f"stored_{_panel}", REGISTRY[_key].sql, _ops)(_stored_panel(_panel))
+
+
+@register("stored_kpis_all_ranges", _ev(_RANGE_KPIS), "S7 R1-R3 F1 F4")
+def stored_kpis_all_ranges(spark, sf_dir):
+    source, paths = _stream_source(spark, sf_dir)
+    backfill.run(spark, raw_json.json_lines(spark, source), paths)
+    as_of = source_tables.newest_time(spark, paths.events, "ts")
+    found = None
+    for r in schemas.REPORT_RANGES:
+        row = dashboard.panels(spark, paths, r, as_of)["kpis"].select(
+            F.lit(r).alias("report_range"), "*")
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
+@register("redelivered_compacted", oracle.with_events("""SELECT * EXCLUDE (n) REPLACE (
+  CASE WHEN n % 5 <> 0 AND n % 3 = 0 THEN ts + INTERVAL 1 DAY ELSE ts END AS ts,
+  CASE WHEN n % 5 = 0 THEN latency_ms + 3 WHEN n % 3 = 0 THEN latency_ms + 1
+    ELSE latency_ms END AS latency_ms)
+FROM (SELECT *, CAST(right(event_id, 12) AS BIGINT) AS n FROM llm_events)"""), "K1 S7 T7 T8 K8")
+def redelivered_compacted(spark, sf_dir):
+    """A live landing of all events; a backfill that sends every third again a day later; then
+    one that sends every fifth twice in the same file. Dates are compacted after each run, in
+    the end all. The last delivery of an event is the one that counts."""
+    source, paths = _stream_source(spark, sf_dir)
+    events = fixtures.llm_events(spark, sf_dir)
+    n = F.right("event_id", F.lit(12)).cast("bigint")
+    later = (events.where(n % 3 == 0).withColumn("latency_ms", F.col("latency_ms") + 1)
+             .withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY")))
+    twice = (events.where(n % 5 == 0)
+             .withColumn("_more", F.explode(F.array(F.lit(2), F.lit(3))))
+             .withColumn("latency_ms", F.col("latency_ms") + F.col("_more")).drop("_more"))
+    _await(jobs.landing(spark, raw_json.json_lines_stream(spark, source), paths,
+                        _replay_config(spark), available_now=True))
+    for name, part in (("later", later), ("twice", twice)):
+        jobs.compact_events(spark, paths, tables.partition_dates(spark, paths.events)[::2])
+        again = f"{source}_{name}"
+        replay.messages(part).write.text(again)
+        backfill.run(spark, raw_json.json_lines(spark, again), paths)
+    jobs.compact_events(spark, paths, tables.partition_dates(spark, paths.events))
+    return source_tables.events(spark, paths.events)
+
+
 def queries() -> dict[str, Plan]:
     return {name: q.plan for name, q in REGISTRY.items()}
 

@@ -160,6 +160,15 @@ ANOMALY_EVENTS = T.StructType([
     T.StructField("window_end", T.TimestampNTZType(), False),
 ])
 
+# Dead letters of the landing job.
+QUARANTINE = T.StructType([
+    T.StructField("value", T.StringType()),
+    T.StructField("reasons", T.ArrayType(T.StringType())),
+    T.StructField("source", T.StringType()),
+    T.StructField("arrival_key", T.StringType()),
+    T.StructField("arrival_time", T.TimestampNTZType()),
+])
+
 # Decimal types of the stored measures. The aggregation jobs read costs from the wire wider
 # than the event table stores them; sums and metrics have room for any number of such calls,
 # so no window, however large its cost or z-score, can fail a batch.

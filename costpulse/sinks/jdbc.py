@@ -3,7 +3,7 @@
 * ``append``: parallel batched inserts (``batchsize`` rows per round trip, at most
   ``max_connections`` tasks writing at once); failed tasks are retried by Spark
   (``spark.task.maxFailures``).
-* ``upsert``: executors bulk-load a staging table in parallel, then one
+* ``upsert``: executors bulk-load a staging table of this call's own in parallel, then one
   ``INSERT .. SELECT .. ON CONFLICT (key) DO UPDATE`` statement merges it inside the
   database. No row passes through the driver; the driver only issues the statement.
 
@@ -13,6 +13,7 @@ not exercised by the tests; the Parquet sinks are the tested path).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def append(df: DataFrame, url: str, table: str, properties: dict[str, str],
            batchsize: int = 500, max_connections: int = 16) -> None:
-    (df.coalesce(max_connections).write.format("jdbc").mode("append")
+    (df.repartition(max_connections).write.format("jdbc").mode("append")
        .option("url", url).option("dbtable", table).option("batchsize", int(batchsize))
        .options(**properties).save())
 
@@ -50,8 +51,9 @@ def upsert(spark: SparkSession, df: DataFrame, url: str, table: str, key: Sequen
            properties: dict[str, str], staging: str | None = None, batchsize: int = 500,
            max_connections: int = 16) -> None:
     """Keyed upsert; ``df`` must hold one row per key (see ``sinks.tables.latest_by_key``)."""
-    staging = staging or f"{table}_staging"
-    (df.coalesce(max_connections).write.format("jdbc").mode("overwrite")
+    staging = staging or f"{table}_staging_{uuid.uuid4().hex[:12]}"
+    (df.repartition(max_connections).write.format("jdbc").mode("overwrite")
        .option("truncate", "true").option("url", url).option("dbtable", staging)
        .option("batchsize", int(batchsize)).options(**properties).save())
     _execute(spark, url, properties, upsert_sql(table, staging, df.columns, key))
+    _execute(spark, url, properties, f"DROP TABLE {staging}")

@@ -25,8 +25,7 @@ from collections.abc import Callable, Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from costpulse.session import ensure_checkpoint_dir
+from pyspark.sql import types as T
 
 SOURCE_RANK = "_source_rank"
 
@@ -169,8 +168,13 @@ def filesystem(spark: SparkSession, path: str):
     return Path, Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def write_all(df: DataFrame, writers: Sequence[Callable[[DataFrame], None]]) -> None:
-    """K5: feed several sinks from one computation."""
+def write_all(df: DataFrame, writers: Sequence[Callable[[DataFrame], None]],
+              keep: bool = True) -> None:
+    """K5: feed several sinks from one computation (``keep``: held until all have it)."""
+    if not keep:
+        for write in writers:
+            write(df)
+        return
     df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for write in writers:
@@ -179,13 +183,33 @@ def write_all(df: DataFrame, writers: Sequence[Callable[[DataFrame], None]]) ->
         df.unpersist()
 
 
+# Folder number of compacted rows; their own batch numbers are a column of the files.
+COMPACTED_BATCH = -1
+OWN_BATCH = "own_batch_id"
+
+
+def read_deliveries(spark: SparkSession, path: str) -> DataFrame:
+    """The stored rows as delivered: ``batch_id`` is the batch that brought the row, whether
+    its date was compacted since or not. (An upserted table has no batches.)"""
+    found = spark.read.parquet(path)
+    if "batch_id" not in found.columns:
+        return found
+    fields = [T.StructField(f.name, T.LongType()) if f.name == "batch_id" else f
+              for f in found.schema.fields if f.name != OWN_BATCH]
+    schema = T.StructType([T.StructField(OWN_BATCH, T.LongType()), *fields])
+    return (spark.read.schema(schema).parquet(path)
+            .withColumn("batch_id", F.coalesce(F.col(OWN_BATCH), F.col("batch_id")))
+            .drop(OWN_BATCH))
+
+
 def compact(spark: SparkSession, path: str, dates: Sequence, key: Sequence[str],
-            order: Sequence[str], partition_col: str = "dt") -> None:
+            order: Sequence[str], partition_col: str = "dt",
+            sort_cols: Sequence[str] = ()) -> None:
     """Rewrite the given date partitions of an append-only (merge-on-read) table with one
-    row per key, keeping each surviving row in its original ``batch_id`` partition.
+    row per key, as few files per date: all batches of a date share one folder, and each
+    surviving row keeps its batch number as a column (``read_deliveries``).
 
-    The deduplicated rows are materialised with a reliable ``checkpoint()`` first (the job
-    replaces the very files it reads), written to a hidden staging folder in one job, then
+    The rows are written to a hidden staging folder in one job, the inputs untouched, then
     each date directory is swapped in by rename. Run it on dates the landing no longer
     writes to (older than the watermark plus a margin): a batch appended to a date between
     the read and the swap would be replaced with the rest of that date.
@@ -193,11 +217,11 @@ def compact(spark: SparkSession, path: str, dates: Sequence, key: Sequence[str],
     dates = list(dates)
     if not dates or not table_exists(spark, path):
         return
-    rows = spark.read.parquet(path).where(F.col(partition_col).isin(dates))
-    ensure_checkpoint_dir(spark)
-    latest = latest_by_key(rows, key, order).checkpoint(eager=True)
+    rows = read_deliveries(spark, path).where(F.col(partition_col).isin(dates))
+    latest = (latest_by_key(rows, key, order).withColumnRenamed("batch_id", OWN_BATCH)
+              .withColumn("batch_id", F.lit(COMPACTED_BATCH).cast("long")))
     staging = f"{path.rstrip('/')}/_compact_{uuid.uuid4().hex}"
-    write_partitioned(latest, staging, [partition_col, "batch_id"])
+    write_partitioned(latest, staging, [partition_col, "batch_id"], sort_cols)
     Path, fs = filesystem(spark, path)
     for d in dates:
         name = f"{partition_col}={d}"

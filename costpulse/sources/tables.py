@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from costpulse import schemas
 from costpulse.functions import timefn
-from costpulse.sinks.tables import latest_by_key, table_exists
+from costpulse.sinks.tables import latest_by_key, partition_dates, read_deliveries, table_exists
 
 TIME_COLUMN = {"events": "ts", "rollups": "window_start", "anomalies": "detected_at"}
 
@@ -28,7 +28,7 @@ def read_ranged(spark: SparkSession, path: str, time_col: str,
     rows."""
     if schema is not None and not table_exists(spark, path):
         return spark.createDataFrame([], schema)
-    df = spark.read.parquet(path)
+    df = read_deliveries(spark, path)
     if since is not None:
         df = df.where((F.col(date_col) >= F.lit(since.date()))
                       & (F.col(time_col) >= timefn.ntz_lit(since)))
@@ -77,12 +77,26 @@ def rollups(spark: SparkSession, path: str, since: dt.datetime | None = None,
                    list(schemas.ROLLUP_KEY), ["batch_id"], latest)
 
 
+def newest_time(spark: SparkSession, path: str, time_col: str) -> dt.datetime | None:
+    """The newest ``time_col`` of a stored table, from its newest date alone."""
+    dates = partition_dates(spark, path)
+    if not dates:
+        return None
+    newest = read_deliveries(spark, path).where(F.col("dt") == F.lit(dates[-1]).cast("date"))
+    return newest.agg(F.max(time_col)).first()[0]
+
+
 def anomalies(spark: SparkSession, path: str, since: dt.datetime | None = None) -> DataFrame:
     """Stored anomalies (append-only; ``batch_id`` kept for audit)."""
     return read_ranged(spark, path, "detected_at", since,
                        schema=_stored(schemas.ANOMALY_EVENTS, "batch_id")).drop("dt")
 
 
+def quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """K7: the dead letters stored so far."""
+    return read_ranged(spark, path, "arrival_time", schema=_stored(schemas.QUARANTINE, "batch_id"))
+
+
 def jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str],
          partition_column: str | None = None, lower: int | None = None,
          upper: int | None = None, partitions: int = 8) -> DataFrame:

@@ -42,6 +42,13 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--rollup-mode", choices=("append", "upsert"), default="append")
     p.add_argument("--baselines", action="store_true",
                    help="also run the rolling-baseline detectors (N2-N4)")
+    p.add_argument("--percentile", choices=("exact", "approx"), default="exact",
+                   help="p95 from all latencies of a group, or from a sketch of fixed size")
+    p.add_argument("--anomaly-topic",
+                   help="also send the anomalies to this Kafka topic (needs --bootstrap)")
+    p.add_argument("--anomaly-jdbc-url",
+                   help="also append the anomalies to this database (its driver on the classpath)")
+    p.add_argument("--anomaly-jdbc-table", default="anomaly_events")
     p.add_argument("--state-partitions", type=int, default=None)
     p.add_argument("--available-now", action="store_true",
                    help="process what is available, then stop (backfill / tests)")
@@ -65,7 +72,14 @@ def main(argv=None) -> None:
         def source():
             return raw_json.json_lines_stream(spark, args.path, args.max_files_per_trigger)
 
+    if args.anomaly_topic and not args.bootstrap:
+        raise SystemExit("--anomaly-topic needs --bootstrap or KAFKA_BOOTSTRAP_SERVERS")
     config = jobs.StreamConfig(
+        percentile=args.percentile,
+        anomaly_json_sinks=(jobs.kafka_anomalies(args.bootstrap, args.anomaly_topic),)
+        if args.anomaly_topic else (),
+        anomaly_row_sinks=(jobs.jdbc_anomalies(args.anomaly_jdbc_url, args.anomaly_jdbc_table, {}),)
+        if args.anomaly_jdbc_url else (),
         landing_mode=args.landing_mode, rollup_mode=args.rollup_mode,
         rollup_minutes=args.rollup_minutes, anomaly_minutes=args.anomaly_minutes,
         baselines=BaselineConfig() if args.baselines else None,

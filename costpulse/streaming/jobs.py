@@ -31,7 +31,7 @@ from costpulse import schemas
 from costpulse.operators import anomalies as an
 from costpulse.operators import baselines, quality, rollups
 from costpulse.session import ensure_checkpoint_dir
-from costpulse.sinks import tables
+from costpulse.sinks import jdbc, tables
 from costpulse.sources import raw_json
 from costpulse.sources import tables as source_tables
 
@@ -93,6 +93,10 @@ class StreamConfig:
     # State store of the stateful aggregates, also fixed at first start. RocksDB keeps
     # large keyed window state off the JVM heap and checkpoints it incrementally.
     state_store: str | None = ROCKSDB_PROVIDER
+    # Further sinks of the anomalies, each called once per micro-batch with the JSON messages
+    # (key, value) or the rows, e.g. ``kafka_anomalies`` or ``jdbc_anomalies``.
+    anomaly_json_sinks: tuple[Callable[[DataFrame], None], ...] = ()
+    anomaly_row_sinks: tuple[Callable[[DataFrame], None], ...] = ()
 
 
 def _start(spark: SparkSession, writer, every: str | None, available_now: bool,
@@ -170,17 +174,19 @@ def land_batch(spark: SparkSession, raw: DataFrame, batch_id: int, paths: Paths,
 
 
 def land_assessed(spark: SparkSession, assessed: DataFrame, batch_id: int, paths: Paths,
-                  mode: str = "append") -> None:
+                  mode: str = "append", keep: bool = True) -> None:
+    """``keep`` holds the assessed rows for both sinks, as a micro-batch should; a backfill of
+    any size decodes them again instead."""
     if mode not in ("append", "upsert"):
         raise ValueError(f"landing mode {mode!r}")
 
     def land(df: DataFrame) -> None:
         good = tables.with_date(quality.good(df), "ts")
         if mode == "append":
-            keep = good.drop(*[c for c in ("source", "arrival_time") if c in good.columns])
-            if "arrival_key" not in keep.columns:
-                keep = keep.withColumn("arrival_key", F.lit(None).cast("string"))
-            tables.append_batch(keep, batch_id, paths.events, ["dt"], sort_cols=["model", "ts"])
+            rows = good.drop(*[c for c in ("source", "arrival_time") if c in good.columns])
+            if "arrival_key" not in rows.columns:
+                rows = rows.withColumn("arrival_key", F.lit(None).cast("string"))
+            tables.append_batch(rows, batch_id, paths.events, ["dt"], sort_cols=["model", "ts"])
         else:
             tables.upsert(spark, good, paths.events, key=["event_id"], order=["arrival_key"],
                           partition_cols=["dt"], sort_cols=["model", "ts"],
@@ -191,7 +197,7 @@ def land_assessed(spark: SparkSession, assessed: DataFrame, batch_id: int, paths
             "dt", F.coalesce(F.to_date("arrival_time"), F.current_date()))
         tables.append_batch(bad, batch_id, paths.quarantine, ["dt"])
 
-    tables.write_all(assessed, [land, quarantine])
+    tables.write_all(assessed, [land, quarantine], keep)
 
 
 def store_rollups(spark: SparkSession, rows: DataFrame, paths: Paths, batch_id: int = 0,
@@ -226,11 +232,25 @@ def store_anomalies(spark: SparkSession, stats: DataFrame, batch_id: int, paths:
             lambda df: tables.append_batch(df, batch_id, paths.anomalies, ["dt"]),
             lambda df: tables.append_batch(raw_json.encode_anomalies(df, "dt"), batch_id,
                                            paths.anomalies_json, ["dt"]),
+            *[lambda df, put=put: put(raw_json.encode_anomalies(df, "dt").drop("dt"))
+              for put in config.anomaly_json_sinks],
+            *[lambda df, put=put: put(df.drop("dt")) for put in config.anomaly_row_sinks],
         ])
     finally:
         stats.unpersist()
 
 
+def kafka_anomalies(bootstrap: str, topic: str) -> Callable[[DataFrame], None]:
+    """K4: the anomaly topic, for ``StreamConfig.anomaly_json_sinks``. At least once: a replayed
+    micro-batch sends its messages again."""
+    return lambda messages: raw_json.kafka_write(messages, bootstrap, topic)
+
+
+def jdbc_anomalies(url: str, table: str, properties: dict[str, str]) -> Callable[[DataFrame], None]:
+    """K3 in a database, for ``StreamConfig.anomaly_row_sinks`` (append, at least once)."""
+    return lambda rows: jdbc.append(rows, url, table, properties)
+
+
 # ---------------------------------------------------------------------------- jobs
 
 def landing(spark: SparkSession, raw: DataFrame, paths: Paths, config: StreamConfig,
@@ -333,12 +353,14 @@ def _baseline_rows(spark: SparkSession, stats: DataFrame, batch_id: int, paths:
 
 def compact_events(spark: SparkSession, paths: Paths, dates) -> None:
     """Maintenance for merge-on-read landing: one row per event_id in closed dates."""
-    tables.compact(spark, paths.events, dates, ["event_id"], ["batch_id", "arrival_key"])
+    tables.compact(spark, paths.events, dates, ["event_id"], ["batch_id", "arrival_key"],
+                   sort_cols=["model", "ts"])
 
 
 def compact_rollups(spark: SparkSession, paths: Paths, dates) -> None:
     """Maintenance for appended rollups: one row per rollup key in closed dates."""
-    tables.compact(spark, paths.rollups, dates, list(schemas.ROLLUP_KEY), ["batch_id"])
+    tables.compact(spark, paths.rollups, dates, list(schemas.ROLLUP_KEY), ["batch_id"],
+                   sort_cols=["model", "window_start"])
 
 
 # ---------------------------------------------------------------------------- dedup

@@ -9,10 +9,12 @@ import os
 from pyspark.sql import functions as F
 
 from costpulse import schemas
+from costpulse.operators import anomalies as an
 from costpulse.plans import dashboard
 from costpulse.sinks import tables as sinks
-from costpulse.sources import raw_json, tables
+from costpulse.sources import fixtures, raw_json, tables
 from costpulse.streaming import jobs
+from tests.conftest import SF_SMALL
 
 SHAPE = "event_id string, v int, dt date, arrival_key string"
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
@@ -54,6 +56,32 @@ def test_key_resent_under_another_date_survives_compaction_once(spark, tmp_dir):
         assert stored(spark, path) == want
 
 
+def test_compaction_leaves_one_file_of_many_batches(spark, tmp_dir):
+    path = f"{tmp_dir}/events"
+    for batch in range(50):
+        sinks.append_batch(rows(spark, (f"e{batch}", batch, D1), ("hot", batch, D1)), batch, path,
+                           ["dt"])
+    before = stored(spark, path)
+    sinks.compact(spark, path, [D1], ["event_id"], ["batch_id", "arrival_key"])
+    assert stored(spark, path) == before and len(before) == 51 and ("hot", 49) in before
+    assert len(spark.read.parquet(path).inputFiles()) == 1
+    own = {r["event_id"]: r["batch_id"] for r in sinks.read_deliveries(spark, path).collect()}
+    assert own["e7"] == 7 and own["hot"] == 49
+    # An earlier batch that comes again doesn't win over what came after it.
+    sinks.append_batch(rows(spark, ("hot", 3, D1)), 3, path, ["dt"])
+    assert stored(spark, path) == before
+
+
+def test_further_sinks_get_each_anomaly_batch(spark, tmp_dir):
+    messages, plain = [], []
+    config = jobs.StreamConfig(anomaly_json_sinks=(lambda m: messages.append(m.columns),),
+                               anomaly_row_sinks=(lambda r: plain.append(r.columns),))
+    stats = an.window_stats(fixtures.llm_events(spark, SF_SMALL), 60)
+    jobs.store_anomalies(spark, stats, 0, jobs.Paths.under(tmp_dir), config)
+    assert messages == [["key", "value"]]
+    assert plain == [schemas.ANOMALY_EVENTS.fieldNames()]
+
+
 def test_last_line_of_a_file_wins(spark, tmp_dir):
     with open(os.path.join(tmp_dir, "a.json"), "w") as out:
         for v in (1, 2):

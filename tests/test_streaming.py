@@ -94,7 +94,7 @@ def test_landing_upsert_restart_and_quarantine(spark, tmp_dir, mode):
     if mode == "append":
         assert spark.read.parquet(paths.events).count() == 3      # both deliveries of 2
         jobs.compact_events(spark, paths, [dt.date(2024, 1, 5), dt.date(2024, 1, 6)])
-        stored = spark.read.parquet(paths.events)
+        stored = sinks.read_deliveries(spark, paths.events)
         assert stored.count() == 2
         assert {(r["event_id"][-1], r["batch_id"] - first) for r in stored.collect()} == \
             {("1", 0), ("2", 1)}
