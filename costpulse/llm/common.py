@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from costpulse.session import ensure_checkpoint_dir
 
 NULL_FOLD = -1
+LEAST = 4        # texts a label keeps in a bounded sample, if need be as leading parts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,29 @@ def fold(key: str, n: int):
     return F.coalesce(F.crc32(F.col(key).cast("string")) % F.lit(n), F.lit(NULL_FOLD)).cast("int")
 
 
+def _share_out(lengths: dict, max_bytes: int) -> list:
+    """(label, place, bytes) of the texts that each label takes from its ``lengths`` by rank.
+    Labels that ask for little come first and leave the rest of their share (the bytes left over
+    the labels left) to the others, so a share is at least ``max_bytes`` / labels. A text that
+    doesn't fit what is left of the share is skipped; a label that so keeps fewer than
+    ``LEAST`` texts takes the leading parts of its first ones."""
+    left, taken = max_bytes, []
+    order = sorted(lengths, key=lambda y: (sum(lengths[y]), str(y)))
+    for n, y in enumerate(order):
+        share = left // (len(order) - n)
+        room, own = share, []
+        for i, size in enumerate(lengths[y]):
+            if size <= room:
+                own.append((i, size))
+                room -= size
+        if len(own) < min(LEAST, len(lengths[y])):
+            parts = max(1, min(LEAST, len(lengths[y]), share))
+            own = [(i, min(size, share // parts)) for i, size in enumerate(lengths[y][:parts])]
+        left -= sum(size for _, size in own)
+        taken += [(y, i, size) for i, size in own]
+    return taken
+
+
 def bounded_sample(rows: DataFrame, label: str, text: str, per_label: int, max_bytes: int,
                    marks: DataFrame | None = None, key: str | None = None, salt: int = 7) -> list:
     """(label, hash, text) of at most ``per_label`` rows of each label and ``max_bytes`` of text
@@ -34,28 +58,34 @@ def bounded_sample(rows: DataFrame, label: str, text: str, per_label: int, max_b
 
     Only hashes and lengths are joined and ranked, and Spark keeps ``per_label`` rows of each
     partition before it shuffles them (window group limit); texts are fetched by a broadcast
-    of the chosen hashes. Rows are taken rank by rank until the next would exceed the bytes."""
+    of the chosen hashes. Every label has its share of the bytes (``_share_out``); texts above
+    ``max_bytes`` rank last."""
     keyed = rows.withColumn("_h", F.xxhash64(F.lit(salt), F.col(text)))
     slim = keyed.select(*([label] if marks is None else [key]), "_h",
                         F.octet_length(text).alias("_bytes"))
     slim = slim if marks is None else slim.join(marks, key)
     slim = slim.groupBy(label, "_h").agg(F.min("_bytes").alias("_bytes"))
     ranked = (slim.withColumn("_rank", F.row_number().over(
-        Window.partitionBy(label).orderBy("_h"))).filter(F.col("_rank") <= per_label))
-    picks = sorted(ranked.collect(), key=lambda r: (r["_rank"], str(r[label])))
-    total, chosen = 0, []
-    for r in picks:
-        if total + r["_bytes"] > max_bytes:
-            break
-        total += r["_bytes"]
-        chosen.append((r[label], r["_h"]))
+        Window.partitionBy(label).orderBy(F.col("_bytes") > max_bytes, "_h")))
+        .filter(F.col("_rank") <= per_label))
+    picks: dict = {}
+    for r in sorted(ranked.collect(), key=lambda r: r["_rank"]):
+        picks.setdefault(r[label], []).append((r["_h"], r["_bytes"]))
+    chosen = [(y, *picks[y][i], n) for y, i, n in
+              _share_out({y: [n for _, n in own] for y, own in picks.items()}, max_bytes)]
     if not chosen:
         return []
-    wanted = rows.sparkSession.createDataFrame([(h,) for h in {h for _, h in chosen}], "_h long")
-    texts = {r["_h"]: r["_t"] for r in
-             keyed.select("_h", F.col(text).alias("_t")).join(F.broadcast(wanted), "_h")
+    most: dict = {}
+    for _, h, _, n in chosen:
+        most[h] = max(n, most.get(h, 0))
+    wanted = rows.sparkSession.createDataFrame(list(most.items()), "_h long, _most int")
+    part = F.substring(F.col(text).cast("binary"), F.lit(1), F.col("_most"))
+    texts = {r["_h"]: bytes(r["_t"]) for r in
+             keyed.join(F.broadcast(wanted), "_h").select("_h", part.alias("_t"))
              .groupBy("_h").agg(F.min("_t").alias("_t")).collect()}   # at most labels x per_label
-    return sorted(((y, h, texts[h]) for y, h in chosen), key=lambda r: (str(r[0]), r[1]))
+    # a leading part may end within a character
+    return sorted(((y, h, texts[h][:n].decode("utf-8", "replace" if n == size else "ignore"))
+                   for y, h, size, n in chosen), key=lambda r: (str(r[0]), r[1]))
 
 
 def small_batches(spark: SparkSession) -> None:

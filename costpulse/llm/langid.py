@@ -8,7 +8,8 @@ The cosine is the score. Distance-based rejection: a text whose cosine lies belo
 all but a ``REJECT`` share of the training texts of its nearest language is marked ``rejected``.
 
 Document frequencies are counted over all training rows in one distributed pass. The k-means
-runs on a bounded sample (``PER_LANG`` texts a language, ``MAX_BYTES`` in all). Null text or text
+runs on a bounded sample (``PER_LANG`` texts a language, ``MAX_BYTES`` in all, of which
+every language has its share). Null text or text
 without a letter is ``und`` with score 0, as is every text when there is nothing to learn from.
 """
 
