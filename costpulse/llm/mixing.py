@@ -7,11 +7,18 @@ the released block with the earliest deadline (ties: by source name). With one b
 weights that add up to one this meets every deadline, so that at any slot a source has had
 less than one block more or less than its share.
 
-Weights are rounded to parts of ``QUANTUM`` slots, so a schedule repeats after that many slots
-and block k of a source has a closed-form slot; the driver only ever holds the schedule of
-one period, whatever the number of documents. Nothing is dropped or repeated: when a source has
-no blocks left, a new phase starts in which the others share the slots in proportion to
-their weights; the deviation bound holds within every phase.
+Weights are taken as they are written (0.67 is 67/100), so the bound holds against the given
+weights over any number of slots. Brought to whole numbers without a common factor, their sum is
+a period after which the schedule repeats, and block k of a source has a closed-form slot.
+Nothing is dropped or repeated: when a source has no blocks left, a new phase starts in which
+the others share the slots in proportion to their weights; the deviation bound holds within
+every phase.
+
+The driver holds, for each phase, the slots of one period or of the whole phase if that is
+shorter, about 30 bytes a slot. Equal weights over n sources have a period of n slots, weights of two
+decimals at most 100. Weights with many digits (1/3 as a float) have a period longer than any
+phase: there the driver schedules every block, one slot for ``BLOCK`` documents, so such weights
+should be rounded beforehand for more than some 10^8 documents (or by ``quantum``).
 
 A third of all rows may belong to one source: documents are ranked within (source, hash range)
 cells of about ``CELL`` rows and cells are numbered by a running sum over their counts.
@@ -20,9 +27,15 @@ cells of about ``CELL`` rows and cells are numbered by a running sum over their
 from __future__ import annotations
 
 import heapq
+import math
+from array import array
+from bisect import bisect_left
 from dataclasses import dataclass
+from decimal import Decimal
 from fractions import Fraction
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,70 +63,97 @@ def parts(weights: dict[str, float], quantum: int = QUANTUM) -> dict[str, int]:
     return got
 
 
-def window(k: int, w: Fraction) -> tuple[int, int]:
-    """(release time, deadline) of block k at weight w."""
-    return (k / w).__floor__(), -((-(k + 1) / w).__floor__())
+def exact(weights: dict[str, float]) -> dict[str, int]:
+    """Whole numbers without a common factor in proportion to the weights as they are written."""
+    as_written = {s: Fraction(w if isinstance(w, (int, Fraction, Decimal)) else str(w)) for s, w in weights.items()}
+    if min(as_written.values()) <= 0:
+        raise ValueError("weights must be positive")
+    common = math.lcm(*(w.denominator for w in as_written.values()))
+    whole = {s: int(w * common) for s, w in as_written.items()}
+    factor = math.gcd(*whole.values())
+    return {s: n // factor for s, n in whole.items()}
 
 
-def period(slots: dict[str, int]) -> list[str]:
-    """The source of every slot of one period, earliest deadline first."""
-    length = sum(slots.values())
-    names = sorted(slots)
-    weight = {s: Fraction(slots[s], length) for s in names}
+def window(k: int, part: int, length: int) -> tuple[int, int]:
+    """(release time, deadline) of block k at weight ``part`` / ``length``."""
+    return k * length // part, -(-(k + 1) * length // part)
+
+
+def schedule(share: dict[str, int], left: dict[str, int]) -> np.ndarray:
+    """The source (its number in order of name) of every slot of one period, earliest deadline
+    first, or of the slots until a source has had its blocks ``left``."""
+    length = sum(share.values())
+    names = sorted(share)
     future: list = []                          # (release, deadline, source, block)
     ready: list = []                           # (deadline, source, block)
     for n, s in enumerate(names):
-        heapq.heappush(future, (*window(0, weight[s]), n, 0))
-    out = []
+        future.append((*window(0, share[s], length), n, 0))
+    heapq.heapify(future)
+    out = array("i")
     for now in range(length):
         while future and future[0][0] <= now:
             heapq.heappush(ready, heapq.heappop(future)[1:])
         _, n, k = heapq.heappop(ready)
-        out.append(names[n])
-        if k + 1 < slots[names[n]]:
-            heapq.heappush(future, (*window(k + 1, weight[names[n]]), n, k + 1))
-    return out
+        out.append(n)
+        s = names[n]
+        if k + 1 == left.get(s):
+            break
+        if k + 1 < share[s]:
+            heapq.heappush(future, (*window(k + 1, share[s], length), n, k + 1))
+    return np.frombuffer(out, np.int32)
+
+
+def period(slots: dict[str, int]) -> list[str]:
+    """The source of every slot of one period."""
+    names = sorted(slots)
+    return [names[n] for n in schedule(slots, {})]
 
 
 @dataclass(frozen=True)
 class Phase:
     """Slots during which the same sources have blocks left."""
 
-    slot: int                  # first slot
-    first: dict[str, int]      # number of each source's first block in it
-    length: int                # slots
-    order: list[str]           # the source of each slot of the period that repeats
+    slot: int                       # first slot
+    first: dict[str, int]           # number of each source's first block in it
+    length: int                     # slots
+    period: int                     # slots after which the schedule repeats, if they are fewer
+    places: dict[str, np.ndarray]   # the slots of each source in a period
 
     def used(self, source: str, slots: int) -> int:
         """Blocks of ``source`` in the first ``slots`` slots."""
-        whole, rest = divmod(slots, len(self.order))
-        return whole * self.order.count(source) + self.order[:rest].count(source)
+        whole, rest = divmod(slots, self.period)
+        return whole * len(self.places[source]) + int(np.searchsorted(self.places[source], rest))
 
     def slot_of(self, source: str, block: int) -> int:
-        places = [n for n, s in enumerate(self.order) if s == source]
+        places = self.places[source]
         whole, k = divmod(block - self.first[source], len(places))
-        return self.slot + whole * len(self.order) + places[k]
+        return self.slot + whole * self.period + int(places[k])
 
 
-def phases(blocks: dict[str, int], weights: dict[str, float], quantum: int = QUANTUM) -> list[Phase]:
+def phases(blocks: dict[str, int], weights: dict[str, float], quantum: int | None = None) -> list[Phase]:
     left = {s: n for s, n in blocks.items() if n}
     done = dict.fromkeys(blocks, 0)
     slot, out = 0, []
     while left:
-        share = parts({s: weights[s] for s in left}, quantum)
-        order = period(share)
-        whole = min(left[s] // share[s] for s in left)
-        used = {s: whole * share[s] for s in left}
-        length = whole * len(order)
-        if all(used[s] < left[s] for s in left):
-            for s in order:
-                used[s] += 1
-                length += 1
-                if used[s] == left[s]:
-                    break
-        out.append(Phase(slot, {s: done[s] for s in left}, length, order))
+        given = {s: weights[s] for s in left}
+        share = parts(given, quantum) if quantum else exact(given)
+        order = schedule(share, left)
+        names = sorted(share)
+        by_source = np.argsort(order, kind="stable")
+        sizes = np.bincount(order, minlength=len(names))
+        places = {s: p for s, p in zip(names, np.split(by_source, np.cumsum(sizes)[:-1]))}
+        length = len(order)
+        if length == sum(share.values()):      # a whole period: again, until a source runs out
+            whole = min(left[s] // share[s] for s in left)
+            rest = {s: left[s] - whole * share[s] for s in left}
+            length *= whole
+            if all(rest.values()):
+                length += 1 + min(int(places[s][n - 1]) for s, n in rest.items() if n <= share[s])
+        phase = Phase(slot, {s: done[s] for s in left}, length, len(order), places)
+        out.append(phase)
         slot += length
-        for s, n in used.items():
+        for s in list(left):
+            n = phase.used(s, length)
             done[s] += n
             left[s] -= n
             if not left[s]:
@@ -124,40 +164,44 @@ def phases(blocks: dict[str, int], weights: dict[str, float], quantum: int = QUA
 def _tables(plan: list[Phase], counts: dict[str, int], block: int):
     """Rows (source, phase, slot0, from, to, base, share, period, missing): blocks ``base`` + k of the
     source from ``from`` to ``to`` lie in the phase, ``missing`` documents short of full blocks
-    before them; and rows (phase, source, k, offset): the slot of block k of a period."""
+    before them; and an Arrow table (phase, source, k, offset): the slot of block k of a period."""
     spans, offsets = [], []
     short = []                                 # (slot, documents missing) of partial last blocks
-    for n, p in enumerate(plan):
+    for p in plan:
         for s in p.first:
             last = -(-counts[s] // block) - 1
             if p.first[s] <= last < p.first[s] + p.used(s, p.length) and counts[s] % block:
                 short.append((p.slot_of(s, last), block - counts[s] % block))
     short.sort()
+    gone = np.cumsum([0, *(d for _, d in short)]).tolist()
     for n, p in enumerate(plan):
-        places: dict[str, int] = {}
-        for at, s in enumerate(p.order):
-            offsets.append((n, s, places.get(s, 0), at))
-            places[s] = places.get(s, 0) + 1
-        inside = [x for x in short if p.slot <= x[0] < p.slot + p.length]
-        missing = sum(d for at, d in short if at < p.slot)
-        edges = [0, *(at - p.slot + 1 for at, _ in inside), p.length]
+        for s, places in p.places.items():
+            offsets.append((n, s, places))
+        lo_at, hi_at = bisect_left(short, (p.slot,)), bisect_left(short, (p.slot + p.length,))
+        edges = [0, *(at - p.slot + 1 for at, _ in short[lo_at:hi_at]), p.length]
         for i, (lo, hi) in enumerate(zip(edges, edges[1:])):
-            gone = missing + sum(d for _, d in inside[:i])
             for s, base in p.first.items():
                 begin, end = base + p.used(s, lo), base + p.used(s, hi)
                 if end > begin:
-                    spans.append((s, n, p.slot, begin, end, base, places[s], len(p.order), gone))
-    return spans, offsets
+                    spans.append((s, n, p.slot, begin, end, base, len(p.places[s]), p.period, gone[lo_at + i]))
+    sizes = [len(places) for _, _, places in offsets]
+    each = np.repeat(np.arange(len(offsets)), sizes)
+    return spans, pa.table({
+        "mix_phase": np.array([n for n, _, _ in offsets], np.int32)[each],
+        "__mix_source": pa.array([s for _, s, _ in offsets], pa.string()).take(pa.array(each)),
+        "__mix_k": np.concatenate([np.arange(k) for k in sizes] or [each]),
+        "__mix_offset": np.concatenate([places for _, _, places in offsets] or [each])})
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, key: str = "doc_id",
-        source: str = "source", block: int = BLOCK, quantum: int = QUANTUM) -> DataFrame:
+        source: str = "source", block: int = BLOCK, quantum: int | None = None) -> DataFrame:
     """``docs`` with ``mix_phase`` (int), ``mix_slot`` (long: the block's slot) and
     ``mix_position`` (long: 0, 1, ... in mixed order, without gaps). All rows and columns stay.
 
     ``weights``: target weight of each source, positive; sources it does not name (null counts
-    as '') get the smallest weight named; None weighs all sources alike. The counts by source
-    are all that is gathered on the driver. The documents of a source are ordered by a hash of
+    as '') get the smallest weight named; None weighs all sources alike. With ``quantum``, weights
+    are first rounded to that many parts (``parts``) and the deviation bound holds against the
+    rounded ones only. The counts by source are all that is gathered on the driver. The documents of a source are ordered by a hash of
     the key (of the whole row where the key is null), then the key, then a hash of the row, so
     repeated rows stay side by side. Columns of these three names are replaced. An empty table
     gives no rows."""
@@ -181,7 +225,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, key: str = "do
     span = small(spark.createDataFrame(
         spans, "__mix_source string, mix_phase int, __mix_slot0 long, __mix_from long, __mix_to long, __mix_base long, "
                "__mix_share long, __mix_period long, __mix_missing long"))
-    at = small(spark.createDataFrame(offsets, "mix_phase int, __mix_source string, __mix_k long, __mix_offset long"))
+    at = small(spark.createDataFrame(offsets))
 
     celled = named.join(cells, "__mix_source").withColumn(
         "__mix_cell", F.expr(f"cast(__mix_hash / {float(HASH_SPAN)} * __mix_cells as long)"))
