@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from costpulse.llm.textarrays import minima, permutations, shingle_hashes, utf8, word_hashes
 
@@ -142,10 +143,10 @@ class Index:
 
 
 def _blocks(benchmark: DataFrame, key: str, text: str) -> list[list]:
-    """The items in blocks of bounded text; copies of an item id and text count once."""
+    """The items in blocks of bounded text; copies of an item id (null too) and text count once."""
     blocks, size = [[]], 0
-    rows = (benchmark.filter(F.col(key).isNotNull() & F.col(text).isNotNull())
-            .select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t"))
+    rows = (benchmark.filter(F.col(text).isNotNull())
+            .select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"))
             .distinct().orderBy("k", "t"))
     for r in rows.toLocalIterator():
         n = len(r["t"]) * 4
@@ -157,14 +158,14 @@ def _blocks(benchmark: DataFrame, key: str, text: str) -> list[list]:
     return [b for b in blocks if b]
 
 
-def _search(items: list, text_at: int, threshold: float):
+def _search(items: list, text_at: int, threshold: float, id_type: pa.DataType):
     def run(batches):
         index = Index(items, threshold)
         for b in batches:
             out = index.leaks(b.column(text_at))
             rows = pa.array([r for r, *_ in out], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(rows), pa.array([x[1] for x in out], pa.int64()),
+                [b.column(0).take(rows), pa.array([x[1] for x in out], id_type),
                  pa.array([x[2] for x in out], pa.int64()), pa.array([x[3] for x in out], pa.int64()),
                  pa.array([x[2] / x[3] for x in out], pa.float64())],
                 [b.schema.names[0], "item_id", "n_shared", "n_item", "containment"])
@@ -175,15 +176,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
           item_key: str = "item_id", item_text: str = "text",
           threshold: float = THRESHOLD) -> DataFrame:
     """One row per document row and item it contains: key, item_id, n_shared, n_item,
-    containment. Items or documents with null text match nothing; documents with a null key
-    are reported with it; items that share an id but not a text are searched one by one. An
+    containment. Items or documents with null text match nothing; documents or items with a null
+    key are reported with it, in the key's own type; items that share an id but not a text are searched one by one. An
     empty table on either side gives no rows."""
     slim = docs.select(F.col(key), F.col(text).cast("string").alias("_text"))
     kind = slim.schema[key].dataType.simpleString()
-    schema = f"`{key}` {kind}, item_id long, n_shared long, n_item long, containment double"
+    item_kind = benchmark.schema[item_key].dataType
+    schema = f"`{key}` {kind}, item_id {item_kind.simpleString()}, n_shared long, n_item long, containment double"
     found = None
     for items in _blocks(benchmark, item_key, item_text) or [[]]:
-        part = slim.mapInArrow(_search(items, 1, threshold), schema)
+        part = slim.mapInArrow(_search(items, 1, threshold, to_arrow_type(item_kind)), schema)
         found = part if found is None else found.unionByName(part)
     return found
 
@@ -201,7 +203,7 @@ def _clean(items: list, text_at: int, threshold: float):
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                    item_key: str = "item_id", item_text: str = "text",
                    threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the documents that contain an item; all columns stay."""
+    """``docs`` without the documents that contain an item, whatever its id; all columns stay."""
     for items in _blocks(benchmark, item_key, item_text):
         docs = docs.mapInArrow(_clean(items, docs.columns.index(text), threshold), docs.schema)
     return docs
