@@ -10,7 +10,7 @@ smallest (doc_id, line number). Documents with a null id pass unchanged and take
    that half of all documents hold costs one node and map-side counts. (Among 10^10
    different lines about 3 pairs of ids collide.)
 2. ``BANDS`` bands of ``ROWS`` MinHash values: a pair at similarity 0.8 shares a band with
-   probability 1 - (1 - 0.8^4)^10 = 0.995, at 0.9 with 0.99998; unrelated prose stays near
+   probability 1 - (1 - 0.8^4)^20 = 0.99997, at 0.85 with 0.9999999; unrelated prose stays near
    0.01 and almost never collides.
 3. Lines that share a band meet in tiles of bounded size (``buckets.collide``) and are compared
    exactly; comparisons inside one known component are skipped, nothing else is.
@@ -32,7 +32,7 @@ from costpulse.llm.textarrays import mix, minima, permutations
 SHINGLE = 8
 THRESHOLD = 0.8
 ROWS = 4
-BANDS = 10
+BANDS = 20
 FILTER_BITS = 1 << 25          # the candidate filter sent to tasks: 4 MB, whatever the input
 CHARS_AT_ONCE = 1 << 19
 
