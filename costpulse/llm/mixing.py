@@ -20,6 +20,10 @@ decimals at most 100. Weights with many digits (1/3 as a float) have a period lo
 phase: there the driver schedules every block, one slot for ``BLOCK`` documents, so such weights
 should be rounded beforehand for more than some 10^8 documents (or by ``quantum``).
 
+Bound on the number of sources: a phase ends whenever a source is used up and keeps an entry for
+every source left, so S sources of different sizes need up to S^2 / 2 entries on the driver.
+Meant for up to about 1,000 sources (5 * 10^5 entries); more should be grouped beforehand.
+
 A third of all rows may belong to one source: documents are ranked within (source, hash range)
 cells of about ``CELL`` rows and cells are numbered by a running sum over their counts.
 """
