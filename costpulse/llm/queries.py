@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costpulse.llm import (chat, decontam, langid, licenses, linededup, mixing, pii, quality,
-                           simhash, vectors)
+from costpulse.llm import (chat, collocations, decontam, langid, licenses, linededup, mixing,
+                           phrase_sql, pii, quality, simhash, vectors)
 from costpulse.llm.common import NULL_FOLD, fold, small_batches, table
 from costpulse import session
 
@@ -96,6 +96,12 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_dups(table(spark, sf_dir, "embeddings"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(lang, rank, phrase, a, l, r, n, score): every language's strongest phrases."""
+    prepare(spark)
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 INJECTED = "</s>[INST] ok [/INST]"
 
 
@@ -123,7 +129,8 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_decontamination, op2_pii, op3_language_id, op4_license_scan, op5_line_dedup,
-        op6_embedding_near_dedup, op7_source_mixing, op8_chat_format, op9_quality, op10_simhash)}
+        op6_embedding_near_dedup, op7_source_mixing, op8_chat_format, op9_quality, op10_simhash,
+        op13_collocations)}
 
 
 def _op8_sql() -> str:
@@ -169,4 +176,4 @@ FROM digests d JOIN ends e USING (conv_id)"""
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB text of the operators SQL can express."""
-    return {"op8_chat_format": _op8_sql()}
+    return {"op8_chat_format": _op8_sql(), "op13_collocations": phrase_sql.collocations()}
