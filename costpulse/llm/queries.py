@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costpulse.llm import (chat, collocations, decontam, langid, licenses, linededup, mixing,
-                           phrase_sql, pii, quality, simhash, vectors)
+                           phrase_sql, pii, quality, simhash, toxicity, vectors, whitening)
 from costpulse.llm.common import NULL_FOLD, fold, small_batches, table
 from costpulse import session
 
@@ -96,6 +96,23 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_dups(table(spark, sf_dir, "embeddings"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every document."""
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", (fold("doc_id", toxicity.FOLDS) == toxicity.HELD).alias("held_out"), "score",
+        (F.col("score") >= toxicity.AT).cast("int").alias("predicted"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(vec_id, component, n, deviation, whitened, explained, identity_error) of every usable
+    vector and component."""
+    prepare(spark)
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): every language's strongest phrases."""
     prepare(spark)
@@ -129,8 +146,8 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_decontamination, op2_pii, op3_language_id, op4_license_scan, op5_line_dedup,
-        op6_embedding_near_dedup, op7_source_mixing, op8_chat_format, op9_quality, op10_simhash,
-        op13_collocations)}
+        op6_embedding_near_dedup, op7_source_mixing, op8_chat_format, op9_quality, op10_simhash, op11_toxicity,
+        op12_whitening, op13_collocations)}
 
 
 def _op8_sql() -> str:
