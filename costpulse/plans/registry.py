@@ -76,6 +76,49 @@ for _m, _suffix in ((60, "60m"), (1440, "1d")):
              "A1 A3-A6 T2 N1 P3 P4")(_rollup(_m))
 
 
+# Longer windows and fewer keys from stored hourly rollups alone: their sketches are merged.
+
+def _stored_sketches(spark, sf_dir):
+    """Hourly rollups with latency sketches, as a backfill of the messages stores them."""
+    source, paths = _stream_source(spark, sf_dir)
+    backfill.run(spark, raw_json.json_lines(spark, source), paths,
+                 jobs.StreamConfig(percentile="sketch"))
+    return source_tables.rollups(spark, paths.rollups, sketches=True)
+
+
+def _merged_sql(minutes: int, p95: str) -> str:
+    return f"""SELECT {oracle.bucket(minutes)} AS window_start,
+  {oracle.bucket(minutes)} + INTERVAL '{minutes} minutes' AS window_end, model,
+  CAST(count(*) AS BIGINT) AS total_requests,
+  CAST(sum(CAST(total_tokens AS BIGINT)) AS BIGINT) AS total_tokens, {p95}
+FROM llm_events GROUP BY ALL"""
+
+
+@register("sketch_p95_1h", oracle.with_events(_merged_sql(
+    60, "CAST(quantile_disc(latency_ms, 0.95) AS BIGINT) AS p95_latency_ms")), "N1 A9 K2 S8")
+def sketch_p95_1h(spark, sf_dir):
+    """Hourly p95 by model, users merged: groups this small are exact in their sketches."""
+    return rollups.merged_rollups(_stored_sketches(spark, sf_dir), 60).drop("total_cost_usd")
+
+
+@register("sketch_p95_1d", oracle.with_events(_merged_sql(1440, "TRUE AS within_bound")),
+          "N1 A9 K2 S8")
+def sketch_p95_1d(spark, sf_dir):
+    """Daily p95 by model from 24 hours of stored sketches, held against the exact latencies
+    at the two ends of the sketch's rank interval."""
+    daily = rollups.merged_rollups(_stored_sketches(spark, sf_dir), 1440)
+    ends = [0.95 - rollups.SKETCH_RANK_ERROR, 0.95 + rollups.SKETCH_RANK_ERROR]
+    window = F.window("ts", "1440 minutes")
+    exact = (fixtures.llm_events(spark, sf_dir).groupBy(window.alias("w"), "model").agg(*[
+        F.expr(f"percentile_disc({r}) WITHIN GROUP (ORDER BY latency_ms)").alias(name)
+        for r, name in zip(ends, ("low", "high"))])
+        .select(F.col("w.start").alias("window_start"), "model", "low", "high"))
+    return daily.join(exact, ["window_start", "model"], "left").select(
+        "window_start", "window_end", "model", "total_requests", "total_tokens",
+        F.coalesce(F.col("p95_latency_ms").between(F.col("low"), F.col("high")), F.lit(False))
+        .alias("within_bound"))
+
+
 # ---------------------------------------------------------------------------- window stats
 
 def _stats(minutes):

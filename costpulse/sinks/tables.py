@@ -188,14 +188,18 @@ COMPACTED_BATCH = -1
 OWN_BATCH = "own_batch_id"
 
 
-def read_deliveries(spark: SparkSession, path: str) -> DataFrame:
+def read_deliveries(spark: SparkSession, path: str,
+                    extra: Sequence[T.StructField] = ()) -> DataFrame:
     """The stored rows as delivered: ``batch_id`` is the batch that brought the row, whether
-    its date was compacted since or not. (An upserted table has no batches.)"""
+    its date was compacted since or not. (An upserted table has no batches.) ``extra`` columns
+    are null in files written without them."""
     found = spark.read.parquet(path)
+    more = [f for f in extra if f.name not in found.columns]
     if "batch_id" not in found.columns:
-        return found
-    fields = [T.StructField(f.name, T.LongType()) if f.name == "batch_id" else f
-              for f in found.schema.fields if f.name != OWN_BATCH]
+        return spark.read.schema(T.StructType([*more, *found.schema.fields])).parquet(path) \
+            if more else found
+    fields = [*more, *(T.StructField(f.name, T.LongType()) if f.name == "batch_id" else f
+                       for f in found.schema.fields if f.name != OWN_BATCH)]
     schema = T.StructType([T.StructField(OWN_BATCH, T.LongType()), *fields])
     return (spark.read.schema(schema).parquet(path)
             .withColumn("batch_id", F.coalesce(F.col(OWN_BATCH), F.col("batch_id")))

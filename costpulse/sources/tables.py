@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from costpulse import schemas
 from costpulse.functions import timefn
+from costpulse.operators.rollups import SKETCH
 from costpulse.sinks.tables import latest_by_key, partition_dates, read_deliveries, table_exists
 
 TIME_COLUMN = {"events": "ts", "rollups": "window_start", "anomalies": "detected_at"}
@@ -23,12 +24,13 @@ TIME_COLUMN = {"events": "ts", "rollups": "window_start", "anomalies": "detected
 
 def read_ranged(spark: SparkSession, path: str, time_col: str,
                 since: dt.datetime | None = None, date_col: str = "dt",
-                schema: T.StructType | None = None) -> DataFrame:
-    """The stored rows of the range; a table nothing was written to yet has ``schema`` and no
-    rows."""
+                schema: T.StructType | None = None,
+                extra: tuple[T.StructField, ...] = ()) -> DataFrame:
+    """The stored rows of the range; a table nothing was written to yet has ``schema``, the
+    ``extra`` columns (null where not stored) and no rows."""
     if schema is not None and not table_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    df = read_deliveries(spark, path)
+        return spark.createDataFrame([], T.StructType([*extra, *schema.fields]))
+    df = read_deliveries(spark, path, extra)
     if since is not None:
         df = df.where((F.col(date_col) >= F.lit(since.date()))
                       & (F.col(time_col) >= timefn.ntz_lit(since)))
@@ -70,11 +72,16 @@ def _latest(spark: SparkSession, df: DataFrame, path: str, key: list[str], order
 
 
 def rollups(spark: SparkSession, path: str, since: dt.datetime | None = None,
-            latest: bool = True) -> DataFrame:
-    """Stored rollups; for an appended table the last batch per key (see ``events``)."""
-    return _latest(spark, read_ranged(spark, path, "window_start", since,
-                                      schema=_stored(schemas.COST_ROLLUPS)), path,
-                   list(schemas.ROLLUP_KEY), ["batch_id"], latest)
+            latest: bool = True, sketches: bool = False) -> DataFrame:
+    """Stored rollups; for an appended table the last batch per key (see ``events``). With
+    ``sketches`` the latency sketch comes along (null where none was stored); a key's window
+    start fixes its date, so a range never separates deliveries of one key."""
+    extra = (T.StructField(SKETCH, T.BinaryType()),) if sketches else ()
+    found = read_ranged(spark, path, "window_start", since, schema=_stored(schemas.COST_ROLLUPS),
+                        extra=extra)
+    if not sketches:
+        found = found.drop(SKETCH)
+    return _latest(spark, found, path, list(schemas.ROLLUP_KEY), ["batch_id"], latest)
 
 
 def newest_time(spark: SparkSession, path: str, time_col: str) -> dt.datetime | None:

