@@ -86,5 +86,7 @@ def test_merge_reads_no_events(spark, tmp_dir):
     jobs.store_rollups(spark, rollups.cost_rollups(events, 60, "sketch"), jobs.Paths.under(tmp_dir), 1)
     merged = rollups.merged_rollups(
         tables.rollups(spark, jobs.Paths.under(tmp_dir).rollups, sketches=True, latest=False), 1440)
-    plan = merged._jdf.queryExecution().toString()
-    assert "partial_kll_merge_agg_bigint" in plan and "latency_ms" not in plan.replace("p95_latency_ms", "")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    schema = plan.split("ReadSchema: ")[1].split("\n")[0]
+    assert "partial_kll_merge_agg_bigint" in plan and plan.count("FileScan") == 1
+    assert "user_id" not in schema and "avg_latency_ms" not in schema
