@@ -74,6 +74,7 @@ def refined(v: np.ndarray, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
     for _ in range(steps):
         r = one - x.T @ x
         s = x.T @ (a @ x)
+        r, s = (r + r.T) / 2, (s + s.T) / 2       # rounding must not stretch close vectors
         values = np.diag(s) / (1 - np.diag(r))
         error = float(np.abs(s - np.diag(values)).max() + norm * np.abs(r).max())
         stalled = stalled + 1 if best is not None and error >= best[0] / 2 else 0
