@@ -616,6 +616,35 @@ def redelivered_compacted(spark, sf_dir):
     return source_tables.events(spark, paths.events)
 
 
+@register("stored_events_redelivered_earlier", oracle.with_events(f"""SELECT * EXCLUDE (batch, rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY batch DESC) AS rn FROM deliveries)
+WHERE rn = 1 AND ts >= {_RANGE_SQL}""", oracle.AS_OF, """deliveries AS (
+  SELECT *, 1 AS batch FROM llm_events
+  UNION ALL SELECT * REPLACE (ts - INTERVAL 8 DAYS AS ts, latency_ms + 5 AS latency_ms), 2
+  FROM llm_events WHERE CAST(right(event_id, 12) AS BIGINT) % 7 = 0
+  UNION ALL SELECT * REPLACE (latency_ms + 9 AS latency_ms), 3
+  FROM llm_events WHERE CAST(right(event_id, 12) AS BIGINT) % 21 = 0)"""), "K1 S7 T8")
+def stored_events_redelivered_earlier(spark, sf_dir):
+    """The last 24 hours of a stored table in which every seventh event was sent again with a
+    time eight days earlier, and every third of those once more with its own: an event
+    counts where its last delivery lies. Half of the dates are compacted before the read."""
+    source, paths = _stream_source(spark, sf_dir)
+    events = fixtures.llm_events(spark, sf_dir)
+    n = F.right("event_id", F.lit(12)).cast("bigint")
+    earlier = (events.where(n % 7 == 0).withColumn("latency_ms", F.col("latency_ms") + 5)
+               .withColumn("ts", F.col("ts") - F.expr("INTERVAL 8 DAYS")))
+    again = events.where(n % 21 == 0).withColumn("latency_ms", F.col("latency_ms") + 9)
+    _await(jobs.landing(spark, raw_json.json_lines_stream(spark, source), paths,
+                        _replay_config(spark), available_now=True))
+    for number, (name, part) in enumerate((("earlier", earlier), ("again", again))):
+        path = f"{source}_{name}"
+        replay.messages(part).write.text(path)
+        jobs.land_batch(spark, raw_json.json_lines(spark, path), tables.new_run() + number, paths)
+    jobs.compact_events(spark, paths, tables.partition_dates(spark, paths.events)[::2])
+    as_of, start = _as_of(spark, sf_dir)
+    return source_tables.events(spark, paths.events, since=start)
+
+
 def queries() -> dict[str, Plan]:
     return {name: q.plan for name, q in REGISTRY.items()}
 

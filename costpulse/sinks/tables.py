@@ -13,7 +13,8 @@ ranges prune directories and model/time predicates skip row groups by min/max st
 
 Limits, stated because no table format with MERGE is installed: the partition rewrite is
 not atomic for concurrent readers, and an event re-sent with a different date leaves its
-old row in the old date partition (``latest_by_key`` resolves that at read time).
+old row in the old date partition (``latest_by_key`` resolves that at read time; for reads
+of a range the key index, ``keyindex``, tells what lies outside it).
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from costpulse.sinks import keyindex
+
 SOURCE_RANK = "_source_rank"
 
 
@@ -136,8 +139,10 @@ def run_of(spark: SparkSession, checkpoint: str) -> int:
 
 
 def append_batch(df: DataFrame, batch_id: int, path: str,
-                 partition_cols: Sequence[str] = (), sort_cols: Sequence[str] = ()) -> None:
-    """K3: append-only table, idempotent per micro-batch (replay overwrites the batch).
+                 partition_cols: Sequence[str] = (), sort_cols: Sequence[str] = (),
+                 index: keyindex.KeyIndex | None = None) -> None:
+    """K3: append-only table, idempotent per micro-batch (replay overwrites the batch). With
+    ``index`` the batch is entered in the table's key index once it is stored.
 
     A date that receives rows after it was compacted loses its compaction marker, so
     readers deduplicate it again (late events are rare, the check reads metadata only).
@@ -159,6 +164,8 @@ def append_batch(df: DataFrame, batch_id: int, path: str,
             marker = Path(st.getPath().getParent(), COMPACTED_MARKER)
             if fs.exists(marker):
                 fs.delete(marker, False)
+        if index is not None:
+            keyindex.write(spark, path, int(batch_id), index)
 
 
 def filesystem(spark: SparkSession, path: str):
@@ -189,26 +196,32 @@ OWN_BATCH = "own_batch_id"
 
 
 def read_deliveries(spark: SparkSession, path: str,
-                    extra: Sequence[T.StructField] = ()) -> DataFrame:
+                    extra: Sequence[T.StructField] = (),
+                    folders: Sequence[str] = ()) -> DataFrame:
     """The stored rows as delivered: ``batch_id`` is the batch that brought the row, whether
     its date was compacted since or not. (An upserted table has no batches.) ``extra`` columns
-    are null in files written without them."""
-    found = spark.read.parquet(path)
+    are null in files written without them; ``folders`` limits the read to some partitions."""
+    parts = list(folders) or [path]
+
+    def reader():
+        return spark.read.option("basePath", path)
+
+    found = reader().parquet(*parts)
     more = [f for f in extra if f.name not in found.columns]
     if "batch_id" not in found.columns:
-        return spark.read.schema(T.StructType([*more, *found.schema.fields])).parquet(path) \
+        return reader().schema(T.StructType([*more, *found.schema.fields])).parquet(*parts) \
             if more else found
     fields = [*more, *(T.StructField(f.name, T.LongType()) if f.name == "batch_id" else f
                        for f in found.schema.fields if f.name != OWN_BATCH)]
     schema = T.StructType([T.StructField(OWN_BATCH, T.LongType()), *fields])
-    return (spark.read.schema(schema).parquet(path)
+    return (reader().schema(schema).parquet(*parts)
             .withColumn("batch_id", F.coalesce(F.col(OWN_BATCH), F.col("batch_id")))
             .drop(OWN_BATCH))
 
 
 def compact(spark: SparkSession, path: str, dates: Sequence, key: Sequence[str],
             order: Sequence[str], partition_col: str = "dt",
-            sort_cols: Sequence[str] = ()) -> None:
+            sort_cols: Sequence[str] = (), index: keyindex.KeyIndex | None = None) -> None:
     """Rewrite the given date partitions of an append-only (merge-on-read) table with one
     row per key, as few files per date: all batches of a date share one folder, and each
     surviving row keeps its batch number as a column (``read_deliveries``).
@@ -240,6 +253,8 @@ def compact(spark: SparkSession, path: str, dates: Sequence, key: Sequence[str],
             raise OSError(f"cannot move {fresh} into place")
         fs.delete(old, True)
         fs.create(Path(f"{path.rstrip('/')}/{name}/{COMPACTED_MARKER}"), True).close()
+        if index is not None:
+            keyindex.merge(spark, path, str(d), index)
     fs.delete(Path(staging), True)
 
 

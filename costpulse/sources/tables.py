@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from costpulse import schemas
 from costpulse.functions import timefn
 from costpulse.operators.rollups import SKETCH
+from costpulse.sinks import keyindex
 from costpulse.sinks.tables import latest_by_key, partition_dates, read_deliveries, table_exists
 
 TIME_COLUMN = {"events": "ts", "rollups": "window_start", "anomalies": "detected_at"}
@@ -38,6 +39,7 @@ def read_ranged(spark: SparkSession, path: str, time_col: str,
 
 
 MERGE_COLUMNS = ("batch_id", "arrival_key")
+EVENT_INDEX = keyindex.KeyIndex(("event_id",), "ts")
 
 
 def _stored(schema: T.StructType, *numbers: str) -> T.StructType:
@@ -53,21 +55,27 @@ def events(spark: SparkSession, path: str, since: dt.datetime | None = None,
 
     A merge-on-read table (it has ``batch_id``) holds every delivery; ``latest`` keeps the
     newest per event_id (the last batch, then the last arrival) with one aggregate over the
-    range read. An upserted table is already one row per event_id.
+    range read; an event whose newest delivery lies before the range is not in it, which the
+    table's key index tells without opening data outside the range. An upserted table is
+    already one row per event_id.
     """
     return _latest(spark, read_ranged(spark, path, "ts", since,
                                       schema=_stored(schemas.LLM_EVENTS)), path, ["event_id"],
-                   list(MERGE_COLUMNS), latest)
+                   list(MERGE_COLUMNS), latest, since, EVENT_INDEX)
 
 
 def _latest(spark: SparkSession, df: DataFrame, path: str, key: list[str], order: list[str],
-            latest: bool) -> DataFrame:
+            latest: bool, since: dt.datetime | None = None,
+            index: keyindex.KeyIndex | None = None) -> DataFrame:
     """Merge-on-read: one row per key over all dates read, compacted or not (a key re-sent
-    under another date is resolved across them), without the bookkeeping columns."""
+    under another date is resolved across them), without the bookkeeping columns. ``index``
+    resolves a range against the deliveries before it."""
     if "batch_id" not in df.columns:
         return df.drop("dt")
     if latest:
         df = latest_by_key(df, key, order)
+        if since is not None and index is not None:
+            df = keyindex.current(spark, path, df, since, index)
     return df.drop("dt", *[c for c in order if c in df.columns])
 
 

@@ -160,6 +160,7 @@ def _to_ntz(df: DataFrame, *cols: str) -> DataFrame:
 
 
 ARRIVAL_COLUMNS = ("source", "arrival_key", "arrival_time")
+EVENT_INDEX = source_tables.EVENT_INDEX
 
 
 # ---------------------------------------------------------------------------- batch writers
@@ -186,7 +187,8 @@ def land_assessed(spark: SparkSession, assessed: DataFrame, batch_id: int, paths
             rows = good.drop(*[c for c in ("source", "arrival_time") if c in good.columns])
             if "arrival_key" not in rows.columns:
                 rows = rows.withColumn("arrival_key", F.lit(None).cast("string"))
-            tables.append_batch(rows, batch_id, paths.events, ["dt"], sort_cols=["model", "ts"])
+            tables.append_batch(rows, batch_id, paths.events, ["dt"], sort_cols=["model", "ts"],
+                                index=EVENT_INDEX)
         else:
             tables.upsert(spark, good, paths.events, key=["event_id"], order=["arrival_key"],
                           partition_cols=["dt"], sort_cols=["model", "ts"],
@@ -354,7 +356,7 @@ def _baseline_rows(spark: SparkSession, stats: DataFrame, batch_id: int, paths:
 def compact_events(spark: SparkSession, paths: Paths, dates) -> None:
     """Maintenance for merge-on-read landing: one row per event_id in closed dates."""
     tables.compact(spark, paths.events, dates, ["event_id"], ["batch_id", "arrival_key"],
-                   sort_cols=["model", "ts"])
+                   sort_cols=["model", "ts"], index=EVENT_INDEX)
 
 
 def compact_rollups(spark: SparkSession, paths: Paths, dates) -> None:
