@@ -15,7 +15,7 @@ combined repeats before, so a phrase has at most one row per run.
 
 Two passes keep the shuffle small and lose nothing: words and pairs first; then the triples
 whose two pairs both occur ``least`` times, as every frequent triple's do. The pairs reach the
-tasks as a filter of fixed size (4 MB of bits); a pair that falls on another's bit only adds
+tasks as a filter of fixed size (2 MB of bits); a pair that falls on another's bit only adds
 triples that the count then drops.
 
 Empty tables, texts without words and languages without candidates give no rows; repeated rows
@@ -37,10 +37,11 @@ LEAST = 10                     # occurrences of a candidate
 COVERED = 50                   # per cent of its occurrences inside one longer candidate
 TOP = 2000
 BURST = 1 << 12                # suffixes in a container
-LIMIT = 1 << 19                # suffixes in all containers of a task
+LIMIT = 3 << 19                # suffixes in all containers of a task (about 150 MB)
 WORDS = 1 << 19                # word ids of a task
 ROWS_AT_ONCE = 1 << 16
-FILTER_BITS = 1 << 25          # 4 MB, whatever the input
+FILTER_BITS = 1 << 24          # 2 MB, whatever the input
+IDS_AT_ONCE = 1 << 18
 SALTS = 64
 
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -56,6 +57,19 @@ def pieces(text: str | None):
             yield words
 
 
+class _Ids(dict):
+    """Ids of words; a new word gets the next one and an empty node."""
+
+    def __init__(self, words: list, nodes: list):
+        self.words, self.nodes = words, nodes
+
+    def __missing__(self, word: bytes) -> int:
+        i = self[word] = len(self.words)
+        self.words.append(word)
+        self.nodes.append({})
+        return i
+
+
 class Trie:
     """Suffix counts of one language below first-word nodes. Word id 0 ends a phrase."""
 
@@ -64,18 +78,20 @@ class Trie:
         self.clear()
 
     def clear(self):
-        self.ids: dict[bytes, int] = {}
         self.words: list[bytes] = [b""]
         self.nodes: list = [None]
+        self.ids = _Ids(self.words, self.nodes)
+        self.hashes = np.zeros(1, np.uint64)        # of the words, as far as asked for
         self.size = self.total = 0
 
-    def id_of(self, word: bytes) -> int:
-        i = self.ids.get(word)
-        if i is None:
-            i = self.ids[word] = len(self.words)
-            self.words.append(word)
-            self.nodes.append({})
-        return i
+    def read(self, text: str) -> list[int]:
+        """The word ids of a text, 0 after every piece."""
+        ids, known = [], self.ids.__getitem__
+        for words in pieces(text):
+            ids += map(known, words)
+            ids.append(0)
+            self.total += len(words)
+        return ids
 
     def add_pairs(self, ids: list[int]):
         """Counts every word with the one that follows it; 0 stands between pieces."""
@@ -171,7 +187,7 @@ def _spilled(tries: dict[str, Trie], everything: bool = False):
     if everything or sum(len(t.words) for t in tries.values()) > WORDS:
         for lang, t in tries.items():
             yield from _batches(lang, t.spill(0))
-            if t.total:
+            if t.depth == 2 and t.total:
                 yield _total(lang, t.total)
             t.clear()
 
@@ -196,12 +212,7 @@ def _words_and_pairs(batches):
         for lang, texts in _by_lang(b):
             t = tries.setdefault(lang, Trie(2))
             for text in texts:
-                ids = []
-                for words in pieces(text):
-                    ids += map(t.id_of, words)
-                    ids.append(0)
-                    t.total += len(words)
-                t.add_pairs(ids)
+                t.add_pairs(t.read(text))
                 if t.size > LIMIT or len(t.words) > WORDS:
                     yield from _spilled(tries)
         yield from _spilled(tries)
@@ -231,10 +242,10 @@ def _pair_slots(batches):
 def _pair_filter(pairs: DataFrame) -> bytes:
     """One bit for every slot that a pair falls into."""
     words = (pairs.select("phrase").mapInArrow(_pair_slots, "slot long")
-             .groupBy(F.expr("shiftright(slot, 5)").alias("word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 31 as int))")).alias("bits"))).toPandas()
-    table = np.zeros(FILTER_BITS // 32, np.uint32)
-    table[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+             .groupBy(F.expr("shiftright(slot, 6)").alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))).toArrow()
+    table = np.zeros(FILTER_BITS // 64, np.int64)
+    table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     return table.tobytes()
 
 
@@ -243,31 +254,25 @@ def _triples(bits: bytes):
     def run(batches):
         table = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").view(bool)
         tries: dict[str, Trie] = {}
-        hashes: dict[str, list[int]] = {}
+
+        def count(lang, t, ids):
+            fresh = [word_hash(lang, w) for w in t.words[len(t.hashes):]]
+            t.hashes = np.append(t.hashes, np.array(fresh, np.uint64))
+            flat = np.array(ids, np.int64)
+            of = t.hashes[flat]
+            pair = table[_slots(of[:-1], of[1:])] & (flat[:-1] > 0) & (flat[1:] > 0)
+            at = np.flatnonzero(pair[:-1] & pair[1:])
+            t.add_triples(zip(flat[at].tolist(), flat[at + 1].tolist(), flat[at + 2].tolist()))
+
         for batch in batches:
             for lang, texts in _by_lang(batch):
-                t = tries.setdefault(lang, Trie(3))
-                known = hashes.setdefault(lang, [0])
-                for text in texts:
-                    ids = []
-                    for words in pieces(text):
-                        ids += map(t.id_of, words)
-                        ids.append(0)
-                    if len(ids) < 4:
-                        continue
-                    known += [word_hash(lang, w) for w in t.words[len(known):]]
-                    flat = np.array(ids, np.int64)
-                    of = np.array([known[i] for i in ids], np.uint64)
-                    pair = table[_slots(of[:-1], of[1:])] & (flat[:-1] > 0) & (flat[1:] > 0)
-                    at = np.flatnonzero(pair[:-1] & pair[1:])
-                    t.add_triples(zip(flat[at].tolist(), flat[at + 1].tolist(),
-                                      flat[at + 2].tolist()))
-                    if t.size > LIMIT or len(t.words) > WORDS:
+                t, ids = tries.setdefault(lang, Trie(3)), []
+                for n, text in enumerate(texts, 1):
+                    ids += t.read(text)
+                    if ids and (len(ids) > IDS_AT_ONCE or n == len(texts)):
+                        count(lang, t, ids)
+                        ids = []
                         yield from _spilled(tries)
-                        hashes = {k: v[:len(tries[k].words)] for k, v in hashes.items()}
-                        known = hashes[lang]
-            yield from _spilled(tries)
-            hashes = {k: v[:len(tries[k].words)] for k, v in hashes.items()}
         yield from _spilled(tries, everything=True)
     return run
 
