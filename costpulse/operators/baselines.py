@@ -7,9 +7,9 @@ design; the event-level work (the aggregate feeding it) is the skew-proof partia
 aggregate of ``anomalies.window_stats``.
 
 Flags are decided in exact decimal arithmetic by cross-multiplying
-(``metric * n > factor * sum``), so no division result decides a boundary. On a stream
-these run in ``foreachBatch`` against the stored statistics history (OVER clauses are not
-allowed on streaming DataFrames).
+(``metric * n > factor * sum``), so no division result decides a boundary. On a stream the
+previous windows come along as arrays from keyed state (``streaming.stateful``), since OVER
+clauses are not allowed on streaming DataFrames; ``from_history`` applies the same rules.
 """
 
 from __future__ import annotations
@@ -45,11 +45,16 @@ def _previous(lookback: int):
 def _ratio_rows(stats: DataFrame, metric: str, anomaly_type: str, lookback: int,
                 warning: int, critical: int | None, detected_at: Column | None) -> DataFrame:
     frame = _previous(lookback)
-    with_base = stats.select(
+    return _flagged(stats.select(
         "window_start", "window_end", "model", F.col(metric).alias("metric"),
         F.sum(metric).over(frame).alias("base_sum"),
         F.count(metric).over(frame).alias("base_n"),
-    )
+    ), anomaly_type, warning, critical, detected_at)
+
+
+def _flagged(with_base: DataFrame, anomaly_type: str, warning: int, critical: int | None,
+             detected_at: Column | None) -> DataFrame:
+    """Anomalies of windows with the sum and number of their baseline's values."""
     above = lambda factor: (F.col("base_n") > 0) & (
         F.col("metric") * F.col("base_n") > F.lit(Decimal(factor)) * F.col("base_sum"))
     is_critical = above(critical) if critical is not None else F.lit(False)
@@ -104,7 +109,14 @@ def zscores(stats: DataFrame, config: BaselineConfig = DEFAULT_BASELINE) -> Data
         "*",
         F.avg("value").over(frame).alias("mean"),
         F.stddev_samp("value").over(frame).alias("stddev"),
-    ).withColumn("z", (F.col("value") - F.col("mean")) / F.nullif(F.col("stddev"), F.lit(0.0)))
+    )
+    return _beyond(scored, config)
+
+
+def _beyond(scored: DataFrame, config: BaselineConfig) -> DataFrame:
+    """The rows with |z| above the line, at stored scales."""
+    scored = scored.withColumn(
+        "z", (F.col("value") - F.col("mean")) / F.nullif(F.col("stddev"), F.lit(0.0)))
     return (scored.where(F.abs(F.col("z")) > F.lit(float(config.z_warning)))
                   .select("window_start", "window_end", "model", "metric",
                           F.col("value").cast(schemas.METRIC_TYPE).alias("value"),
@@ -128,3 +140,48 @@ def zscore_anomalies(zrows: DataFrame, config: BaselineConfig = DEFAULT_BASELINE
         F.lit("warning").alias("severity"),
         "window_start", "window_end",
     )
+
+
+def _moments(values: Column) -> tuple[Column, Column]:
+    """(mean, sample standard deviation) of an array's numbers, nulls left out, by the running
+    update that Spark's own aggregates use, so both paths round alike."""
+    start = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("total"), F.lit(0.0).alias("mean"),
+                     F.lit(0.0).alias("m2"))
+
+    def add(acc: Column, x: Column) -> Column:
+        n = acc["n"] + 1.0
+        delta = x - acc["mean"]
+        step = delta / n
+        return F.when(x.isNull(), acc).otherwise(F.struct(
+            n.alias("n"), (acc["total"] + x).alias("total"), (acc["mean"] + step).alias("mean"),
+            (acc["m2"] + delta * (delta - step)).alias("m2")))
+
+    done = F.aggregate(values, start, add)
+    return (F.when(done["n"] > 0, done["total"] / done["n"]),
+            F.when(done["n"] > 1, F.sqrt(done["m2"] / (done["n"] - 1.0))))
+
+
+def from_history(rows: DataFrame, config: BaselineConfig = DEFAULT_BASELINE,
+                 detected_at: Column | None = None) -> DataFrame:
+    """N2-N4 of windows that carry their previous windows (``stateful.with_history``), in the
+    ``anomaly_events`` shape; row by row, without a shuffle."""
+    def base(metric: Column, previous: str, kind: str) -> DataFrame:
+        known = F.filter(previous, lambda x: x.isNotNull())
+        # the sum has the type that SUM gives
+        total = F.aggregate(known, F.lit(0).cast(kind), lambda a, x: (a + x).cast(kind))
+        return rows.select("window_start", "window_end", "model", metric.alias("metric"),
+                           total.alias("base_sum"), F.size(known).cast("bigint").alias("base_n"))
+
+    latency = _flagged(base(F.col("p95_latency_ms").cast(schemas.LATENCY_TYPE), "previous_p95",
+                            "decimal(22,2)"), "latency_spike", config.latency_warning_ratio,
+                       config.latency_critical_ratio, detected_at)
+    cost = _flagged(base(F.col("total_cost_usd").cast("decimal(22,6)"), "previous_cost",
+                         "decimal(32,6)"), "cost_spike", config.cost_warning_ratio, None, detected_at)
+    metrics = F.array(*[F.struct(F.lit(name).alias("metric"), F.col(name).cast("double").alias("value"),
+                                 _moments(F.col(previous))[0].alias("mean"),
+                                 _moments(F.col(previous))[1].alias("stddev"))
+                        for name, previous in (("avg_latency_ms", "previous_latency"),
+                                               ("error_rate", "previous_errors"))])
+    scored = rows.select("window_start", "window_end", "model", F.inline(metrics))
+    return latency.unionByName(cost).unionByName(
+        zscore_anomalies(_beyond(scored, config), config, detected_at))

@@ -461,8 +461,8 @@ def _stream_source(spark, sf_dir) -> tuple[str, jobs.Paths]:
 DELIVERIES = 3
 
 
-def _delivered_in_order(spark, sf_dir, job) -> jobs.Paths:
-    """The messages arrive in time order in ``DELIVERIES`` parts of equal time; after each,
+def _delivered_in_order(spark, sf_dir, job, deliveries: int = DELIVERIES) -> jobs.Paths:
+    """The messages arrive in time order in ``deliveries`` parts of equal time; after each,
     ``job(raw, paths)`` runs until it has read them and stops. Every run but the first goes
     on from the checkpoint, with the windows that the last part left open."""
     base = scratch_path(spark, "streams")
@@ -471,10 +471,10 @@ def _delivered_in_order(spark, sf_dir, job) -> jobs.Paths:
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
     if first is None:                            # an empty table: one empty delivery
         first = last = dt.datetime(1970, 1, 1)
-    step = (last - first) / DELIVERIES
-    for i in range(DELIVERIES):
+    step = (last - first) / deliveries
+    for i in range(deliveries):
         part = events.where(F.col("ts") >= timefn.ntz_lit(first + i * step)) if i else events
-        if i < DELIVERIES - 1:
+        if i < deliveries - 1:
             part = part.where(F.col("ts") < timefn.ntz_lit(first + (i + 1) * step))
         replay.messages(part).write.mode("append").text(source)
         _await(job(raw_json.json_lines_stream(spark, source), paths))
@@ -516,6 +516,27 @@ def stream_anomalies_closed(spark, sf_dir):
     return source_tables.anomalies(spark, paths.anomalies).select(*_ANOMALY_COLS)
 
 
+_LEVEL_SELECT = """SELECT {m} AS minutes, window_start, window_end, model, total_requests,
+  {avg} AS avg_latency_ms, {err} AS error_rate, CAST(total_cost_usd AS DECIMAL(28,6)) AS total_cost_usd
+FROM level_{m} WHERE window_end <= (SELECT wm FROM wm)"""
+
+
+@register("stream_shared_panes", oracle.with_events("\nUNION ALL\n".join(
+    _LEVEL_SELECT.format(m=m, avg=oracle.dec("avg_latency_ms", 12, 2), err=oracle.dec("error_rate", 12, 6))
+    for m in (5, 60)), _WATERMARK_SQL, oracle.stats_cte(5, "level_5"), oracle.stats_cte(60, "level_60")),
+    "T1 T2 T3 T4 T6 A2")
+def stream_shared_panes(spark, sf_dir):
+    """5-minute and hourly statistics of one streaming query over five deliveries with restarts:
+    the hours are added up from the panes, the messages read once."""
+    paths = _delivered_in_order(spark, sf_dir, lambda raw, p: jobs.levels_job(
+        spark, raw, p, _replay_config(spark), available_now=True), deliveries=5)
+    stored = source_tables.window_levels(spark, paths.window_levels)
+    return stored.select(
+        "minutes", "window_start", "window_end", "model", "total_requests",
+        F.col("avg_latency_ms").cast(schemas.LATENCY_TYPE).alias("avg_latency_ms"),
+        F.col("error_rate").cast("decimal(12,6)").alias("error_rate"), "total_cost_usd")
+
+
 @register("stream_dedup", oracle.with_events("SELECT * FROM llm_events"), "T8 S4")
 def stream_dedup(spark, sf_dir):
     """Every message delivered twice (the second delivery in a later file); the stream keeps

@@ -107,6 +107,15 @@ def anomalies(spark: SparkSession, path: str, since: dt.datetime | None = None)
                        schema=_stored(schemas.ANOMALY_EVENTS, "batch_id")).drop("dt")
 
 
+def window_levels(spark: SparkSession, path: str, since: dt.datetime | None = None) -> DataFrame:
+    """Stored window statistics of every length (``minutes``); each window is stored once."""
+    fields = ("minutes int, window_start timestamp_ntz, window_end timestamp_ntz, model string, "
+              "total_requests long, avg_latency_ms double, error_rate double, "
+              "total_cost_usd decimal(28,6), batch_id long, dt date")
+    return read_ranged(spark, path, "window_start", since,
+                       schema=T.StructType.fromDDL(fields)).drop("dt", "batch_id")
+
+
 def quarantine(spark: SparkSession, path: str) -> DataFrame:
     """K7: the dead letters stored so far."""
     return read_ranged(spark, path, "arrival_time", schema=_stored(schemas.QUARANTINE, "batch_id"))

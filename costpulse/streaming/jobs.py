@@ -23,17 +23,17 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from costpulse import schemas
 from costpulse.operators import anomalies as an
 from costpulse.operators import baselines, quality, rollups
-from costpulse.session import ensure_checkpoint_dir
 from costpulse.sinks import jdbc, tables
 from costpulse.sources import raw_json
 from costpulse.sources import tables as source_tables
+from costpulse.streaming import stateful
 
 
 STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
@@ -56,7 +56,7 @@ class Paths:
     anomalies: str
     anomalies_json: str
     window_stats: str
-    baseline_tail: str
+    window_levels: str
     checkpoints: str
 
     @classmethod
@@ -65,7 +65,7 @@ class Paths:
         return cls(events=f"{base}/llm_events", quarantine=f"{base}/quarantine",
                    rollups=f"{base}/cost_rollups", anomalies=f"{base}/anomaly_events",
                    anomalies_json=f"{base}/anomalies_json", window_stats=f"{base}/window_stats",
-                   baseline_tail=f"{base}/baseline_tail", checkpoints=f"{base}/_checkpoints")
+                   window_levels=f"{base}/window_levels", checkpoints=f"{base}/_checkpoints")
 
 
 @dataclass
@@ -227,8 +227,10 @@ def store_anomalies(spark: SparkSession, stats: DataFrame, batch_id: int, paths:
         detected = detected_at if detected_at is not None else an.processing_time_detection()
         found = an.detect(stats, config.thresholds, detected)
         if config.baselines is not None:
-            found = found.unionByName(_baseline_rows(spark, stats, batch_id, paths, config,
-                                                     detected))
+            found = found.unionByName(_baseline_rows(stats, config, detected))
+            # the statistics themselves, for reports over stored windows
+            tables.append_batch(tables.with_date(stats.drop(*stateful.HISTORY), "window_start"),
+                                batch_id, paths.window_stats, ["dt"])
         found = found.withColumn("dt", F.to_date("detected_at"))
         tables.write_all(found, [
             lambda df: tables.append_batch(df, batch_id, paths.anomalies, ["dt"]),
@@ -283,8 +285,13 @@ def rollup_job(spark: SparkSession, raw: DataFrame, paths: Paths, config: Stream
 
 def stats_stream(spark: SparkSession, raw: DataFrame, config: StreamConfig) -> DataFrame:
     events = aggregatable(raw, STATS_KEYS).withWatermark("ts", config.watermark)
-    return an.window_stats(events, config.anomaly_minutes,
-                           with_p95=config.baselines is not None, percentile=config.percentile)
+    stats = an.window_stats(events, config.anomaly_minutes,
+                            with_p95=config.baselines is not None, percentile=config.percentile)
+    if config.baselines is None:
+        return stats
+    if config.state_store != ROCKSDB_PROVIDER:
+        raise ValueError("baselines keep keyed state, which needs the RocksDB state store")
+    return stateful.with_history(stats, config.baselines.lookback)
 
 
 def anomaly_job(spark: SparkSession, raw: DataFrame, paths: Paths, config: StreamConfig,
@@ -299,58 +306,34 @@ def anomaly_job(spark: SparkSession, raw: DataFrame, paths: Paths, config: Strea
     return _start(spark, writer, config.triggers.anomalies, available_now, config)
 
 
-def _previous_tail(spark: SparkSession, path: str, batch_id: int) -> int | None:
-    """Newest tail version written by an earlier batch (directory metadata only)."""
-    Path, fs = tables.filesystem(spark, path)
-    found = fs.globStatus(Path(f"{path.rstrip('/')}/batch_id=*")) or []
-    ids = [int(str(st.getPath().getName()).split("=", 1)[1]) for st in found]
-    earlier = [i for i in ids if i < batch_id]
-    return max(earlier) if earlier else None
+def levels_job(spark: SparkSession, raw: DataFrame, paths: Paths, config: StreamConfig,
+               available_now: bool = False) -> StreamingQuery:
+    """T2 + T3 in one query: panes of ``anomaly_minutes`` and the windows of ``rollup_minutes`` they
+    add up to, each stored once when the watermark closes it, from one decode of the
+    messages and one state of open panes (``stateful.window_levels``)."""
+    first = tables.run_of(spark, f"{paths.checkpoints}/levels")
+    events = aggregatable(raw, STATS_KEYS).withWatermark("ts", config.watermark)
+    rows = stateful.window_levels(events, config.anomaly_minutes, config.rollup_minutes)
 
+    def store(batch: DataFrame, batch_id: int) -> None:
+        rows = tables.with_date(_to_ntz(batch, "window_start", "window_end"), "window_start")
+        tables.append_batch(rows, first + batch_id, paths.window_levels, ["dt"],
+                            sort_cols=["minutes", "model", "window_start"])
+
+    writer = (rows.writeStream.queryName("levels").outputMode("append")
+              .option("checkpointLocation", f"{paths.checkpoints}/levels").foreachBatch(store))
+    return _start(spark, writer, config.triggers.anomalies, available_now, config)
 
-def _baseline_rows(spark: SparkSession, stats: DataFrame, batch_id: int, paths: Paths,
-                   config: StreamConfig, detected) -> DataFrame:
-    """N2-N4 for the windows closed in this batch.
 
-    The baselines look at each model's previous ``lookback`` windows with data, however far
-    back in time they lie, so the state kept between batches is exactly that: a "tail" of
-    the last ``lookback`` windows per model (models x lookback rows). Batch N reads the tail
-    written by the latest earlier batch and writes its own version, so a replay of batch N
-    reads the same input and overwrites only its own version.
-    """
+def _baseline_rows(stats: DataFrame, config: StreamConfig, detected) -> DataFrame:
+    """N2-N4 of closed windows: from the previous windows they carry (streams), or over the whole
+    input (batch)."""
     cfg = config.baselines
-    if stats.isEmpty():
-        return spark.createDataFrame([], schemas.ANOMALY_EVENTS)
-    hist = stats
-    prev = _previous_tail(spark, paths.baseline_tail, batch_id)
-    if prev is not None:
-        tail = (spark.read.parquet(f"{paths.baseline_tail}/batch_id={prev}")
-                .select(*stats.columns))
-        hist = tables.latest_by_key(tail.unionByName(stats), ["window_start", "model"], [])
-    new_keys = stats.select("window_start", "model")
-    rows = (baselines.latency_baseline(hist, cfg, detected)
-            .unionByName(baselines.cost_baseline(hist, cfg, detected))
-            .unionByName(baselines.zscore_anomalies(baselines.zscores(hist, cfg), cfg,
-                                                    detected))
-            .join(new_keys, ["window_start", "model"], "left_semi"))
-    # Materialise (reliable checkpoint in spark.checkpoint.dir): the rows must not be
-    # recomputed from the micro-batch after the caller releases it.
-    ensure_checkpoint_dir(spark)
-    rows = rows.checkpoint(eager=True)
-    recent = Window.partitionBy("model").orderBy(F.desc("window_start"))
-    (hist.withColumn("_rn", F.row_number().over(recent))
-         .where(F.col("_rn") <= cfg.lookback).drop("_rn")
-         .coalesce(1).write.mode("overwrite")
-         .parquet(f"{paths.baseline_tail}/batch_id={int(batch_id)}"))
-    if prev is not None:
-        Path, fs = tables.filesystem(spark, paths.baseline_tail)
-        for st in fs.globStatus(Path(f"{paths.baseline_tail}/batch_id=*")) or []:
-            if int(str(st.getPath().getName()).split("=", 1)[1]) < prev:
-                fs.delete(st.getPath(), True)
-    # The full statistics history, for reports over stored window statistics.
-    tables.upsert(spark, tables.with_date(stats, "window_start"), paths.window_stats,
-                  key=["window_start", "model"], order=[], partition_cols=["dt"])
-    return rows
+    if stateful.HISTORY[0] in stats.columns:
+        return baselines.from_history(stats, cfg, detected)
+    return (baselines.latency_baseline(stats, cfg, detected)
+            .unionByName(baselines.cost_baseline(stats, cfg, detected))
+            .unionByName(baselines.zscore_anomalies(baselines.zscores(stats, cfg), cfg, detected)))
 
 
 def compact_events(spark: SparkSession, paths: Paths, dates) -> None:
