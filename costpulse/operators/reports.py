@@ -51,6 +51,45 @@ def kpis(events: DataFrame, as_of: dt.datetime,
     )
 
 
+def kpis_by_range(events: DataFrame, as_of: dt.datetime, anomalies: DataFrame | None = None,
+                  ranges: tuple[str, ...] = timefn.ALLOWED_RANGES) -> DataFrame:
+    """R1-R3 (and R4 when ``anomalies`` are given) of every trailing range in one scan:
+    (report_range, total_requests, total_cost_usd, avg_latency_ms[, active_anomalies]).
+
+    The ranges nest, so each row is summed once, in the ring between two neighbouring lower
+    bounds, and a range is the running sum of its own ring and the smaller ones (a handful of
+    rows). An empty range has zeros. Bounds are literals: the widest reaches the scan."""
+    order = sorted(ranges, key=lambda r: timefn.range_start(as_of, r), reverse=True)
+    spark = events.sparkSession
+    starts = [timefn.ntz_lit(timefn.range_start(as_of, r)) for r in order]
+
+    def ring(column: str) -> Column:
+        return F.coalesce(*[F.when(F.col(column) >= s, F.lit(i)) for i, s in enumerate(starts)])
+
+    success = F.when(_is_success(), F.col("latency_ms").cast("bigint"))
+    sums = {"requests": F.count(F.lit(1)), "cost": F.sum("cost_usd"), "latency": F.sum(success),
+            "timed": F.count(success)}
+    rings = (_in_range(events, "ts", as_of, order[-1]).groupBy(ring("ts").alias("ring"))
+             .agg(*[c.alias(n) for n, c in sums.items()]))
+    names = list(sums)
+    if anomalies is not None:
+        found = (_in_range(anomalies, "detected_at", as_of, order[-1])
+                 .groupBy(ring("detected_at").alias("ring")).agg(F.count(F.lit(1)).alias("found")))
+        rings = rings.unionByName(found, allowMissingColumns=True)
+        names.append("found")
+    # at most two rows a ring: every range takes the rings up to its own
+    ends = spark.createDataFrame(list(enumerate(order)), "own int, report_range string")
+    summed = (rings.withColumn("own", F.explode(F.sequence("ring", F.lit(len(order) - 1))))
+              .groupBy("own").agg(*[F.sum(n).alias(n) for n in names]))
+    row = F.broadcast(ends).join(summed, "own", "left")
+    extra = [] if anomalies is None else [F.coalesce("found", F.lit(0).cast("bigint")).alias("active_anomalies")]
+    return row.select(
+        "report_range", F.coalesce("requests", F.lit(0).cast("bigint")).alias("total_requests"),
+        F.coalesce(F.round("cost", 4), F.lit(0)).cast("decimal(18,4)").alias("total_cost_usd"),
+        F.coalesce(_round_avg(F.col("latency"), F.col("timed")), F.lit(0)).cast("bigint")
+         .alias("avg_latency_ms"), *extra)
+
+
 def total_requests(events, as_of, range_=timefn.DEFAULT_RANGE) -> DataFrame:
     """R1."""
     return _in_range(events, "ts", as_of, range_).agg(F.count(F.lit(1)).alias("cnt"))

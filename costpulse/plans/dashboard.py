@@ -45,6 +45,14 @@ def panels(spark: SparkSession, paths: Paths, range_: str = timefn.DEFAULT_RANGE
     }
 
 
+def all_ranges(spark: SparkSession, paths: Paths, as_of: dt.datetime | None = None) -> DataFrame:
+    """The KPI row (R1-R4) of every range offered, for a range picker: one scan of each table."""
+    as_of = as_of or utc_now()
+    widest = min(timefn.range_start(as_of, r) for r in timefn.ALLOWED_RANGES)
+    return reports.kpis_by_range(tables.events(spark, paths.events, since=widest), as_of,
+                                 tables.anomalies(spark, paths.anomalies, since=widest))
+
+
 def refresh(spark: SparkSession, paths: Paths, range_: str = timefn.DEFAULT_RANGE,
             as_of: dt.datetime | None = None) -> dict:
     """One dashboard refresh: every panel as a pandas frame (Arrow transfer).

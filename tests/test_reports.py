@@ -6,9 +6,13 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from costpulse import schemas
+from costpulse.operators import anomalies as an
 from costpulse.operators import reports
+from costpulse.sources import fixtures
+from tests.conftest import SF_SMALL
 
 T0 = dt.datetime(2024, 1, 5, 10, 0, 0)
 
@@ -75,3 +79,20 @@ def test_range_lower_bound_only(spark):
     assert reports.total_requests(ev, T0, "15 minutes").first()["cnt"] == 3
     with pytest.raises(ValueError):
         reports.total_requests(ev, T0, "2 hours")
+
+
+def test_nested_ranges_come_from_one_scan(spark):
+    """Ring sums against one report per range: bounds included, an empty range, odd events."""
+    events = fixtures.llm_events(spark, SF_SMALL)
+    as_of = events.agg(F.max("ts")).first()[0]
+    stats = an.anomalies(events, 60)
+    for now in (as_of, as_of + dt.timedelta(hours=2), as_of + dt.timedelta(days=3),
+                as_of - dt.timedelta(days=9)):
+        got = reports.kpis_by_range(events, now, stats)
+        by = {r["report_range"]: tuple(r)[1:] for r in got.collect()}
+        for r in schemas.REPORT_RANGES:
+            want = tuple(reports.kpis(events, now, r).first()) + \
+                tuple(reports.active_anomalies(stats, now, r).first())
+            assert by[r] == want
+    plan = reports.kpis_by_range(events, as_of)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
