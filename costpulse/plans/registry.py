@@ -23,7 +23,7 @@ from costpulse.session import prepare, scratch_path
 from costpulse.sinks import tables
 from costpulse.sources import fixtures, raw_json, replay
 from costpulse.sources import tables as source_tables
-from costpulse.streaming import jobs
+from costpulse.streaming import jobs, summaries
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -665,6 +665,40 @@ def stored_events_redelivered_earlier(spark, sf_dir):
     return source_tables.events(spark, paths.events, since=start)
 
 
+@register("stream_minute_summaries", oracle.with_events("""SELECT date_trunc('minute', ts) AS time, model,
+  count(*) AS events, CAST(sum(CASE WHEN status <> 'success' THEN 1 ELSE 0 END) AS BIGINT) AS failures,
+  CAST(sum(CASE WHEN status = 'success' THEN 1 ELSE 0 END) AS BIGINT) AS successes,
+  CAST(sum(CASE WHEN status = 'success' THEN latency_ms ELSE 0 END) AS BIGINT) AS success_latency,
+  CAST(sum(total_tokens) AS BIGINT) AS total_tokens, CAST(sum(cost_usd) AS DECIMAL(28,6)) AS cost_usd
+FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY batch DESC) AS rn FROM deliveries)
+WHERE rn = 1 GROUP BY ALL""", """deliveries AS (
+  SELECT *, 1 AS batch FROM llm_events
+  UNION ALL SELECT * REPLACE (ts + INTERVAL 3 HOURS AS ts, latency_ms + 5 AS latency_ms), 2
+  FROM llm_events WHERE CAST(right(event_id, 12) AS BIGINT) % 4 = 0
+  UNION ALL SELECT * REPLACE (ts + INTERVAL 1 DAY AS ts, 'error' AS status, 'server_error' AS error_code,
+    CAST(0 AS DECIMAL(12,6)) AS cost_usd), 3
+  FROM llm_events WHERE CAST(right(event_id, 12) AS BIGINT) % 6 = 0)"""), "R5-R9 K1 T8 A8")
+def stream_minute_summaries(spark, sf_dir):
+    """Per-minute summaries after every fourth event was re-sent three hours later and every
+    sixth as a failure of the next day, equal to a recomputation from the last deliveries."""
+    source, paths = _stream_source(spark, sf_dir)
+    events = fixtures.llm_events(spark, sf_dir)
+    n = F.right("event_id", F.lit(12)).cast("bigint")
+    second = (events.where(n % 4 == 0).withColumn("latency_ms", F.col("latency_ms") + 5)
+              .withColumn("ts", F.col("ts") + F.expr("INTERVAL 3 HOURS")))
+    third = (events.where(n % 6 == 0).withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY"))
+             .withColumns({"status": F.lit("error"), "error_code": F.lit("server_error"),
+                           "cost_usd": F.lit(0).cast(schemas.COST_TYPE)}))
+    for part in (None, second, third):
+        if part is not None:
+            replay.messages(part).write.mode("append").text(source)
+        _await(jobs.summary_job(spark, raw_json.json_lines_stream(spark, source), paths,
+                                _replay_config(spark), available_now=True))
+    summaries.compact(spark, paths.minute_summaries,
+                      tables.partition_dates(spark, paths.minute_summaries)[::2])
+    return summaries.minute_stats(spark, paths.minute_summaries)
+
+
 def queries() -> dict[str, Plan]:
     return {name: q.plan for name, q in REGISTRY.items()}
 

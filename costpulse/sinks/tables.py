@@ -221,9 +221,10 @@ def read_deliveries(spark: SparkSession, path: str,
 
 def compact(spark: SparkSession, path: str, dates: Sequence, key: Sequence[str],
             order: Sequence[str], partition_col: str = "dt",
-            sort_cols: Sequence[str] = (), index: keyindex.KeyIndex | None = None) -> None:
+            sort_cols: Sequence[str] = (), index: keyindex.KeyIndex | None = None,
+            merge: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Rewrite the given date partitions of an append-only (merge-on-read) table with one
-    row per key, as few files per date: all batches of a date share one folder, and each
+    row per key (the latest, or what ``merge`` makes of the rows), as few files per date: all batches of a date share one folder, and each
     surviving row keeps its batch number as a column (``read_deliveries``).
 
     The rows are written to a hidden staging folder in one job, the inputs untouched, then
@@ -235,7 +236,8 @@ def compact(spark: SparkSession, path: str, dates: Sequence, key: Sequence[str],
     if not dates or not table_exists(spark, path):
         return
     rows = read_deliveries(spark, path).where(F.col(partition_col).isin(dates))
-    latest = (latest_by_key(rows, key, order).withColumnRenamed("batch_id", OWN_BATCH)
+    one = merge(rows) if merge else latest_by_key(rows, key, order)
+    latest = (one.withColumnRenamed("batch_id", OWN_BATCH)
               .withColumn("batch_id", F.lit(COMPACTED_BATCH).cast("long")))
     staging = f"{path.rstrip('/')}/_compact_{uuid.uuid4().hex}"
     write_partitioned(latest, staging, [partition_col, "batch_id"], sort_cols)

@@ -33,7 +33,7 @@ from costpulse.operators import baselines, quality, rollups
 from costpulse.sinks import jdbc, tables
 from costpulse.sources import raw_json
 from costpulse.sources import tables as source_tables
-from costpulse.streaming import stateful
+from costpulse.streaming import stateful, summaries
 
 
 STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
@@ -57,6 +57,7 @@ class Paths:
     anomalies_json: str
     window_stats: str
     window_levels: str
+    minute_summaries: str
     checkpoints: str
 
     @classmethod
@@ -65,7 +66,8 @@ class Paths:
         return cls(events=f"{base}/llm_events", quarantine=f"{base}/quarantine",
                    rollups=f"{base}/cost_rollups", anomalies=f"{base}/anomaly_events",
                    anomalies_json=f"{base}/anomalies_json", window_stats=f"{base}/window_stats",
-                   window_levels=f"{base}/window_levels", checkpoints=f"{base}/_checkpoints")
+                   window_levels=f"{base}/window_levels",
+                   minute_summaries=f"{base}/minute_summaries", checkpoints=f"{base}/_checkpoints")
 
 
 @dataclass
@@ -325,6 +327,18 @@ def levels_job(spark: SparkSession, raw: DataFrame, paths: Paths, config: Stream
     return _start(spark, writer, config.triggers.anomalies, available_now, config)
 
 
+def summary_job(spark: SparkSession, raw: DataFrame, paths: Paths, config: StreamConfig,
+                available_now: bool = False) -> StreamingQuery:
+    """R5-R9 kept up to date: per-minute summaries with retractions (``summaries``)."""
+    first = tables.run_of(spark, f"{paths.checkpoints}/summaries")
+    touched = summaries.deliveries(accepted(spark, raw))
+    writer = (touched.writeStream.queryName("summaries").outputMode("update")
+              .option("checkpointLocation", f"{paths.checkpoints}/summaries")
+              .foreachBatch(lambda batch, batch_id: summaries.store(batch, first + batch_id,
+                                                                    paths.minute_summaries)))
+    return _start(spark, writer, config.triggers.landing, available_now, config)
+
+
 def _baseline_rows(stats: DataFrame, config: StreamConfig, detected) -> DataFrame:
     """N2-N4 of closed windows: from the previous windows they carry (streams), or over the whole
     input (batch)."""
