@@ -699,6 +699,28 @@ def stream_minute_summaries(spark, sf_dir):
     return summaries.minute_stats(spark, paths.minute_summaries)
 
 
+@register("stream_late_rows", oracle.with_events(f"""SELECT event_id, ts AS event_time,
+  {oracle.bucket(60)} + INTERVAL 60 MINUTES AS window_end, wm AS watermark, 'late:rollups' AS reason
+FROM llm_events, wm WHERE CAST(right(event_id, 12) AS BIGINT) % 20 = 0
+  AND {oracle.bucket(60)} + INTERVAL 60 MINUTES <= wm""", _WATERMARK_SQL), "T5 K7 T1")
+def stream_late_rows(spark, sf_dir):
+    """Dead letters of rows behind the watermark: all events in time order in three deliveries,
+    then every twentieth once more; only those whose hour is closed are late."""
+    config = _replay_config(spark, late_rows=True)
+
+    def land(raw, paths):
+        return jobs.landing(spark, raw, paths, config, available_now=True)
+
+    paths = _delivered_in_order(spark, sf_dir, land)
+    source = paths.events.rsplit("/", 1)[0] + "/source"
+    events = fixtures.llm_events(spark, sf_dir)
+    n = F.right("event_id", F.lit(12)).cast("bigint")
+    replay.messages(events.where(n % 20 == 0)).write.mode("append").text(source)
+    _await(land(raw_json.json_lines_stream(spark, source), paths))
+    return source_tables.late_rows(spark, paths.late_rows).select(
+        "event_id", "event_time", "window_end", "watermark", F.explode("reasons").alias("reason"))
+
+
 def queries() -> dict[str, Plan]:
     return {name: q.plan for name, q in REGISTRY.items()}
 

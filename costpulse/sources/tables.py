@@ -116,6 +116,14 @@ def window_levels(spark: SparkSession, path: str, since: dt.datetime | None = No
                        schema=T.StructType.fromDDL(fields)).drop("dt", "batch_id")
 
 
+def late_rows(spark: SparkSession, path: str) -> DataFrame:
+    """T5: messages that came after their window was closed, stored so far."""
+    more = [T.StructField(n, T.TimestampNTZType()) for n in ("event_time", "window_end", "watermark")]
+    schema = T.StructType([*schemas.QUARANTINE.fields, T.StructField("event_id", T.StringType()), *more,
+                           T.StructField("batch_id", T.LongType()), T.StructField("dt", T.DateType())])
+    return read_ranged(spark, path, "event_time", schema=schema).drop("dt")
+
+
 def quarantine(spark: SparkSession, path: str) -> DataFrame:
     """K7: the dead letters stored so far."""
     return read_ranged(spark, path, "arrival_time", schema=_stored(schemas.QUARANTINE, "batch_id"))

@@ -33,7 +33,7 @@ from costpulse.operators import baselines, quality, rollups
 from costpulse.sinks import jdbc, tables
 from costpulse.sources import raw_json
 from costpulse.sources import tables as source_tables
-from costpulse.streaming import stateful, summaries
+from costpulse.streaming import lateness, stateful, summaries
 
 
 STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
@@ -58,6 +58,7 @@ class Paths:
     window_stats: str
     window_levels: str
     minute_summaries: str
+    late_rows: str
     checkpoints: str
 
     @classmethod
@@ -67,7 +68,8 @@ class Paths:
                    rollups=f"{base}/cost_rollups", anomalies=f"{base}/anomaly_events",
                    anomalies_json=f"{base}/anomalies_json", window_stats=f"{base}/window_stats",
                    window_levels=f"{base}/window_levels",
-                   minute_summaries=f"{base}/minute_summaries", checkpoints=f"{base}/_checkpoints")
+                   minute_summaries=f"{base}/minute_summaries",
+                   late_rows=f"{base}/late_rows", checkpoints=f"{base}/_checkpoints")
 
 
 @dataclass
@@ -77,6 +79,8 @@ class StreamConfig:
     # the batch itself, whatever the table size. "upsert": copy-on-write of the touched date
     # partitions; exact table at rest, cost grows with the size of a date partition.
     landing_mode: str = "append"
+    # Keep rows that come after their rollup window was closed as dead letters (they land, too).
+    late_rows: bool = False
     # Same choice for rollups (key window_start, model, user_id). Append mode never deletes
     # stored files, so a crash at any point leaves the table readable and a replay of the
     # micro-batch rewrites only that batch's own partition.
@@ -169,15 +173,17 @@ EVENT_INDEX = source_tables.EVENT_INDEX
 # What one micro-batch does; also used as-is by the batch backfill (plans.backfill).
 
 def land_batch(spark: SparkSession, raw: DataFrame, batch_id: int, paths: Paths,
-               mode: str = "append") -> None:
-    """Decode + assess once; land accepted rows, append the quarantine (K1, K5, K7)."""
+               mode: str = "append", late: lateness.Windows | None = None) -> None:
+    """Decode + assess once; land accepted rows, append the quarantine (K1, K5, K7) and, with
+    ``late``, the rows whose window is closed already (T5)."""
     if "arrival_key" in raw.columns:
         raw = raw_json.numbered(raw)
-    land_assessed(spark, quality.assess(raw_json.decode(raw), spark), batch_id, paths, mode)
+    land_assessed(spark, quality.assess(raw_json.decode(raw), spark), batch_id, paths, mode, late=late)
 
 
 def land_assessed(spark: SparkSession, assessed: DataFrame, batch_id: int, paths: Paths,
-                  mode: str = "append", keep: bool = True) -> None:
+                  mode: str = "append", keep: bool = True,
+                  late: lateness.Windows | None = None) -> None:
     """``keep`` holds the assessed rows for both sinks, as a micro-batch should; a backfill of
     any size decodes them again instead."""
     if mode not in ("append", "upsert"):
@@ -201,7 +207,10 @@ def land_assessed(spark: SparkSession, assessed: DataFrame, batch_id: int, paths
             "dt", F.coalesce(F.to_date("arrival_time"), F.current_date()))
         tables.append_batch(bad, batch_id, paths.quarantine, ["dt"])
 
-    tables.write_all(assessed, [land, quarantine], keep)
+    def closed(df: DataFrame) -> None:
+        lateness.keep(spark, df, batch_id, paths.late_rows, late)
+
+    tables.write_all(assessed, [land, quarantine, *([closed] if late else [])], keep)
 
 
 def store_rollups(spark: SparkSession, rows: DataFrame, paths: Paths, batch_id: int = 0,
@@ -262,10 +271,12 @@ def jdbc_anomalies(url: str, table: str, properties: dict[str, str]) -> Callable
 def landing(spark: SparkSession, raw: DataFrame, paths: Paths, config: StreamConfig,
             available_now: bool = False) -> StreamingQuery:
     first = tables.run_of(spark, f"{paths.checkpoints}/landing")
+    late = lateness.Windows(config.rollup_minutes, config.watermark,
+                            f"{paths.checkpoints}/landing_times") if config.late_rows else None
     writer = (raw.writeStream.queryName("landing")
               .option("checkpointLocation", f"{paths.checkpoints}/landing")
               .foreachBatch(lambda batch, batch_id: land_batch(spark, batch, first + batch_id, paths,
-                                                               config.landing_mode)))
+                                                               config.landing_mode, late)))
     return _start(spark, writer, config.triggers.landing, available_now, config)
 
 
