@@ -22,6 +22,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def fresh(taken, *names: str) -> list[str]:
+    """``names``, each with underscores before it until no column in ``taken`` is called so."""
+    used, out = set(map(str.lower, taken)), []
+    for name in names:
+        while name.lower() in used:
+            name = "_" + name
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def fold(key: str, n: int):
     """crc32 of the id's decimal text modulo ``n``; ``NULL_FOLD`` where the id is null."""
     return F.coalesce(F.crc32(F.col(key).cast("string")) % F.lit(n), F.lit(NULL_FOLD)).cast("int")

@@ -3,8 +3,11 @@
 A line is a maximal piece of text without ``\\n``, compared after stripping white space; blank
 lines take no part and always stay. Lines are alike when the Jaccard similarity of their
 sets of ``SHINGLE``-character shingles (a shorter line is one shingle) is at least
-``THRESHOLD``; equal lines always are. Of every connected component the first line stays: the
-smallest (doc_id, line number). Documents with a null id pass unchanged and take no part.
+``THRESHOLD``; equal lines always are. Of every connected component the first line stays, in the
+order of ids (of any type that sorts), then of a hash of the text where ids repeat, then of
+line numbers. Of rows equal in id and text one counts as the first, the least by a hash of the
+whole row, and the others lose all their lines. Documents with a null id pass unchanged and
+take no part.
 
 1. Every line gets a 64-bit id (XXH64 of its text), so copies of a line are one node: a line
    that half of all documents hold costs one node and map-side counts. (Among 10^10
@@ -13,7 +16,9 @@ smallest (doc_id, line number). Documents with a null id pass unchanged and take
    probability 1 - (1 - 0.8^4)^20 = 0.99997, at 0.85 with 0.9999999; unrelated prose stays near
    0.01 and almost never collides.
 3. Lines that share a band meet in tiles of bounded size (``buckets.collide``) and are compared
-   exactly; comparisons inside one known component are skipped, nothing else is.
+   exactly. Small tiles with the same smallest id are compared by one task, which reads the text
+   of a line once for all of them; comparisons inside one known component are skipped, nothing
+   else is. Larger tiles, as of a crowded bucket, have a task each.
 4. ``graph.components`` joins the links of all tiles.
 """
 
@@ -21,12 +26,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 from xxhash import xxh64_intdigest
 
 from costpulse.llm import buckets, graph
-from costpulse.llm.common import cut
+from costpulse.llm.common import cut, fresh
 from costpulse.llm.textarrays import mix, minima, permutations
 
 SHINGLE = 8
@@ -35,6 +41,9 @@ ROWS = 4
 BANDS = 20
 FILTER_BITS = 1 << 25          # the candidate filter sent to tasks: 4 MB, whatever the input
 CHARS_AT_ONCE = 1 << 19
+TILE, SMALL = 512, 64          # lines of a tile; of one that shares its task with others
+SLOTS = 1 << 11                # of the quick bound on common shingles
+SHINGLES_HELD = 1 << 20         # shingles a comparison of tiles keeps at a time
 
 
 def line_id(line: str) -> int:
@@ -48,17 +57,22 @@ def shingles(line: str) -> set[str]:
 
 
 def _lines(batches):
-    """(doc_id, pos, id) of every non-blank line."""
+    """(key, hash, pos, id, head) of every non-blank line of (key, hash, text) rows; ``head`` is 1
+    at the first one of a row, else 0."""
     for b in batches:
-        docs, pos, ids = [], [], []
-        for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+        row, pos, ids, head = [], [], [], []
+        for i, text in enumerate(b.column(2).to_pylist()):
             for n, line in enumerate((text or "").split("\n")):
                 if line := line.strip():
-                    docs.append(doc)
+                    head.append(int(not row or row[-1] != i))
+                    row.append(i)
                     pos.append(n)
                     ids.append(line_id(line))
-        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(pos, pa.int32()),
-                                          pa.array(ids, pa.int64())], ["doc_id", "pos", "id"])
+        at = pa.array(row, pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0).take(at), b.column(1).take(at), pa.array(pos, pa.int32()),
+             pa.array(ids, pa.int64()), pa.array(head, pa.int32())],
+            ["key", "hash", "pos", "id", "head"])
 
 
 def _distinct(batch, column: int):
@@ -141,60 +155,115 @@ def _candidate_filter(ids: DataFrame) -> bytes:
     return table.tobytes()
 
 
-def similar_links(sets: list[set], left: list[int], right: list[int] | None,
-                  threshold: float) -> list[tuple[int, int]]:
-    """Links between indexes (``left`` among themselves, or ``left`` with ``right``) that join
-    the same components as all pairs at ``threshold`` do."""
-    parent = list(range(len(sets)))
+def _slots_of(own: set) -> int:
+    """A number with one bit for each slot that a shingle falls into."""
+    slots = bytearray(b"0" * SLOTS)
+    for x in own:
+        slots[hash(x) % SLOTS] = 49                # the digit 1
+    return int(slots, 2)
+
+
+def _described(own: set) -> tuple[set, int, int]:
+    slots = _slots_of(own)
+    return own, slots, len(own) - slots.bit_count()
+
+
+class Linker:
+    """Compares lines tile after tile and knows which are connected already."""
 
-    def top(x):
-        while parent[x] != x:
+    def __init__(self, line_of, threshold: float):
+        self.line_of, self.threshold = line_of, threshold
+        self.parent: dict = {}
+        self.sets: dict = {}
+        self.held = 0
+
+    def _top(self, x):
+        parent = self.parent
+        while parent.setdefault(x, x) != x:
             parent[x] = x = parent[parent[x]]
         return x
 
-    groups = {} if right is None else {j: [j] for j in right}      # root -> comparable members
-    found = []
-    for i in left:
-        a = sets[i]
-        here = top(i)
-        for root in list(groups):
-            if root == here or root not in groups:
-                continue
-            for j in groups[root]:
-                b = sets[j]
-                small, large = (len(a), len(b)) if len(a) < len(b) else (len(b), len(a))
-                if small < threshold * large:
+    def _set(self, x) -> tuple[set[str], int, int]:
+        """The shingles of a line, the slots they fall into, and how many shingles share theirs."""
+        found = self.sets.get(x)
+        if found is None:
+            if self.held > SHINGLES_HELD:
+                self.sets.clear()
+                self.held = 0
+            own = shingles(self.line_of(x))
+            found = self.sets[x] = _described(own)
+            self.held += len(own)
+        return found
+
+    def _alike(self, x, y) -> bool:
+        a, of_a, more_a = self._set(x)
+        b, of_b, more_b = self._set(y)
+        # every slot that only one line has stands for a shingle that the other lacks: at most so
+        # many are common, and most unlike pairs need no look at the shingles themselves
+        most = (of_a & of_b).bit_count() + min(more_a, more_b)
+        if most * (1 + self.threshold) < self.threshold * (len(a) + len(b)) - 1e-6:
+            return False
+        common = len(a & b)
+        return common >= self.threshold * (len(a) + len(b) - common)
+
+    def tile(self, left: list, right: list | None = None) -> list[tuple]:
+        """Links between members (``left`` among themselves, or ``left`` with ``right``) that join
+        the same components as all their alike pairs do."""
+        groups: dict = {}
+        for j in right or ():
+            groups.setdefault(self._top(j), []).append(j)
+        found = []
+        for i in left:
+            here = self._top(i)
+            for root in list(groups):
+                if root == here or root not in groups:
                     continue
-                common = len(a & b)
-                if common >= threshold * (len(a) + len(b) - common):
+                j = next((j for j in groups[root] if self._alike(i, j)), None)
+                if j is not None:
                     found.append((i, j))
-                    members = groups.pop(root) + groups.pop(here, [])
-                    parent[root] = here
-                    groups[here] = members
-                    break
-        if right is None:
-            groups.setdefault(here, []).append(i)
-    return found
+                    self.parent[root] = here
+                    groups[here] = groups.pop(root) + groups.get(here, [])
+            if right is None:
+                groups.setdefault(here, []).append(i)
+        return found
+
+
+def similar_links(sets: list[set], left: list[int], right: list[int] | None,
+                  threshold: float) -> list[tuple[int, int]]:
+    """``Linker.tile`` over given shingle sets."""
+    linker = Linker(None, threshold)
+    linker.sets = {i: _described(own) for i, own in enumerate(sets)}
+    return linker.tile(left, right)
 
 
 def _verified(threshold: float):
+    """Links of (lead, kind, bucket, a, b, own, id, line) rows sorted by the first five columns:
+    the lines of a lead (kind 0), then the members of its tiles."""
     def run(batches):
-        for t, starts in buckets.grouped(batches, 3, most=1 << 12):
-            ids = t.column("id").to_numpy()
-            lines = t.column("line").to_pylist()
-            a, b, own = (t.column(c).to_numpy() for c in ("a", "b", "own"))
-            ends = np.append(starts[1:], len(ids))
+        for t, starts in buckets.grouped(batches, 1, most=1 << 12):
+            ids, lines = t.column("id").to_pylist(), t.column("line").to_pylist()
+            kind, bucket, a, b, own = (t.column(c).to_numpy()
+                                       for c in ("kind", "bucket", "a", "b", "own"))
+            new = np.ones(len(ids), bool)
+            new[1:] = ((kind[1:] != kind[:-1]) | (bucket[1:] != bucket[:-1])
+                       | (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
             us, vs = [], []
-            for s, e in zip(starts.tolist(), ends.tolist()):
-                sets = [shingles(x) for x in lines[s:e]]
-                if a[s] == b[s]:
-                    links = similar_links(sets, list(range(e - s)), None, threshold)
-                else:
-                    side = own[s:e] == a[s]
-                    links = similar_links(sets, np.flatnonzero(side).tolist(),
-                                          np.flatnonzero(~side).tolist(), threshold)
-                us += [ids[s + i] for i, _ in links]
-                vs += [ids[s + j] for _, j in links]
+            for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(ids)]):
+                first = s + int(np.searchsorted(kind[s:e], 1))
+                linker = Linker(dict(zip(ids[s:first], lines[s:first])).__getitem__, threshold)
+                edges = [*(first + np.flatnonzero(new[first:e])).tolist(), e]
+                if edges[0] != first:
+                    edges.insert(0, first)
+                for lo, hi in zip(edges, edges[1:]):
+                    if a[lo] == b[lo]:
+                        found = linker.tile(ids[lo:hi])
+                    else:
+                        side = own[lo:hi] == a[lo]
+                        members = np.arange(lo, hi)
+                        found = linker.tile([ids[i] for i in members[side]],
+                                            [ids[i] for i in members[~side]])
+                    us += [u for u, _ in found]
+                    vs += [v for _, v in found]
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())],
                                              ["u", "v"])
     return run
@@ -203,58 +272,128 @@ def _verified(threshold: float):
 def links(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(u, v) ids of different lines that are alike, enough to connect every component."""
     texts = docs.select(F.col(text).cast("string").alias("text"))
-    tiles = cut(buckets.collide(texts.mapInArrow(_bands, "bucket long, id long"), merge=True))
+    tiles = buckets.collide(texts.mapInArrow(_bands, "bucket long, id long"), TILE, merge=True)
+    # small tiles of one smallest id go to one task, larger ones keep tasks of their own
+    tile = Window.partitionBy("bucket", "a", "b")
+    together = (F.col("a") == F.col("b")) & (F.count("*").over(tile) <= SMALL)
+    tiles = cut(tiles.withColumn("lead", F.when(together, F.min("id").over(tile))
+                                 .otherwise(F.xxhash64("bucket", "a", "b"))))
     bits = _candidate_filter(tiles)
     lines = (texts.mapInArrow(_texts(bits), "id long, line string")
              .groupBy("id").agg(F.first("line").alias("line")))
-    return (tiles.join(lines, "id").select("bucket", "a", "b", "own", "id", "line")
-            .repartition("bucket", "a", "b").sortWithinPartitions("bucket", "a", "b")
+    none = F.lit(None).cast("string")
+    members = tiles.select("lead", F.lit(1).alias("kind"), "bucket", "a", "b", "own", "id",
+                           none.alias("line"))
+    read = tiles.select("lead", "id").distinct().join(lines, "id").select(
+        "lead", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("bucket"), F.lit(0).alias("a"),
+        F.lit(0).alias("b"), F.lit(0).alias("own"), "id", "line")
+    return (read.unionByName(members).repartition("lead")
+            .sortWithinPartitions("lead", "kind", "bucket", "a", "b")
             .mapInArrow(_verified(threshold), "u long, v long"))
 
 
+def _places(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, hash, pos, id, head) of the non-blank lines of every row that has an id."""
+    named = docs.filter(F.col(key).isNotNull()).select(
+        F.col(key).alias("key"), _hash(text).alias("hash"), F.col(text).cast("string").alias("text"))
+    kind = named.schema["key"].dataType.simpleString()
+    return named.mapInArrow(_lines, f"key {kind}, hash long, pos int, id long, head int")
+
+
+def _hash(text: str):
+    """What tells rows of one id apart."""
+    return F.xxhash64(F.lit(9), F.col(text).cast("string"))
+
+
+def _place(rows: DataFrame):
+    """Column that orders lines by (key, hash, pos). Whole-number ids share one number with the
+    upper bits of the hash and the line number, which Spark adds up faster than a struct."""
+    if rows.schema["key"].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint"):
+        wide = "decimal(38,0)"
+        return (F.col("key").cast(wide) * F.lit(1 << 62).cast("decimal(19,0)")
+                + F.shiftrightunsigned("hash", 33).cast(wide) * F.lit(1 << 31).cast("decimal(10,0)")
+                + F.col("pos")).cast(wide)
+    return F.struct("key", "hash", "pos")
+
+
 def removals(docs: DataFrame, key: str = "doc_id", text: str = "text",
              threshold: float = THRESHOLD) -> DataFrame:
-    """(key, n_lines, removed): for every id with non-blank lines their number and the sorted
-    numbers (from 0) of the lines that go. No documents, no rows."""
-    named = docs.filter(F.col(key).isNotNull()).select(
-        F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = cut(named.mapInArrow(_lines, "doc_id long, pos int, id long"))
-    place = (F.col("doc_id").cast("decimal(38,0)") * F.lit(1 << 31).cast("decimal(10,0)")
-             + F.col("pos")).cast("decimal(38,0)")
+    """(key, hash, copies, n_lines, removed): for every different id and text (``hash``) with
+    non-blank lines how many rows have them, the number of lines and the sorted numbers
+    (from 0) of those that go from the first copy. No documents, no rows."""
+    rows = cut(_places(docs, key, text))
+    place = _place(rows)
     classes = rows.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    comps = graph.components(links(named, "text", threshold)).withColumnRenamed("node", "id")
+    comps = graph.components(links(docs.filter(F.col(key).isNotNull()), text, threshold)) \
+        .withColumnRenamed("node", "id")
     joined = classes.join(comps, "id", "left")
     keepers = (joined.filter("component is not null").groupBy("component")
                .agg(F.min("first").alias("keeper")))
     marked = (joined.filter("n > 1 or component is not null").join(keepers, "component", "left")
               .select("id", F.coalesce("keeper", "first").alias("keeper")))
     gone = (rows.join(marked, "id").filter(place != F.col("keeper"))
-            .groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("removed")))
-    counts = rows.groupBy("doc_id").agg(F.count("*").cast("long").alias("n_lines"))
+            .groupBy("key", "hash").agg(F.sort_array(F.collect_set("pos")).alias("removed")))
+    counts = rows.groupBy("key", "hash").agg(F.sum("head").alias("copies"), F.count("*").alias("n"))
     none = F.array().cast("array<int>")
-    return (counts.join(gone, "doc_id", "left")
-            .select(F.col("doc_id").alias(key), "n_lines",
+    return (counts.join(gone, ["key", "hash"], "left")
+            .select(F.col("key").alias(key), "hash", "copies", F.expr("n div copies").alias("n_lines"),
                     F.coalesce("removed", none).alias("removed")))
 
 
-def _without(text_at: int, count_at: int | None):
+SALTS = 64
+
+
+def decided(docs: DataFrame, key: str = "doc_id", text: str = "text",
+            threshold: float = THRESHOLD) -> tuple[DataFrame, str, str, str]:
+    """``docs`` with three columns more and their names: the number of non-blank lines (0 for
+    none), the numbers of those that go, and whether all of them go (a repeated row)."""
+    hashed, lines, gone, again, salt, rank, k, h, n = fresh(
+        docs.columns, "hash", "n_lines", "removed", "repeated", "salt", "rank", "key_", "hash_", "copies")
+    # short rows, written once: joined below and asked for repeated rows
+    found = cut(removals(docs.select(key, text), key, text, threshold).select(
+        F.col(key).alias(k), F.col("hash").alias(h), F.col("copies").alias(n),
+        F.col("n_lines").alias(lines), F.col("removed").alias(gone)))
+    marked, same = docs.withColumn(hashed, _hash(text)), (F.col(key) == F.col(k)) & (F.col(hashed) == F.col(h))
+    copies = found.filter(F.col(n) > 1).select(k, h)
+    if copies.isEmpty():
+        marked = marked.withColumn(again, F.lit(False))
+    else:
+        # the first of every salted part, then the first of those: no task ranks all copies
+        several = cut(marked.join(copies, same, "left_semi").withColumn(
+            salt, F.monotonically_increasing_id() % SALTS))
+        row = F.xxhash64(*[c for c in docs.columns if not isinstance(docs.schema[c].dataType, MapType)])
+        ranked = several.withColumn(rank, F.row_number().over(
+            Window.partitionBy(key, hashed, salt).orderBy(row)))
+        heads = ranked.filter(F.col(rank) == 1).withColumn(again, F.row_number().over(
+            Window.partitionBy(key, hashed).orderBy(row, salt)) > 1)
+        rest = ranked.filter(F.col(rank) > 1).withColumn(again, F.lit(True))
+        single = marked.join(copies, same, "left_anti").withColumn(again, F.lit(False))
+        marked = heads.unionByName(rest).drop(salt, rank).unionByName(single)
+    joined = marked.join(found, same, "left")
+    none = F.array().cast("array<int>")
+    return (joined.select(*docs.columns, F.coalesce(lines, F.lit(0).cast("long")).alias(lines),
+                          F.coalesce(gone, none).alias(gone), again), lines, gone, again)
+
+
+def _without(text_at: int, count_at: int | None, width: int):
     def run(batches):
         for b in batches:
-            gone = b.column(b.num_columns - 1).to_pylist()
+            gone, again = b.column(width).to_pylist(), b.column(width + 1).to_pylist()
             texts = b.column(text_at).to_pylist()
-            for i, numbers in enumerate(gone):
-                if numbers:
+            for i, (numbers, all_) in enumerate(zip(gone, again)):
+                if numbers or all_:
                     drop = set(numbers)
                     texts[i] = "\n".join(x for n, x in enumerate((texts[i] or "").split("\n"))
-                                         if n not in drop)
-            columns = b.columns[:-1]
+                                         if n not in drop and not (all_ and x.strip()))
+            columns = b.columns[:width]
+            changed = [bool(g) or a for g, a in zip(gone, again)]
             columns[text_at] = pa.array(texts, pa.string())
             if count_at is not None:
                 kind = columns[count_at].type
                 columns[count_at] = pa.array(
-                    [len(x) if g else old for x, g, old in
-                     zip(texts, gone, columns[count_at].to_pylist())], kind)
-            yield pa.RecordBatch.from_arrays(columns, b.schema.names[:-1])
+                    [len(x or "") if g else old for x, g, old in
+                     zip(texts, changed, columns[count_at].to_pylist())], kind)
+            yield pa.RecordBatch.from_arrays(columns, b.schema.names[:width])
     return run
 
 
@@ -262,8 +401,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 threshold: float = THRESHOLD, count: str | None = "n_chars") -> DataFrame:
     """``docs`` without the repeated lines; every row and column stays, a text whose lines all
     go becomes empty, and ``count`` (if there is such a column) is set to the new length."""
-    gone = (removals(docs, key, text, threshold).filter(F.size("removed") > 0)
-            .select(F.col(key).alias("__key"), F.col("removed").alias("__removed")))
-    joined = docs.join(gone, docs[key] == F.col("__key"), "left").select(*docs.columns, "__removed")
+    rows, lines, gone, again = decided(docs, key, text, threshold)
     at = docs.columns.index(count) if count in docs.columns else None
-    return joined.mapInArrow(_without(docs.columns.index(text), at), docs.schema)
+    return rows.select(*docs.columns, gone, again).mapInArrow(
+        _without(docs.columns.index(text), at, len(docs.columns)), docs.schema)

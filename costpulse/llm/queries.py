@@ -23,16 +23,16 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: its non-blank lines, how many stay, and the numbers of those that go."""
+    """Per document: its non-blank lines, how many stay, the numbers of those that go, and
+    whether all go as the row repeats an id and its text."""
     prepare(spark)
-    docs = table(spark, sf_dir, "documents")
-    found = linededup.removals(docs).withColumnRenamed("doc_id", "_id")
-    n = F.coalesce("n_lines", F.lit(0).cast("long"))
-    return (docs.select("doc_id").join(found, F.col("doc_id") == F.col("_id"), "left")
-            .select("doc_id", n.alias("n_lines"),
-                    (n - F.coalesce(F.size("removed"), F.lit(0))).alias("n_kept"),
-                    F.coalesce(F.array_join(F.col("removed").cast("array<string>"), ","),
-                               F.lit("")).alias("removed")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows, lines, gone, again = linededup.decided(docs)
+    return rows.select(
+        "doc_id", F.col(lines).alias("n_lines"),
+        F.when(F.col(again), F.lit(0)).otherwise(F.col(lines) - F.size(gone)).cast("long").alias("n_kept"),
+        F.array_join(F.col(gone).cast("array<string>"), ",").alias("removed"),
+        F.col(again).alias("repeated"))
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

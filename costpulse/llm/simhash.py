@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from costpulse.llm import buckets, graph
+from costpulse.llm.common import cut, fresh
 
 SHINGLE = 3
 RADIUS = 3
@@ -268,7 +269,6 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: i
 
     Null keys: such rows take the class of their fingerprint (null if it has no other key).
     Repeated rows give repeated rows. Empty table: no rows."""
-    from costpulse.llm.common import cut
     rows = cut(fingerprints(docs, key, text, shingle))
     nodes = rows.groupBy("fp").agg(F.min(key).alias("_least"))
     comps = graph.components(links(nodes, radius))
@@ -284,10 +284,11 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """``docs`` with one document of each group: the one with the smallest key. All columns
     stay. Rows with a null key cannot be named and stay; a key that repeats is one document,
     of which the row with the smallest text hash stays."""
-    gone = classes(docs, key, text, shingle, radius).filter(
-        F.col(key) != F.col("component_id")).select(F.col(key).alias("__gone"))
-    left = docs.join(gone, docs[key] == F.col("__gone"), "left_anti")
-    salt = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
-    rank = F.row_number().over(Window.partitionBy(key, "__salt").orderBy(F.xxhash64(text)))
-    return (left.withColumn("__salt", salt).withColumn("__rank", rank)
-            .filter(F.col("__rank") == 1).select(*docs.columns))
+    gone, salt, rank = fresh(docs.columns, "gone", "salt", "rank")
+    others = classes(docs.select(key, text), key, text, shingle, radius).filter(
+        F.col(key) != F.col("component_id")).select(F.col(key).alias(gone))
+    left = docs.join(others, F.col(key) == F.col(gone), "left_anti")
+    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    first = F.row_number().over(Window.partitionBy(key, salt).orderBy(F.xxhash64(text)))
+    return (left.withColumn(salt, own).withColumn(rank, first)
+            .filter(F.col(rank) == 1).select(*docs.columns))

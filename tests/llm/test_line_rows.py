@@ -91,3 +91,14 @@ def test_linker_remembers_components_over_tiles():
     assert len(linker.tile([0, 1, 2, 3])) == 3
     assert linker.tile([0, 1, 2, 3]) == [] and linker.tile([0], [1, 2, 3]) == []
     assert sorted(read) == [0, 1, 2, 3]
+
+
+def test_near_dedup_keeps_columns_that_share_its_names(llm):
+    from costpulse.llm import simhash
+    df = llm.createDataFrame([(1, "one two three four", "a", 1, 2), (2, "one two three four", "b", 3, 4),
+                              (None, "one two three four", "c", 5, 6)],
+                             "doc_id long, text string, gone string, `rank` int, __salt int")
+    got = simhash.near_dedup(df)
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect()), key=str) == [
+        (1, "one two three four", "a", 1, 2), (None, "one two three four", "c", 5, 6)]
