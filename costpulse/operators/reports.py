@@ -60,7 +60,6 @@ def kpis_by_range(events: DataFrame, as_of: dt.datetime, anomalies: DataFrame |
     bounds, and a range is the running sum of its own ring and the smaller ones (a handful of
     rows). An empty range has zeros. Bounds are literals: the widest reaches the scan."""
     order = sorted(ranges, key=lambda r: timefn.range_start(as_of, r), reverse=True)
-    spark = events.sparkSession
     starts = [timefn.ntz_lit(timefn.range_start(as_of, r)) for r in order]
 
     def ring(column: str) -> Column:
@@ -77,13 +76,13 @@ def kpis_by_range(events: DataFrame, as_of: dt.datetime, anomalies: DataFrame |
                  .groupBy(ring("detected_at").alias("ring")).agg(F.count(F.lit(1)).alias("found")))
         rings = rings.unionByName(found, allowMissingColumns=True)
         names.append("found")
-    # at most two rows a ring: every range takes the rings up to its own
-    ends = spark.createDataFrame(list(enumerate(order)), "own int, report_range string")
-    summed = (rings.withColumn("own", F.explode(F.sequence("ring", F.lit(len(order) - 1))))
-              .groupBy("own").agg(*[F.sum(n).alias(n) for n in names]))
-    row = F.broadcast(ends).join(summed, "own", "left")
+    # at most two rows a ring: every range adds up the rings up to its own
+    summed = rings.agg(*[F.sum(F.when(F.col("ring") <= i, F.col(n))).alias(f"{n}_{i}")
+                         for i in range(len(order)) for n in names])
+    ranges_ = F.array(*[F.struct(F.lit(r).alias("report_range"), *[F.col(f"{n}_{i}").alias(n) for n in names])
+                        for i, r in enumerate(order)])
     extra = [] if anomalies is None else [F.coalesce("found", F.lit(0).cast("bigint")).alias("active_anomalies")]
-    return row.select(
+    return summed.select(F.inline(ranges_)).select(
         "report_range", F.coalesce("requests", F.lit(0).cast("bigint")).alias("total_requests"),
         F.coalesce(F.round("cost", 4), F.lit(0)).cast("decimal(18,4)").alias("total_cost_usd"),
         F.coalesce(_round_avg(F.col("latency"), F.col("timed")), F.lit(0)).cast("bigint")
