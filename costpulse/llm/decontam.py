@@ -40,7 +40,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 EXPECTED = 9.7
 BLOCK_BYTES = 8 << 20
-TEXT_BYTES_AT_ONCE = 4 << 20
+TEXT_BYTES_AT_ONCE = 1 << 20
 SEED = 17
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-SLICE = 1 << 21            # bytes handled at once, so that work arrays stay in cache and small
+SLICE = 1 << 18            # bytes handled at once, so that work arrays stay in cache and small
 _RNG = np.random.default_rng(20240601)
 _BASE = U64(0x9E3779B97F4A7C15)
 
