@@ -22,8 +22,9 @@ OUT = "bucket long, id long, big boolean"
 
 
 def _runs(tile: int, merge: bool):
-    """Keeps the rows of buckets with two or more different ids; input sorted by (bucket, id).
-    A run is held until it ends or outgrows ``tile``; then its rows go on as ``big``. With
+    """Keeps the rows of buckets with two or more different ids; input sorted by bucket alone,
+    which Spark sorts much faster than pairs. The different ids of a run are held until it
+    ends or outgrows ``tile``; then its rows go on as ``big``, where an id may come again. With
     ``merge`` a small run is renamed by a hash of its ids, so that equal runs become one."""
 
     def renamed(k, i):
@@ -33,6 +34,18 @@ def _runs(tile: int, merge: bool):
         name = mix(np.add.reduceat(mix(i.view(np.uint64)), first))
         return np.repeat(name.view(np.int64), np.diff(np.append(first, len(k))))
 
+    def different(k, i):
+        """The different rows, those of a bucket in the order of their ids."""
+        same = k[1:] == k[:-1]
+        several = np.flatnonzero(np.append(same, False) | np.append(False, same))
+        order = several[np.lexsort((i[several], k[several]))]
+        # buckets are sorted already, so equal ones stay at their places
+        i = i.copy()
+        i[several] = i[order]
+        fresh = np.ones(len(k), bool)
+        fresh[1:] = ~same | (i[1:] != i[:-1])
+        return k[fresh], i[fresh]
+
     def batch(keys, ids, big):
         return pa.RecordBatch.from_arrays(
             [pa.array(keys), pa.array(ids), pa.array(np.full(len(keys), big))],
@@ -45,9 +58,7 @@ def _runs(tile: int, merge: bool):
                 continue
             k = np.concatenate([tail_k, b.column(0).to_numpy()])
             i = np.concatenate([tail_i, b.column(1).to_numpy()])
-            fresh = np.ones(len(k), bool)
-            fresh[1:] = (k[1:] != k[:-1]) | (i[1:] != i[:-1])
-            k, i = k[fresh], i[fresh]
+            k, i = different(k, i)
             first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
             # the last run may go on in the next batch
             size = np.diff(np.append(first, len(k)))
@@ -63,21 +74,15 @@ def _runs(tile: int, merge: bool):
             sent = big[of].copy()
             last = of == len(first) - 1
             if big[-1]:
-                # keep one row back so that a repeated id at the border is seen
-                held = np.flatnonzero(last)[-1:]
-                sent[held] = False
                 streaming = k[-1]
-                tail_k, tail_i = k[held], i[held]
+                tail_k, tail_i = tail_k[:0], tail_i[:0]
             else:
                 tail_k, tail_i = k[last], i[last]
                 streaming = None
             if sent.any():
                 yield batch(k[sent], i[sent], True)
-        if len(tail_k):
-            if streaming is not None:
-                yield batch(tail_k, tail_i, True)
-            elif len(tail_k) > 1:
-                yield batch(renamed(tail_k, tail_i), tail_i, False)
+        if len(tail_k) > 1:
+            yield batch(renamed(tail_k, tail_i), tail_i, False)
 
     return run
 
@@ -87,11 +92,11 @@ def collide(rows: DataFrame, tile: int = TILE, merge: bool = False) -> DataFrame
     With ``merge``, buckets of the same ids (alike rows share many) are given out once, under
     a name of their own."""
     found = rows.select("bucket", "id").repartition("bucket").sortWithinPartitions(
-        "bucket", "id").mapInArrow(_runs(tile, merge), OUT)
+        "bucket").mapInArrow(_runs(tile, merge), OUT)
     found = cut(found.distinct() if merge else found)
     small = found.filter(~F.col("big")).select("bucket", F.lit(0).alias("a"), F.lit(0).alias("b"),
                                                "id", F.lit(0).alias("own"))
-    big = found.filter("big").select("bucket", "id")
+    big = found.filter("big").select("bucket", "id").distinct()
     tiles = big.groupBy("bucket").agg(F.ceil(F.count("*") / tile).cast("int").alias("n"))
     dealt = (big.join(tiles, "bucket")
              .withColumn("own", F.pmod(F.xxhash64(F.lit(11), "id"), F.col("n")).cast("int"))

@@ -40,7 +40,7 @@ THRESHOLD = 0.8
 ROWS = 4
 BANDS = 20
 FILTER_BITS = 1 << 25          # the candidate filter sent to tasks: 4 MB, whatever the input
-CHARS_AT_ONCE = 1 << 19
+CHARS_AT_ONCE = 1 << 17
 TILE, SMALL = 512, 64          # lines of a tile; of one that shares its task with others
 SLOTS = 1 << 11                # of the quick bound on common shingles
 SHINGLES_HELD = 1 << 20         # shingles a comparison of tiles keeps at a time
@@ -105,12 +105,9 @@ def band_keys(lines: list[str], rows: int = ROWS, bands: int = BANDS, seed: int
             keep[first + sizes - j] = False
         values = (mix(h[keep[:len(h)]]) >> np.uint64(32)).astype(np.uint32)
         mins = minima(values, np.cumsum(counts) - counts, perms).astype(np.uint64)
-        keys = np.empty((bands, len(part)), np.uint64)
-        for band in range(bands):
-            key = np.full(len(part), band + 1, np.uint64)
-            for row in mins[band * rows:(band + 1) * rows]:
-                key = mix(key * np.uint64(0x9E3779B97F4A7C15) + row)
-            keys[band] = key
+        keys = np.repeat(np.arange(1, bands + 1, dtype=np.uint64)[:, None], len(part), axis=1)
+        for row in range(rows):
+            keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + mins[row::rows])
         out.append(keys)
         at = end
     return np.concatenate(out, axis=1).view(np.int64)
@@ -155,17 +152,45 @@ def _candidate_filter(ids: DataFrame) -> bytes:
     return table.tobytes()
 
 
-def _slots_of(own: set) -> int:
-    """A number with one bit for each slot that a shingle falls into."""
-    slots = bytearray(b"0" * SLOTS)
-    for x in own:
-        slots[hash(x) % SLOTS] = 49                # the digit 1
-    return int(slots, 2)
+def _different(codes: np.ndarray) -> np.ndarray:
+    codes = np.sort(codes)
+    first = np.ones(len(codes), bool)
+    np.not_equal(codes[1:], codes[:-1], out=first[1:])
+    return codes[first]
 
 
-def _described(own: set) -> tuple[set, int, int]:
-    slots = _slots_of(own)
-    return own, slots, len(own) - slots.bit_count()
+def shingle_codes(line: str) -> tuple[np.ndarray, bool]:
+    """(sorted 64-bit codes of the different shingles, whether some stand for more than themselves).
+    Eight characters below U+0100 are their own code, others have a hash."""
+    if len(line) < SHINGLE:
+        line += "\n" * (SHINGLE - len(line))
+    try:
+        data = line.encode("latin-1")
+        return _different(np.ndarray(len(data) - SHINGLE + 1, "<u8", data, strides=(1,))), False
+    except UnicodeEncodeError:
+        points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    wide, code = points > 255, points & np.uint64(255)
+    h, span, base = points + np.uint64(0x9E3779B97F4A7C15), 1, 0x9DDFEA08EB382D69
+    while span < SHINGLE:                          # doubling: 1, 2, 4, 8 characters
+        wide = wide[:-span] | wide[span:]
+        code = code[:-span] | (code[span:] << np.uint64(8 * span))
+        h = h[:-span] * np.uint64(base) + h[span:]
+        span, base = span * 2, base * base % (1 << 64)
+    return _different(np.where(wide, mix(h), code)), True
+
+
+def _described(own: np.ndarray, hashed: bool = False) -> tuple[np.ndarray, int, int, bool]:
+    """Codes, a number with one bit for each slot that one falls into, how many share theirs."""
+    bits = np.zeros(SLOTS, bool)
+    bits[(own * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS.bit_length() + 1)] = True
+    slots = int.from_bytes(np.packbits(bits).tobytes(), "big")
+    return own, slots, len(own) - slots.bit_count(), hashed
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    both = np.concatenate((a, b))
+    both.sort()
+    return int(np.count_nonzero(both[1:] == both[:-1]))
 
 
 class Linker:
@@ -183,28 +208,33 @@ class Linker:
             parent[x] = x = parent[parent[x]]
         return x
 
-    def _set(self, x) -> tuple[set[str], int, int]:
-        """The shingles of a line, the slots they fall into, and how many shingles share theirs."""
+    def _set(self, x) -> tuple[np.ndarray, int, int, bool]:
+        """What ``_described`` says of a line."""
         found = self.sets.get(x)
         if found is None:
             if self.held > SHINGLES_HELD:
                 self.sets.clear()
                 self.held = 0
-            own = shingles(self.line_of(x))
-            found = self.sets[x] = _described(own)
-            self.held += len(own)
+            found = self.sets[x] = _described(*shingle_codes(self.line_of(x)))
+            self.held += len(found[0])
         return found
 
     def _alike(self, x, y) -> bool:
-        a, of_a, more_a = self._set(x)
-        b, of_b, more_b = self._set(y)
+        a, of_a, more_a, hashed_a = self._set(x)
+        b, of_b, more_b, hashed_b = self._set(y)
         # every slot that only one line has stands for a shingle that the other lacks: at most so
         # many are common, and most unlike pairs need no look at the shingles themselves
         most = (of_a & of_b).bit_count() + min(more_a, more_b)
         if most * (1 + self.threshold) < self.threshold * (len(a) + len(b)) - 1e-6:
             return False
-        common = len(a & b)
-        return common >= self.threshold * (len(a) + len(b) - common)
+        common = _common(a, b)
+        if common < self.threshold * (len(a) + len(b) - common):
+            return False
+        if not (hashed_a or hashed_b):
+            return True
+        own, other = shingles(self.line_of(x)), shingles(self.line_of(y))
+        common = len(own & other)
+        return common >= self.threshold * (len(own) + len(other) - common)
 
     def tile(self, left: list, right: list | None = None) -> list[tuple]:
         """Links between members (``left`` among themselves, or ``left`` with ``right``) that join
@@ -231,8 +261,10 @@ class Linker:
 def similar_links(sets: list[set], left: list[int], right: list[int] | None,
                   threshold: float) -> list[tuple[int, int]]:
     """``Linker.tile`` over given shingle sets."""
+    number: dict = {}
     linker = Linker(None, threshold)
-    linker.sets = {i: _described(own) for i, own in enumerate(sets)}
+    linker.sets = {i: _described(_different(np.array(
+        [number.setdefault(x, len(number)) for x in own], np.uint64))) for i, own in enumerate(sets)}
     return linker.tile(left, right)
 
 
