@@ -79,25 +79,21 @@ def data_folders(spark: SparkSession, path: str) -> list[Folder]:
     return found
 
 
-def _places(rows: DataFrame, index: KeyIndex) -> DataFrame:
+def _places(rows: DataFrame, index: KeyIndex, *more: str) -> DataFrame:
     arrival = F.col(ARRIVAL) if ARRIVAL in rows.columns else F.lit(None)
     return rows.select(*_hashes(index), F.col(index.time).cast("timestamp_ntz").alias("at"),
-                       arrival.cast("string").alias("arrival"), F.col("batch_id").alias("batch"))
+                       arrival.cast("string").alias("arrival"), F.col("batch_id").alias("batch"), *more)
 
 
 def _hashes(index: KeyIndex):
     return [F.xxhash64(F.lit(seed), *index.key).alias(name) for seed, name in ((1, "h1"), (2, "h2"))]
 
 
-def _rows_of(spark: SparkSession, path: str, parts: Sequence[Folder], index: KeyIndex) -> DataFrame:
+def _rows_of(spark: SparkSession, path: str, parts: Sequence[Folder], index: KeyIndex,
+             *more: str) -> DataFrame:
     """Index rows read from data folders themselves (key, time and arrival columns only)."""
     from costpulse.sinks.tables import read_deliveries
-    return _places(read_deliveries(spark, path, folders=[p.path for p in parts]), index)
-
-
-def _store(spark: SparkSession, path: str, rows: DataFrame, date: str, first: int, last: int) -> None:
-    (rows.hint("rebalance", "h1").sortWithinPartitions("h1").write.mode("overwrite")
-         .parquet(f"{path.rstrip('/')}/{FOLDER}/dt={date}/first={first}/last={last}"))
+    return _places(read_deliveries(spark, path, folders=[p.path for p in parts]), index, *more)
 
 
 def write(spark: SparkSession, path: str, batch_id: int, index: KeyIndex) -> None:
@@ -118,22 +114,33 @@ def write(spark: SparkSession, path: str, batch_id: int, index: KeyIndex) -> Non
          .write.mode("append").partitionBy("dt", "first", "last").parquet(target))
 
 
-def merge(spark: SparkSession, path: str, date: str, index: KeyIndex) -> None:
-    """Index a compacted date by its surviving rows, in one folder. Older folders of the date hold
-    at most superfluous rows, so they go last and a crash in between does no harm."""
+def merge(spark: SparkSession, path: str, dates: Sequence[str], index: KeyIndex) -> None:
+    """Index compacted dates by their surviving rows, one folder a date, all dates in one job.
+    Older folders of a date hold at most superfluous rows, so they go last and a crash in between
+    does no harm."""
     Path, fs = _filesystem(spark, path)
-    parts = [f for f in data_folders(spark, path) if f.date == date]
+    wanted = set(dates)
+    parts = [f for f in data_folders(spark, path) if f.date in wanted]
     if not parts:
         return
-    before = [f for f in folders(spark, path) if f.date == date]
-    rows = _rows_of(spark, path, parts, index)
-    ends = rows.agg(F.min("batch").alias("a"), F.max("batch").alias("b")).first()
-    if ends["a"] is None:
+    before = [f for f in folders(spark, path) if f.date in wanted]
+    rows = _rows_of(spark, path, parts, index, "dt").withColumn("dt", F.col("dt").cast("string"))
+    ends = {r["dt"]: (r["first"], r["last"]) for r in
+            rows.groupBy("dt").agg(F.min("batch").alias("first"), F.max("batch").alias("last")).collect()
+            if r["first"] is not None}
+    if not ends:
         return
-    _store(spark, path, rows, date, ends["a"], ends["b"])
-    fs.create(Path(f"{path.rstrip('/')}/{FOLDER}/dt={date}/{MERGED}"), True).close()
+    named = spark.createDataFrame([(d, *e) for d, e in ends.items()], "dt string, first long, last long")
+    target = f"{path.rstrip('/')}/{FOLDER}"
+    (rows.join(F.broadcast(named), "dt")
+         .hint("rebalance", "dt").sortWithinPartitions("dt", "h1")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("dt", "first", "last").parquet(target))
+    for date in ends:
+        fs.create(Path(f"{target}/dt={date}/{MERGED}"), True).close()
     for f in before:
-        if (f.first, f.last) != (ends["a"], ends["b"]) and f.last <= ends["b"]:
+        first, last = ends.get(f.date, (f.first, f.last))
+        if (f.first, f.last) != (first, last) and f.last <= last:
             fs.delete(Path(f.path), True)
             _drop_if_empty(fs, Path(f.path).getParent())
 

@@ -242,6 +242,7 @@ def compact(spark: SparkSession, path: str, dates: Sequence, key: Sequence[str],
     staging = f"{path.rstrip('/')}/_compact_{uuid.uuid4().hex}"
     write_partitioned(latest, staging, [partition_col, "batch_id"], sort_cols)
     Path, fs = filesystem(spark, path)
+    swapped = []
     for d in dates:
         name = f"{partition_col}={d}"
         target, fresh = Path(f"{path.rstrip('/')}/{name}"), Path(f"{staging}/{name}")
@@ -255,8 +256,9 @@ def compact(spark: SparkSession, path: str, dates: Sequence, key: Sequence[str],
             raise OSError(f"cannot move {fresh} into place")
         fs.delete(old, True)
         fs.create(Path(f"{path.rstrip('/')}/{name}/{COMPACTED_MARKER}"), True).close()
-        if index is not None:
-            keyindex.merge(spark, path, str(d), index)
+        swapped.append(str(d))
+    if index is not None:
+        keyindex.merge(spark, path, swapped, index)
     fs.delete(Path(staging), True)
 
 
