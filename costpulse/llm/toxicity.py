@@ -15,9 +15,11 @@ A logistic curve fitted on labelled documents outside the count turns it into th
 
 Counts cover every labelled training row and grow with them: words by class, then letter runs
 of the different words, all added by Spark. Copies of a text count once per label. What
-travels to the tasks is bounded by ``MAX_RUNS`` letter runs (16 bytes each): with more, the
-least frequent ones fall to the shared backoff. The calibration collects one row per
-evidence step and label.
+travels to the tasks is bounded by ``MAX_RUNS`` letter runs (16 bytes each). With more, Spark
+computes the models order by order over all runs, and only the most frequent runs travel. A
+task settles the words they decide (the longest run possible at every letter is among them);
+the other words get their ratios by joins with the table of all runs, so both ways give the
+same evidence. The calibration collects one row per evidence step and label.
 
 Null and empty texts and those without letters have no evidence and get the score of none. Ids
 labelled both ways, null ids and null labels are left out of the fit. Without training
@@ -30,11 +32,11 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from costpulse.llm.common import cut, fold
@@ -160,7 +162,8 @@ def _row_hashes(codes: np.ndarray) -> np.ndarray:
 @dataclass(frozen=True)
 class Model:
     """Log ratios (toxic over ordinary) of letter runs and of the backoff below them, by the
-    sorted hash of the run, and the calibration."""
+    sorted hash of the run, and the calibration. ``table`` has all runs (run, ratio, backoff)
+    where the arrays hold the most frequent ones only."""
 
     keys: np.ndarray
     ratio: np.ndarray
@@ -169,10 +172,11 @@ class Model:
     slope: float = 0.0
     intercept: float = 0.0
     order: int = ORDER
+    table: DataFrame | None = None
 
 
-def _discount(counts: np.ndarray) -> float:
-    one, two = int((counts == 1).sum()), int((counts == 2).sum())
+def _discount(one: int, two: int) -> float:
+    """From the numbers of runs counted once and twice."""
     return min(0.95, max(0.4, one / (one + 2 * two))) if one else 0.5
 
 
@@ -208,7 +212,8 @@ def kneser_ney(runs: list[str], raw: np.ndarray, before: np.ndarray, order: int
         if not len(at):
             continue
         c = counts[at]
-        d = np.array([_discount(c[:, y]) for y in (0, 1)])
+        d = np.array([_discount(int((c[:, y] == 1).sum()), int((c[:, y] == 2).sum()))
+                      for y in (0, 1)])
         if k == 1:
             n, kind = c.sum(axis=0), (c > 0).sum(axis=0)
             low = ((c.sum(axis=1) + 1) / (pooled + len(at) + 1))[:, None]
@@ -234,16 +239,94 @@ def kneser_ney(runs: list[str], raw: np.ndarray, before: np.ndarray, order: int
                  backoff[by_key].astype(np.float32), bottom, order=order)
 
 
+def _probabilities(runs: DataFrame, longer: DataFrame, order: int) -> tuple[DataFrame, float]:
+    """``kneser_ney`` over any number of runs: (run, often, ratio, backoff) of each, and the bottom.
+    A run's share of its context needs the runs of that context only, its lower
+    probability is that of the run without its first letter, one order below."""
+    size = F.length("run")
+    whole = (size == order) | F.startswith("run", F.lit(START))
+    counted = cut(runs.join(longer, "run", "left").select(
+        "run", size.alias("k"), (F.col("toxic") + F.col("ordinary")).alias("often"),
+        *(F.when(F.col("run") == START, 0).when(whole, F.col(raw))
+          .otherwise(F.coalesce(before, F.lit(0))).cast("long").alias(c)
+          for c, raw, before in (("c0", "ordinary", "bo"), ("c1", "toxic", "bt")))))
+
+    def times(condition: Column) -> Column:
+        return F.sum(condition.cast("long"))
+
+    level = {r["k"]: r for r in counted.groupBy("k").agg(
+        F.count("*").alias("runs"),
+        *(a.alias(f"{name}{y}") for y in (0, 1) for c in [F.col(f"c{y}")] for name, a in (
+            ("n", F.sum(c)), ("kinds", times(c > 0)), ("one", times(c == 1)),
+            ("two", times(c == 2))))).collect()}
+    d = {k: [_discount(r[f"one{y}"], r[f"two{y}"]) for y in (0, 1)] for k, r in level.items()}
+    ones = level[1]
+    low = (F.col("c0") + F.col("c1") + 1) / (ones["n0"] + ones["n1"] + ones["runs"] + 1)
+    rest = [d[1][y] * ones[f"kinds{y}"] / ones[f"n{y}"] if ones[f"n{y}"] else 1.0 for y in (0, 1)]
+    bottom = math.log(rest[1]) - math.log(rest[0])
+
+    def share(y: int, cut_off: Column, n: Column) -> Column:
+        return F.when(n > 0, F.greatest(F.col(f"c{y}") - cut_off, F.lit(0.0)) / n).otherwise(0.0)
+
+    context = Window.partitionBy("context")
+    by_order = F.create_map(*(F.lit(x) for k, pair in d.items() for x in (10 * k, pair[0], 10 * k + 1, pair[1])))
+    parts = counted.filter("k > 1").withColumn("context", F.expr("substr(run, 1, k - 1)"))
+    for y in (0, 1):
+        c = F.col(f"c{y}")
+        parts = parts.withColumns({f"n{y}": F.sum(c).over(context),
+                                   f"kinds{y}": times(c > 0).over(context),
+                                   f"d{y}": by_order[F.col("k") * 10 + y]})
+    parts = cut(parts.select(
+        "run", "k", "often", "context", *(x for y in (0, 1) for n in [F.col(f"n{y}")] for x in (
+            share(y, F.col(f"d{y}"), n).alias(f"a{y}"),
+            F.when(n > 0, F.col(f"d{y}") * F.col(f"kinds{y}") / n).otherwise(1.0).alias(f"g{y}")))))
+    below = counted.filter("k = 1").select("run", "often", *(
+        (share(y, F.lit(d[1][y]), F.lit(float(ones[f"n{y}"]))) + rest[y] * low).alias(f"p{y}")
+        for y in (0, 1)))
+    every = [below]
+    for k in range(2, order + 1):
+        lower = below.select(F.col("run").alias("lower"), F.col("p0").alias("l0"), F.col("p1").alias("l1"))
+        below = cut(parts.filter(F.col("k") == k).withColumn("lower", F.expr("substr(run, 2)"))
+                    .join(lower, "lower").select("run", "often", *(
+                        (F.col(f"a{y}") + F.col(f"g{y}") * F.col(f"l{y}")).alias(f"p{y}") for y in (0, 1))))
+        every.append(below)
+    table = every[0]
+    for one in every[1:]:
+        table = table.union(one)
+    least = F.lit(1e-300)
+    backoffs = parts.groupBy(F.col("context").alias("run")).agg(
+        F.max(F.log("g1") - F.log("g0")).alias("backoff"))
+    return cut(table.join(backoffs, "run", "left").select(
+        "run", "often", (F.log(F.greatest("p1", least)) - F.log(F.greatest("p0", least))).alias("ratio"),
+        F.coalesce("backoff", F.lit(0.0)).alias("backoff"))), bottom
+
+
+def _frequent(table: DataFrame, least: int, bottom: float, order: int) -> Model:
+    """The runs that occur ``least`` times and all letters as a model, beside the whole table."""
+    few = (table.filter((F.col("often") >= least) | (F.length("run") == 1))
+           .select("run", "ratio", "backoff").toArrow())
+    runs = few.column("run").to_pylist()
+    length = np.fromiter(map(len, runs), np.int64, len(runs))
+    keys = np.zeros(len(runs), np.uint64)
+    for k in range(1, order + 1):
+        at = np.flatnonzero(length == k)
+        if len(at):
+            keys[at] = _row_hashes(_codes([runs[i] for i in at], k))
+    by_key = np.argsort(keys)
+    ratio, backoff = (few.column(c).to_numpy()[by_key].astype(np.float32) for c in ("ratio", "backoff"))
+    return Model(keys[by_key], ratio, backoff, bottom, order=order,
+                 table=table.select("run", "ratio", "backoff"))
+
+
 def _find(model: Model, wanted: np.ndarray) -> np.ndarray:
     """Index of every key, -1 where there is none."""
     at = np.minimum(np.searchsorted(model.keys, wanted), len(model.keys) - 1)
     return np.where(model.keys[at] == wanted, at, -1)
 
 
-def ratios(model: Model, names: list[str]) -> np.ndarray:
-    """log P(word | toxic) - log P(word | ordinary) of non-empty words."""
-    if not len(model.keys) or not names:
-        return np.zeros(len(names))
+def _by_letter(model: Model, names: list[str]) -> tuple:
+    """Of marked words one after the other: the first place of each, the log ratio of every letter,
+    and whether the longest run possible there is in the model (a larger one agrees)."""
     marked = [START + w + END for w in names]
     codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32)
     sizes = np.fromiter(map(len, marked), np.int64, len(marked))
@@ -251,6 +334,7 @@ def ratios(model: Model, names: list[str]) -> np.ndarray:
     inside = np.arange(len(codes)) - np.repeat(first, sizes)
     hashes = _hashes(codes, model.order)
     value = np.zeros(len(codes))
+    sure = inside == 0
     open_ = np.flatnonzero(inside > 0)          # a word's start is given, not predicted
     for k in range(model.order, 0, -1):
         able = inside[open_] >= k - 1
@@ -258,6 +342,7 @@ def ratios(model: Model, names: list[str]) -> np.ndarray:
         hit = _find(model, hashes[k - 1][at])
         found = hit >= 0
         value[at[found]] += model.ratio[hit[found]]
+        sure[at[found]] = np.minimum(inside[at[found]] + 1, model.order) == k
         miss = at[~found]
         if k > 1:
             context = _find(model, hashes[k - 2][miss - 1])
@@ -265,17 +350,34 @@ def ratios(model: Model, names: list[str]) -> np.ndarray:
         else:
             value[miss] += model.bottom
         open_ = np.concatenate([open_[~able], miss])
+    return first, value, sure
+
+
+def ratios(model: Model, names: list[str]) -> np.ndarray:
+    """log P(word | toxic) - log P(word | ordinary) of non-empty words, by the runs in the arrays."""
+    if not len(model.keys) or not names:
+        return np.zeros(len(names))
+    first, value, _ = _by_letter(model, names)
     return np.add.reduceat(value, first)
 
 
 class Scorer:
-    """Evidence of texts; one per task. Ratios of words are kept, within a bound."""
+    """Evidence of texts; one per task. Ratios of words are kept, within a bound; with
+    ``partial`` those that the model doesn't decide are NaN."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, partial: bool = False):
         self.model = model
+        self.partial = partial
         self.known: dict[str, float] = {}
 
-    def evidence(self, texts: list) -> np.ndarray:
+    def _over(self, names: list[str]) -> np.ndarray:
+        if not self.partial:
+            return np.maximum(ratios(self.model, names) - MARGIN, 0.0)
+        first, value, sure = _by_letter(self.model, names)
+        over = np.maximum(np.add.reduceat(value, first) - MARGIN, 0.0)
+        return np.where(np.logical_and.reduceat(sure, first), over, np.nan)
+
+    def _words(self, texts: list) -> list[list[str]]:
         parts = [words(t) for t in texts]
         fresh = list({w for ws in parts for w in ws if w not in self.known})
         if len(self.known) + len(fresh) > 2 * WORDS_AT_ONCE:
@@ -283,11 +385,24 @@ class Scorer:
             fresh = list({w for ws in parts for w in ws})
         for lo in range(0, len(fresh), 20_000):
             some = fresh[lo:lo + 20_000]
-            over = np.maximum(ratios(self.model, some) - MARGIN, 0.0)
-            self.known.update(zip(some, over.tolist()))
-        known = self.known
+            self.known.update(zip(some, self._over(some).tolist()))
+        return parts
+
+    def evidence(self, texts: list) -> np.ndarray:
+        parts, known = self._words(texts), self.known
         return np.array([sum(map(known.__getitem__, ws)) / (len(ws) + PRIOR) for ws in parts])
 
+    def parts(self, texts: list) -> list[tuple[int, float, Counter]]:
+        """Of each text its words, what the decided ones add, and the others."""
+        out, known = [], self.known
+        for ws in self._words(texts):
+            total, left = sum(map(known.__getitem__, ws)), Counter()
+            if math.isnan(total):
+                left = Counter(w for w in ws if math.isnan(known[w]))
+                total = sum(known[w] for w in ws if w not in left)
+            out.append((len(ws), float(total), left))
+        return out
+
     def score(self, texts: list) -> np.ndarray:
         x = self.model.slope * curve(self.evidence(texts)) + self.model.intercept
         return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
@@ -308,6 +423,95 @@ def _steps(model: Model):
     return run
 
 
+# ------------------------------------------------------------------------ more runs than travel
+
+def _split_texts(sent, keep: str):
+    """(_id, kept column, _n, _near, _left): words, what the decided ones add, the others."""
+    def run(batches):
+        scorer = Scorer(sent.value, partial=True)
+        for b in batches:
+            if b.num_rows:
+                n, near, left = zip(*scorer.parts(b.column(2).to_pylist()))
+                ends = np.cumsum([0, *map(len, left)])
+                pairs = pa.StructArray.from_arrays(
+                    [pa.array([w for ws in left for w in ws], pa.string()),
+                     pa.array([c for ws in left for c in ws.values()], pa.int64())], ["word", "times"])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(near, pa.float64()),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)],
+                    ["_id", keep, "_n", "_near", "_left"])
+    return run
+
+
+def _open_places(sent):
+    """(_a, _b, sure, run, times): of words what the decided letters add and, for the others, the
+    longest runs possible there."""
+    def run(batches):
+        model = sent.value
+        for b in batches:
+            ids, names = [c.to_numpy() for c in b.columns[:2]], b.column(2).to_pylist()
+            for lo in range(0, len(names), 5000):
+                some = names[lo:lo + 5000]
+                first, value, sure = _by_letter(model, some)
+                decided = np.add.reduceat(np.where(sure, value, 0.0), first)
+                text = "".join([START + w + END for w in some])
+                at = np.flatnonzero(~sure)
+                word = np.searchsorted(first, at, "right") - 1
+                from_ = np.maximum(at + 1 - model.order, first[word])
+                runs = Counter(zip(word.tolist(), (text[i:j + 1] for i, j in zip(from_.tolist(), at.tolist()))))
+                word = np.fromiter((w for w, _ in runs), np.int64, len(runs))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[0][lo + word]), pa.array(ids[1][lo + word]), pa.array(decided[word]),
+                     pa.array([g for _, g in runs], pa.string()),
+                     pa.array(list(runs.values()), pa.int64())], ["_a", "_b", "sure", "run", "times"])
+    return run
+
+
+def _run_ratios(runs: DataFrame, model: Model) -> DataFrame:
+    """(run, value): the log ratio of the last letter of each run after the others. A run that
+    the table lacks has that of its longest suffix there, and the backoffs above it."""
+    looked = cut(runs.join(model.table.select("run", "ratio"), "run", "left"))
+    lacking = looked.filter("ratio is null").select(
+        F.col("run").alias("of"), F.explode(F.expr("sequence(1, length(run))")).alias("k"))
+    parts = lacking.withColumn("suffix", F.expr("right(of, k)")).select("of", "k", F.explode(F.expr(
+        "array(named_struct('own', true, 'run', suffix),"
+        " named_struct('own', false, 'run', substr(suffix, 1, k - 1)))")).alias("part")).select(
+        "of", "k", "part.own", "part.run").filter("run != ''")
+    found = (parts.join(model.table, "run").groupBy(F.col("of").alias("run")).agg(
+        F.max(F.when(F.col("own"), F.struct("k", "ratio"))).alias("best"),
+        F.collect_list(F.when(~F.col("own"), F.struct("k", "backoff"))).alias("above")))
+    backed = found.select("run", (F.coalesce("best.ratio", F.lit(model.bottom)) + F.expr(
+        "aggregate(filter(above, x -> x.k > coalesce(best.k, 0)), 0d, (s, x) -> s + x.backoff)")).alias("backed"))
+    return looked.join(backed, "run", "left").select(
+        "run", F.coalesce("ratio", "backed", F.lit(model.bottom)).alias("value"))
+
+
+def _evidence(rows: DataFrame, keep: str, text: str, model: Model) -> DataFrame:
+    """(keep, evidence) of every row by all runs of ``model.table``."""
+    slim = rows.select(F.monotonically_increasing_id().alias("_id"), F.col(keep), F.col(text).alias("_text"))
+    kind = slim.schema[keep].dataType.simpleString()
+    sent = rows.sparkSession.sparkContext.broadcast(replace(model, table=None))
+    split = cut(slim.mapInArrow(
+        _split_texts(sent, keep),
+        f"_id long, `{keep}` {kind}, _n long, _near double, _left array<struct<word:string,times:long>>"))
+    left = split.select("_id", F.explode("_left").alias("_w")).select(
+        "_id", F.xxhash64(F.lit(1), "_w.word").alias("_a"), F.xxhash64(F.lit(2), "_w.word").alias("_b"),
+        F.col("_w.word").alias("word"), F.col("_w.times").alias("times"))
+    names = left.groupBy("_a", "_b").agg(F.min("word").alias("word"))
+    places = cut(names.mapInArrow(_open_places(sent), "_a long, _b long, sure double, run string, times long"))
+    ratio = _run_ratios(places.select("run").distinct(), model)
+    over = cut(places.join(ratio, "run").groupBy("_a", "_b").agg(
+        (F.max("sure") + F.sum(F.col("times") * F.col("value")) - MARGIN).alias("over")).filter("over > 0"))
+    # few words are sent to the rows, so a common one needs no task of its own
+    over = F.broadcast(over) if over.count() <= WORDS_AT_ONCE else over
+    more = left.join(over, ["_a", "_b"]).groupBy("_id").agg(
+        F.sum(F.col("times") * F.col("over")).alias("_more"))
+    return split.join(more, "_id", "left").select(keep, (
+        (F.col("_near") + F.coalesce("_more", F.lit(0.0))) / (F.col("_n") + PRIOR)).alias("evidence"))
+
+
+# ------------------------------------------------------------------------ fit and score
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
         label: str = "toxic", train: Column | None = None, max_runs: int = MAX_RUNS,
         order: int = ORDER) -> Model:
@@ -321,9 +525,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                   .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))
     runs = cut(vocabulary.mapInArrow(_run_counts(order), "run string, toxic long, ordinary long")
                .groupBy("run").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))
-    # how often a run must occur to have an entry: once, or more if there are too many runs
+    # how often a run must occur to travel: once, or more if there are too many runs
     sizes = (runs.groupBy(F.floor(F.log2(F.col("toxic") + F.col("ordinary"))).cast("int").alias("e"))
-             .count().collect())
+             .agg(F.count("*").alias("count"), F.sum("toxic").alias("toxic"),
+                 F.sum("ordinary").alias("ordinary")).collect())
     least, kept = 1, sum(r["count"] for r in sizes)
     for r in sorted(sizes, key=lambda r: r["e"]):
         if kept <= max_runs:
@@ -334,31 +539,41 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
               .groupBy(F.expr("substr(run, 2)").alias("run"))
               .agg(F.sum((F.col("toxic") > 0).cast("int")).alias("bt"),
                    F.sum((F.col("ordinary") > 0).cast("int")).alias("bo")))
-    table = (runs.filter((F.col("toxic") + F.col("ordinary") >= least) | (F.length("run") == 1))
-             .join(longer, "run", "left").select(
-                 "run", "ordinary", "toxic", F.coalesce("bo", F.lit(0)).cast("long").alias("bo"),
-                 F.coalesce("bt", F.lit(0)).cast("long").alias("bt"))).toArrow()
-    # runs of one letter are as many as letters; the others at most ``max_runs``
-    raw, before = (np.column_stack([table.column(c).to_numpy() for c in pair]).reshape(-1, 2)
-                   for pair in (("ordinary", "toxic"), ("bo", "bt")))
     share = {r["_y"]: r["count"] for r in rows.groupBy("_y").count().collect()}
     ones, zeros = share.get(1, 0), share.get(0, 0)
     prior = math.log((ones + 0.5) / (zeros + 0.5))
-    if not table.num_rows or not raw[:, 0].any() or not raw[:, 1].any():
+    if not all(any(r[c] for r in sizes) for c in ("toxic", "ordinary")):
         return Model(np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(0, np.float32), 0.0,
                      0.0, prior, order)
-    model = kneser_ney(table.column("run").to_pylist(), raw, before, order)
-    seen = (rows.filter(part).select("_y", "_text").mapInArrow(_steps(model), "y int, step int")
-            .groupBy("y", "step").count().collect())
+    judged = rows.filter(part).select("_y", "_text")
+    if least > 1:
+        # runs of one letter are as many as letters; the others that travel at most ``max_runs``
+        table, bottom = _probabilities(runs, longer, order)
+        model = _frequent(table, least, bottom, order)
+        steps = _evidence(judged, "_y", "_text", model).select(
+            F.col("_y").alias("y"), F.rint(F.log1p(100 * F.col("evidence")) / STEP).alias("step"))
+    else:
+        table = runs.join(longer, "run", "left").select(
+            "run", "ordinary", "toxic", F.coalesce("bo", F.lit(0)).cast("long").alias("bo"),
+            F.coalesce("bt", F.lit(0)).cast("long").alias("bt")).toArrow()
+        raw, before = (np.column_stack([table.column(c).to_numpy() for c in pair]).reshape(-1, 2)
+                       for pair in (("ordinary", "toxic"), ("bo", "bt")))
+        model = kneser_ney(table.column("run").to_pylist(), raw, before, order)
+        steps = judged.mapInArrow(_steps(model), "y int, step int")
+    seen = steps.groupBy("y", "step").count().collect()
     if len({r["y"] for r in seen}) < 2:
-        return Model(model.keys, model.ratio, model.backoff, model.bottom, 1.0, prior, order)
+        return replace(model, slope=1.0, intercept=prior)
     x, y, w = (np.array([float(r[c]) for r in seen]) for c in ("step", "y", "count"))
     slope, intercept = logistic(x * STEP, y, w / w.sum() * len(w))
-    return Model(model.keys, model.ratio, model.backoff, model.bottom, slope, intercept, order)
+    return replace(model, slope=slope, intercept=intercept)
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, score) of every row."""
+    if model.table is not None:
+        x = model.slope * F.log1p(100 * F.col("evidence")) + model.intercept
+        return _evidence(docs.withColumn(text, F.col(text).cast("string")), key, text, model).select(
+            key, (1 / (1 + F.exp(-F.greatest(F.least(x, F.lit(500.0)), F.lit(-500.0))))).alias("score"))
     slim = docs.select(F.col(key), F.col(text).cast("string").alias("_text"))
     kind = slim.schema[key].dataType.simpleString()
     sent = docs.sparkSession.sparkContext.broadcast(model)     # at most max_runs entries

@@ -139,6 +139,35 @@ def test_bound_on_runs_prunes_the_rarest(llm):
     assert np.isfinite(T.ratios(small, ["waaword", "unseen"])).all()
 
 
+@pytest.mark.parametrize("order", [3, 6])
+def test_runs_beyond_the_bound_count_as_those_that_travel(llm, order):
+    rng = random.Random(order)
+    made = ["".join(rng.choice("abcdeé日") for _ in range(rng.randint(1, 9))) for _ in range(300)]
+    rows = []
+    for i in range(240):
+        own = [w for j, w in enumerate(made) if j % 2 == i % 2 or j % 5 == 0]
+        rows.append((i, " ".join(rng.choice(own) for _ in range(25)), i % 2))
+    docs = llm.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = llm.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    whole, small = (T.fit(docs, labels, train=F.lit(True), max_runs=m, order=order) for m in (1 << 20, 60))
+    table = {r["run"]: r for r in small.table.collect()}
+    assert len(table) == len(whole.keys) > len(small.keys) and whole.table is None
+    for k in range(1, order + 1):
+        runs = [g for g in table if len(g) == k]
+        at = T._find(whole, T._row_hashes(T._codes(runs, k)))
+        assert (at >= 0).all()
+        assert whole.ratio[at] == pytest.approx([table[g]["ratio"] for g in runs], rel=1e-4, abs=1e-4)
+        assert whole.backoff[at] == pytest.approx([table[g]["backoff"] for g in runs], rel=1e-4, abs=1e-4)
+    # words and letters that no training text has, one word of great length, rows that repeat
+    extra = [(900, made[0] * 3000), (901, "zzz qüx " + made[1] + "x " + "cab" * 7), (901, made[3]), (901, made[3]),
+             (None, " ".join(made[:40])), (902, None), (903, "12 ..."), (904, "x".join(made[:9]))]
+    probe = docs.limit(50).union(llm.createDataFrame(extra, "doc_id long, text string"))
+    want, got = (sorted((r["doc_id"] or -1, r["score"]) for r in T.score(probe, m).collect())
+                 for m in (whole, small))
+    assert [i for i, _ in got] == [i for i, _ in want] and len({round(s, 6) for _, s in want}) > 20
+    assert [s for _, s in got] == pytest.approx([s for _, s in want], abs=1e-4)
+
+
 def test_odd_rows_empty_tables_and_missing_classes(llm, odd, empty):
     labels = llm.createDataFrame(
         [(1, 1), (4, 0), (5, 1), (None, 1), (7, None), (8, 0), (3, 0), (3, 1)], "doc_id long, toxic int")
