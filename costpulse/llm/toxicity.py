@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 from costpulse.llm.common import cut, fold
 from costpulse.llm.quality import _logistic as logistic
 from costpulse.llm.textarrays import mix
+from costpulse.session import scratch_path
 
 ORDER = 6
 MARGIN = 2.0
@@ -239,13 +240,20 @@ def kneser_ney(runs: list[str], raw: np.ndarray, before: np.ndarray, order: int
                  backoff[by_key].astype(np.float32), bottom, order=order)
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """``df`` materialised like ``cut``, but compressed: rows of runs and words are many and short."""
+    path = scratch_path(df.sparkSession, "toxicity")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _probabilities(runs: DataFrame, longer: DataFrame, order: int) -> tuple[DataFrame, float]:
     """``kneser_ney`` over any number of runs: (run, often, ratio, backoff) of each, and the bottom.
     A run's share of its context needs the runs of that context only, its lower
     probability is that of the run without its first letter, one order below."""
     size = F.length("run")
     whole = (size == order) | F.startswith("run", F.lit(START))
-    counted = cut(runs.join(longer, "run", "left").select(
+    counted = _kept(runs.join(longer, "run", "left").select(
         "run", size.alias("k"), (F.col("toxic") + F.col("ordinary")).alias("often"),
         *(F.when(F.col("run") == START, 0).when(whole, F.col(raw))
           .otherwise(F.coalesce(before, F.lit(0))).cast("long").alias(c)
@@ -276,7 +284,7 @@ def _probabilities(runs: DataFrame, longer: DataFrame, order: int) -> tuple[Data
         parts = parts.withColumns({f"n{y}": F.sum(c).over(context),
                                    f"kinds{y}": times(c > 0).over(context),
                                    f"d{y}": by_order[F.col("k") * 10 + y]})
-    parts = cut(parts.select(
+    parts = _kept(parts.select(
         "run", "k", "often", "context", *(x for y in (0, 1) for n in [F.col(f"n{y}")] for x in (
             share(y, F.col(f"d{y}"), n).alias(f"a{y}"),
             F.when(n > 0, F.col(f"d{y}") * F.col(f"kinds{y}") / n).otherwise(1.0).alias(f"g{y}")))))
@@ -286,7 +294,7 @@ def _probabilities(runs: DataFrame, longer: DataFrame, order: int) -> tuple[Data
     every = [below]
     for k in range(2, order + 1):
         lower = below.select(F.col("run").alias("lower"), F.col("p0").alias("l0"), F.col("p1").alias("l1"))
-        below = cut(parts.filter(F.col("k") == k).withColumn("lower", F.expr("substr(run, 2)"))
+        below = _kept(parts.filter(F.col("k") == k).withColumn("lower", F.expr("substr(run, 2)"))
                     .join(lower, "lower").select("run", "often", *(
                         (F.col(f"a{y}") + F.col(f"g{y}") * F.col(f"l{y}")).alias(f"p{y}") for y in (0, 1))))
         every.append(below)
@@ -296,7 +304,7 @@ def _probabilities(runs: DataFrame, longer: DataFrame, order: int) -> tuple[Data
     least = F.lit(1e-300)
     backoffs = parts.groupBy(F.col("context").alias("run")).agg(
         F.max(F.log("g1") - F.log("g0")).alias("backoff"))
-    return cut(table.join(backoffs, "run", "left").select(
+    return _kept(table.join(backoffs, "run", "left").select(
         "run", "often", (F.log(F.greatest("p1", least)) - F.log(F.greatest("p0", least))).alias("ratio"),
         F.coalesce("backoff", F.lit(0.0)).alias("backoff"))), bottom
 
@@ -363,25 +371,28 @@ def ratios(model: Model, names: list[str]) -> np.ndarray:
 
 class Scorer:
     """Evidence of texts; one per task. Ratios of words are kept, within a bound; with
-    ``partial`` those that the model doesn't decide are NaN."""
+    ``partial`` the words that the model doesn't decide are left ``open`` and add nothing."""
 
     def __init__(self, model: Model, partial: bool = False):
         self.model = model
         self.partial = partial
         self.known: dict[str, float] = {}
+        self.open: set[str] = set()
 
     def _over(self, names: list[str]) -> np.ndarray:
         if not self.partial:
             return np.maximum(ratios(self.model, names) - MARGIN, 0.0)
         first, value, sure = _by_letter(self.model, names)
-        over = np.maximum(np.add.reduceat(value, first) - MARGIN, 0.0)
-        return np.where(np.logical_and.reduceat(sure, first), over, np.nan)
+        decided = np.logical_and.reduceat(sure, first)
+        self.open.update(names[i] for i in np.flatnonzero(~decided).tolist())
+        return np.where(decided, np.maximum(np.add.reduceat(value, first) - MARGIN, 0.0), 0.0)
 
     def _words(self, texts: list) -> list[list[str]]:
         parts = [words(t) for t in texts]
         fresh = list({w for ws in parts for w in ws if w not in self.known})
         if len(self.known) + len(fresh) > 2 * WORDS_AT_ONCE:
             self.known.clear()
+            self.open.clear()
             fresh = list({w for ws in parts for w in ws})
         for lo in range(0, len(fresh), 20_000):
             some = fresh[lo:lo + 20_000]
@@ -394,14 +405,8 @@ class Scorer:
 
     def parts(self, texts: list) -> list[tuple[int, float, Counter]]:
         """Of each text its words, what the decided ones add, and the others."""
-        out, known = [], self.known
-        for ws in self._words(texts):
-            total, left = sum(map(known.__getitem__, ws)), Counter()
-            if math.isnan(total):
-                left = Counter(w for w in ws if math.isnan(known[w]))
-                total = sum(known[w] for w in ws if w not in left)
-            out.append((len(ws), float(total), left))
-        return out
+        return [(len(ws), float(sum(map(self.known.__getitem__, ws))),
+                 Counter(filter(self.open.__contains__, ws))) for ws in self._words(texts)]
 
     def score(self, texts: list) -> np.ndarray:
         x = self.model.slope * curve(self.evidence(texts)) + self.model.intercept
@@ -444,12 +449,12 @@ def _split_texts(sent, keep: str):
 
 
 def _open_places(sent):
-    """(_a, _b, sure, run, times): of words what the decided letters add and, for the others, the
-    longest runs possible there."""
+    """(w, sure, run, times): for the undecided letters of words the longest runs possible there;
+    a word's first row has what its decided letters add."""
     def run(batches):
         model = sent.value
         for b in batches:
-            ids, names = [c.to_numpy() for c in b.columns[:2]], b.column(2).to_pylist()
+            ids, names = b.column(0).to_numpy(), b.column(1).to_pylist()
             for lo in range(0, len(names), 5000):
                 some = names[lo:lo + 5000]
                 first, value, sure = _by_letter(model, some)
@@ -457,26 +462,27 @@ def _open_places(sent):
                 text = "".join([START + w + END for w in some])
                 at = np.flatnonzero(~sure)
                 word = np.searchsorted(first, at, "right") - 1
-                from_ = np.maximum(at + 1 - model.order, first[word])
-                runs = Counter(zip(word.tolist(), (text[i:j + 1] for i, j in zip(from_.tolist(), at.tolist()))))
+                begin = np.maximum(at + 1 - model.order, first[word])
+                runs = Counter(zip(word.tolist(), (text[i:j + 1] for i, j in zip(begin.tolist(), at.tolist()))))
                 word = np.fromiter((w for w, _ in runs), np.int64, len(runs))
+                leads = np.diff(word, prepend=-1) > 0
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[0][lo + word]), pa.array(ids[1][lo + word]), pa.array(decided[word]),
+                    [pa.array(ids[lo + word]), pa.array(np.where(leads, decided[word], 0.0)),
                      pa.array([g for _, g in runs], pa.string()),
-                     pa.array(list(runs.values()), pa.int64())], ["_a", "_b", "sure", "run", "times"])
+                     pa.array(list(runs.values()), pa.int64())], ["w", "sure", "run", "times"])
     return run
 
 
 def _run_ratios(runs: DataFrame, model: Model) -> DataFrame:
     """(run, value): the log ratio of the last letter of each run after the others. A run that
     the table lacks has that of its longest suffix there, and the backoffs above it."""
-    looked = cut(runs.join(model.table.select("run", "ratio"), "run", "left"))
+    looked = _kept(runs.join(model.table.select("run", "ratio"), "run", "left"))
     lacking = looked.filter("ratio is null").select(
         F.col("run").alias("of"), F.explode(F.expr("sequence(1, length(run))")).alias("k"))
     parts = lacking.withColumn("suffix", F.expr("right(of, k)")).select("of", "k", F.explode(F.expr(
         "array(named_struct('own', true, 'run', suffix),"
         " named_struct('own', false, 'run', substr(suffix, 1, k - 1)))")).alias("part")).select(
-        "of", "k", "part.own", "part.run").filter("run != ''")
+        "of", "k", "part.own", "part.run").filter("run not in ('', of)")
     found = (parts.join(model.table, "run").groupBy(F.col("of").alias("run")).agg(
         F.max(F.when(F.col("own"), F.struct("k", "ratio"))).alias("best"),
         F.collect_list(F.when(~F.col("own"), F.struct("k", "backoff"))).alias("above")))
@@ -491,21 +497,20 @@ def _evidence(rows: DataFrame, keep: str, text: str, model: Model) -> DataFrame:
     slim = rows.select(F.monotonically_increasing_id().alias("_id"), F.col(keep), F.col(text).alias("_text"))
     kind = slim.schema[keep].dataType.simpleString()
     sent = rows.sparkSession.sparkContext.broadcast(replace(model, table=None))
-    split = cut(slim.mapInArrow(
+    split = _kept(slim.mapInArrow(
         _split_texts(sent, keep),
         f"_id long, `{keep}` {kind}, _n long, _near double, _left array<struct<word:string,times:long>>"))
-    left = split.select("_id", F.explode("_left").alias("_w")).select(
-        "_id", F.xxhash64(F.lit(1), "_w.word").alias("_a"), F.xxhash64(F.lit(2), "_w.word").alias("_b"),
-        F.col("_w.word").alias("word"), F.col("_w.times").alias("times"))
-    names = left.groupBy("_a", "_b").agg(F.min("word").alias("word"))
-    places = cut(names.mapInArrow(_open_places(sent), "_a long, _b long, sure double, run string, times long"))
+    left = split.select("_id", F.explode("_left").alias("_w")).select("_id", "_w.word", "_w.times")
+    names = _kept(left.select("word").distinct()
+                  .select(F.monotonically_increasing_id().alias("w"), "word"))
+    places = _kept(names.mapInArrow(_open_places(sent), "w long, sure double, run string, times long"))
     ratio = _run_ratios(places.select("run").distinct(), model)
-    over = cut(places.join(ratio, "run").groupBy("_a", "_b").agg(
-        (F.max("sure") + F.sum(F.col("times") * F.col("value")) - MARGIN).alias("over")).filter("over > 0"))
+    over = places.join(ratio, "run").groupBy("w").agg(
+        (F.sum(F.col("sure") + F.col("times") * F.col("value")) - MARGIN).alias("over")).filter("over > 0")
+    over = _kept(over.join(names, "w").select("word", "over"))
     # few words are sent to the rows, so a common one needs no task of its own
     over = F.broadcast(over) if over.count() <= WORDS_AT_ONCE else over
-    more = left.join(over, ["_a", "_b"]).groupBy("_id").agg(
-        F.sum(F.col("times") * F.col("over")).alias("_more"))
+    more = left.join(over, "word").groupBy("_id").agg(F.sum(F.col("times") * F.col("over")).alias("_more"))
     return split.join(more, "_id", "left").select(keep, (
         (F.col("_near") + F.coalesce("_more", F.lit(0.0))) / (F.col("_n") + PRIOR)).alias("evidence"))
 
