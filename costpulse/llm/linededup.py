@@ -15,7 +15,7 @@ take no part.
 2. ``BANDS`` bands of ``ROWS`` MinHash values: a pair at similarity 0.8 shares a band with
    probability 1 - (1 - 0.8^4)^20 = 0.99997, at 0.85 with 0.9999999; unrelated prose stays near
    0.01 and almost never collides.
-3. Lines that share a band meet in tiles of bounded size (``buckets.collide``) and are compared
+3. Lines that share a band meet in tiles of bounded size (``buckets.collide_packed``) and are compared
    exactly. Small tiles with the same smallest id are compared by one task, which reads the text
    of a line once for all of them; comparisons inside one known component are skipped, nothing
    else is. Larger tiles, as of a crowded bucket, have a task each.
@@ -41,8 +41,10 @@ ROWS = 4
 BANDS = 20
 FILTER_BITS = 1 << 25          # the candidate filter sent to tasks: 4 MB, whatever the input
 CHARS_AT_ONCE = 1 << 17
+LINES_AT_ONCE = 1 << 14
 TILE, SMALL = 512, 64          # lines of a tile; of one that shares its task with others
 SLOTS = 1 << 11                # of the quick bound on common shingles
+FACTOR, SLOT_SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - SLOTS.bit_length() + 1)
 SHINGLES_HELD = 1 << 20         # shingles a comparison of tiles keeps at a time
 
 
@@ -113,14 +115,19 @@ def band_keys(lines: list[str], rows: int = ROWS, bands: int = BANDS, seed: int
     return np.concatenate(out, axis=1).view(np.int64)
 
 
-def _bands(batches):
-    for b in batches:
-        lines = _distinct(b, 0)
-        if lines:
-            ids = np.fromiter(map(line_id, lines), np.int64, len(lines))
-            keys = band_keys(lines)
-            for band in keys:
-                yield pa.RecordBatch.from_arrays([pa.array(band), pa.array(ids)], ["bucket", "id"])
+def _bands(bits: int):
+    """``buckets.PACKED`` rows of (band key, line id)."""
+    def keyed(batches):
+        for b in batches:
+            lines = _distinct(b, 0)
+            for at in range(0, len(lines), LINES_AT_ONCE):
+                part = lines[at:at + LINES_AT_ONCE]
+                ids = np.fromiter(map(line_id, part), np.int64, len(part))
+                yield band_keys(part).ravel(), np.tile(ids, BANDS)
+
+    def run(batches):
+        yield from buckets.packed(keyed(batches), bits)
+    return run
 
 
 def _slots(ids: np.ndarray) -> np.ndarray:
@@ -154,7 +161,8 @@ def _candidate_filter(ids: DataFrame) -> bytes:
 
 def _different(codes: np.ndarray) -> np.ndarray:
     codes = np.sort(codes)
-    first = np.ones(len(codes), bool)
+    first = np.empty(len(codes), bool)
+    first[:1] = True
     np.not_equal(codes[1:], codes[:-1], out=first[1:])
     return codes[first]
 
@@ -182,14 +190,14 @@ def shingle_codes(line: str) -> tuple[np.ndarray, bool]:
 def _described(own: np.ndarray, hashed: bool = False) -> tuple[np.ndarray, int, int, bool]:
     """Codes, a number with one bit for each slot that one falls into, how many share theirs."""
     bits = np.zeros(SLOTS, bool)
-    bits[(own * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS.bit_length() + 1)] = True
-    slots = int.from_bytes(np.packbits(bits).tobytes(), "big")
+    bits[((own * FACTOR) >> SLOT_SHIFT).view(np.int64)] = True
+    slots = int.from_bytes(np.packbits(bits).data, "big")
     return own, slots, len(own) - slots.bit_count(), hashed
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
     both = np.concatenate((a, b))
-    both.sort()
+    both.sort(kind="stable")              # merges the two sorted runs
     return int(np.count_nonzero(both[1:] == both[:-1]))
 
 
@@ -220,8 +228,8 @@ class Linker:
         return found
 
     def _alike(self, x, y) -> bool:
-        a, of_a, more_a, hashed_a = self._set(x)
-        b, of_b, more_b, hashed_b = self._set(y)
+        a, of_a, more_a, hashed_a = self.sets.get(x) or self._set(x)
+        b, of_b, more_b, hashed_b = self.sets.get(y) or self._set(y)
         # every slot that only one line has stands for a shingle that the other lacks: at most so
         # many are common, and most unlike pairs need no look at the shingles themselves
         most = (of_a & of_b).bit_count() + min(more_a, more_b)
@@ -304,7 +312,8 @@ def _verified(threshold: float):
 def links(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(u, v) ids of different lines that are alike, enough to connect every component."""
     texts = docs.select(F.col(text).cast("string").alias("text"))
-    tiles = buckets.collide(texts.mapInArrow(_bands, "bucket long, id long"), TILE, merge=True)
+    bands = texts.mapInArrow(_bands(buckets.range_bits(texts)), buckets.PACKED)
+    tiles = buckets.collide_packed(bands, TILE, merge=True)
     # small tiles of one smallest id go to one task, larger ones keep tasks of their own
     tile = Window.partitionBy("bucket", "a", "b")
     together = (F.col("a") == F.col("b")) & (F.count("*").over(tile) <= SMALL)
