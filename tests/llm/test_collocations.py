@@ -119,3 +119,35 @@ def test_filter_keeps_every_frequent_pair():
     left = np.arange(1, 5000, dtype=np.uint64)
     slots = C._slots(left, left[::-1])
     assert slots.max() < C.FILTER_BITS and len(np.unique(slots)) > 4980
+
+
+def test_a_word_is_looked_up_once_a_slice_and_phrases_leave_as_columns(monkeypatch):
+    seen = []
+
+    class Counted(C._Ids):
+        def __getitem__(self, word):
+            seen.append(word)
+            return super().__getitem__(word)
+
+    monkeypatch.setattr(C, "_Ids", Counted)
+    some = [("en", "a b c. A b")] * 1000
+    assert _sum(C._words_and_pairs(_batches(some, 1000))) == Counter(
+        {p: n for p, n in plain(some, 2).items()})
+    assert len(seen) <= 10                           # once it was 5,000
+
+
+@pytest.mark.parametrize("name,value", [("READ_AT_ONCE", 7), ("BYTES_AT_ONCE", 20), ("SPAN", 1),
+                                        ("BURST", 1), ("IDS_AT_ONCE", 1)])
+def test_slices_spans_and_batches_lose_nothing(monkeypatch, name, value):
+    rows = [("en", "one\ttwo  three.four\x01 five\x00,,;  six seven one two three"), ("en", None),
+            ("en", " \t . "), ("é", "ÀÉ日本 語\x0bone two\r\nthree " + "long" * 50), ("en", "seven"),
+            ("en", "six one two three four\x1f five six seven one two")] * 3
+    monkeypatch.setattr(C, name, value)
+    want = plain(rows)
+    batches = list(C._words_and_pairs(_batches(rows, 5)))
+    assert _sum(batches) == Counter({p: n for p, n in want.items() if p.count(" ") < 2})
+    if name == "BYTES_AT_ONCE":
+        assert all(b.num_rows == 1 or sum(map(len, b.column(0).to_pylist())) <= 40 for b in batches)
+    everything = b"\xff" * (C.FILTER_BITS // 8)
+    assert _sum(C._triples(everything)(_batches(rows, 5))) == Counter(
+        {p: n for p, n in want.items() if p.count(" ") == 2})
